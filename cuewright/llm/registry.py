@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontam, packing, pii
+from . import audio, decontam, packing, pii, substring, suffixes
 from .common import table
 
 
@@ -18,16 +18,25 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.digest(decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digest(substring.removed_words(table(spark, sf_dir, "documents")))
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(suffixes.removed_bytes(table(spark, sf_dir, "documents")))
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_mpeg_audio, op2_decontaminate, op6_pack, op10_pii)}
+    return {f.__name__: f for f in (
+        op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op6_pack, op9_suffix_dedup, op10_pii)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -57,5 +66,48 @@ FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
 
+OP3_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (
+  SELECT doc_id, i, md5(array_to_string(w[i : i + 12], chr(10))) AS h
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 11))) AS i FROM d)),
+m AS (SELECT h, min(doc_id) AS lowest FROM g GROUP BY h),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i
+  FROM g JOIN m USING (h) WHERE m.lowest < g.doc_id),
+n AS (SELECT doc_id, count(*) AS n_removed FROM gone GROUP BY 1),
+e AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+k AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS kept FROM e ANTI JOIN gone USING (doc_id, i) GROUP BY 1)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN k USING (doc_id)
+"""
+
+OP9_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+g AS (
+  SELECT doc_id, i, md5(substr(x, 2 * i + 1, 800)) AS h
+  FROM (SELECT doc_id, x, unnest(range(0, greatest(0, length(x) // 2 - 399))) AS i FROM d)),
+m AS (SELECT h FROM g GROUP BY h HAVING count(*) > 1),
+s AS (SELECT g.doc_id, g.i FROM g JOIN m USING (h)),
+b AS (
+  SELECT doc_id, i, CASE WHEN lag(i) OVER (PARTITION BY doc_id ORDER BY i) >= i - 400 THEN 0 ELSE 1 END AS fresh FROM s),
+r AS (SELECT doc_id, i, sum(fresh) OVER (PARTITION BY doc_id ORDER BY i) AS run FROM b),
+runs AS (SELECT doc_id, run, min(i) AS a, max(i) + 400 AS z FROM r GROUP BY 1, 2),
+n AS (SELECT doc_id, sum(z - a) AS n_removed, count(*) AS n_spans FROM runs GROUP BY 1),
+gaps AS (
+  SELECT doc_id, a, coalesce(lag(z) OVER (PARTITION BY doc_id ORDER BY a), 0) AS k0, a AS k1 FROM runs
+  UNION ALL
+  SELECT d.doc_id, 1000000000000, max(z), max(length(x) // 2) FROM runs JOIN d USING (doc_id) GROUP BY d.doc_id),
+kept AS (
+  SELECT doc_id, string_agg(substr(x, 2 * k0 + 1, 2 * (k1 - k0)), '' ORDER BY a) AS k
+  FROM gaps JOIN d USING (doc_id) GROUP BY 1)
+SELECT d.doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(k, x))) AS kept_sha256
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op9_suffix_dedup": OP9_SQL}
