@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontam, packing, pii, substring, suffixes
+from . import audio, decontam, minhash, packing, pii, substring, suffixes
 from .common import table
 
 
@@ -22,6 +22,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.digest(substring.removed_words(table(spark, sf_dir, "documents")))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -36,7 +40,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op6_pack, op9_suffix_dedup, op10_pii)}
+        op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op4_near_duplicates, op6_pack, op9_suffix_dedup, op10_pii)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -109,5 +113,25 @@ FROM d LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)
 """
 
 
+OP4_SQL = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_sort(list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || chr(10) || w[i + 1]))) END AS x FROM d),
+c AS (SELECT x, min(doc_id) AS rep, len(x) AS n FROM s WHERE len(x) > 0 GROUP BY x),
+e AS (SELECT rep, n, unnest(x) AS g FROM c),
+o AS (
+  SELECT a.rep AS a, b.rep AS b, a.n AS na, b.n AS nb, count(*) AS i
+  FROM e a JOIN e b ON a.g = b.g AND a.rep < b.rep AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) GROUP BY ALL),
+l AS (SELECT a, b FROM o WHERE 100 * i >= 80 * (na + nb - i)),
+both_ways AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r AS (SELECT rep AS a, rep AS b FROM c UNION SELECT r.a, both_ways.b FROM r JOIN both_ways ON r.b = both_ways.a),
+k AS (SELECT a, min(b) AS least FROM r GROUP BY a)
+SELECT s.doc_id, CAST(len(s.x) AS BIGINT) AS n_shingles, coalesce(k.least, s.doc_id) AS component_id,
+       coalesce(k.least, s.doc_id) = s.doc_id AS kept
+FROM s LEFT JOIN c ON s.x = c.x LEFT JOIN k ON k.a = c.rep
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op9_suffix_dedup": OP9_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_near_duplicates": OP4_SQL, "op9_suffix_dedup": OP9_SQL}
