@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontam, minhash, packing, pii, substring, suffixes
+from . import audio, decontam, langid, minhash, packing, pii, substring, suffixes
 from .common import table
 
 
@@ -26,6 +26,11 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.digest(docs, langid.learn(docs))
+
+
 def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
@@ -40,7 +45,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op4_near_duplicates, op6_pack, op9_suffix_dedup, op10_pii)}
+        op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op4_near_duplicates, op5_language_id, op6_pack, op9_suffix_dedup, op10_pii)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
