@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontam, langid, minhash, packing, pii, substring, suffixes
+from . import audio, decontam, html_text, langid, minhash, packing, pii, substring, suffixes
 from .common import table
 
 
@@ -35,6 +35,10 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extracted(table(spark, sf_dir, "pages"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(suffixes.removed_bytes(table(spark, sf_dir, "documents")))
 
@@ -45,7 +49,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op4_near_duplicates, op5_language_id, op6_pack, op9_suffix_dedup, op10_pii)}
+        op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op4_near_duplicates, op5_language_id, op6_pack, op8_html_text, op9_suffix_dedup, op10_pii)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
