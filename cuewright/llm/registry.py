@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontam, html_text, langid, minhash, packing, pii, substring, suffixes
+from . import audio, decontam, html_text, langid, licenses, minhash, packing, pii, substring, suffixes
 from .common import table
 
 
@@ -35,6 +35,11 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return licenses.by_document(docs, licenses.scan(docs, licenses.learn(docs)))
+
+
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extracted(table(spark, sf_dir, "pages"))
 
@@ -49,7 +54,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op4_near_duplicates, op5_language_id, op6_pack, op8_html_text, op9_suffix_dedup, op10_pii)}
+        op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op4_near_duplicates, op5_language_id, op6_pack, op7_license_scan, op8_html_text, op9_suffix_dedup, op10_pii)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
