@@ -18,6 +18,7 @@ import re
 import unicodedata
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -273,8 +274,6 @@ def digest(found: DataFrame) -> DataFrame:
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
     """All columns, with every span found in ``text`` replaced by its kind; null stays null."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def clean(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else redact(t, spans(t)[1]))
