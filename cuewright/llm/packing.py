@@ -17,6 +17,7 @@ within hashed sub-groups, whose sizes are then summed up.  Null texts are empty
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_right
 from collections import Counter, defaultdict
@@ -30,8 +31,8 @@ from .common import documents, map_rows, staged
 
 SIZE = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: Words whose ids a task remembers.
-REMEMBERED = 400_000
+#: Chunks whose ids a Python worker remembers, from task to task; others are encoded each time.
+REMEMBERED = 800_000
 SUBGROUPS = 512
 
 
@@ -44,10 +45,15 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
 class Encoder:
     """Ids of whole texts as little-endian bytes, remembering what each chunk between white space became.
 
-    The vocabulary drops white space before it looks at anything, so a text's
-    ids are those of its chunks in turn.
+    The vocabulary lower-cases, drops white space and cuts between letters and
+    other signs before it looks at anything.  So a text's ids are those of its
+    chunks in turn, and a chunk's are those of its letters and of the signs
+    behind them.  Chunks not met before are encoded together and told apart by
+    the offsets of their tokens.
     """
 
+    _PARTS = re.compile(rb"([^\x00-`{-\x7f]*[a-z])([^\x00-\x20A-Za-z0-9\x7f-\xff]+)")
+
     def __init__(self, path: str):
         import os
 
@@ -57,17 +63,65 @@ class Encoder:
         self.t, self.known = Tokenizer.from_file(path), {}
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [t.encode("utf-8", "replace").split() for t in texts]
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = list({w for ws in split for w in ws if w not in known})
-        encode = getattr(self.t, "encode_batch_fast", self.t.encode_batch)
-        for at in range(0, len(new), 8192):
-            part = new[at : at + 8192]
-            for w, e in zip(part, encode([w.decode() for w in part], add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join([known[w] for w in ws]) for ws in split]
+        known, out, open_rows, new = self.known, [], [], {}
+        full = len(known) >= REMEMBERED
+        for t in texts:
+            raw = t.encode("utf-8", "replace")
+            ws = (raw if b"<|" in raw else raw.lower()).split()
+            ids = list(map(known.get, ws))
+            gaps = [i for i, v in enumerate(ids) if v is None]
+            if gaps:
+                open_rows.append((ids, gaps, ws))
+                new.update(dict.fromkeys(ws[i] for i in gaps))
+            out.append(ids)
+        self._learn(list(new))
+        for ids, gaps, ws in open_rows:
+            for i in gaps:
+                ids[i] = known[ws[i]]
+        if full:
+            for w in new:
+                del known[w]
+        return [b"".join(ids) for ids in out]
+
+    def _learn(self, new: list[bytes]) -> None:
+        known, parts = self.known, {}
+        for w in new:
+            if (m := self._PARTS.fullmatch(w)) and b"<|" not in w:
+                parts[w] = m.groups()
+        whole = {w for w in new if w not in parts}
+        held = {x for two in parts.values() for x in two if x not in known} - whole
+        whole |= held
+        self._encode([w for w in whole if b"<|" not in w])
+        for w in whole:
+            if b"<|" in w:
+                known[w] = np.array(self.t.encode(w.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
+        for w, (a, b) in parts.items():
+            known[w] = known[a] + known[b]
+        for x in held:
+            if len(known) >= REMEMBERED:
+                del known[x]
+
+    def _encode(self, new: list[bytes]) -> None:
+        for at in range(0, len(new), 2048):
+            part = new[at : at + 2048]
+            said = [w.decode() for w in part]
+            found = self.t.encode(" ".join(said), add_special_tokens=False)
+            raw = np.array(found.ids, dtype="<u4").tobytes()
+            token = np.fromiter((a for a, _ in found.offsets), np.int64, len(found.ids))
+            begin = np.cumsum([0, *(len(w) + 1 for w in said)])
+            cuts = (4 * np.searchsorted(token, begin)).tolist()
+            for w, a, b in zip(part, cuts, cuts[1:], strict=False):
+                self.known[w] = raw[a:b]
+
+
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder(path: str) -> Encoder:
+    """The worker's encoder, with what it remembers."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
 
 
 def pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0) -> DataFrame:
@@ -75,7 +129,7 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0) -> Dat
     end = int(end_id).to_bytes(4, "little")
 
     def make() -> Callable[[dict], dict]:
-        encode = Encoder(path)
+        encode = encoder(path)
 
         def run(x: dict) -> dict:
             out: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
