@@ -4,13 +4,16 @@
    represented by its smallest doc_id.
 2. A set's sketch is its k smallest hashes.  Two sets whose Jaccard similarity
    reaches the threshold share at least o of them: exactly, where both sketches
-   are whole sets; otherwise with odds of missing below 1e-9 (o = 28 of 64 where
-   51 are expected at 0.8).  So of each sketch only the k - o + 1 rarest values
+   are whole sets; otherwise with odds of missing about 1e-9 (o = 20 of 48 where
+   38 are expected at 0.8).  So of each sketch only the k - o + 1 rarest values
    need inverted lists; values that one set alone holds count, but list nothing.
 3. Lists generate overlaps in rounds.  In each round some members of a list lead
    it: first the smallest, then more and more, in the end all.  Leaders meet only
    members of other components, so a list whose members are all connected is
    done, and a group of similar texts costs a few passes, not all its pairs.
+   From the third round on few texts are left, mostly near ones that miss the
+   threshold: then each set's c hashes that another of them holds bound what a
+   pair can share, and pairs that cannot reach the threshold are not made.
 4. The union sketch of a pair estimates its similarity; what could reach the
    threshold is verified on the whole sets, and links join components.
 
@@ -33,8 +36,8 @@ from .anchors import encoded
 from .common import documents, map_rows, staged
 from .hashing import Roller, mix, ngrams, signed, word_bounds
 
-K = 64
-OVERLAP = 28
+K = 48
+OVERLAP = 20
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -81,7 +84,7 @@ def _lists(reps: DataFrame, k: int, overlap: int, threshold: int) -> DataFrame:
 
 
 def _sets(base: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
-    """(doc_id, s): whole sets of the wanted documents."""
+    """(doc_id, s): whole sets of the wanted documents, each once; rows are already together by doc_id after the join."""
 
     def make() -> Callable[[dict], dict]:
         roller = Roller()
@@ -90,18 +93,30 @@ def _sets(base: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
             return {"doc_id": x["doc_id"], "s": pa.array([signed(shingles(encoded(t), n, roller)) for t in x["text"]], pa.list_(pa.int64()))}
         return run
 
-    return map_rows(base.join(wanted, "doc_id"), make, "doc_id long, s array<long>", 64).dropDuplicates(["doc_id"])
+    return map_rows(base.join(wanted, "doc_id").dropDuplicates(["doc_id"]), make, "doc_id long, s array<long>", 64)
 
 
-def _links(pairs: DataFrame, sketches: DataFrame, sets: DataFrame, k: int, overlap: int, threshold: int) -> DataFrame:
+def _shared(sets: DataFrame) -> DataFrame:
+    """(doc_id, c): how many of its hashes at least one other set of these holds."""
+    spark = sets.sparkSession
+    each = sets.select("doc_id", F.explode("s").alias("h"))
+    held = staged(spark, each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1").select("h"), "held")
+    return staged(spark, each.join(held, "h").groupBy("doc_id").agg(F.count("*").alias("c")), "shared")
+
+
+def _links(pairs: DataFrame, sketches: DataFrame, base: DataFrame, sets: DataFrame | None, words: int, k: int, overlap: int, threshold: int) -> DataFrame:
     """Of pairs (a, b): those whose union sketch allows the threshold and whose whole sets reach it."""
     spark = pairs.sparkSession
-    ska = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("sa"))
-    skb = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("sb"))
+    ska = sketches.select(F.col("doc_id").alias("a"), F.col("short").alias("sa"))
+    skb = sketches.select(F.col("doc_id").alias("b"), F.col("short").alias("sb"))
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     both = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
-    near = pairs.join(ska, "a").join(skb, "b").where(both * k >= F.size(union) * (overlap + 2)).select("a", "b")
-    near = staged(spark, near, "near")
+    near = staged(spark, pairs.join(ska, "a").join(skb, "b").where(both * k >= F.size(union) * overlap).select("a", "b"), "near")
+    if near.isEmpty():
+        return near
+    if sets is None:
+        wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
+        sets = staged(spark, _sets(base, staged(spark, wanted, "wanted"), words), "sets")
     seta, setb = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     verified = near.join(setb, "b").join(seta, "a").withColumn("i", common)
@@ -135,26 +150,38 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80, k: int
     sizes = lists.groupBy("v").agg(F.count("*").alias("m"), F.min("doc_id").alias("lead")).where("m > 1")
     lists = staged(spark, lists.join(staged(spark, sizes, "sizes"), "v"), "members")
     wanted = staged(spark, lists.select("doc_id").distinct(), "wanted")
-    sets = staged(spark, _sets(base, wanted, words), "sets")
-    some = staged(spark, reps.join(wanted, "doc_id", "left_semi"), "listed")
+    # for pairs a sketch's leading 31 bits do: they keep the order, and what they confuse is verified
+    short = F.transform("sketch", lambda h: F.shiftright(h, 32).cast("int")).alias("short")
+    some = staged(spark, reps.join(wanted, "doc_id", "left_semi").select("doc_id", short), "listed")
 
     comp, leaders, done = None, 1, 0
     while True:
         now = lists.withColumn("comp", F.col("doc_id")) if comp is None else lists.join(comp, "doc_id").drop("node")
         if comp is not None:
+            # lists of one component are done
             open_lists = staged(spark, now.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("v"), "open")
             now = staged(spark, now.join(open_lists, "v"), "now")
             if now.isEmpty():
                 break
         share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
+        sets = None
+        if leaders > 16:
+            # what is left is little; what no other of these texts holds bounds each pair
+            sets = staged(spark, _sets(base, staged(spark, now.select("doc_id").distinct(), "left"), words), "sets")
+            now = now.join(_shared(sets), "doc_id").where(100 * F.col("c") >= threshold * F.col("n"))
+        else:
+            now = now.withColumn("c", F.col("n"))
+        now = staged(spark, now, "bounded")
         if leaders == 1:
             lead = now.where("doc_id = lead")
         else:
             lead = now.where((share < leaders / F.col("m")) & (share >= done / F.col("m")))
-        lead = staged(spark, lead.select("v", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("comp").alias("cb")), "leaders")
+        lead = staged(spark, lead.select("v", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("most"), F.col("comp").alias("cb")), "leaders")
         fits = (100 * F.least("n", "nb") >= threshold * F.greatest("n", "nb")) & (F.col("comp") != F.col("cb"))
+        shared = F.least("c", "most")
+        fits = fits & (100 * shared >= threshold * (F.col("n") + F.col("nb") - shared))
         pairs = now.join(lead, "v").where(fits).select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")).distinct()
-        links = _links(staged(spark, pairs, "pairs"), some, sets, k, overlap, threshold)
+        links = _links(staged(spark, pairs, "pairs"), some, base, sets, words, k, overlap, threshold)
         if comp is None:
             comp = wanted.select("doc_id", F.col("doc_id").alias("comp"))
         if not links.isEmpty():
