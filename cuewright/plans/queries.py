@@ -220,11 +220,11 @@ def leftover(spark, d):
     return views.lines(spark, d).select("title", "pos", PACK.leftover_hit(F.col("text")).alias("hit")).where("hit is not null")
 
 
-@query(rf"""WITH {V.LINES}, w AS (SELECT title, pos, string_split_regex(lower({_flat()}), '[^\p{{L}}\p{{N}}_]') AS ws, string_split_regex(lower({_flat()}), '[\p{{L}}\p{{N}}_]+') AS gaps, lower({_flat()}) AS t FROM lines),
+@query(rf"""WITH {V.LINES}, w AS (SELECT title, pos, string_split_regex(lower({_flat()}), '[^\p{{L}}\p{{N}}_]+') AS ws FROM lines),
 o AS (SELECT title, pos, ws[i - 1] AS before, ws[i + 1] AS after FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM w) WHERE ws[i] = 'with')
 SELECT DISTINCT title, pos, 'with' AS term FROM o WHERE coalesce(before, '') <> 'and' AND coalesce(after, '') <> 'the'""")
 def context_exempt(spark, d):
-    flat = F.regexp_replace(X.plain(F.col("text")), r"[^\p{L}\p{N}_]", " ")
+    flat = F.regexp_replace(X.plain(F.col("text")), r"[^\p{L}\p{N}_]+", " ")
     return views.lines(spark, d).select("title", "pos", PACK.exempt_violation(flat).alias("term")).where("term is not null")
 
 
@@ -303,11 +303,11 @@ m AS (SELECT title, CASE WHEN NOT "drop" THEN CAST(sum(CASE WHEN "drop" THEN 0 E
 """
 
 
-@query(f"""WITH {_BUILT} SELECT title, "out", lo, hi, "drop", ts, src_hash, tgt_hash FROM m""")
+@query(f"""WITH {_BUILT} SELECT title, coalesce("out", 0) AS "out", lo, hi, "drop", ts, src_hash, tgt_hash FROM m""")
 def manifest_build(spark, d):
     src, e = _built(spark, d)
     m = batches.manifest(src, e, Options(allow_merge=True))
-    return m.select("title", "out", F.array_min("src").alias("lo"), F.array_max("src").alias("hi"), "drop", "ts", "src_hash", "tgt_hash")
+    return m.select("title", F.coalesce("out", F.lit(0)).alias("out"), F.array_min("src").alias("lo"), F.array_max("src").alias("hi"), "drop", "ts", "src_hash", "tgt_hash")
 
 
 @query(f"""WITH {_BUILT}, t AS (SELECT title, "out" AS num, CASE WHEN "out" % 7 = 6 THEN 'x' ELSE ts END AS ts FROM m WHERE NOT "drop" AND "out" % 9 <> 8)
@@ -394,7 +394,7 @@ def polish(spark, d):
 @query()
 def validate_overlap_free(spark, d):
     """The property the timing fold must have; no rows."""
-    t = tracks.retimed(views.cues(spark, d)).withColumn("before", F.lag("end_ms").over(cues.by_title()))
+    t = tracks.retimed(views.cues(spark, d)).withColumn("before", F.lag("end_ms").over(Window.partitionBy("title").orderBy("start_ms")))
     return t.where("start_ms < before").select("title", "pos")
 
 
@@ -436,7 +436,7 @@ def align_windows(spark, d):
 
 
 @query(f"""WITH {_DRIFT}, c AS (SELECT *, CASE WHEN best = lag(best) OVER z AND first <= lag(last) OVER z + 8 THEN 0 ELSE 1 END AS fresh FROM f WINDOW z AS (PARTITION BY title ORDER BY w)),
-r AS (SELECT *, sum(fresh) OVER (PARTITION BY title ORDER BY w) AS run FROM c) SELECT title, min(first) AS first, max(last) AS last, min(best) AS best FROM r GROUP BY title, run""")
+q AS (SELECT *, sum(fresh) OVER (PARTITION BY title ORDER BY w) AS run FROM c) SELECT title, min(first) AS first, max(last) AS last, min(best) AS best FROM q GROUP BY title, run""")
 def align_merge(spark, d):
     src, tgt = _sides(spark, d)
     return tracks.merged_drift(tracks.drift_windows(src, tgt, 8), 8).select("title", "first", "last", "best")
