@@ -235,7 +235,10 @@ def plan(count: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...],
             out.append((patterns[j], times))
             for n, k in need.items():
                 left[n] -= k * times
-    return out + best_fit(dict(left), size)
+    out += best_fit(dict(left), size)
+    # with few pieces, rounding can cost a sequence
+    plain = best_fit(count, size)
+    return min(out, plain, key=lambda made: sum(times for _, times in made))
 
 
 def places(made: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[list[int], list[tuple[int, int]]]]:

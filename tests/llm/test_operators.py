@@ -1,0 +1,335 @@
+import hashlib
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from cuewright.llm import audio, decontam, gsaca, html_text, langid, licenses, minhash, packing, pii, substring, suffixes
+
+sha = lambda b: hashlib.sha256(b).hexdigest()
+
+
+def same_rows(got, want):
+    assert Counter(got) == Counter(want)
+
+
+# ---- audio ------------------------------------------------------------------------------------------------------
+
+
+def test_audio_round_trip(docs, rows):
+    want = []
+    for r in rows:
+        b = (r[1] or "").encode()
+        p = b.ljust(max(64, -(-len(b) // 64) * 64), b"\0")
+        want.append((r[0], len(b), len(p), sha(p), zlib.crc32(p[-64:])))
+    got = audio.audio_features(audio.audio_of_texts(docs)).collect()
+    same_rows([r[:5] for r in got], want)
+    assert all("crc_bad=0;lost=0" in r.feature and "table_agrees=1" in r.feature for r in got)
+
+
+def test_audio_damage():
+    m = audio.multiplex(bytes(range(256)) * 40)
+    clean = audio.scan(m)
+    at, size, _ = clean["frames"][2]
+    hurt = audio.scan(m[:at] + b"\x00" * 50 + m[at:])
+    assert hurt["lost"] == 1 and len(hurt["frames"]) == len(clean["frames"]) and audio.carried(m, clean) == bytes(range(256)) * 40
+    flipped = bytearray(m)
+    flipped[at + 8] ^= 1
+    assert audio.scan(bytes(flipped))["crc"]["bad"] == 1
+    assert audio.scan(None)["frames"] == [] and audio.scan(b"no audio \xff\xfb here")["frames"] == []
+    assert audio.scan(m + b"TAG" + b"a title".ljust(125, b"\0"))["tags"]["ID3v1"] == "a title"
+
+
+def test_audio_null_stream(spark):
+    r = audio.audio_features(spark.createDataFrame([(1, 0, None)], "doc_id long, n_bytes long, media binary")).first()
+    assert (r.payload_bytes, r.samples, r.sample_rate) == (0, 0, 0)
+
+
+# ---- decontamination --------------------------------------------------------------------------------------------
+
+
+def brute_decontam(text, items):
+    words = lambda t: re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
+    ws, hit, ids = words(text), set(), set()
+    for i, t in items:
+        iw = words(t)
+        n = min(8, len(iw))
+        for a in range(len(iw) - n + 1 if iw else 0):
+            for b in range(len(ws) - n + 1):
+                if ws[b : b + n] == iw[a : a + n]:
+                    hit.update(range(b, b + n))
+                    ids.add(str(i))
+    return len(ws), len(hit), len(ids), sha(",".join(sorted(ids)).encode()), len(ids) >= 2
+
+
+@pytest.mark.parametrize("block", [decontam.BLOCK_BYTES, 200])
+def test_decontamination(spark, docs, rows, block):
+    long = next(r[1] for r in rows if r[1] and 200 < len(r[1].split()) < 400)
+    ws = long.split()
+    items = [(10, " ".join(ws[5:20]).upper()), (2, " ".join(ws[18:40])), (3, "the of"), (4, None), (5, ""), (10, "x"), (7, "unheard of words in a row that occur nowhere else")]
+    got = decontam.digest(decontam.contamination(docs, spark.createDataFrame(items, "item_id long, text string"), block_bytes=block))
+    small = [r for r in rows if len(r[1] or "") < 5000]
+    want = [(r[0], *brute_decontam(r[1], [i for i in items if i[1]])) for r in small]
+    keep = {r[0] for r in small}
+    rows_got = [tuple(r) for r in got.collect() if r.doc_id in keep]
+    assert set(rows_got) == set(want)
+    if block > 200:
+        same_rows(rows_got, want)
+
+
+def test_decontamination_spans():
+    found = decontam.automaton([("1", "alpha beta gamma")], 8)
+    text = "ÄÖ: Alpha, beta -- GAMMA! rest"
+    n, runs, ids = decontam.scan(found, text)
+    assert (n, ids) == (5, {"1"})
+    assert [text[a:b] for a, b in decontam.original_spans(text, runs)] == ["Alpha, beta -- GAMMA"]
+
+
+# ---- repeats ----------------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("length", [13, 30])
+def test_substring_dedup(docs, rows, length):
+    split = lambda t: (t or "").encode().split()
+    lowest = {}
+    for r in rows:
+        ws = split(r[1])
+        for i in range(len(ws) - length + 1):
+            if r[0] is not None:
+                g = tuple(ws[i : i + length])
+                lowest[g] = min(r[0], lowest.get(g, r[0]))
+    want = []
+    for r in rows:
+        ws, gone = split(r[1]), set()
+        for i in range(len(ws) - length + 1):
+            if r[0] is not None and lowest[tuple(ws[i : i + length])] < r[0]:
+                gone.update(range(i, i + length))
+        want.append((r[0], len(ws), len(gone), sha(b" ".join(w for i, w in enumerate(ws) if i not in gone))))
+    same_rows([tuple(r) for r in substring.digest(substring.removed_words(docs, length)).collect()], want)
+
+
+def test_levels():
+    assert substring.levels(13) == [7, 13] and substring.levels(50) == [7, 13, 25, 50]
+
+
+@pytest.mark.parametrize("most", [suffixes.MOST, 2])
+def test_suffix_dedup(docs, rows, most):
+    seen = Counter()
+    for r in rows:
+        b = (r[1] or "").encode()
+        seen.update(b[i : i + 400] for i in range(len(b) - 399))
+    want = []
+    for r in rows:
+        b = (r[1] or "").encode()
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - 399):
+            if seen[b[i : i + 400]] > 1:
+                gone[i : i + 400] = True
+        edges = np.diff(np.concatenate(([0], gone.astype(int))))
+        want.append((r[0], len(b), int(gone.sum()), int((edges == 1).sum()), sha(np.frombuffer(b, np.uint8)[~gone].tobytes())))
+    same_rows([tuple(r) for r in suffixes.digest(suffixes.removed_bytes(docs, most=most)).collect()], want)
+
+
+def test_suffix_array_equals_sorting():
+    rng = random.Random(5)
+    for _ in range(800):
+        a = [rng.randint(0, rng.randint(0, 4)) for _ in range(rng.randint(0, 50))]
+        assert gsaca.suffix_array(a) == sorted(range(len(a)), key=lambda i: a[i:])
+
+
+# ---- near-duplicates --------------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("words", [2, 5])
+def test_near_duplicates(docs, rows, words):
+    sets = {}
+    for r in rows:
+        ws = re.sub("[A-Z]", lambda m: m[0].lower(), r[1] or "").encode().split()
+        sets[r[0], r[1]] = frozenset(tuple(ws[i : i + words]) for i in range(max(1, len(ws) - words + 1))) if ws else frozenset()
+    keys = [k for k, s in sets.items() if s and k[0] is not None]
+    root = {k: k[0] for k in keys}
+    changed = True
+    links = [(a, b) for a in keys for b in keys if a < b and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    while changed:
+        changed = False
+        for a, b in links:
+            low = min(root[a], root[b])
+            changed |= (root[a], root[b]) != (low, low)
+            root[a] = root[b] = low
+    want = [(r[0], len(sets[r[0], r[1]]), c := root.get((r[0], r[1]), r[0]), r[0] == c) for r in rows]
+    got = [tuple(r) for r in minhash.near_duplicates(docs, words).collect()]
+    same_rows([g for g in got if g[0] is not None], [w for w in want if w[0] is not None])
+
+
+def test_components(spark):
+    chain = [(i, i + 1) for i in range(40)] + [(100, 101), (101, 99)]
+    got = {r.node: r.least for r in minhash.components(spark.createDataFrame(chain, "a long, b long")).collect()}
+    assert all(got[i] == 0 for i in range(41)) and {got[99], got[100], got[101]} == {99}
+
+
+# ---- language ---------------------------------------------------------------------------------------------------
+
+
+def test_forward_backward_is_exact():
+    rng = np.random.default_rng(0)
+    lengths, k = np.array([3, 0, 7, 1, 12]), 3
+    pot, tr = rng.normal(size=(23, k)), rng.normal(size=(k, k))
+    for segment in (1, 2, 5, 48):
+        got, at = langid.forward_backward(pot, lengths, tr, segment), 0
+        for n in lengths[lengths > 0]:
+            psi, a = np.exp(pot[at : at + n]), np.exp(tr)
+            f, b = [np.ones(k) @ a * psi[0]], [np.ones(k)]
+            for t in range(1, n):
+                f.append(f[-1] @ a * psi[t])
+            for t in range(n - 1, 0, -1):
+                b.append(a @ (b[-1] * psi[t]))
+            g = np.array(f) * np.array(b[::-1])
+            assert np.allclose(got[at : at + n], g / g.sum(axis=1, keepdims=True))
+            at += n
+
+
+def test_language_of_words_and_texts(spark):
+    en, de = "the and of with this from they have been which".split(), "der die und nicht mit eine auch werden sich ist".split()
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices(en if i % 2 else de, k=40)), "en" if i % 2 else "de", "s") for i in range(200)]
+    docs = spark.createDataFrame([*rows, (900, None, "en", "s"), (901, "12 34 !", "de", "s"), (902, "the und", None, "s")], "doc_id long, text string, lang string, lang_pred string")
+    model = langid.learn(docs)
+    got = {r.doc_id: r for r in langid.digest(docs, model).collect()}
+    held = [r for r in rows if got[r[0]].held_out]
+    assert held and all(got[i].held_out == (zlib.crc32(str(i).encode()) % 5 == 0) for i, *_ in rows)
+    assert sum(got[r[0]].lang_pred == r[2] for r in held) >= 0.95 * len(held)
+    assert all(got[i].lang_pred == "und" and got[i].score == 0 for i in (900, 901))
+    mixed = spark.createDataFrame([(1, "the and of with this der die und nicht mit eine")], "doc_id long, text string")
+    assert langid.labelled_words(mixed, model).first().langs == ["en"] * 5 + ["de"] * 6
+
+
+def test_language_without_labels(docs, none):
+    model = langid.learn(docs.withColumn("lang", F.lit(None).cast("string")))
+    assert {r.lang_pred for r in langid.digest(docs, model).collect()} == {"und"}
+    assert langid.digest(none, model).count() == 0
+
+
+# ---- packing ----------------------------------------------------------------------------------------------------
+
+
+def test_packing(docs, rows):
+    from tokenizers import Tokenizer
+
+    t, want = Tokenizer.from_file(packing.tokenizer_path()), []
+    for r in rows:
+        ids = [*t.encode(r[1] or "", add_special_tokens=False).ids, 0]
+        want += [(r[0], k, a, len(p := ids[a : a + 2048]), zlib.crc32(np.array(p, "<u4").tobytes())) for k, a in enumerate(range(0, len(ids), 2048))]
+    got = packing.packed_documents(docs).collect()
+    same_rows([r[:5] for r in got], want)
+    placed = defaultdict(list)
+    for r in got:
+        placed[r.sequence_id].append((r.offset, r.length))
+    for spots in placed.values():
+        end = 0
+        for a, n in sorted(spots):
+            assert a == end
+            end += n
+        assert end <= 2048
+    rooms: list[int] = []
+    for n in sorted((w[3] for w in want), reverse=True):
+        fits = [i for i, room in enumerate(rooms) if room >= n]
+        if fits:
+            rooms[min(fits, key=rooms.__getitem__)] -= n
+        else:
+            rooms.append(2048 - n)
+    assert len(placed) <= len(rooms)
+
+
+def test_encoder_equals_the_tokenizer():
+    from tokenizers import Tokenizer
+
+    t, e, rng = Tokenizer.from_file(packing.tokenizer_path()), packing.Encoder(packing.tokenizer_path()), random.Random(3)
+    texts = ["".join(rng.choice("abÉß.,'’“ \n<|>0é…́XΣ_-") for _ in range(150)) for _ in range(200)] + ["<|endoftext|> A <|ENDOFTEXT|>b", "don't it's, 'S", "İstanbul ﬁ ½", ""]
+    assert e(texts) == [np.array(x.ids, "<u4").tobytes() for x in t.encode_batch(texts, add_special_tokens=False)]
+
+
+# ---- licences ---------------------------------------------------------------------------------------------------
+
+
+def test_licences(spark, docs):
+    said = ["Released under the MIT License.", "Licensed under the Apache License, Version 2.0.", "He lost his license after the accident.", "Copyright 2020 Acme. All rights reserved."]
+    df = spark.createDataFrame([(1, "Some words.\n" + said[0] + "\nmore"), (2, said[1]), (3, said[2]), (4, said[3]), (5, None), (6, "")], "doc_id long, text string")
+    model = licenses.learn(docs)
+    found = licenses.scan(df, model)
+    got = {r.doc_id: r.families for r in licenses.by_document(df, found).collect()}
+    assert got == {1: "MIT", 2: "Apache-2.0", 3: "", 4: "proprietary", 5: "", 6: ""}
+    for r in found.collect():
+        assert abs(model.probabilities(r.text).max() - r.probability) < 1e-9
+    assert licenses.by_document(docs, licenses.scan(docs, model)).count() == docs.count()
+
+
+# ---- pages ------------------------------------------------------------------------------------------------------
+
+LONG = "This is the story of the man who was in the house, and it is what they had said about all of that to you and to me, more of it than we have here."
+
+
+def test_pages(spark):
+    page = (f"<html><head><title>t</title><script>var a='<p>no</p>';</script></head><body><nav><a href=1>Home</a></nav><div class='cookie-notice'>We use the cookies that you have.</div>"
+            f"<article><h1>Title &amp; more</h1><p>{LONG}<p>Short &eacute;nd.</p><div id=comments><p>{LONG}</p></div></article><aside>{LONG}</aside><form>Name</form><footer>&copy; x</footer></body></html><p cut")
+    df = spark.createDataFrame([(1, "u", page, "x"), (2, None, None, None), (3, "u", "", "")], "page_id long, url string, html string, text string")
+    got = {r.page_id: (r.text, r.n_chars) for r in html_text.extracted(df).collect()}
+    want = f"Title & more\n\n{LONG}\n\nShort énd."
+    assert got == {1: (want, len(want)), 2: ("", 0), 3: ("", 0)}
+
+
+# ---- personal data ----------------------------------------------------------------------------------------------
+
+PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+
+def brute_pii(text):
+    out = []
+    for k, p in PATTERNS.items():
+        for m in re.finditer(p, text):
+            d = re.sub(r"\D", "", m[0])
+            luhn = sum(sum(divmod(2 * int(c), 10)) if i % 2 else int(c) for i, c in enumerate(reversed(d))) % 10 == 0
+            if {"email": True, "ip": all(int(x) <= 255 for x in m[0].split(".")) if k == "ip" else False, "card": 14 <= len(d) <= 19 and luhn, "phone": 10 <= len(d) <= 15}[k]:
+                out.append((k, m.start(), m.end()))
+    return sorted(out, key=lambda x: (x[1], list(PATTERNS).index(x[0])))
+
+
+def test_pii_base_equals_the_patterns():
+    rng = random.Random(9)
+    for _ in range(4000):
+        t = "".join(rng.choice(("a", "@", ".", "1", "25", " ", "-", "+1 (555) 010-9999", "4111 1111 1111 1111", "x@y.z", "é", "%")) for _ in range(rng.randint(0, 14)))
+        assert pii.identify(t) == brute_pii(t), t
+
+
+def test_pii_disguises(spark):
+    cases = {"write to john.smith [at] example (dot) com": "john.smith [at] example (dot) com", "ｊｏｈｎ＠example．com": "ｊｏｈｎ＠example．com",
+             "mail john at mail dot example dot org now": "john at mail dot example dot org", "four one one one one one one one one one one one one one one one": None}
+    for text, want in cases.items():
+        base, every = pii.spans(text)
+        assert not base and [text[a:b] for _, a, b in every] == [want or text]
+    for text in ("look at the dot product", "look at the dot com boom", "one two three four", "the cat [at] home", None, ""):
+        assert pii.spans(text) == ([], [])
+    df = spark.createDataFrame([(1, "a x@y.zz b"), (2, None), (3, "")], "doc_id long, text string")
+    assert [r.text for r in pii.redacted(df).orderBy("doc_id").collect()] == ["a <EMAIL> b", None, ""]
+    r = pii.digest(pii.personal_data(df)).orderBy("doc_id").first()
+    assert (r.n_email, r.spans, r.base_sha256) == (1, "email:2:8", sha(b"email:2:8"))
+
+
+# ---- empty tables -----------------------------------------------------------------------------------------------
+
+
+def test_empty_tables(spark, none):
+    bench = spark.createDataFrame([], "item_id long, text string")
+    for df in (audio.audio_features(audio.audio_of_texts(none)), decontam.digest(decontam.contamination(none, bench)), substring.removed_words(none), minhash.near_duplicates(none),
+               packing.packed_documents(none), suffixes.removed_bytes(none), pii.personal_data(none)):
+        assert df.count() == 0
+    model = licenses.fit([])
+    assert licenses.by_document(none, licenses.scan(none, model)).count() == 0
+
+
+def test_no_benchmark(spark, docs):
+    bench = spark.createDataFrame([], "item_id long, text string")
+    assert decontam.contamination(docs, bench).where("n_hit > 0").count() == 0
