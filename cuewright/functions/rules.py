@@ -161,6 +161,7 @@ def contains_term(text: Column, term: str) -> Column:
     return F.regexp_replace(text, r"\s+", " ").rlike(bounded([" ".join(term.split())], literal=True))
 
 
+# A credit names someone or a site.
 _CREDIT = (r"(?-i:(?:[A-Z0-9À-Ü][\w.\-']*|\S*\.(?:org|com|net|tv)\S*)"
            r"(?:\s+(?:[A-Z0-9À-Ü][\w.\-']*|and|&|de|van|der|la|el)){0,4})")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -9,8 +11,10 @@ TAG = r"(?i)</?[ib]>"
 #: Characters a line may be dressed in, as a set to strip.
 EDGE = "\"'“”‘’()[]{}<>-–—.,!?;:…¡¿* \t"
 # Words that alone make an annotation of sound.
-SOUND_WORDS = ("music", "applause", "laughter", "cheering", "sigh", "sighs", "gunshot", "gunshots", "knocking", "phone", "ringing", "door", "footsteps", "wind", "thunder",
-               "barking", "crying", "screaming", "static", "beeping", "playing", "música", "aplausos", "risas")
+SOUND_WORDS = (
+    "music", "cheer", "cheering", "applause", "applauding", "laugh", "laughs", "laughing", "laughter", "buzzer", "buzzing", "grunt", "grunting", "groan", "groaning", "sigh", "sighs",
+    "gasp", "gasps", "screaming", "scream", "yelling", "indistinct", "chatter", "sizzling", "clattering", "beep", "bleep", "whoosh")
+# A speaker's label, and a closed bracket group.
 _SPEAKER = r"^\s*([A-Z][A-Z'’.\-]{1,20}(?:\s[A-Z][A-Z'’.\-]{1,20})?):\s*"
 _CLOSED = r"[\[(][^\])]*[\])]"
 
@@ -105,7 +109,7 @@ def speaker(text: Column) -> Column:
     return F.get(found, F.lit(0))
 
 
-def is_sound(text: Column) -> Column:
+def is_sound(text: Column, sound_words: Sequence[str] = SOUND_WORDS) -> Column:
     """Only annotations of sound: closed brackets, or an open one at the end that holds sound words alone."""
     body = F.filter(F.split(text, "\n"), lambda x: F.btrim(x) != "")
     joined = F.array_join(F.transform(body, lambda x: F.btrim(F.regexp_replace(x, _SPEAKER, ""))), " ")
@@ -117,7 +121,7 @@ def is_sound(text: Column) -> Column:
     tail = F.regexp_extract(joined, r"[\[(]([^\])]*)$", 1)
     before = F.regexp_replace(joined, r"[\[(][^\])]*$", "")
     words = F.regexp_extract_all(F.lower(tail), F.lit("([a-záéíóúñ]+)"), F.lit(1))
-    known = F.array(*map(F.lit, SOUND_WORDS))
+    known = F.array(*map(F.lit, sound_words))
     unclosed = (F.size(words) > 0) & (bare(before) == "") & F.forall(words, lambda w: F.array_contains(known, w))
     return (F.size(body) > 0) & ((bare(joined) == "") | unclosed)
 
