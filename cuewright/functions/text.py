@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -89,18 +89,29 @@ def wrap(text: Column, width: int = 42) -> Column:
     smallest difference, the first on ties.  Dialogue (lines that start with
     "- ") and single words stay as they are.
     """
+    dialogue = text.rlike(r"(?m)^\s*- ")
     flat = F.btrim(F.regexp_replace(text, r"\s+", " "))
+    return F.when(dialogue, text).otherwise(once(flat, lambda f: F.when((F.length(f) <= width) | ~F.contains(f, F.lit(" ")), f).otherwise(_two_lines(f))))
+
+
+def once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _two_lines(flat: Column) -> Column:
+    """A split at space p differs by |2p - 1 - n|: only the spaces on both sides of the middle can be best, and if any
+    split fits, the best one does."""
     n = F.length(flat)
-    # a split at space p differs by |2p - 1 - n|: only the spaces on both sides of the middle can be best, and if
-    # any split fits, the best one does
     middle = F.floor((n + 1) / 2).cast("int")
-    before = middle - F.position(F.lit(" "), F.reverse(F.substring(flat, F.lit(1), middle))) + 1
-    after = F.position(F.lit(" "), flat, middle + 1)
-    has_before = F.position(F.lit(" "), F.substring(flat, F.lit(1), middle)) > 0
-    p = F.when(has_before & ((after == 0) | (n + 1 - 2 * before <= 2 * after - 1 - n)), before).otherwise(after)
-    two = F.concat(F.substring(flat, F.lit(1), p - 1), F.lit("\n"), F.substring(flat, p + 1, n))
-    dialogue = text.rlike(r"(?m)^\s*- ")
-    return F.when(dialogue, text).when((n <= width) | ~flat.contains(" "), flat).otherwise(two)
+    back = F.position(F.lit(" "), F.reverse(F.substring(flat, F.lit(1), middle)))
+    spots = F.struct(F.when(back > 0, middle - back + 1).alias("before"), F.position(F.lit(" "), flat, middle + 1).alias("after"))
+
+    def cut(s: Column) -> Column:
+        first = s["before"].isNotNull() & ((s["after"] == 0) | (n + 1 - 2 * s["before"] <= 2 * s["after"] - 1 - n))
+        return once(F.when(first, s["before"]).otherwise(s["after"]), lambda p: F.concat(F.substring(flat, F.lit(1), p - 1), F.lit("\n"), F.substring(flat, p + 1, n)))
+
+    return once(spots, cut)
 
 
 def speaker(text: Column) -> Column:
