@@ -5,7 +5,7 @@ rewrite disguises and keep, for each character written, the source characters
 it stands for: homoglyphs (full-width forms, look-alike Greek and Cyrillic
 letters, other scripts' digits) become ASCII, runs of spelled digits become
 digits, and ``at``/``dot`` in brackets or between words become @ and a full
-stop.  Identifiers of the rewritten text map back to source spans, and those
+stop, each for itself.  Identifiers of the rewritten text map back to source spans, and those
 that overlap no plain one are added.
 
 Offsets are code points, end exclusive.  Null or empty texts have no spans.
@@ -16,6 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
+from bisect import bisect_left
 from collections.abc import Callable
 
 import pandas as pd
@@ -108,14 +109,15 @@ _DIGIT_WORDS = {
 }
 _WORD = "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?<![^\W_])(?:(?:plus|{_WORD}|[0-9])(?:[ \t,.-]+|(?![^\W_]))){{7,}}", re.I)
-_SPELLED_ONE = re.compile(rf"(?<![^\W_])(plus|{_WORD})(?![^\W_])", re.I)
-_MAYBE_SPELLED = re.compile(r"(?<![^\W_])(?:plus|two|three|seven|eight|nine|zwei|drei|sieben|deux|trois|huit|tres|siete|ocho|zero|five|four|six|one|vier|acht|neun|cinq|sept|neuf|cinco|seis|nueve|cuatro)(?![^\W_])[ \t,.-]+(?:[a-zé]{2,6}[ \t,.-]+){5}", re.I)
-_AT = re.compile(r"[ \t]*[\[({<][ \t]*(?:at|@|ät|arroba|arobase)[ \t]*[\])}>][ \t]*", re.I)
-_DOT = re.compile(r"[ \t]*[\[({<][ \t]*(?:dot|\.|punkt|punto|point)[ \t]*[\])}>][ \t]*", re.I)
-_WORDED = re.compile(
-    r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9_%+-]+(?:(?:\.| dot )[A-Za-z0-9_%+-]+)*( at )[A-Za-z0-9-]+(?:(?:\.| dot )[A-Za-z0-9-]+)* dot (?:com|org|net|edu|gov|info|biz|io|co|dev|app|ai|me|us|uk|eu|de|fr|es|it|nl|ch|at|be|pt|pl|test|example|invalid)(?![A-Za-z0-9])", re.I)
+_SPELLED_ONE = re.compile(rf"(?<![^\W_])(plus|{_WORD}|[0-9])(?![^\W_])", re.I)
+_BRACKETED = re.compile(r"[\[({<][ \t]*(?:(at|@|ät|arroba|arobase)|dot|\.|punkt|punto|point)[ \t]*[\])}>][ \t]*", re.I)
+_WORDED_DOT = re.compile(r"(?<=[ \t])dot[ \t]+(?=[A-Za-z0-9-])", re.I)
+_WORDED_AT = re.compile(r"(?<=[ \t])at[ \t]+(?=[A-Za-z0-9-])", re.I)
+_LABEL_DOT = r"(?:\.|[ \t]+dot[ \t]+|[ \t]*[\[({<][ \t]*(?:dot|\.|punkt|punto|point)[ \t]*[\])}>][ \t]*)"
+# A host name whose last label is letters (or an encoded one), as every top-level label is.
+_HOST = re.compile(rf"[A-Za-z0-9-]+(?:{_LABEL_DOT}[A-Za-z0-9-]+)*{_LABEL_DOT}(?:[A-Za-z]{{2,63}}|xn--[A-Za-z0-9-]+)(?![A-Za-z0-9])", re.I)
 # Words that are no host name, as in "look at the dot com boom".
-_NO_HOST = re.compile(r" at (?:the|a|an|this|that|each|every|any|your|our|my|his|her|their|its|some)(?: |\.)", re.I)
+_NO_HOST = re.compile(r"(?:the|a|an|this|that|each|every|any|your|our|my|his|her|their|its|some)(?:[ \t]+dot[ \t]|\.)", re.I)
 
 
 class Tape:
@@ -156,7 +158,8 @@ def _plain(c: str) -> str | None:
     return n if n != c and len(n) == 1 and n.isascii() else None
 
 
-_BEYOND_LATIN = re.compile("[^\x00-\xac\xae-ɏ‐-‣‥-‧€]")
+# All that ``_plain`` may change; the second class is what it changes within the ranges of the first.
+_BEYOND_LATIN = re.compile("[^\x00-\xac\xae-ɏ‐-‣‥-‧€]|[\xa0ª²³¹ºſ]")
 
 
 def _homoglyphs(tape: Tape) -> None:
@@ -167,48 +170,63 @@ def _homoglyphs(tape: Tape) -> None:
     tape.rewrite(sorted({*edits, *soft}))
 
 
+def _digit(word: str) -> str:
+    """The digit of a word; casefold and dotless i because ``re.I`` lets ſ, İ and ı stand for s and i."""
+    word = word.casefold().replace("i̇", "i").replace("ı", "i")
+    return "+" if word == "plus" else _DIGIT_WORDS.get(word, word)
+
+
 def _digits(tape: Tape) -> None:
-    if not _MAYBE_SPELLED.search(tape.text):
-        return
     edits = []
     for m in _SPELLED.finditer(tape.text):
         words = list(_SPELLED_ONE.finditer(tape.text, m.start(), m.end()))
-        if sum(w[1].lower() != "plus" for w in words) < 5:
+        new = [_digit(w[1]) for w in words]
+        if sum(d != "+" and len(w[1]) > 1 for w, d in zip(words, new, strict=True)) < 5:
             continue
-        for w, nxt in zip(words, [*words[1:], None], strict=True):
-            word = w[1].lower()
-            edits.append((w.start(), w.end(), "+" if word == "plus" else _DIGIT_WORDS[word]))
-            gap = (w.end(), nxt.start()) if nxt else None
-            if gap and not re.search(r"[0-9]", tape.text[gap[0] : gap[1]]) and gap[0] < gap[1]:
-                edits.append((*gap, "" if word == "plus" else " "))
+        for i, (w, d) in enumerate(zip(words, new, strict=True)):
+            if w[1] != d:
+                edits.append((w.start(), w.end(), d))
+            if i + 1 < len(words):
+                edits.append((w.end(), words[i + 1].start(), "" if d == "+" else " "))
     tape.rewrite(edits)
 
 
 def _signs(tape: Tape) -> None:
-    t = tape.text
-    edits = []
-    if " dot " in t or " DOT " in t or " Dot " in t:
-        for m in _WORDED.finditer(t):
-            if _NO_HOST.match(t, m.start(1)):
-                continue
-            edits.append((m.start(1), m.end(1), "@"))
-            edits += [(d.start(), d.end(), ".") for d in re.compile(" dot ", re.I).finditer(t, m.start(), m.end())]
-        tape.rewrite(sorted(edits))
-    if any(x in tape.text for x in "[({<"):
-        found = [(m.start(), m.end(), "@") for m in _AT.finditer(tape.text)]
-        if found:
-            found += [(m.start(), m.end(), ".") for m in _DOT.finditer(tape.text)]
-            found.sort()
-            tape.rewrite([e for i, e in enumerate(found) if not i or found[i - 1][1] <= e[0]])
-
-
-def _bracketed_dots(tape: Tape) -> None:
-    if any(x in tape.text for x in "[({<"):
-        digits_around = [
-            (m.start(), m.end(), ".") for m in _DOT.finditer(tape.text)
-            if m.start() and tape.text[m.start() - 1].isdigit() and tape.text[m.end() : m.end() + 1].isdigit()
-        ]
-        tape.rewrite(digits_around)
+    """Every bracketed at and dot and every dot between words; an at between words only before a
+    host name, if a dot of the address is disguised as well ("see us at example.com" is no address)."""
+    t, found = tape.text, []
+
+    def add(m: re.Match, sign: str) -> None:
+        a = m.start()
+        while a and t[a - 1] in " \t":
+            a -= 1
+        found.append((a, m.end(), sign))
+
+    if any(x in t for x in "[({<"):
+        for m in _BRACKETED.finditer(t):
+            add(m, "@" if m[1] else ".")
+    if "dot" in t.lower():
+        for m in _WORDED_DOT.finditer(t):
+            add(m, ".")
+    dots = {b: a for a, b, sign in found if sign == "."}
+    starts = sorted(dots.values())
+    for m in _WORDED_AT.finditer(t) if dots else ():
+        a = m.start()
+        while a and t[a - 1] in " \t":
+            a -= 1
+        if not a or t[a - 1] not in _LOCAL_CHARS or not (host := _HOST.match(t, m.end())) or _NO_HOST.match(t, m.end()):
+            continue
+        first = a
+        while first and t[first - 1] in _LOCAL_CHARS:
+            first -= 1
+        if bisect_left(starts, host.end()) > bisect_left(starts, host.start()) or (first in dots and t[dots[first] - 1 : dots[first]] in _LOCAL_CHARS):
+            found.append((a, m.end(), "@"))
+    edits, last = [], 0
+    for a, b, sign in sorted(found):
+        if b > last:
+            edits.append((max(a, last), b, sign))
+            last = b
+    tape.rewrite(edits)
 
 
 def spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
@@ -216,7 +234,7 @@ def spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     text = text or ""
     base = identify(text)
     tape = Tape(text)
-    for step in (_homoglyphs, _digits, _signs, _bracketed_dots):
+    for step in (_homoglyphs, _digits, _signs):
         step(tape)
     if tape.start is None:
         return base, base

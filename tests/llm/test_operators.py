@@ -318,6 +318,21 @@ def test_pii_disguises(spark):
     assert (r.n_email, r.spans, r.base_sha256) == (1, "email:2:8", sha(b"email:2:8"))
 
 
+@pytest.mark.parametrize("text", [
+    "plus vier neun fünf sechs eins fünf zwei drei vier fünf null eins", "plus four 9 one 5 five 2 3 seven oh 1 two 9", "plus four, 9, one, 5, five, 2, 3, seven, oh, 1, two, 9",
+    "jane@example[dot]com", "jane at example (dot) com", "jane [at] example dot com", "john dot smith at example.com", "jane at example dot museum", "192 dot 168 dot 0 (dot) 1", "4111\xa01111\xa01111\xa01111"])
+def test_pii_disguises_stand_alone(text):
+    """Each disguise is decoded whatever others the text has."""
+    base, every = pii.spans(f"so {text}, ok")
+    assert not base and [f"so {text}, ok"[a:b] for _, a, b in every] == [text]
+
+
+def test_pii_gate_lets_all_through():
+    assert all(pii._BEYOND_LATIN.match(chr(c)) for c in range(0x80, 0x30000) if pii._plain(chr(c)) is not None)
+    for text in ("see us at example.com", "we meet at 5 dot 30 pm", "one two three four five ſix seven", "fİve fıve one two three four six"):
+        assert pii.spans(text) == ([], [])
+
+
 # ---- empty tables -----------------------------------------------------------------------------------------------
 
 
