@@ -6,7 +6,7 @@ it stands for: homoglyphs (full-width forms, look-alike Greek and Cyrillic
 letters, other scripts' digits) become ASCII, runs of spelled digits become
 digits, and ``at``/``dot`` in brackets or between words become @ and a full
 stop, each for itself.  Identifiers of the rewritten text map back to source spans, and those
-that overlap no plain one are added.
+that do not lie within a plain one of their kind are added.
 
 Offsets are code points, end exclusive.  Null or empty texts have no spans.
 """
@@ -16,7 +16,7 @@ from __future__ import annotations
 import hashlib
 import re
 import unicodedata
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Callable
 
 import pandas as pd
@@ -230,7 +230,7 @@ def _signs(tape: Tape) -> None:
 
 
 def spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
-    """Plain spans, and all: the plain ones with those of the rewritten text that overlap none of them."""
+    """Plain spans, and all: the plain ones with those of the rewritten text that lie in none of their kind."""
     text = text or ""
     base = identify(text)
     tape = Tape(text)
@@ -238,10 +238,11 @@ def spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
         step(tape)
     if tape.start is None:
         return base, base
-    out = list(base)
+    out, plain = list(base), {k: [(x, y) for kind, x, y in base if kind == k] for k in KINDS}
     for kind, a, b in identify(tape.text):
         s, e = tape.source(a, b)
-        if not any(s < y and x < e for _, x, y in base):
+        i = bisect_right(plain[kind], (s, len(text)))  # those of a kind are disjoint, so only the last one from the left can hold it
+        if not i or plain[kind][i - 1][1] < e:
             out.append((kind, s, e))
     return base, sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
