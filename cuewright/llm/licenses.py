@@ -7,11 +7,11 @@ regression on word 1- to 3-grams (presence, scaled by the root of their number),
 cut to the ``max_features`` strongest grams; a temperature fitted on forms held
 out of training calibrates its probabilities, the unknown class included.
 
-Scanning is native: texts without any cue (the stems below) are passed by with
-plain substring tests; paragraphs with a cue are split into grams, joined with
-the broadcast weights (at most ``max_features`` rows) and summed up.  What is not
-unknown is then compared with the wordings of the predicted family: it is
-confirmed if enough of the 2-grams of the shorter one are shared.
+Scanning is native: every paragraph is split into grams, joined with the broadcast
+weights (at most ``max_features`` rows) and summed up; no gate stands before that.
+A paragraph without any gram of the model is no finding.  What is not unknown is
+then compared with the wordings of the predicted family: it is confirmed if enough
+of the 1- and 2-grams of the shorter one are shared.
 
 Paragraphs end at line breaks, except where a line goes on: no final punctuation
 and a lower-case start of the next.  Null or empty texts have no paragraphs.
@@ -30,14 +30,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, staged
 from .license_texts import TEMPLATES, UNRELATED
 
 UNKNOWN = "unknown"
 SAMPLE_ROWS = 200
 MAX_FEATURES = 4000
 LEAST_SHARE = 0.5
-#: A paragraph without any of these is unknown.
+#: A sampled paragraph with any of these is not taken for an example of ``unknown``; scans do not look at them.
 CUES = ("licen", "copyright", "rights reserved", "warrant", "redistribut", "permission", "public domain", "spdx", "proprietary", "creative commons", "waived all", "free software")
 _GAP = "(?<![.:;!?])\n(?=[a-z(])"
 
@@ -126,18 +126,11 @@ def fit(unknown: list[str], seed: int = 5, epochs: int = 12, max_features: int =
 
 
 def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Fit with the paragraphs without a cue of a hashed sample of documents as further unknown ones."""
+    """Fit with all paragraphs without a cue of a hashed sample of documents as further unknown ones."""
     ids = documents(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("h")).where("doc_id is not null").orderBy("h", "doc_id").limit(sample_rows)
     chosen = [r.doc_id for r in ids.collect()]
     texts = documents(docs).where(F.col("doc_id").isin(chosen)).orderBy("doc_id", "text").limit(2 * sample_rows).collect() if chosen else []
-    return fit([p for r in texts for p in paragraphs(r.text)[:3] if not has_cue(p)])
-
-
-def _cued(low: Column) -> Column:
-    out = F.lit(False)
-    for c in CUES:
-        out = out | F.contains(low, F.lit(c))
-    return out
+    return fit([p for r in texts for p in paragraphs(r.text) if not has_cue(p)])
 
 
 def _native_words(text: Column) -> Column:
@@ -154,20 +147,30 @@ def _native_grams(ws: Column, sizes: tuple[int, ...]) -> Column:
     return F.array_distinct(F.concat(*(of(n) for n in sizes)))
 
 
+def _parts(docs: DataFrame) -> DataFrame:
+    """(doc_id, paragraph, said, h): paragraphs and the 128-bit hashes of their texts."""
+    parts = documents(docs).where("doc_id is not null").select("doc_id", F.posexplode(F.split(F.regexp_replace("text", _GAP, " "), "\n")).alias("paragraph", "said"))
+    return parts.withColumn("said", F.btrim("said")).where("said != ''").withColumn("h", F.md5("said"))
+
+
 def scan(docs: DataFrame, model: Model, least_share: float = LEAST_SHARE) -> DataFrame:
-    """Paragraphs with a cue: (doc_id, paragraph, text, family, probability, template, share, confirmed)."""
+    """The findings with their texts: (doc_id, paragraph, h, family, probability, template, share, confirmed, text)."""
+    key = ["doc_id", "paragraph", "h"]
+    return findings(docs, model, least_share).join(_parts(docs).dropDuplicates(key).withColumnRenamed("said", "text"), key)
+
+
+def findings(docs: DataFrame, model: Model, least_share: float = LEAST_SHARE) -> DataFrame:
+    """Paragraphs that share a gram with the model: (doc_id, paragraph, h, family, probability, template, share, confirmed)."""
     spark = docs.sparkSession
-    texts = documents(docs).where("doc_id is not null").where(_cued(F.lower("text")))
-    parts = texts.select("doc_id", F.posexplode(F.split(F.regexp_replace("text", _GAP, " "), "\n")).alias("paragraph", "said"))
-    parts = parts.withColumn("said", F.btrim("said")).where(_cued(F.lower("said"))).dropDuplicates(["doc_id", "paragraph", "said"])
-    parts = parts.withColumn("ws", _native_words(F.col("said")))
-    parts = parts.withColumn("grams", _native_grams(F.col("ws"), (1, 2, 3))).withColumn("pairs", _native_grams(F.col("ws"), (1, 2)))
-    key = ["doc_id", "paragraph", "said"]
+    key = ["doc_id", "paragraph", "h"]
+    # equal rows are told apart until their grams are summed up; explode_outer, as no filter that repeats the work is derived from it
+    rows = _parts(docs).withColumn("row", F.monotonically_increasing_id())
+    parts = rows.withColumn("ws", _native_words(F.col("said"))).select("row", *key, _native_grams(F.col("ws"), (1, 2, 3)).alias("grams"))
 
     weights = F.broadcast(_weights(spark, model))
     kinds = range(len(model.classes))
-    seen = parts.select(*key, F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(weights, "gram")
-    sums = seen.groupBy(*key).agg(F.first("n").alias("n"), *(F.sum(F.col("w")[k]).alias(f"s{k}") for k in kinds))
+    seen = parts.select("row", *key, F.size("grams").alias("n"), F.explode_outer("grams").alias("gram")).join(weights, "gram")
+    sums = seen.groupBy("row", *key, "n").agg(*(F.sum(F.col("w")[k]).alias(f"s{k}") for k in kinds))
     z = [(F.lit(float(model.bias[k])) + F.col(f"s{k}") / F.sqrt(F.col("n"))) / F.lit(float(model.temperature)) for k in kinds]
     scored = sums.select(*key, F.array(*z).alias("z"))
     scored = scored.withColumn("e", F.transform("z", lambda v: F.exp(v - F.array_max("z"))))
@@ -175,14 +178,17 @@ def scan(docs: DataFrame, model: Model, least_share: float = LEAST_SHARE) -> Dat
     names = F.array(*(F.lit(c) for c in model.classes))
     scored = scored.select(*key, F.get(names, (F.array_position("z", F.array_max("z")) - 1).cast("int")).alias("family"), (F.array_max("e") / total).alias("probability"))
     scored = scored.withColumn("family", F.when(F.col("probability") >= 0.5, F.col("family")).otherwise(UNKNOWN))
+    scored = staged(spark, scored.dropDuplicates(key), "scored")
 
     known = F.broadcast(_wordings(spark))
-    met = parts.select(*key, F.size("pairs").alias("n"), F.explode("pairs").alias("gram")).join(known, "gram")
+    like = _parts(docs).join(scored.where(F.col("family") != UNKNOWN).select(*key), key, "left_semi").dropDuplicates(key)
+    pairs = like.withColumn("ws", _native_words(F.col("said"))).select(*key, _native_grams(F.col("ws"), (1, 2)).alias("pairs"))
+    met = pairs.select(*key, F.size("pairs").alias("n"), F.explode_outer("pairs").alias("gram")).join(known, "gram")
     shares = met.groupBy(*key, "template", "owner", "size").agg((F.count("*") / F.least(F.first("n"), F.first("size"))).alias("share"))
     best = shares.groupBy(*key, "owner").agg(F.max(F.struct("share", "template")).alias("b"))
     best = best.select(*key, F.col("owner").alias("family"), "b.share", "b.template")
     return scored.join(best, [*key, "family"], "left").select(
-        "doc_id", "paragraph", F.col("said").alias("text"), "family", "probability", "template", F.coalesce("share", F.lit(0.0)).alias("share"),
+        *key, "family", "probability", "template", F.coalesce("share", F.lit(0.0)).alias("share"),
         ((F.col("family") != UNKNOWN) & (F.coalesce("share", F.lit(0.0)) >= least_share)).alias("confirmed"))
 
 

@@ -37,7 +37,7 @@ def op6_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return licenses.by_document(docs, licenses.scan(docs, licenses.learn(docs)))
+    return licenses.by_document(docs, licenses.findings(docs, licenses.learn(docs)))
 
 
 def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:

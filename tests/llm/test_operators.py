@@ -267,6 +267,23 @@ def test_licences(spark, docs):
     assert licenses.by_document(docs, licenses.scan(docs, model)).count() == docs.count()
 
 
+def test_licences_without_a_cue(spark, docs):
+    """Every paragraph is scored; the native figures equal the model's."""
+    said = ["Available under CC BY 4.0", "Unauthorized copying of this file, via any medium, is strictly prohibited", "Distributed under the GNU GPL v3", "We walked to the house of the painter.", "zzqx vvqk"]
+    text = "\n".join(said)
+    df = spark.createDataFrame([(1, text), (1, text), (2, said[1]), (None, said[1]), (3, "\n \n")], "doc_id long, text string")
+    model = licenses.learn(docs)
+    got = {(r.doc_id, r.text): r for r in licenses.scan(df, model).collect()}
+    assert not any(licenses.has_cue(t) for t in said)
+    assert set(got) == {(i, t) for i, ts in ((1, said), (2, said[1:2])) for t in ts if set(licenses.grams(t)) & set(model.weights)}
+    for (_, t), r in got.items():
+        p = model.probabilities(t)
+        assert abs(p.max() - r.probability) < 1e-9 and r.family == (model.classes[p.argmax()] if p.max() >= 0.5 else licenses.UNKNOWN)
+    rows = {r.doc_id: r for r in licenses.by_document(df.dropDuplicates(), licenses.findings(df, model)).collect() if r.doc_id}
+    assert "proprietary" in rows[1].families and rows[2].families == "proprietary" and rows[3].families == ""
+    assert rows[1].n_confirmed + rows[1].n_unknown == sum(i == 1 for i, _ in got)
+
+
 # ---- pages ------------------------------------------------------------------------------------------------------
 
 LONG = "This is the story of the man who was in the house, and it is what they had said about all of that to you and to me, more of it than we have here."
