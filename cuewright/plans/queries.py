@@ -283,13 +283,16 @@ def dup_guard(spark, d):
     return cues.duplicate_numbers(views.lines(spark, d).select("title", F.col("lang").alias("num")))
 
 
-def _built(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Cues as source, with every fifth dropped and the third merged with the fourth."""
+def _built(spark: SparkSession, d: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Cues as source, with every fifth dropped and the third merged with the fourth.
+
+    Entries have the whole text, lines kept, or as the SQL its first 30 characters on one line.
+    """
     src = views.cues(spark, d).withColumn("num", F.col("pos")).withColumn("droppable", F.col("pos") % 5 == 0).withColumn("drop_reason", F.when(F.col("droppable"), "allowed")).withColumn("inaudible", F.lit(False))
     n = F.count("*").over(Window.partitionBy("title"))
     e = src.withColumn("total", n).where("pos <> 4").select(
         "title", F.lit("w").alias("file"), F.col("pos").alias("first_line"), F.col("num").alias("lo"), F.when((F.col("pos") == 3) & (F.col("total") >= 4), 4).otherwise(F.col("num")).alias("hi"),
-        F.when(F.col("pos") % 5 == 0, batches.DROP).otherwise(F.concat(F.lit("T "), X.plain(F.substring("text", 1, 30)))).alias("text"))
+        F.when(F.col("pos") % 5 == 0, batches.DROP).otherwise(F.concat(F.lit("T "), F.col("text") if whole else X.plain(F.substring("text", 1, 30)))).alias("text"))
     return src, e
 
 
@@ -325,6 +328,16 @@ def manifest_cross(spark, d):
     return full.unionByName(part).select("title", "num", "rule")
 
 
+@query()
+def manifest_findings(spark, d):
+    """All rules, on whole texts: lost and changed target cues, missing and repeated manifest rows, inaudible source cues."""
+    src, e = _built(spark, d, whole=True)
+    m = batches.manifest(src, e, Options(allow_merge=True))
+    target = batches.built(m).where("num % 9 <> 8").withColumn("ts", F.when(F.col("num") % 7 == 6, "x").otherwise(F.col("ts")))
+    known = m.where("not (src[0] % 10 = 7 and title % 2 = 0)").unionByName(m.where("drop and src[0] % 10 = 5"))
+    return validate.manifest_findings(target, known, src.withColumns({"droppable": F.col("pos") % 10 == 5, "inaudible": F.col("pos") % 6 == 0}))
+
+
 @query(f"""WITH {V.CUES}, t AS (SELECT title, pos, num, CASE WHEN pos = 5 THEN 'x' ELSE ts END AS ts FROM cues WHERE pos % 3 <> 0)
 SELECT title, CAST(min(num) AS INTEGER) AS num FROM t WHERE ts = 'x' GROUP BY title""")
 def subsequence_unique(spark, d):
@@ -340,7 +353,7 @@ def target_findings(spark, d):
 
 @query()
 def build_problems(spark, d):
-    src, e = _built(spark, d)
+    src, e = _built(spark, d, whole=True)
     return batches.build_problems(src, e)
 
 

@@ -7,6 +7,7 @@ from cuewright.functions import text as X
 from cuewright.functions import timing
 from cuewright.functions.rules import Options, Pack, Rewrite, boilerplate_patterns, rewritten
 from cuewright.operators import batches, cues, tracks, validate
+from cuewright.plans import queries
 from cuewright.sources import sinks, subtitles
 
 SRT = """1
@@ -248,3 +249,15 @@ def test_delivery(spark, tmp_path):
     assert (read.title, read.text, read.encoding) == ("a", SRT, "utf-8")
     spark.dataSource.register(subtitles.SrtSource)
     assert spark.read.format("srt").load(str(tmp_path)).first().text == SRT
+
+
+def test_build_queries_see_whole_texts(spark, tmp_path):
+    """What lies behind the thirtieth character of a turn, and its lines, reach the build and the findings."""
+    long = "- one line of the turn\n- a second one\n- a third one"
+    said = ["short", long, "x" * 30 + " <i>1 2 3</i>", "4 5 6 <b>y</b>", "one", "two", "x" * 40 + "\n\nlast", "eight", "nine", "ten", "eleven", "twelve", "thirteen"]
+    rows = [(c, i, "user", t) for c in (1, 2) for i, t in enumerate(said)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    wrong = {(r.title, r.num, r.rule) for r in queries.QUERIES["build_problems"](spark, str(tmp_path)).collect()}
+    assert {(1, 2, "too-many-lines"), (1, 7, "blank-line")} <= wrong
+    rules = {r.rule for r in queries.QUERIES["manifest_findings"](spark, str(tmp_path)).collect()}
+    assert rules == {"lost-cue", "manifest-count", "ts-differs", "covered-twice", "unaccounted", "dropped-not-droppable", "tag-set-differs", "digit-drift", "inaudible-marker"}
