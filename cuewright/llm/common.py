@@ -6,12 +6,16 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows handed to one call of a row function; bounds a Python worker's memory.
-SLICE_ROWS = 256
+#: Rows and bytes of text handed to one call of a row function; they bound a Python worker's memory.
+SLICE_ROWS, SLICE_BYTES = 256, 4 << 20
+#: Shuffle files of a finished write go at once, not when the JVM happens to collect their owner.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,15 +41,36 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Cuts the lineage, so a lost executor never recomputes what came before, and
-    lets the shuffle files behind ``df`` go once the JVM has collected them.
+    frees the shuffle files behind ``df``.  ``drop`` deletes what is used up; the
+    rest goes when the session ends.
     """
     path = f"{scratch_dir(spark)}/cuewright/{uuid.uuid4().hex}/{name}"
-    df.write.option("compression", "zstd").parquet(path)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target.getParent())
-    jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+    fs, target = _located(spark, path)
+    fs.deleteOnExit(target.getParent())
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
+
+
+def _located(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def drop(*frames: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for df in frames:
+        fs, target = _located(df.sparkSession, df._staged_at)
+        fs.delete(target.getParent(), True)
 
 
 def map_rows(
@@ -61,8 +86,8 @@ def map_rows(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
         for batch in batches:
-            for at in range(0, batch.num_rows, slice_rows):
-                part = batch.slice(at, slice_rows)
+            for at, n in _slices(batch, slice_rows):
+                part = batch.slice(at, n)
                 out = f({n: c.to_pylist() for n, c in zip(part.schema.names, part.columns, strict=True)})
                 yield pa.RecordBatch.from_arrays(
                     [v if isinstance(v, pa.Array) else pa.array(v, type=t.type) for v, t in
@@ -71,6 +96,20 @@ def map_rows(
     return df.mapInArrow(run, schema)
 
 
+def _slices(batch: pa.RecordBatch, rows: int) -> Iterator[tuple[int, int]]:
+    """(start, length) of slices of at most ``rows`` rows and, but for single rows, SLICE_BYTES of text."""
+    size = np.zeros(batch.num_rows, np.int64)
+    for c in batch.columns:
+        if pa.types.is_string(c.type) or pa.types.is_binary(c.type) or pa.types.is_large_string(c.type) or pa.types.is_large_binary(c.type):
+            size += pc.fill_null(pc.binary_length(c), 0).to_numpy(zero_copy_only=False)
+    total, at = np.concatenate(([0], np.cumsum(size))), 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(total, total[at] + SLICE_BYTES, side="right")) - 1
+        end = min(max(end, at + 1), at + rows, batch.num_rows)
+        yield at, end - at
+        at = end
+
+
 def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
     from pyspark.sql.types import StructType

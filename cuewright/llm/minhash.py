@@ -7,15 +7,22 @@
    are whole sets; otherwise with odds of missing about 1e-9 (o = 20 of 48 where
    38 are expected at 0.8).  So of each sketch only the k - o + 1 rarest values
    need inverted lists; values that one set alone holds count, but list nothing.
-3. Lists generate overlaps in rounds.  In each round some members of a list lead
-   it: first the smallest, then more and more, in the end all.  Leaders meet only
-   members of other components, so a list whose members are all connected is
-   done, and a group of similar texts costs a few passes, not all its pairs.
-   From the third round on few texts are left, mostly near ones that miss the
-   threshold: then each set's c hashes that another of them holds bound what a
-   pair can share, and pairs that cannot reach the threshold are not made.
-4. The union sketch of a pair estimates its similarity; what could reach the
-   threshold is verified on the whole sets, and links join components.
+3. Short lists (``SHORT`` members at most) give all their pairs, which is linear
+   in the lists' rows.  A pair's union sketch estimates its similarity; what could
+   reach the threshold is verified on the whole sets.
+4. A longer list has a leader, its smallest doc_id, with which each member is
+   compared in full: what one of the two sets lacks are the member's differences D.
+   For members a and b, a and b differ in as much as D_a and D_b do, so to be
+   linked they must share (F_a + F_b) / 2 differences at least, F being |D| less
+   the set's part of what the threshold allows.  Of members of one component
+   nothing is asked; of the others only the rarest differences get inverted lists
+   of their own (as many as may be missed, and one), and a pair is made only where
+   what both have left from the meeting place on is enough.  A group of thousands of
+   texts that are near one another, but mostly below the threshold, so gives few
+   pairs: differences that no other member has, or that few have, rule them out.
+5. Links join components.
+
+Sets are compared as sets of 63-bit hashes of shingles, see ``hashing``.
 
 Null or empty texts have an empty set and are linked with nothing.  Rows without
 doc_id are left out of the lists.  Equal rows get equal results; rows that share
@@ -33,31 +40,31 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .anchors import encoded
-from .common import documents, map_rows, staged
-from .hashing import Roller, mix, ngrams, signed, word_bounds
+from .common import documents, drop, map_rows, staged
+from .hashing import mix, ngrams, signed, spans, word_bounds
 
 K = 48
 OVERLAP = 20
+#: Lists of at most so many members give all their pairs.
+SHORT = 16
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-def shingles(raw: bytes, n: int, roller: Roller) -> np.ndarray:
+def shingles(raw: bytes, n: int) -> np.ndarray:
     """Sorted distinct hashes of n-word shingles; of fewer words, the whole sequence is one."""
     x = np.frombuffer(raw.translate(LOWER), np.uint8)
     a, b = word_bounds(x)
     if not len(a):
         return np.zeros(0, np.uint64)
-    h = roller.spans(roller.prefix(x), a, b)
+    h = spans(x, a, b)
     g = ngrams(h, n) if len(h) >= n else mix(ngrams(h, len(h)) + np.uint64(len(h)))
     return np.unique(g >> np.uint64(1))  # without the top bit, signed and unsigned order agree
 
 
 def _sketches(base: DataFrame, n: int, k: int) -> DataFrame:
     def make() -> Callable[[dict], dict]:
-        roller = Roller()
-
         def run(x: dict) -> dict:
-            sets = [shingles(encoded(t), n, roller) for t in x["text"]]
+            sets = [shingles(encoded(t), n) for t in x["text"]]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             return {"doc_id": x["doc_id"], "n_shingles": [len(s) for s in sets],
                     "k1": [int.from_bytes(d[:8], "little", signed=True) for d in keys], "k2": [int.from_bytes(d[8:], "little", signed=True) for d in keys],
@@ -68,7 +75,7 @@ def _sketches(base: DataFrame, n: int, k: int) -> DataFrame:
 
 
 def _lists(reps: DataFrame, k: int, overlap: int, threshold: int) -> DataFrame:
-    """(v, doc_id, n): inverted lists of the rarest retained values."""
+    """(v, doc_id, n, m, lead): inverted lists of the rarest retained values, with their sizes and smallest members."""
     spark = reps.sparkSession
     values = reps.select("doc_id", F.col("n_shingles").alias("n"), F.explode("sketch").alias("v"))
     shared = staged(spark, values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "shared")
@@ -80,47 +87,83 @@ def _lists(reps: DataFrame, k: int, overlap: int, threshold: int) -> DataFrame:
     alone = (kept - F.size("vs")).cast("int")
     room = (kept.cast("int") - least + 1 - alone).cast("int")
     held = held.where(F.size("vs") >= least).where(room > 0)
-    return held.select("doc_id", "n", F.explode(F.slice("vs", 1, room)).alias("x")).select(F.col("x.v").alias("v"), "doc_id", "n")
+    held = held.select("doc_id", "n", F.explode(F.slice("vs", 1, room)).alias("x")).select(F.col("x.v").alias("v"), "doc_id", "n")
+    held = staged(spark, held, "lists")
+    sizes = staged(spark, held.groupBy("v").agg(F.count("*").alias("m"), F.min("doc_id").alias("lead")).where("m > 1"), "sizes")
+    out = staged(spark, held.join(sizes, "v"), "members")
+    drop(shared, held, sizes)
+    return out
 
 
 def _sets(base: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """(doc_id, s): whole sets of the wanted documents, each once; rows are already together by doc_id after the join."""
 
     def make() -> Callable[[dict], dict]:
-        roller = Roller()
-
         def run(x: dict) -> dict:
-            return {"doc_id": x["doc_id"], "s": pa.array([signed(shingles(encoded(t), n, roller)) for t in x["text"]], pa.list_(pa.int64()))}
+            return {"doc_id": x["doc_id"], "s": pa.array([signed(shingles(encoded(t), n)) for t in x["text"]], pa.list_(pa.int64()))}
         return run
 
     return map_rows(base.join(wanted, "doc_id").dropDuplicates(["doc_id"]), make, "doc_id long, s array<long>", 64)
 
 
-def _shared(sets: DataFrame) -> DataFrame:
-    """(doc_id, c): how many of its hashes at least one other set of these holds."""
-    spark = sets.sparkSession
-    each = sets.select("doc_id", F.explode("s").alias("h"))
-    held = staged(spark, each.groupBy("h").agg(F.count("*").alias("df")).where("df > 1").select("h"), "held")
-    return staged(spark, each.join(held, "h").groupBy("doc_id").agg(F.count("*").alias("c")), "shared")
-
-
-def _links(pairs: DataFrame, sketches: DataFrame, base: DataFrame, sets: DataFrame | None, words: int, k: int, overlap: int, threshold: int) -> DataFrame:
-    """Of pairs (a, b): those whose union sketch allows the threshold and whose whole sets reach it."""
-    spark = pairs.sparkSession
-    ska = sketches.select(F.col("doc_id").alias("a"), F.col("short").alias("sa"))
-    skb = sketches.select(F.col("doc_id").alias("b"), F.col("short").alias("sb"))
+def _short_pairs(short: DataFrame, reps: DataFrame, k: int, overlap: int, threshold: int) -> DataFrame:
+    """(a, b) of short lists whose union sketch allows the threshold."""
+    spark = short.sparkSession
+    a = short.select("v", F.col("doc_id").alias("a"), F.col("n").alias("na"))
+    b = short.select("v", F.col("doc_id").alias("b"), F.col("n").alias("nb"))
+    fits = (F.col("a") < F.col("b")) & (100 * F.least("na", "nb") >= threshold * F.greatest("na", "nb"))
+    pairs = staged(spark, a.join(b, "v").where(fits).select("a", "b").distinct(), "pairs")
+    # a sketch's leading 31 bits do here: they keep the order, and what they confuse is verified
+    few = F.transform("sketch", lambda h: F.shiftright(h, 32).cast("int"))
+    ska, skb = reps.select(F.col("doc_id").alias("a"), few.alias("sa")), reps.select(F.col("doc_id").alias("b"), few.alias("sb"))
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     both = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
     near = staged(spark, pairs.join(ska, "a").join(skb, "b").where(both * k >= F.size(union) * overlap).select("a", "b"), "near")
-    if near.isEmpty():
-        return near
-    if sets is None:
-        wanted = near.select(F.col("a").alias("doc_id")).union(near.select("b")).distinct()
-        sets = staged(spark, _sets(base, staged(spark, wanted, "wanted"), words), "sets")
-    seta, setb = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("y"))
-    common = F.size(F.array_intersect("x", "y"))
-    verified = near.join(setb, "b").join(seta, "a").withColumn("i", common)
-    return staged(spark, verified.where(100 * F.col("i") >= threshold * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b"), "links")
+    drop(pairs)
+    return near
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) whose whole sets reach the threshold."""
+    x, y = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("x")), sets.select(F.col("doc_id").alias("b"), F.col("s").alias("y"))
+    both = pairs.join(y, "b").join(x, "a").withColumn("i", F.size(F.array_intersect("x", "y")))
+    return both.where(100 * F.col("i") >= threshold * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b")
+
+
+def _differences(entries: DataFrame, sets: DataFrame) -> DataFrame:
+    """(lead, doc_id, n, nl, d): what either of a member's and its leader's sets has that the other lacks."""
+    own, first = sets.select("doc_id", "s"), sets.select(F.col("doc_id").alias("lead"), F.col("s").alias("sl"))
+    d = F.concat(F.array_except("s", "sl"), F.array_except("sl", "s"))
+    return entries.join(own, "doc_id").join(first, "lead").select("lead", "doc_id", F.size("s").cast("long").alias("n"), F.size("sl").cast("long").alias("nl"), d.alias("d"))
+
+
+def _pairs_by_differences(diffs: DataFrame, comp: DataFrame, threshold: int) -> DataFrame:
+    """(a, b): members of one leader, of different components, that can share the differences a link needs."""
+    spark = diffs.sparkSession
+    whole, part = 100 + threshold, 100 - threshold
+    named = diffs.join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    lead_comp = comp.select(F.col("doc_id").alias("lead"), F.col("comp").alias("main"))
+    open_leads = named.groupBy("lead").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("lead")
+    open_leads = staged(spark, open_leads.join(lead_comp, "lead", "left").select("lead", F.coalesce("main", "lead").alias("main")), "open")
+    named = staged(spark, named.join(open_leads, "lead").withColumn("f", F.size("d") * whole - F.col("n") * part), "named")
+    each = named.select("lead", "doc_id", F.explode("d").alias("e"))
+    shared = staged(spark, each.groupBy("lead", "e").agg(F.count("*").alias("df")).where("df > 1"), "repeated")
+    held = each.join(shared, ["lead", "e"]).groupBy("lead", "doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("es"))
+    held = held.withColumn("c", F.size("es"))
+    held = staged(spark, held.join(named.drop("d", "nl"), ["lead", "doc_id"]).withColumn("g", 2 * whole * F.col("c") - F.col("f")), "held")
+    limits = staged(spark, held.groupBy("lead").agg(F.max("g").alias("most"), F.min("f").alias("fewest")), "limits")
+    able = held.join(limits, "lead").where("f <= most and fewest <= g")
+    least = F.greatest(F.lit(1), F.ceil((F.col("f") + F.col("fewest")) / F.lit(2.0 * whole))).cast("int")
+    able = able.withColumn("room", F.col("c") - least + 1).where("room > 0")
+    spots = able.select("lead", "doc_id", "comp", "main", "f", "g", "c", F.posexplode(F.slice("es", F.lit(1), F.col("room"))).alias("pos", "x"))
+    spots = staged(spark, spots.select("lead", "doc_id", "comp", "main", "f", "g", (F.col("c") - F.col("pos")).alias("left"), F.col("x.e").alias("e")), "spots")
+    one = spots.where("comp <> main").select("lead", "e", *(F.col(c).alias(f"{c}1") for c in ("doc_id", "comp", "f", "g", "left")))
+    other = spots.select("lead", "e", "main", *(F.col(c).alias(f"{c}2") for c in ("doc_id", "comp", "f", "g", "left")))
+    able = F.expr(f"comp1 <> comp2 and (comp2 = main or doc_id1 < doc_id2) and f1 <= g2 and f2 <= g1 and {2 * whole} * least(left1, left2) >= f1 + f2")
+    pairs = one.join(other, ["lead", "e"]).where(able).select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct()
+    pairs = staged(spark, pairs, "candidates")
+    drop(open_leads, named, shared, held, limits, spots)
+    return pairs
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -130,15 +173,23 @@ def components(links: DataFrame) -> DataFrame:
     label = staged(spark, both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("least")), "label")
     while True:
         seen = both.join(label.select(F.col("node").alias("b"), F.col("least").alias("l")), "b").groupBy(F.col("a").alias("node")).agg(F.min("l").alias("l"))
-        nxt = label.join(staged(spark, seen, "seen"), "node").select("node", "least", F.least("least", "l").alias("to"))
+        nxt = label.join(seen, "node").select("node", "least", F.least("least", "l").alias("to"))
         jump = label.select(F.col("node").alias("to"), F.col("least").alias("far"))
         nxt = staged(spark, nxt.join(jump, "to").select("node", F.col("least").alias("was"), F.least("to", "far").alias("least")), "next")
+        drop(label)
+        label = nxt
         if nxt.where("was <> least").isEmpty():
-            return nxt.select("node", "least")
-        label = nxt.select("node", "least")
+            drop(both)
+            return staged_as(nxt, nxt.select("node", "least"))
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80, k: int = K, overlap: int = OVERLAP) -> DataFrame:
+def staged_as(source: DataFrame, df: DataFrame) -> DataFrame:
+    """``df`` reads the staged table ``source`` and is dropped with it."""
+    df._staged_at = source._staged_at
+    return df
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80, k: int = K, overlap: int = OVERLAP, short: int = SHORT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept): components of documents linked at ``threshold`` percent Jaccard."""
     spark = docs.sparkSession
     base = documents(docs)
@@ -146,57 +197,33 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80, k: int
     kinds = staged(spark, every.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "kinds")
     first = kinds.select("k1", "k2", F.col("rep").alias("doc_id"))
     reps = staged(spark, every.join(first, ["k1", "k2", "doc_id"], "left_semi").dropDuplicates(["doc_id", "k1", "k2"]).select("doc_id", "n_shingles", "sketch"), "reps")
-    lists = staged(spark, _lists(reps, k, overlap, threshold), "lists")
-    sizes = lists.groupBy("v").agg(F.count("*").alias("m"), F.min("doc_id").alias("lead")).where("m > 1")
-    lists = staged(spark, lists.join(staged(spark, sizes, "sizes"), "v"), "members")
-    wanted = staged(spark, lists.select("doc_id").distinct(), "wanted")
-    # for pairs a sketch's leading 31 bits do: they keep the order, and what they confuse is verified
-    short = F.transform("sketch", lambda h: F.shiftright(h, 32).cast("int")).alias("short")
-    some = staged(spark, reps.join(wanted, "doc_id", "left_semi").select("doc_id", short), "listed")
-
-    comp, leaders, done = None, 1, 0
-    while True:
-        now = lists.withColumn("comp", F.col("doc_id")) if comp is None else lists.join(comp, "doc_id").drop("node")
-        if comp is not None:
-            # lists of one component are done
-            open_lists = staged(spark, now.groupBy("v").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("v"), "open")
-            now = staged(spark, now.join(open_lists, "v"), "now")
-            if now.isEmpty():
-                break
-        share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
-        sets = None
-        if leaders > 16:
-            # what is left is little; what no other of these texts holds bounds each pair
-            sets = staged(spark, _sets(base, staged(spark, now.select("doc_id").distinct(), "left"), words), "sets")
-            now = now.join(_shared(sets), "doc_id").where(100 * F.col("c") >= threshold * F.col("n"))
-        else:
-            now = now.withColumn("c", F.col("n"))
-        now = staged(spark, now, "bounded")
-        if leaders == 1:
-            lead = now.where("doc_id = lead")
-        else:
-            lead = now.where((share < leaders / F.col("m")) & (share >= done / F.col("m")))
-        lead = staged(spark, lead.select("v", F.col("doc_id").alias("b"), F.col("n").alias("nb"), F.col("c").alias("most"), F.col("comp").alias("cb")), "leaders")
-        fits = (100 * F.least("n", "nb") >= threshold * F.greatest("n", "nb")) & (F.col("comp") != F.col("cb"))
-        shared = F.least("c", "most")
-        fits = fits & (100 * shared >= threshold * (F.col("n") + F.col("nb") - shared))
-        pairs = now.join(lead, "v").where(fits).select(F.least("doc_id", "b").alias("a"), F.greatest("doc_id", "b").alias("b")).distinct()
-        links = _links(staged(spark, pairs, "pairs"), some, base, sets, words, k, overlap, threshold)
-        if comp is None:
-            comp = wanted.select("doc_id", F.col("doc_id").alias("comp"))
-        if not links.isEmpty():
-            at = comp.select(F.col("doc_id").alias("a"), F.col("comp").alias("ca"))
-            bt = comp.select(F.col("doc_id").alias("b"), F.col("comp").alias("cb"))
-            joined = components(links.join(at, "a").join(bt, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")).where("a <> b"))
-            comp = comp.join(joined.withColumnRenamed("node", "comp"), "comp", "left").select("doc_id", F.coalesce("least", "comp").alias("comp"))
-        comp = staged(spark, comp, "comp")
-        if leaders > 1:
-            # lists shorter than the number of leaders have met in full
-            lists = lists.where(F.col("m") > leaders)
-            done = leaders
-        leaders *= 16
-
-    kinds = staged(spark, kinds.join(comp.withColumnRenamed("doc_id", "rep"), "rep", "left").select("k1", "k2", F.coalesce("comp", "rep").alias("component_id")), "named")
-    found = every.join(kinds, ["k1", "k2"], "left")
+    lists = _lists(reps, k, overlap, threshold)
+    near = _short_pairs(lists.where(F.col("m") <= short), reps, k, overlap, threshold)
+    entries = staged(spark, lists.where(F.col("m") > short).where("doc_id <> lead").select("lead", "doc_id").distinct(), "entries")
+    ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).union(entries.select("lead")).union(entries.select("doc_id"))
+    wanted = staged(spark, ids.distinct(), "wanted")
+    sets = staged(spark, _sets(base, wanted, words), "sets")
+    drop(reps, lists, wanted)
+
+    diffs = staged(spark, _differences(entries, sets), "differences")
+    close = F.size("d") * (100 + threshold) <= (F.col("n") + F.col("nl")) * (100 - threshold)
+    led = diffs.where(close).select(F.col("lead").alias("a"), F.col("doc_id").alias("b"))
+    links = staged(spark, _verified(near, sets, threshold).union(led), "links")
+    found = components(links)
+    comp = found.select(F.col("node").alias("doc_id"), F.col("least").alias("comp"))
+    pairs = _pairs_by_differences(diffs, comp, threshold)
+    more = staged(spark, _verified(pairs, sets, threshold), "more")
+    drop(near, entries, sets, diffs, links, pairs)
+
+    # the links found last join components; nodes that no link had so far stand for themselves
+    at, bt = comp.select(F.col("doc_id").alias("a"), F.col("comp").alias("ca")), comp.select(F.col("doc_id").alias("b"), F.col("comp").alias("cb"))
+    over = more.join(at, "a", "left").join(bt, "b", "left").select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b")).where("a <> b")
+    joined = components(over)
+    nodes = comp.select("doc_id").union(more.select("a")).union(more.select("b")).distinct().join(comp, "doc_id", "left")
+    nodes = nodes.withColumn("node", F.coalesce("comp", "doc_id")).join(joined, "node", "left").select("doc_id", F.coalesce("least", "node").alias("comp"))
+    named = kinds.join(nodes.withColumnRenamed("doc_id", "rep"), "rep", "left").select("k1", "k2", F.coalesce("comp", "rep").alias("component_id"))
+    named = staged(spark, named, "named")
+    drop(kinds, found, more, joined)
+    members = every.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return members.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from . import anchors
 from .anchors import column, encoded, text_key
 from .common import documents, map_rows, staged
-from .hashing import Roller, minimisers, ngrams, signed, word_bounds
+from .hashing import minimisers, ngrams, signed, spans, word_bounds
 
 LENGTH = 13
 FIRST = 7
@@ -43,19 +43,17 @@ def levels(length: int, first: int = FIRST) -> list[int]:
     return out
 
 
-def _word_hashes(raw: bytes, rollers: tuple[Roller, Roller]) -> tuple[np.ndarray, np.ndarray]:
+def _word_hashes(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
     x = np.frombuffer(raw, np.uint8)
     a, b = word_bounds(x)
-    return tuple(r.spans(r.prefix(x), a, b) for r in rollers)
+    return spans(x, a, b, 0), spans(x, a, b, 1)
 
 
 def _finder(first: int, length: int) -> Callable[[], anchors.Finder]:
     def make() -> anchors.Finder:
-        roller = Roller()
-
         def find(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
             x = np.frombuffer(raw, np.uint8)
-            g = ngrams(roller.spans(roller.prefix(x), *word_bounds(x)), first)
+            g = ngrams(spans(x, *word_bounds(x)), first)
             pos = minimisers(g, length - first + 1)
             return g[pos], pos
         return find
@@ -82,12 +80,10 @@ def _windows(held: DataFrame, size: int, extend: int) -> DataFrame:
     """
 
     def make() -> Callable[[dict], dict]:
-        rollers = Roller(0), Roller(1)
-
         def run(x: dict) -> dict:
             out: dict[str, list] = {n: [] for n in ("h1", "h2", "doc_id", "k1", "pos")}
             for d, k, t, at in zip(x["doc_id"], x["k1"], x["text"], x["at"], strict=True):
-                a, b = _word_hashes(encoded(t), rollers)
+                a, b = _word_hashes(encoded(t))
                 n = len(a) - size + 1
                 if n <= 0:
                     continue
@@ -102,7 +98,7 @@ def _windows(held: DataFrame, size: int, extend: int) -> DataFrame:
                     np.add.at(delta, np.clip(at - (size - half), 0, n), 1)
                     np.add.at(delta, np.clip(at + 1, 0, n), -1)
                     pos = np.flatnonzero(np.cumsum(delta)[:n] > 0)
-                h1, h2 = ngrams(a, size, 0), ngrams(b, size, 1)
+                h1, h2 = ngrams(a, size), ngrams(b, size)
                 for name, v in zip(out, (signed(h1[pos]), signed(h2[pos]), np.full(len(pos), d), np.full(len(pos), k), pos), strict=True):
                     out[name].append(v)
             return {n: column(v) for n, v in out.items()}

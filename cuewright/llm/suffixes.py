@@ -38,7 +38,7 @@ from . import anchors
 from .anchors import column, encoded, text_key
 from .common import documents, map_rows, staged
 from .gsaca import suffix_array
-from .hashing import Roller, _sliding, minimisers, mix, signed
+from .hashing import _sliding, join, minimisers, mix, signed, windows
 
 LENGTH = 400
 CORE = 350
@@ -49,12 +49,10 @@ _RANGES = "array<struct<a:int,b:int>>"
 
 def _finder(length: int, core: int) -> Callable[[], anchors.Finder]:
     def make() -> anchors.Finder:
-        roller = Roller()
-
         def find(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
             if len(raw) < length:
                 return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-            g = roller.windows(roller.prefix(np.frombuffer(raw, np.uint8)), core)
+            g = windows(np.frombuffer(raw, np.uint8), core)
             pos = minimisers(g, length - core + 1)
             return g[pos], pos
         return find
@@ -77,14 +75,13 @@ def _segments(held: DataFrame, length: int, core: int) -> DataFrame:
     """(h, s1, s2, left, right, doc_id, k1, start, n): n windows from start on have the anchor h."""
 
     def make() -> Callable[[dict], dict]:
-        roller = Roller()
         w = length - core + 1
 
         def run(x: dict) -> dict:
             out: dict[str, list] = {n: [] for n in ("h", "s1", "s2", "left", "right", "doc_id", "k1", "start", "n")}
             for d, k, t, at in zip(x["doc_id"], x["k1"], x["text"], x["at"], strict=True):
                 raw = encoded(t)
-                g = roller.windows(roller.prefix(np.frombuffer(raw, np.uint8)), core)
+                g = windows(np.frombuffer(raw, np.uint8), core)
                 low = _sliding(g, w, np.minimum, (1 << 64) - 1)
                 for p in at:
                     own = np.flatnonzero(low[max(0, p - w + 1) : p + 1] == g[p]) + max(0, p - w + 1)
@@ -170,7 +167,6 @@ def _by_window_hashes(distinct: DataFrame, length: int, core: int) -> DataFrame:
     """The same for anchors with very many segments: windows counted by a 128-bit hash, combined before they move."""
 
     def make() -> Callable[[dict], dict]:
-        rollers = Roller(0), Roller(1)
         width = length - core
 
         def run(x: dict) -> dict:
@@ -179,9 +175,8 @@ def _by_window_hashes(distinct: DataFrame, length: int, core: int) -> DataFrame:
                 both = np.frombuffer(left + right, np.uint8)
                 start = np.arange(n)
                 salt = np.uint64(h & (1 << 64) - 1) + (len(left) - start).astype(np.uint64)
-                for name, r in (("w1", rollers[0]), ("w2", rollers[1])):
-                    s = r.prefix(both)
-                    out[name].append(signed(mix(r.spans(s, start, start + width) + mix(salt))))
+                for seed, name in enumerate(("w1", "w2")):
+                    out[name].append(signed(join(windows(both, width, seed)[:n], mix(salt + np.uint64(seed)))))
                 for name, v in (("s1", np.full(n, s1)), ("s2", np.full(n, s2)), ("off", start)):
                     out[name].append(v)
             return {n: column(v) for n, v in out.items()}

@@ -94,6 +94,10 @@ def test_decontamination_spans():
 
 @pytest.mark.parametrize("length", [13, 30])
 def test_substring_dedup(docs, rows, length):
+    check_removed_words(docs, rows, length)
+
+
+def check_removed_words(docs, rows, length):
     split = lambda t: (t or "").encode().split()
     lowest = {}
     for r in rows:
@@ -144,8 +148,45 @@ def test_suffix_array_equals_sorting():
 # ---- near-duplicates --------------------------------------------------------------------------------------------
 
 
-@pytest.mark.parametrize("words", [2, 5])
-def test_near_duplicates(docs, rows, words):
+def thue_morse(n):
+    a = b"a"
+    while len(a) < n:
+        a += a.translate(bytes.maketrans(b"ab", b"ba"))
+    return a.decode()
+
+
+def test_hashes_of_structured_words(spark):
+    """Thue-Morse words, equal under linear hashes modulo powers of two, are told apart."""
+    rows = []
+    for i, n in enumerate((1024, 2048)):
+        word = thue_morse(n)
+        other = word.translate(str.maketrans("ab", "ba"))
+        rest = " ".join(f"w{i}x{j}" for j in range(12))
+        rows += [(10 * i, f"{word} {rest}"), (10 * i + 1, f"{other} {rest}"), (10 * i + 2, " ".join(word)), (10 * i + 3, " ".join(other)), (10 * i + 4, f"{word}"), (10 * i + 5, f"{other}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    check_removed_words(df, rows, 13)
+    check_components(df, rows, 2, 16)
+
+
+@pytest.mark.parametrize(("words", "short"), [(2, 1), (2, 16), (5, 1), (5, 16)])
+def test_near_duplicates(docs, rows, words, short):
+    check_components(docs, rows, words, short)
+
+
+@pytest.mark.parametrize("short", [1, 16])
+def test_near_duplicates_below_the_threshold(spark, short):
+    """A group around one text, most pairs of which miss the threshold, and links that only lead over others."""
+    rng = random.Random(4)
+    base, rows = [f"w{j}" for j in range(60)], []
+    for i in range(150):
+        ws = list(base)
+        for _ in range(rng.randint(0, 7)):
+            ws[rng.randrange(60)] = rng.choice(("edited", "changed", f"new{i}"))
+        rows.append((i, " ".join(ws)))
+    check_components(spark.createDataFrame(rows, "doc_id long, text string"), rows, 2, short)
+
+
+def check_components(docs, rows, words, short):
     sets = {}
     for r in rows:
         ws = re.sub("[A-Z]", lambda m: m[0].lower(), r[1] or "").encode().split()
@@ -161,7 +202,7 @@ def test_near_duplicates(docs, rows, words):
             changed |= (root[a], root[b]) != (low, low)
             root[a] = root[b] = low
     want = [(r[0], len(sets[r[0], r[1]]), c := root.get((r[0], r[1]), r[0]), r[0] == c) for r in rows]
-    got = [tuple(r) for r in minhash.near_duplicates(docs, words).collect()]
+    got = [tuple(r) for r in minhash.near_duplicates(docs, words, short=short).collect()]
     same_rows([g for g in got if g[0] is not None], [w for w in want if w[0] is not None])
 
 
