@@ -12,6 +12,9 @@
    reach the threshold is verified on the whole sets.
 4. A longer list has a leader, its smallest doc_id, with which each member is
    compared in full: what one of the two sets lacks are the member's differences D.
+   Members that have little in common with it are compared with the empty set
+   instead (D is the whole set); since linked texts are about as near to the leader
+   one as the other, a band of similarity that belongs to both groups loses no pair.
    For members a and b, a and b differ in as much as D_a and D_b do, so to be
    linked they must share (F_a + F_b) / 2 differences at least, F being |D| less
    the set's part of what the threshold allows.  Of members of one component
@@ -47,6 +50,8 @@ K = 48
 OVERLAP = 20
 #: Lists of at most so many members give all their pairs.
 SHORT = 16
+#: Percent of similarity to a list's leader from which on a member counts as near it.
+NEAR = 40
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -131,38 +136,44 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _differences(entries: DataFrame, sets: DataFrame) -> DataFrame:
-    """(lead, doc_id, n, nl, d): what either of a member's and its leader's sets has that the other lacks."""
+    """(lead, doc_id, s, n, nl, d): what either of a member's and its leader's sets has that the other lacks."""
     own, first = sets.select("doc_id", "s"), sets.select(F.col("doc_id").alias("lead"), F.col("s").alias("sl"))
     d = F.concat(F.array_except("s", "sl"), F.array_except("sl", "s"))
-    return entries.join(own, "doc_id").join(first, "lead").select("lead", "doc_id", F.size("s").cast("long").alias("n"), F.size("sl").cast("long").alias("nl"), d.alias("d"))
+    return entries.join(own, "doc_id").join(first, "lead").select("lead", "doc_id", "s", F.size("s").cast("long").alias("n"), F.size("sl").cast("long").alias("nl"), d.alias("d"))
 
 
 def _pairs_by_differences(diffs: DataFrame, comp: DataFrame, threshold: int) -> DataFrame:
     """(a, b): members of one leader, of different components, that can share the differences a link needs."""
     spark = diffs.sparkSession
     whole, part = 100 + threshold, 100 - threshold
-    named = diffs.join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
+    both = (F.col("n") + F.col("nl") - F.size("d")) / 2
+    alike = 100 * both / (F.col("n") + F.col("nl") - both)
+    columns = ("lead", "doc_id", "n")
+    near = diffs.where(alike >= NEAR).select(*columns, F.lit(False).alias("far"), "d")
+    far = diffs.where(alike < NEAR + part).select(*columns, F.lit(True).alias("far"), F.col("s").alias("d"))
+    named = near.union(far).join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
     lead_comp = comp.select(F.col("doc_id").alias("lead"), F.col("comp").alias("main"))
-    open_leads = named.groupBy("lead").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select("lead")
-    open_leads = staged(spark, open_leads.join(lead_comp, "lead", "left").select("lead", F.coalesce("main", "lead").alias("main")), "open")
-    named = staged(spark, named.join(open_leads, "lead").withColumn("f", F.size("d") * whole - F.col("n") * part), "named")
-    each = named.select("lead", "doc_id", F.explode("d").alias("e"))
-    shared = staged(spark, each.groupBy("lead", "e").agg(F.count("*").alias("df")).where("df > 1"), "repeated")
-    held = each.join(shared, ["lead", "e"]).groupBy("lead", "doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("es"))
+    group = ["lead", "far"]
+    open_groups = named.groupBy(*group).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select(*group)
+    open_groups = staged(spark, open_groups.join(lead_comp, "lead", "left").select(*group, F.coalesce("main", "lead").alias("main")), "open")
+    named = staged(spark, named.join(open_groups, group).withColumn("f", F.size("d") * whole - F.col("n") * part), "named")
+    each = named.select(*group, "doc_id", F.explode("d").alias("e"))
+    shared = staged(spark, each.groupBy(*group, "e").agg(F.count("*").alias("df")).where("df > 1"), "repeated")
+    held = each.join(shared, [*group, "e"]).groupBy(*group, "doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("es"))
     held = held.withColumn("c", F.size("es"))
-    held = staged(spark, held.join(named.drop("d", "nl"), ["lead", "doc_id"]).withColumn("g", 2 * whole * F.col("c") - F.col("f")), "held")
-    limits = staged(spark, held.groupBy("lead").agg(F.max("g").alias("most"), F.min("f").alias("fewest")), "limits")
-    able = held.join(limits, "lead").where("f <= most and fewest <= g")
+    held = staged(spark, held.join(named.drop("d", "n"), [*group, "doc_id"]).withColumn("g", 2 * whole * F.col("c") - F.col("f")), "held")
+    limits = staged(spark, held.groupBy(*group).agg(F.max("g").alias("most"), F.min("f").alias("fewest")), "limits")
+    able = held.join(limits, group).where("f <= most and fewest <= g")
     least = F.greatest(F.lit(1), F.ceil((F.col("f") + F.col("fewest")) / F.lit(2.0 * whole))).cast("int")
     able = able.withColumn("room", F.col("c") - least + 1).where("room > 0")
-    spots = able.select("lead", "doc_id", "comp", "main", "f", "g", "c", F.posexplode(F.slice("es", F.lit(1), F.col("room"))).alias("pos", "x"))
-    spots = staged(spark, spots.select("lead", "doc_id", "comp", "main", "f", "g", (F.col("c") - F.col("pos")).alias("left"), F.col("x.e").alias("e")), "spots")
-    one = spots.where("comp <> main").select("lead", "e", *(F.col(c).alias(f"{c}1") for c in ("doc_id", "comp", "f", "g", "left")))
-    other = spots.select("lead", "e", "main", *(F.col(c).alias(f"{c}2") for c in ("doc_id", "comp", "f", "g", "left")))
+    spots = able.select(*group, "doc_id", "comp", "main", "f", "g", "c", F.posexplode(F.slice("es", F.lit(1), F.col("room"))).alias("pos", "x"))
+    spots = staged(spark, spots.select(*group, "doc_id", "comp", "main", "f", "g", (F.col("c") - F.col("pos")).alias("left"), F.col("x.e").alias("e")), "spots")
+    one = spots.where("comp <> main").select(*group, "e", *(F.col(c).alias(f"{c}1") for c in ("doc_id", "comp", "f", "g", "left")))
+    other = spots.select(*group, "e", "main", *(F.col(c).alias(f"{c}2") for c in ("doc_id", "comp", "f", "g", "left")))
     able = F.expr(f"comp1 <> comp2 and (comp2 = main or doc_id1 < doc_id2) and f1 <= g2 and f2 <= g1 and {2 * whole} * least(left1, left2) >= f1 + f2")
-    pairs = one.join(other, ["lead", "e"]).where(able).select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct()
+    pairs = one.join(other, [*group, "e"]).where(able).select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct()
     pairs = staged(spark, pairs, "candidates")
-    drop(open_leads, named, shared, held, limits, spots)
+    drop(open_groups, named, shared, held, limits, spots)
     return pairs
 
 
