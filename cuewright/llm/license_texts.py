@@ -110,3 +110,11 @@ UNRELATED: tuple[str, ...] = (
     "Redistribution of wealth was the subject of the debate.",
     "The restaurant is licensed to sell beer and wine until midnight.",
 )
+
+# Short names as they stand in lists, headers and notices, by family.
+_SHORT = {
+    "MIT": ("MIT License", "Released under MIT terms."), "Apache-2.0": ("Apache-2.0", "Apache License 2.0"), "GPL": ("GPLv3", "GPLv2", "GPL-3.0", "GPL-2.0", "GNU GPL v3", "GNU GPL v2"),
+    "LGPL": ("LGPLv3", "LGPL-2.1", "LGPL-3.0"), "AGPL": ("AGPLv3", "AGPL-3.0"), "BSD": ("BSD-3-Clause", "BSD-2-Clause", "BSD license"), "MPL-2.0": ("MPL-2.0",), "ISC": ("ISC License",),
+    "CC-BY": ("CC-BY-4.0", "CC BY 4.0", "CC-BY-SA-4.0"), "CC-BY-NC": ("CC-BY-NC-4.0", "CC BY-NC 4.0"),
+}
+TEMPLATES = {family: (*texts, *_SHORT.get(family, ())) for family, texts in TEMPLATES.items()}

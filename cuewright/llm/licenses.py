@@ -3,20 +3,23 @@
 Fitting happens on the driver, on the known wordings and bounded samples: each
 wording in several damaged forms, and as ``unknown`` unrelated sentences and
 ``sample_rows`` documents' paragraphs.  The model is a sparse multinomial logistic
-regression on word 1- to 3-grams (presence, scaled by the root of their number),
-cut to the ``max_features`` strongest grams; a temperature fitted on forms held
-out of training calibrates its probabilities, the unknown class included.
-
-Scanning is native: every paragraph is split into grams, joined with the broadcast
-weights (at most ``max_features`` rows) and summed up; no gate stands before that.
-A paragraph without any gram of the model is no finding.  What is not unknown is
-then compared with the wordings of the predicted family: it is confirmed if enough
-of the 1- and 2-grams of the shorter one are shared.
+regression on word 1- to 3-grams (presence, scaled by the root of their number).
+Features are grams of the wordings, but for those of common words alone (words in
+``common_share`` of the unknown paragraphs or more); the ``max_features`` strongest stay.  A
+temperature fitted on forms held out of training calibrates its probabilities,
+the unknown class included, whose bias is the largest.
+
+Scanning is native.  Every paragraph is split into words.  Each feature has a key,
+its rarest word; a paragraph without any key has no feature, so its score is the
+bias alone and it is unknown.  The others are split into grams, joined with the
+broadcast weights (at most ``max_features`` rows) and summed up.  What is not
+unknown is then compared with the wordings of the predicted family: it is
+confirmed if enough of the 1- and 2-grams of the shorter one are shared.
 
 Paragraphs end at line breaks, except where a line goes on: no final punctuation
 and a lower-case start of the next.  Null or empty texts have no paragraphs.
-Rows that share a doc_id share their findings' sum; rows without doc_id have no
-findings.
+Repeated rows get equal results; rows that share a doc_id but not a text share the
+sum of their findings; rows without doc_id have none, and empty tables no rows.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from __future__ import annotations
 import math
 import random
 import re
+from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +41,7 @@ UNKNOWN = "unknown"
 SAMPLE_ROWS = 200
 MAX_FEATURES = 4000
 LEAST_SHARE = 0.5
+COMMON_SHARE = 0.02
 #: A sampled paragraph with any of these is not taken for an example of ``unknown``; scans do not look at them.
 CUES = ("licen", "copyright", "rights reserved", "warrant", "redistribut", "permission", "public domain", "spdx", "proprietary", "creative commons", "waived all", "free software")
 _GAP = "(?<![.:;!?])\n(?=[a-z(])"
@@ -66,6 +71,8 @@ class Model:
     weights: dict[str, np.ndarray]
     bias: np.ndarray
     temperature: float
+    #: Each feature holds one of these words.
+    keys: list[str]
 
     def probabilities(self, text: str) -> np.ndarray:
         """The same figures as the scan's; for tests."""
@@ -81,12 +88,14 @@ def _damaged(text: str, rng: random.Random) -> str:
     if len(keep) > 14 and rng.random() < 0.4:
         a = rng.randrange(len(keep) // 3)
         keep = keep[a : a + max(10, len(keep) * 2 // 3)]
-    if rng.random() < 0.3:
-        keep = [*rng.choice((("Copyright", "2021", "The", "Authors."), ("Note:",), ("*",), ("//",))), *keep]
+    if rng.random() < (0.3 if len(ws) > 4 else 0.8):
+        keep = [*rng.choice((("Copyright", "2021", "The", "Authors."), ("Note:",), ("*",), ("//",), ("Code:",), ("Distributed", "under"), ("This", "is", "under", "the"))), *keep]
     return " ".join(keep)
 
 
-def fit(unknown: list[str], seed: int = 5, epochs: int = 12, max_features: int = MAX_FEATURES) -> Model:
+def fit(unknown: list[str], seed: int = 5, epochs: int = 12, max_features: int = MAX_FEATURES, common_share: float = COMMON_SHARE) -> Model:
+    met = Counter(w for t in (*UNRELATED, *unknown) for w in set(_words(t)))
+    common = {w for w, n in met.items() if n > 1 and n >= common_share * (len(UNRELATED) + len(unknown))}
     rng = random.Random(seed)
     classes = [*TEMPLATES, UNKNOWN]
     rows = [(text, k) for k, name in enumerate(TEMPLATES) for text in TEMPLATES[name]]
@@ -97,10 +106,10 @@ def fit(unknown: list[str], seed: int = 5, epochs: int = 12, max_features: int =
     other += [(grams(_damaged(t, rng)), len(classes) - 1) for t in UNRELATED for _ in range(4)]
     train += [x for i, x in enumerate(other) if i % 5]
     held += [x for i, x in enumerate(other) if not i % 5]
-    names = {g: i for i, g in enumerate(sorted({g for gs, _ in train for g in gs}))}
+    names = {g: i for i, g in enumerate(sorted({g for gs, k in train if k < len(classes) - 1 for g in gs if not common.issuperset(g.split(" "))}))}
     w, b = np.zeros((len(names), len(classes))), np.zeros(len(classes))
     sw, sb = np.full_like(w, 1e-3), np.full_like(b, 1e-3)
-    coded = [(np.array([names[g] for g in gs], int), k, math.sqrt(max(1, len(gs)))) for gs, k in train]
+    coded = [(np.array([names[g] for g in gs if g in names], int), k, math.sqrt(max(1, len(gs)))) for gs, k in train]
     for _ in range(epochs):
         rng.shuffle(coded)
         for ids, k, root in coded:
@@ -115,7 +124,10 @@ def fit(unknown: list[str], seed: int = 5, epochs: int = 12, max_features: int =
             b -= 0.1 * p / np.sqrt(sb)
     strongest = np.argsort(-np.abs(w - w.mean(axis=1, keepdims=True)).max(axis=1), kind="stable")[:max_features]
     by_id = {i: g for g, i in names.items()}
-    model = Model(classes, {by_id[i]: w[i] for i in strongest.tolist()}, b, 1.0)
+    b[-1] = max(b[-1], b[:-1].max() + 1e-6)
+    weights = {by_id[i]: w[i] for i in strongest.tolist()}
+    keys = sorted({min((x for x in g.split(" ") if x not in common), key=lambda x: (met[x], x)) for g in weights})
+    model = Model(classes, weights, b, 1.0, keys)
     scored = [(model.bias + sum((model.weights[x] for x in gs if x in model.weights), np.zeros(len(classes))) / math.sqrt(max(1, len(gs))), k) for gs, k in held]
 
     def loss(t: float) -> float:
@@ -147,10 +159,14 @@ def _native_grams(ws: Column, sizes: tuple[int, ...]) -> Column:
     return F.array_distinct(F.concat(*(of(n) for n in sizes)))
 
 
+def _split(text: Column) -> Column:
+    return F.filter(F.transform(F.split(F.regexp_replace(text, _GAP, " "), "\n"), lambda p: F.btrim(p)), lambda p: p != "")
+
+
 def _parts(docs: DataFrame) -> DataFrame:
     """(doc_id, paragraph, said, h): paragraphs and the 128-bit hashes of their texts."""
-    parts = documents(docs).where("doc_id is not null").select("doc_id", F.posexplode(F.split(F.regexp_replace("text", _GAP, " "), "\n")).alias("paragraph", "said"))
-    return parts.withColumn("said", F.btrim("said")).where("said != ''").withColumn("h", F.md5("said"))
+    parts = documents(docs).where("doc_id is not null").select("doc_id", F.posexplode(_split(F.col("text"))).alias("paragraph", "said"))
+    return parts.withColumn("h", F.md5("said"))
 
 
 def scan(docs: DataFrame, model: Model, least_share: float = LEAST_SHARE) -> DataFrame:
@@ -163,14 +179,15 @@ def findings(docs: DataFrame, model: Model, least_share: float = LEAST_SHARE) ->
     """Paragraphs that share a gram with the model: (doc_id, paragraph, h, family, probability, template, share, confirmed)."""
     spark = docs.sparkSession
     key = ["doc_id", "paragraph", "h"]
-    # equal rows are told apart until their grams are summed up; explode_outer, as no filter that repeats the work is derived from it
-    rows = _parts(docs).withColumn("row", F.monotonically_increasing_id())
-    parts = rows.withColumn("ws", _native_words(F.col("said"))).select("row", *key, _native_grams(F.col("ws"), (1, 2, 3)).alias("grams"))
+    words = _parts(docs).withColumn("ws", _native_words(F.col("said")))
+    keyed = words.where(F.arrays_overlap("ws", F.lit(model.keys))) if model.keys else words.where("false")
+    keyed = staged(spark, keyed.select(*key, "ws"), "keyed").dropDuplicates(key)
+    parts = keyed.select(*key, _native_grams(F.col("ws"), (1, 2, 3)).alias("grams"))
 
     weights = F.broadcast(_weights(spark, model))
     kinds = range(len(model.classes))
-    seen = parts.select("row", *key, F.size("grams").alias("n"), F.explode_outer("grams").alias("gram")).join(weights, "gram")
-    sums = seen.groupBy("row", *key, "n").agg(*(F.sum(F.col("w")[k]).alias(f"s{k}") for k in kinds))
+    seen = parts.select(*key, F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(weights, "gram")
+    sums = seen.groupBy(*key, "n").agg(*(F.sum(F.col("w")[k]).alias(f"s{k}") for k in kinds))
     z = [(F.lit(float(model.bias[k])) + F.col(f"s{k}") / F.sqrt(F.col("n"))) / F.lit(float(model.temperature)) for k in kinds]
     scored = sums.select(*key, F.array(*z).alias("z"))
     scored = scored.withColumn("e", F.transform("z", lambda v: F.exp(v - F.array_max("z"))))
@@ -178,12 +195,12 @@ def findings(docs: DataFrame, model: Model, least_share: float = LEAST_SHARE) ->
     names = F.array(*(F.lit(c) for c in model.classes))
     scored = scored.select(*key, F.get(names, (F.array_position("z", F.array_max("z")) - 1).cast("int")).alias("family"), (F.array_max("e") / total).alias("probability"))
     scored = scored.withColumn("family", F.when(F.col("probability") >= 0.5, F.col("family")).otherwise(UNKNOWN))
-    scored = staged(spark, scored.dropDuplicates(key), "scored")
+    scored = staged(spark, scored, "scored")
 
     known = F.broadcast(_wordings(spark))
-    like = _parts(docs).join(scored.where(F.col("family") != UNKNOWN).select(*key), key, "left_semi").dropDuplicates(key)
-    pairs = like.withColumn("ws", _native_words(F.col("said"))).select(*key, _native_grams(F.col("ws"), (1, 2)).alias("pairs"))
-    met = pairs.select(*key, F.size("pairs").alias("n"), F.explode_outer("pairs").alias("gram")).join(known, "gram")
+    like = keyed.join(scored.where(F.col("family") != UNKNOWN).select(*key), key, "left_semi")
+    pairs = like.select(*key, _native_grams(F.col("ws"), (1, 2)).alias("pairs"))
+    met = pairs.select(*key, F.size("pairs").alias("n"), F.explode("pairs").alias("gram")).join(known, "gram")
     shares = met.groupBy(*key, "template", "owner", "size").agg((F.count("*") / F.least(F.first("n"), F.first("size"))).alias("share"))
     best = shares.groupBy(*key, "owner").agg(F.max(F.struct("share", "template")).alias("b"))
     best = best.select(*key, F.col("owner").alias("family"), "b.share", "b.template")
@@ -206,14 +223,12 @@ def _wordings(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "gram string, template string, owner string, size int")
 
 
-def by_document(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """One row for each document: its confirmed families, counts, and the highest probability of a confirmed one."""
-    per = found.groupBy("doc_id").agg(
-        F.count_if("confirmed").alias("n_confirmed"), F.count_if(~F.col("confirmed")).alias("n_unknown"),
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
-        F.round(F.max(F.when(F.col("confirmed"), F.col("probability"))), 4).alias("probability"))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id")).join(per, "doc_id", "left").select(
-        "doc_id", F.coalesce("n_confirmed", F.lit(0)).cast("long").alias("n_confirmed"), F.coalesce("n_unknown", F.lit(0)).cast("long").alias("n_unknown"),
-        F.coalesce("families", F.lit("")).alias("families"), "probability")
-
-
+def by_document(docs: DataFrame, found: DataFrame, text: str = "text") -> DataFrame:
+    """One row for each document: its confirmed families, how many paragraphs they have and how many are
+    unknown, and the highest probability of a confirmed one."""
+    per = found.where("confirmed").groupBy("doc_id").agg(
+        F.count("*").alias("n_confirmed"), F.array_join(F.array_sort(F.collect_set("family")), ",").alias("families"), F.round(F.max("probability"), 4).alias("probability"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.size(_split(F.col(text).cast("string"))), F.lit(0)).alias("n"))
+    rows = rows.withColumn("n", F.greatest("n", F.lit(0)))
+    return rows.join(per, "doc_id", "left").withColumn("n_confirmed", F.coalesce("n_confirmed", F.lit(0)).cast("long")).select(
+        "doc_id", "n_confirmed", F.greatest(F.col("n") - F.col("n_confirmed"), F.lit(0)).cast("long").alias("n_unknown"), F.coalesce("families", F.lit("")).alias("families"), "probability")

@@ -76,13 +76,12 @@ def test_decontamination(spark, docs, rows, block):
     want = [(r[0], *brute_decontam(r[1], [i for i in items if i[1]])) for r in small]
     keep = {r[0] for r in small}
     rows_got = [tuple(r) for r in got.collect() if r.doc_id in keep]
-    assert set(rows_got) == set(want)
-    if block > 200:
-        same_rows(rows_got, want)
+    same_rows(rows_got, want)
 
 
 def test_decontamination_spans():
     found = decontam.automaton([("1", "alpha beta gamma")], 8)
+    assert decontam._united([(5, 9), (0, 2), (2, 3), (6, 7)]) == [(0, 3), (5, 9)]
     text = "ÄÖ: Alpha, beta -- GAMMA! rest"
     n, runs, ids = decontam.scan(found, text)
     assert (n, ids) == (5, {"1"})
@@ -322,7 +321,23 @@ def test_licences_without_a_cue(spark, docs):
         assert abs(p.max() - r.probability) < 1e-9 and r.family == (model.classes[p.argmax()] if p.max() >= 0.5 else licenses.UNKNOWN)
     rows = {r.doc_id: r for r in licenses.by_document(df.dropDuplicates(), licenses.findings(df, model)).collect() if r.doc_id}
     assert "proprietary" in rows[1].families and rows[2].families == "proprietary" and rows[3].families == ""
-    assert rows[1].n_confirmed + rows[1].n_unknown == sum(i == 1 for i, _ in got)
+    assert rows[1].n_confirmed + rows[1].n_unknown == len(said)
+
+
+def test_licence_keys_stand_for_all_features(spark, docs):
+    """A paragraph without a key has no feature, and without features all is unknown: the scan equals scoring everything."""
+    model = licenses.learn(docs)
+    assert all(set(g.split(" ")) & set(model.keys) for g in model.weights)
+    assert model.bias.argmax() == len(model.classes) - 1
+    texts = [p for p in ("Distributed under GPLv3.", "Released under MIT terms.", "Code: Apache-2.0", "BSD-3-Clause", "CC BY-SA 4.0", "licencia xyzzy", "the of and to", "word " * 20000)]
+    df = spark.createDataFrame([(i, t, "clash") for i, t in enumerate(texts)] * 2 + [(None, texts[0], ""), (99, None, "")], "doc_id long, text string, gram string")
+    got = {r.doc_id: r for r in licenses.by_document(df, licenses.findings(df, model)).collect()}
+    for i, t in enumerate(texts):
+        p = model.probabilities(t)
+        family = model.classes[p.argmax()] if p.max() >= 0.5 else licenses.UNKNOWN
+        assert got[i].n_confirmed + got[i].n_unknown == 1
+        assert got[i].families in ("", family) and (family != licenses.UNKNOWN or got[i].n_unknown == 1)
+    assert (got[99].n_unknown, got[99].families) == (0, "")
 
 
 # ---- pages ------------------------------------------------------------------------------------------------------
