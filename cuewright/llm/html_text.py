@@ -12,13 +12,17 @@ already says that it is content.  Character references are decoded, white space
 in a block becomes one space, blocks are joined by a blank line in page order.
 
 Null, empty or text-less pages give an empty text.  A tag cut off at the end of
-a page is dropped with what follows it.
+a page is dropped with what follows it.  An element without text of the page that
+closes itself or never ends hides nothing, but for scripts and other raw text.
+Repeated rows get equal results, rows without page_id too; empty tables give no
+rows.  Time is linear in the page, however its tags are nested or left open.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from collections.abc import Callable
 from dataclasses import dataclass
 
@@ -35,7 +39,8 @@ MAX_LINK_DENSITY = 0.2
 BLOCK = frozenset(
     "address article aside blockquote body caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure footer form frameset "
     "h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead title tr ul".split())
-SILENT = ("script", "style", "noscript", "template", "iframe", "object", "svg", "math", "canvas", "audio", "video", "textarea", "select", "button", "title", "map", "datalist")
+RAW = ("script", "style", "noscript", "iframe", "textarea", "title")
+SILENT = (*RAW, "template", "svg", "canvas", "audio", "video", "select", "button", "map", "datalist", "annotation", "annotation-xml")
 #: Elements whose whole content is no main text.
 BAD_TAGS = frozenset("nav footer aside form menu dialog fieldset search label input legend".split())
 #: Elements whose start and end are tracked to know what a block stands in.
@@ -66,10 +71,10 @@ STOP_WORDS = frozenset(" ".join((
 )).split())
 
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)\]\]>|"
-    rf"<(?P<silent>{'|'.join(SILENT)})(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</(?P=silent)\s*>|\Z)|"
-    r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|"
-    r"<[a-zA-Z/!?][^>]*(?:>|\Z)", re.S | re.I)
+    r"<!--|<!\[CDATA\[|"
+    r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|"
+    r"<[a-zA-Z/!?][^>]*+(?:>|\Z)", re.S)
+_CLOSE = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in SILENT} | {"<!--": re.compile("-->"), "<![CDATA[": re.compile(r"\]\]>")}
 _ATTR = re.compile(r"(?P<name>class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"(?P<a>[^\"]*)\"|'(?P<b>[^']*)'|(?P<c>[^\s>]+)))?", re.I)
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
@@ -106,11 +111,34 @@ def _says(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
     return bad, good
 
 
+class _Open:
+    """Open elements, with the places of each name, so that the nearest one is found at once."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, bool, bool]] = []
+        self.at: dict[str, list[int]] = defaultdict(list)
+        self.bad = self.articles = self.links = 0
+
+    def nearest(self, *names: str) -> int:
+        return max((self.at[n][-1] for n in names if self.at[n]), default=-1)
+
+    def push(self, name: str, bad: bool, article: bool) -> None:
+        self.at[name].append(len(self.stack))
+        self.stack.append((name, bad, article))
+        self.bad, self.articles, self.links = self.bad + bad, self.articles + article, self.links + (name == "a")
+
+    def cut(self, k: int) -> None:
+        """Close the element at place k and all that stand in it."""
+        while len(self.stack) > k:
+            name, bad, article = self.stack.pop()
+            self.at[name].pop()
+            self.bad, self.articles, self.links = self.bad - bad, self.articles - article, self.links - (name == "a")
+
+
 def blocks(page: str | None) -> list[Block]:
     """Blocks that have text, in page order."""
     page, out, at = page or "", [], 0
-    stack: list[tuple[str, bool, bool]] = []
-    bad = articles = links = 0
+    inside, unclosed = _Open(), set()
     parts: list[str] = []
     link_chars, heading = 0, False
 
@@ -119,7 +147,7 @@ def blocks(page: str | None) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, min(len(text), link_chars), articles > 0, bad > 0, heading))
+                out.append(Block(text, min(len(text), link_chars), inside.articles > 0, inside.bad > 0, heading))
             parts.clear()
         link_chars, heading = 0, False
 
@@ -127,20 +155,40 @@ def blocks(page: str | None) -> list[Block]:
         nonlocal link_chars
         if s:
             parts.append(s)
-            if links:
+            if inside.links:
                 link_chars += len(s.strip())
 
-    for m in _TOKEN.finditer(page):
+    def close(name: str, start: int) -> re.Match | None:
+        """Where what has no tags of its own ends; that it doesn't is looked for only once."""
+        found = None if name in unclosed else _CLOSE[name].search(page, start)
+        if not found:
+            unclosed.add(name)
+        return found
+
+    while m := _TOKEN.search(page, at):
         say(page[at : m.start()])
         at = m.end()
-        if m["cdata"]:
-            say(m["cdata"])
+        if m[0] in _CLOSE:
+            end = close(m[0], at)
+            if m[0] == "<![CDATA[":
+                say(page[at : end.start()] if end else "")
+                at = end.end() if end else at
+            else:
+                at = end.end() if end else len(page)
             continue
         if not m["tag"]:
-            if m["silent"] and m["silent"].lower() != "button":
-                parts.append(" ") if m["silent"].lower() not in ("title",) else flush()
             continue
         tag = m["tag"].lower()
+        shut = m["attrs"].rstrip().endswith("/")
+        if tag in SILENT and not m["end"]:
+            if tag in RAW or not shut:
+                end = close(tag, at)
+                at = end.end() if end else len(page) if tag in RAW else at
+            if tag == "title":
+                flush()
+            elif tag != "button":
+                parts.append(" ")
+            continue
         if tag == "br":
             parts.append(" ")
             continue
@@ -149,24 +197,17 @@ def blocks(page: str | None) -> list[Block]:
         if tag not in TRACKED:
             continue
         if m["end"]:
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag), None)
-            if k is None or tag in ("p", "li", "a", "span") and any(s[0] in ("div", "section", "article", "td", "table") for s in stack[k + 1 :]):
-                continue
-            for name, b, g in stack[k:]:
-                bad, articles, links = bad - b, articles - g, links - (name == "a")
-            del stack[k:]
+            k = inside.nearest(tag)
+            if k >= 0 and not (tag in ("p", "li", "a", "span") and inside.nearest("div", "section", "article", "td", "table") > k):
+                inside.cut(k)
             continue
         if tag in ("p", "li", "tr", "td"):  # these end where the next one starts
-            k = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == tag or stack[i][0] in ("div", "ul", "ol", "table", "section", "article", "menu")), None)
-            if k is not None and stack[k][0] == tag:
-                for name, b, g in stack[k:]:
-                    bad, articles, links = bad - b, articles - g, links - (name == "a")
-                del stack[k:]
-        if m["attrs"].rstrip().endswith("/"):
+            k = inside.nearest(tag)
+            if k > inside.nearest(*{"div", "ul", "ol", "table", "section", "article", "menu"}):
+                inside.cut(k)
+        if shut:
             continue
-        b, g = _says(tag, m["attrs"], articles > 0)
-        stack.append((tag, b, g))
-        bad, articles, links = bad + b, articles + g, links + (tag == "a")
+        inside.push(tag, *_says(tag, m["attrs"], inside.articles > 0))
         heading = heading or tag[0] == "h" and tag[1:].isdigit()
     say(page[at:])
     flush()
@@ -207,6 +248,7 @@ def classify(found: list[Block]) -> list[Block]:
     first = [b.label for b in found]
     # menus, footers and the like are no neighbours: what stands beside them isn't part of them
     speaks = [s != "ambiguous" and not b.boilerplate for s, b in zip(first, found, strict=True)]
+    any_speaks = any(speaks)
     before, after, last = [None] * len(found), [None] * len(found), None
     for i in range(len(found)):
         before[i] = last
@@ -218,7 +260,7 @@ def classify(found: list[Block]) -> list[Block]:
     for i, b in enumerate(found):
         if first[i] != "ambiguous":
             continue
-        if not any(speaks):
+        if not any_speaks:
             b.label = "good" if b.article or not any_article else "bad"
             continue
         x, y = before[i], after[i]
