@@ -6,21 +6,22 @@ Every window of ``window`` item words (the whole item where it has fewer) goes
 into one automaton, which then reads each text once; a hit's place in the
 normalised text is mapped back to words and to code points of the original.
 
-The benchmark is cut into blocks of at most ``block_bytes`` of text, so that an
-automaton's size is bounded; more blocks mean more passes, whose hits are
-united.  Null or empty texts have no words; items without id or words give no
-windows; an item id that repeats is one item.  With several blocks, rows equal
-in key and text are united to one.
+A benchmark of up to ``block_bytes`` of text is one automaton and one pass.  A
+larger one is cut into such blocks, so that an automaton's size is bounded: each
+block is one more pass, and what the passes hit is united by row, with the same
+result.  Null or empty texts have no words; items without id or words give no
+windows; an item id that repeats is one item.  Every row of the input gives one
+row, equal rows equal ones, rows without doc_id too; empty tables give none.
 """
 
 from __future__ import annotations
 
-import hashlib
 from bisect import bisect_left
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import ahocorasick
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import documents, map_rows
@@ -70,16 +71,11 @@ def scan(found: ahocorasick.Automaton, text: str | None) -> tuple[int, list[tupl
     for w in ws:
         starts.append(at)
         at += len(w) + 1
-    runs: list[list[int]] = []
+    at_words = ((bisect_left(starts, end - size + 1), n) for end, (n, size, _) in hits)
     ids: set[str] = set()
-    for a, n in sorted((bisect_left(starts, end - size + 1), n) for end, (n, size, _) in hits):
-        if runs and a <= runs[-1][1]:
-            runs[-1][1] = max(runs[-1][1], a + n)
-        else:
-            runs.append([a, a + n])
     for _, (_, _, own) in hits:
         ids.update(own)
-    return len(ws), [(a, b) for a, b in runs], ids
+    return len(ws), _united([(a, a + n) for a, n in at_words]), ids
 
 
 def original_spans(text: str, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -112,46 +108,69 @@ def _blocks(benchmark: DataFrame, size: int) -> Iterator[list[tuple[str, str]]]:
     yield block
 
 
+_HITS = "n_hit long, item_ids array<string>, spans array<struct<start:long,stop:long>>"
+
+
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(doc_id, n_words, n_hit, item_ids, spans): spans are code points of the original text, end exclusive."""
-    base, parts = documents(docs), []
-    spark = docs.sparkSession
+    base, spark = documents(docs), docs.sparkSession
     blocks = [spark.sparkContext.broadcast(block) for block in _blocks(benchmark, block_bytes)]
-    parts = [_scanned(base, block, window, len(blocks) > 1) for block in blocks]
-    if len(parts) == 1:
-        return parts[0].drop("runs", "text_key")
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.unionByName(p)
-    return (
-        every.groupBy("doc_id", "text_key")
-        .agg(F.first("n_words").alias("n_words"), F.flatten(F.collect_list("runs")).alias("r"),
-             F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"),
-             F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"))
-        .withColumn("n_hit", F.size(F.array_distinct(F.flatten(F.transform("r", lambda x: F.sequence(x["a"], x["b"] - 1))))).cast("long"))
-        .select("doc_id", "n_words", "n_hit", "item_ids", "spans")
-    )
+    if len(blocks) == 1:
+        return _scanned(base.withColumn("text_key", F.lit("")), blocks[0], window).select("doc_id", "n_words", "n_hit", "item_ids", "spans")
+    key = ["doc_id", "text_key"]
+    keyed = base.withColumn("text_key", _text_key(F.col("text")))
+    hits = reduce(DataFrame.unionByName, (_scanned(keyed, block, window).where("n_hit > 0") for block in blocks))
+    # rows equal in key and text are equal in their hits, and meet them all again below
+    hits = hits.groupBy(*key).agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"))
+    hits = hits.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "item_ids", "runs")
+    met = keyed.join(hits, F.col("d").eqNullSafe(F.col("doc_id")) & (F.col("k") == F.col("text_key")), "left")
+
+    def make() -> Callable[[dict], dict]:
+        def run(x: dict) -> dict:
+            runs = [_united([(r["a"], r["b"]) for r in rs or ()]) for rs in x["runs"]]
+            return {"doc_id": x["doc_id"], "n_words": [len(words(t)) for t in x["text"]], "n_hit": [sum(b - a for a, b in r) for r in runs],
+                    "item_ids": [i or [] for i in x["item_ids"]], "spans": [_structs(t, r) for t, r in zip(x["text"], runs, strict=True)]}
+        return run
+
+    return map_rows(met.select("doc_id", "text", "item_ids", "runs"), make, f"doc_id long, n_words long, {_HITS}")
+
+
+def _text_key(text: Column) -> Column:
+    return F.sha2(text, 256)
+
+
+def _united(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[list[int]] = []
+    for a, b in sorted(runs):
+        if out and a <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], b)
+        else:
+            out.append([a, b])
+    return [(a, b) for a, b in out]
+
+
+def _structs(text: str, runs: list[tuple[int, int]]) -> list[dict]:
+    return [{"start": a, "stop": b} for a, b in original_spans(text, runs)] if runs else []
 
 
-def _scanned(base: DataFrame, items, window: int, keyed: bool) -> DataFrame:
+def _scanned(base: DataFrame, items, window: int) -> DataFrame:
     def make() -> Callable[[dict], dict]:
         found = automaton(items.value, window)
 
         def run(x: dict) -> dict:
             got = [scan(found, t) for t in x["text"]]
             return {
-                "doc_id": x["doc_id"],
-                "text_key": [hashlib.blake2b(t.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest() if keyed else "" for t in x["text"]],
+                "doc_id": x["doc_id"], "text_key": x["text_key"],
                 "n_words": [g[0] for g in got],
                 "n_hit": [sum(b - a for a, b in g[1]) for g in got],
                 "item_ids": [sorted(g[2]) for g in got],
                 "runs": [[{"a": a, "b": b} for a, b in g[1]] for g in got],
-                "spans": [[{"start": a, "stop": b} for a, b in original_spans(t, g[1])] if g[1] else [] for t, g in zip(x["text"], got, strict=True)],
+                "spans": [_structs(t, g[1]) for t, g in zip(x["text"], got, strict=True)],
             }
         return run
 
-    return map_rows(base, make, "doc_id long, text_key string, n_words long, n_hit long, item_ids array<string>, "
-                    "runs array<struct<a:long,b:long>>, spans array<struct<start:long,stop:long>>")
+    return map_rows(base, make, f"doc_id long, text_key string, n_words long, {_HITS}, runs array<struct<a:long,b:long>>")
 
 
 def digest(found: DataFrame, least_items: int = 2) -> DataFrame:
