@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows and bytes of text handed to one call of a row function; they bound a Python worker's memory.
 SLICE_ROWS, SLICE_BYTES = 256, 4 << 20
@@ -74,23 +75,28 @@ def drop(*frames: DataFrame) -> None:
 
 
 def map_rows(
-    df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str, slice_rows: int = SLICE_ROWS
+    df: DataFrame, make: Callable[[], Callable[[dict], dict]], schema: str, slice_rows: int = SLICE_ROWS, keep: Sequence[str] = ()
 ) -> DataFrame:
     """Apply a function from column lists to column lists, Arrow batch by Arrow batch.
 
     ``make`` runs once in each task and returns the function, so that tables and
-    caches are built on the executor and live as long as the task.
+    caches are built on the executor and live as long as the task.  Columns to
+    ``keep`` come first, as they are; the function then gives a value for each row.
     """
-    arrow = _arrow_schema(df.sparkSession, schema)
+    arrow = _arrow_schema(schema)
+    if keep:
+        arrow = pa.schema([*_arrow_schema(df.select(*keep).schema), *arrow])
+        schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema), schema])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = make()
         for batch in batches:
             for at, n in _slices(batch, slice_rows):
                 part = batch.slice(at, n)
-                out = f({n: c.to_pylist() for n, c in zip(part.schema.names, part.columns, strict=True)})
+                columns = dict(zip(part.schema.names, part.columns, strict=True))
+                out = {n: columns[n] for n in keep} | f(_Lists(columns))
                 yield pa.RecordBatch.from_arrays(
-                    [v if isinstance(v, pa.Array) else pa.array(v, type=t.type) for v, t in
+                    [(v if v.type == t.type else v.cast(t.type)) if isinstance(v, pa.Array) else pa.array(v, type=t.type) for v, t in
                      ((out[t.name], t) for t in arrow)], schema=arrow)
 
     return df.mapInArrow(run, schema)
@@ -110,11 +116,20 @@ def _slices(batch: pa.RecordBatch, rows: int) -> Iterator[tuple[int, int]]:
         at = end
 
 
-def _arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+class _Lists(dict):
+    """Columns as lists, made when they are asked for."""
+
+    def __getitem__(self, name: str) -> list:
+        v = super().__getitem__(name)
+        if isinstance(v, pa.Array):
+            v = self[name] = v.to_pylist()
+        return v
+
+
+def _arrow_schema(schema: str | StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
-    return to_arrow_schema(StructType.fromDDL(schema))
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
 
 
 def documents(df: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:

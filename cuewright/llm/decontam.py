@@ -17,7 +17,7 @@ row, equal rows equal ones, rows without doc_id too; empty tables give none.
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
 import ahocorasick
@@ -111,15 +111,16 @@ def _blocks(benchmark: DataFrame, size: int) -> Iterator[list[tuple[str, str]]]:
 _HITS = "n_hit long, item_ids array<string>, spans array<struct<start:long,stop:long>>"
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """(doc_id, n_words, n_hit, item_ids, spans): spans are code points of the original text, end exclusive."""
-    base, spark = documents(docs), docs.sparkSession
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id or the columns to keep, n_words, n_hit, item_ids, spans): spans are code points of the original text, end exclusive."""
+    base, spark = docs.select(*dict.fromkeys((*keep, "doc_id", "text"))) if keep else documents(docs), docs.sparkSession
+    keep = keep or ("doc_id",)
     blocks = [spark.sparkContext.broadcast(block) for block in _blocks(benchmark, block_bytes)]
     if len(blocks) == 1:
-        return _scanned(base.withColumn("text_key", F.lit("")), blocks[0], window).select("doc_id", "n_words", "n_hit", "item_ids", "spans")
+        return _scanned(base, blocks[0], window, keep).drop("runs")
     key = ["doc_id", "text_key"]
     keyed = base.withColumn("text_key", _text_key(F.col("text")))
-    hits = reduce(DataFrame.unionByName, (_scanned(keyed, block, window).where("n_hit > 0") for block in blocks))
+    hits = reduce(DataFrame.unionByName, (_scanned(keyed, block, window, key).where("n_hit > 0") for block in blocks))
     # rows equal in key and text are equal in their hits, and meet them all again below
     hits = hits.groupBy(*key).agg(
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"), F.array_distinct(F.flatten(F.collect_list("runs"))).alias("runs"))
@@ -129,15 +130,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     def make() -> Callable[[dict], dict]:
         def run(x: dict) -> dict:
             runs = [_united([(r["a"], r["b"]) for r in rs or ()]) for rs in x["runs"]]
-            return {"doc_id": x["doc_id"], "n_words": [len(words(t)) for t in x["text"]], "n_hit": [sum(b - a for a, b in r) for r in runs],
+            return {"n_words": [len(words(t)) for t in x["text"]], "n_hit": [sum(b - a for a, b in r) for r in runs],
                     "item_ids": [i or [] for i in x["item_ids"]], "spans": [_structs(t, r) for t, r in zip(x["text"], runs, strict=True)]}
         return run
 
-    return map_rows(met.select("doc_id", "text", "item_ids", "runs"), make, f"doc_id long, n_words long, {_HITS}")
+    return map_rows(met.select(*dict.fromkeys((*keep, "text")), F.col("item_ids"), F.col("runs")), make, f"n_words long, {_HITS}", keep=keep)
 
 
 def _text_key(text: Column) -> Column:
-    return F.sha2(text, 256)
+    return F.sha2(F.coalesce(text, F.lit("")), 256)
 
 
 def _united(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -154,14 +155,13 @@ def _structs(text: str, runs: list[tuple[int, int]]) -> list[dict]:
     return [{"start": a, "stop": b} for a, b in original_spans(text, runs)] if runs else []
 
 
-def _scanned(base: DataFrame, items, window: int) -> DataFrame:
+def _scanned(base: DataFrame, items, window: int, keep: Sequence[str]) -> DataFrame:
     def make() -> Callable[[dict], dict]:
         found = automaton(items.value, window)
 
         def run(x: dict) -> dict:
             got = [scan(found, t) for t in x["text"]]
             return {
-                "doc_id": x["doc_id"], "text_key": x["text_key"],
                 "n_words": [g[0] for g in got],
                 "n_hit": [sum(b - a for a, b in g[1]) for g in got],
                 "item_ids": [sorted(g[2]) for g in got],
@@ -170,7 +170,7 @@ def _scanned(base: DataFrame, items, window: int) -> DataFrame:
             }
         return run
 
-    return map_rows(base, make, f"doc_id long, text_key string, n_words long, {_HITS}, runs array<struct<a:long,b:long>>")
+    return map_rows(base, make, f"n_words long, {_HITS}, runs array<struct<a:long,b:long>>", keep=keep)
 
 
 def digest(found: DataFrame, least_items: int = 2) -> DataFrame:

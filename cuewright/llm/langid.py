@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,7 +35,7 @@ SAMPLE_ROWS = 1200
 LEXICON = 3000
 BUCKETS = 1 << 16
 SEGMENT = 48
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 UNKNOWN = "und"
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -241,8 +241,8 @@ def learn(docs: DataFrame, lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -
     return fit([(r.text, r.lang) for r in got])
 
 
-def languages(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, lang_pred, score, n_letters_words, shares): from the text alone."""
+def languages(docs: DataFrame, model: Model, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id or the columns to keep, lang_pred, score, n_words, shares) of each row, from the text alone."""
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def make() -> Callable[[dict], dict]:
@@ -263,10 +263,11 @@ def languages(docs: DataFrame, model: Model) -> DataFrame:
                 lang.append(labels[best])
                 score.append(float(min(1.0, s[best])))
                 shares.append({n: float(v) for n, v in zip(labels, s, strict=True)})
-            return {"doc_id": x["doc_id"], "lang_pred": lang, "score": score, "n_words": [len(ws) for ws in texts], "shares": [list(s.items()) for s in shares]}
+            return {"lang_pred": lang, "score": score, "n_words": [len(ws) for ws in texts], "shares": [list(s.items()) for s in shares]}
         return run
 
-    return map_rows(documents(docs), make, "doc_id long, lang_pred string, score double, n_words long, shares map<string,double>", 128)
+    rows = docs.select(*dict.fromkeys((*keep, "text"))) if keep else documents(docs)
+    return map_rows(rows, make, "lang_pred string, score double, n_words long, shares map<string,double>", 128, keep or ("doc_id",))
 
 
 def labelled_words(docs: DataFrame, model: Model) -> DataFrame:

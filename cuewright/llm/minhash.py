@@ -71,12 +71,13 @@ def _sketches(base: DataFrame, n: int, k: int) -> DataFrame:
         def run(x: dict) -> dict:
             sets = [shingles(encoded(t), n) for t in x["text"]]
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            return {"doc_id": x["doc_id"], "n_shingles": [len(s) for s in sets],
+            return {"n_shingles": [len(s) for s in sets],
                     "k1": [int.from_bytes(d[:8], "little", signed=True) for d in keys], "k2": [int.from_bytes(d[8:], "little", signed=True) for d in keys],
                     "sketch": pa.array([signed(s[:k]).tolist() for s in sets], pa.list_(pa.int64()))}
         return run
 
-    return map_rows(base, make, "doc_id long, n_shingles long, k1 long, k2 long, sketch array<long>")
+    keyed = base.withColumn("text_key", F.md5("text"))
+    return map_rows(keyed, make, "n_shingles long, k1 long, k2 long, sketch array<long>", keep=("doc_id", "text_key"))
 
 
 def _lists(reps: DataFrame, k: int, overlap: int, threshold: int) -> DataFrame:
@@ -201,7 +202,8 @@ def staged_as(source: DataFrame, df: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80, k: int = K, overlap: int = OVERLAP, short: int = SHORT) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept): components of documents linked at ``threshold`` percent Jaccard."""
+    """(doc_id, n_shingles, component_id, kept, text_key): components of documents linked at ``threshold`` percent
+    Jaccard; text_key is the text's md5, for rows that share an id."""
     spark = docs.sparkSession
     base = documents(docs)
     every = staged(spark, _sketches(base, words, k), "sketches")
@@ -235,6 +237,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80, k: int
     named = kinds.join(nodes.withColumnRenamed("doc_id", "rep"), "rep", "left").select("k1", "k2", F.coalesce("comp", "rep").alias("component_id"))
     named = staged(spark, named, "named")
     drop(kinds, found, more, joined)
-    members = every.select("doc_id", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
+    members = every.select("doc_id", "text_key", "n_shingles", "k1", "k2").join(named, ["k1", "k2"], "left")
     component = F.when(F.col("n_shingles") > 0, F.coalesce("component_id", "doc_id")).otherwise(F.col("doc_id"))
-    return members.select("doc_id", "n_shingles", component.alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    found = members.select("doc_id", "n_shingles", component.alias("component_id"), "text_key")
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"), "text_key")
+
+
+def digest(found: DataFrame) -> DataFrame:
+    return found.drop("text_key")

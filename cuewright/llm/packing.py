@@ -3,10 +3,12 @@
 1. Each whole text becomes ids and an end id; only what is longer than the
    sequence is cut into full pieces and a rest.
 2. The histogram of piece lengths (at most ``size`` numbers, however many
-   pieces) goes to the driver.  Patterns of one to four lengths that fill a
-   sequence are enumerated, their repeat counts fitted to the histogram by
-   non-negative least squares and rounded down; the residual histogram is packed
-   best-fit, longest first.
+   pieces) goes to the driver.  Patterns of two to four lengths that fill a
+   sequence but for ``SLACK`` tokens are enumerated and their repeat counts fitted
+   to the histogram by non-negative least squares.  Counts are rounded by largest
+   remainder: first down, then one more of each pattern, the largest remainder
+   first, as long as the histogram holds its pieces.  The residual histogram, on
+   the test tables under a hundred sequences, is packed best-fit, longest first.
 3. The plan, again bounded by the number of lengths, is sent back; the pieces of
    each length are numbered and take the plan's places in turn.
 
@@ -17,6 +19,7 @@ within hashed sub-groups, whose sizes are then summed up.  Null texts are empty
 
 from __future__ import annotations
 
+import itertools
 import re
 import zlib
 from bisect import bisect_right
@@ -31,9 +34,12 @@ from .common import documents, map_rows, staged
 
 SIZE = 2048
 TOKENIZER = "word_bpe_49k.json"
-#: Chunks whose ids a Python worker remembers, from task to task; others are encoded each time.
-REMEMBERED = 800_000
-SUBGROUPS = 512
+#: Tokens that a pattern may leave free.
+SLACK = 8
+#: Bytes, about, of the chunks whose ids a Python worker remembers from task to task; others are encoded each time.
+REMEMBERED, ENTRY = 64 << 20, 170
+#: Sub-groups of one length at least, and pieces that make one more.
+SUBGROUPS, GROUP_ROWS = 512, 1_000_000
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -60,11 +66,10 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.t, self.known = Tokenizer.from_file(path), {}
+        self.t, self.known, self.held = Tokenizer.from_file(path), {}, 0
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         known, out, open_rows, new = self.known, [], [], {}
-        full = len(known) >= REMEMBERED
         for t in texts:
             raw = t.encode("utf-8", "replace")
             ws = (raw if b"<|" in raw else raw.lower()).split()
@@ -74,13 +79,16 @@ class Encoder:
                 open_rows.append((ids, gaps, ws))
                 new.update(dict.fromkeys(ws[i] for i in gaps))
             out.append(ids)
+        before = len(known)
         self._learn(list(new))
         for ids, gaps, ws in open_rows:
             for i in gaps:
                 ids[i] = known[ws[i]]
-        if full:
-            for w in new:
-                del known[w]
+        if self.held >= REMEMBERED:
+            while len(known) > before:  # the last ones learned go again
+                known.popitem()
+        else:
+            self.held += sum(len(w) + len(known[w]) + ENTRY for w in itertools.islice(reversed(known), len(known) - before))
         return [b"".join(ids) for ids in out]
 
     def _learn(self, new: list[bytes]) -> None:
@@ -97,9 +105,6 @@ class Encoder:
                 known[w] = np.array(self.t.encode(w.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
         for w, (a, b) in parts.items():
             known[w] = known[a] + known[b]
-        for x in held:
-            if len(known) >= REMEMBERED:
-                del known[x]
 
     def _encode(self, new: list[bytes]) -> None:
         for at in range(0, len(new), 2048):
@@ -224,21 +229,25 @@ def plan(count: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...],
     full = {n: c for n, c in left.items() if n >= size}
     out += [((n,), c) for n, c in full.items()]
     left -= Counter(full)
+    patterns = [p for p in patterns if sum(p) >= size - SLACK]
     fitted = fit_counts(patterns, dict(left)) if patterns and left else []
-    order = sorted(range(len(patterns)), key=lambda j: (sum(patterns[j]) != size, -sum(patterns[j])))
-    for j in order:
-        if sum(patterns[j]) < size - 8:
-            continue
+    times: Counter = Counter()
+
+    def take(j: int, most: int) -> None:
         need = Counter(patterns[j])
-        times = min(int(fitted[j]), *(left[n] // k for n, k in need.items()))
-        if times > 0:
-            out.append((patterns[j], times))
-            for n, k in need.items():
-                left[n] -= k * times
-    out += best_fit(dict(left), size)
-    # with few pieces, rounding can cost a sequence
-    plain = best_fit(count, size)
-    return min(out, plain, key=lambda made: sum(times for _, times in made))
+        k = min(most, *(left[n] // q for n, q in need.items()))
+        if k > 0:
+            times[j] += k
+            for n, q in need.items():
+                left[n] -= q * k
+
+    for j in sorted(range(len(patterns)), key=lambda j: (-sum(patterns[j]), -fitted[j])):
+        take(j, int(fitted[j]))
+    for j in sorted(range(len(patterns)), key=lambda j: (int(fitted[j]) - fitted[j], -sum(patterns[j]))):
+        if fitted[j] > 0:
+            take(j, 1)
+    out += [(patterns[j], k) for j, k in times.items()]
+    return out + best_fit(dict(left), size)
 
 
 def places(made: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[list[int], list[tuple[int, int]]]]:
@@ -265,7 +274,8 @@ def pack(cut: DataFrame, size: int = SIZE) -> DataFrame:
     """Add sequence_id and offset to (doc_id, piece, start, length, ids_crc32)."""
     spark = cut.sparkSession
     # the numbers of one length are dealt out over sub-groups, so that a length with most pieces is no single task
-    cut = cut.withColumn("sub", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(SUBGROUPS)).cast("int"))
+    groups = max(SUBGROUPS, -(-cut.count() // GROUP_ROWS))
+    cut = cut.withColumn("sub", F.pmod(F.xxhash64("doc_id", "piece", "start"), F.lit(groups)).cast("int"))
     sizes = cut.groupBy("length", "sub").agg(F.count("*").alias("n"))
     count = {r.length: r.n for r in sizes.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most size rows
     made = spark.sparkContext.broadcast(places(plan(count, size)))
@@ -273,7 +283,7 @@ def pack(cut: DataFrame, size: int = SIZE) -> DataFrame:
         "length", "sub",
         (F.sum("n").over(Window.partitionBy("length").orderBy("sub")) - F.col("n")).alias("before"),
     )
-    # at most size * SUBGROUPS rows; an equal row may take either of two places, so ties need no order
+    # at most size * groups rows; an equal row may take either of two places, so ties need no order
     ranked = cut.withColumn("within", F.row_number().over(Window.partitionBy("length", "sub").orderBy("doc_id", "piece")) - 1)
     ranked = ranked.join(before, ["length", "sub"])
 

@@ -23,7 +23,7 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2)
+    return minhash.digest(minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2))
 
 
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
