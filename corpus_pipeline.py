@@ -1,7 +1,11 @@
 """A training corpus from raw documents: language, near-duplicates, contamination, personal data, packing.
 
 Each stage takes (spark, docs, sf_dir) and all rows its predecessor kept; all
-but the last return the columns of ``documents``.
+but the last return the columns of ``documents``.  Decisions are made row by row:
+rows that share a doc_id are judged each on its own text, and rows without doc_id
+go through all stages.  Repeated rows, equal in doc_id and text, are one document
+to the near-duplicate stage, which keeps one of them.  Null and empty texts have no
+language and go in the first stage.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -19,19 +23,23 @@ LEAST_SCORE = 0.4
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop what has no letters, or no language that stands out."""
-    found = langid.languages(docs, langid.learn(docs)).where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return _only(docs, found)
+    found = langid.languages(docs, langid.learn(docs), keep=COLUMNS)
+    return found.where((F.col("lang_pred") != langid.UNKNOWN) & (F.col("score") >= LEAST_SCORE)).select(*COLUMNS)
 
 
 def first_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates, word 5-grams at 0.8, keep the document with the smallest id."""
-    return _only(docs, minhash.near_duplicates(docs).where("kept"))
+    kept = minhash.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("d"), F.col("text_key").alias("k")).distinct()
+    kept = staged(spark, kept, "kept")
+    rows = docs.select(*COLUMNS).withColumn("text_key", F.md5(F.coalesce("text", F.lit(""))))
+    rows = rows.join(kept, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k")), "left_semi")
+    return rows.dropDuplicates(["doc_id", "text_key"]).select(*COLUMNS)
 
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which two or more benchmark items occur, or most of whose words belong to one."""
-    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"))
-    return _only(docs, found.where((F.size("item_ids") < 2) & (F.col("n_hit") * 2 <= F.col("n_words"))))
+    found = decontam.contamination(docs, table(spark, sf_dir, "benchmark"), keep=COLUMNS)
+    return found.where((F.size("item_ids") < 2) & (F.col("n_hit") * 2 <= F.col("n_words"))).select(*COLUMNS)
 
 
 def without_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,11 +53,6 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.packed_documents(docs)
 
 
-def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    ids = staged(docs.sparkSession, kept.select("doc_id").distinct(), "kept")
-    return docs.join(ids, "doc_id", "left_semi").select(*COLUMNS)
-
-
 STAGES = [
     ("language", known_language),
     ("near_duplicates", first_of_group),
