@@ -50,3 +50,24 @@ def test_run(spark, folder):
     got = P.run(spark, path).collect()
     assert {r.doc_id for r in got}.isdisjoint({100, 101, 102, 103, 104}) and {0, 39, 105} <= {r.doc_id for r in got}
     assert max(r.offset + r.length for r in got) <= 2048
+
+
+def test_rows_without_id_with_shared_ids_and_repeated(spark, folder):
+    path, texts = folder
+    columns = "doc_id long, text string, lang string, source string, n_chars long, text_key string, score double"
+    rows = [(i, t, "en", "s", 0, "clash", 0.5) for i, t in texts.items()]
+    rows += [(None, texts[9] + " without an id of its own and more words than before", "en", "s", 0, "", 0.5), (8, texts[8], "en", "s", 0, "", 0.5), (10, f"{BENCH[0]} {BENCH[1]}", "en", "s", 0, "", 0.5)]
+    docs = spark.createDataFrame(rows, columns)
+    for _, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, path)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    got = [(r.doc_id, r.text) for r in docs.collect()]
+    assert sum(i is None for i, _ in got) == 1 and sum(i == 8 for i, _ in got) == 1
+    assert [t for i, t in got if i == 10] == [texts[10]]
+
+
+def test_empty_documents(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder[0]}/documents.parquet").where("false")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{folder[0]}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    assert P.run(spark, str(tmp_path)).count() == 0
