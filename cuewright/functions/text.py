@@ -16,6 +16,8 @@ SOUND_WORDS = (
     "gasp", "gasps", "screaming", "scream", "yelling", "indistinct", "chatter", "sizzling", "clattering", "beep", "bleep", "whoosh")
 # A speaker's label, and a closed bracket group.
 _SPEAKER = r"^\s*([A-Z][A-Z'’.\-]{1,20}(?:\s[A-Z][A-Z'’.\-]{1,20})?):\s*"
+#: A label anywhere in a file, at a line's start.
+LABEL = r"(?m)^\s*[A-Z][A-Z'’.\- ]{1,20}:\s"
 _CLOSED = r"[\[(][^\])]*[\])]"
 
 
@@ -137,8 +139,11 @@ def is_sound(text: Column, sound_words: Sequence[str] = SOUND_WORDS) -> Column:
     return (F.size(body) > 0) & ((bare(joined) == "") | unclosed)
 
 
+INAUDIBLE = r"(?i)\[(?:inaudible|indistinct)\]"
+
+
 def is_inaudible(text: Column) -> Column:
-    return text.rlike(r"(?i)\[(?:inaudible|indistinct)\]")
+    return text.rlike(INAUDIBLE)
 
 
 def is_bleep(text: Column) -> Column:
@@ -149,12 +154,21 @@ def n_numbers(text: Column) -> Column:
     return F.regexp_count(text, F.lit(r"\d+")).cast("long")
 
 
+# What UTF-8 read as a code page leaves behind, and line breaks written out.
+MOJIBAKE = "[ÃÂ][\u0080-\u00bf\u2018-\u2030€]"
+ESCAPES = r"\\n|`n|`r"
+
+
 def has_mojibake(text: Column) -> Column:
-    return text.rlike("Ã.|Â[\u0080-¿]|â€")
+    return text.rlike(MOJIBAKE)
 
 
 def has_literal_escape(text: Column) -> Column:
-    return text.rlike(r"\\[nN]|`n")
+    return text.rlike(ESCAPES)
+
+
+def has_bom(text: Column) -> Column:
+    return text.startswith("\ufeff")
 
 
 def budget(start_ms: Column, end_ms: Column, max_cps: float) -> Column:

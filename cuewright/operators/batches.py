@@ -16,15 +16,25 @@ from .cues import union_all
 DROP = "<DROP>"
 
 
+#: Numbers that one entry may span; a worker's slip of the pen must not become billions of rows.
+WIDEST = 10_000
+
+
 def _numbers(entries: DataFrame) -> DataFrame:
-    ok = entries.where("hi >= lo")
-    return ok.withColumn("num", F.explode(F.sequence("lo", "hi")))
+    """One row for each number; entries that are reversed or too wide have none, and are problems by themselves."""
+    ok = entries.where(F.col("hi").cast("long") - F.col("lo") < WIDEST)
+    return ok.where("hi >= lo").withColumn("num", F.explode(F.sequence("lo", "hi")))
+
+
+def too_wide(entries: DataFrame) -> DataFrame:
+    return entries.where(F.col("hi").cast("long") - F.col("lo") >= WIDEST)
 
 
 def overlaps(entries: DataFrame) -> DataFrame:
     """(title, num, kind, files): numbers that two entries hold, in one file or in several."""
     g = _numbers(entries).groupBy("title", "num").agg(F.count("*").alias("n"), F.count_distinct("file").alias("files")).where("n > 1")
-    return g.select("title", "num", F.when(F.col("files") > 1, "two-files").otherwise("same-file").alias("kind"), "files")
+    wide = too_wide(entries).select("title", F.col("lo").alias("num"), F.lit("too-wide").alias("kind"), F.lit(1).cast("long").alias("files"))
+    return g.select("title", "num", F.when(F.col("files") > 1, "two-files").otherwise("same-file").alias("kind"), "files").unionByName(wide)
 
 
 def coverage(cues: DataFrame, entries: DataFrame) -> DataFrame:

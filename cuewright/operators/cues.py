@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -108,10 +109,13 @@ def long_gaps(cues: DataFrame, least_ms: int = 120000, most: int = 5) -> DataFra
     return g.withColumn("rank", F.row_number().over(by_title())).where(F.col("rank") <= most).select("title", "pos", "gap_ms", "rank")
 
 
-def nearest_rank(values: Column, percent: int) -> Column:
-    """Element at round-half-even(percent / 100 * (n - 1)) of the sorted values; 0 without any."""
-    s = F.array_sort(values)
-    return F.coalesce(F.get(s, F.rint(F.lit(percent) * (F.size(s) - 1) / 100).cast("int")), F.lit(0).cast("long"))
+def nearest_ranks(values: DataFrame, value: str, percents: Sequence[int]) -> DataFrame:
+    """(title, p...) of (title, value): elements at round-half-even(percent / 100 * (n - 1)) in order; values are counted first, so a title's array is as long as its distinct values."""
+    counts = values.groupBy("title", F.col(value).alias("v")).agg(F.count("*").alias("c"))
+    upto, n = F.sum("c").over(Window.partitionBy("title").orderBy("v")), F.sum("c").over(Window.partitionBy("title"))
+    at = counts.withColumns({"upto": upto, "n": n})
+    rank = lambda p: F.rint(F.lit(p) * (F.col("n") - 1) / 100) + 1
+    return at.groupBy("title").agg(*(F.min(F.when(F.col("upto") >= rank(p), F.col("v"))).alias(f"p{p}") for p in percents))
 
 
 def qa_summary(cues: DataFrame) -> DataFrame:
@@ -120,10 +124,9 @@ def qa_summary(cues: DataFrame) -> DataFrame:
     dur = F.greatest(F.col("end_ms") - F.col("start_ms"), F.lit(1))
     milli = F.floor(X.n_spoken(t) * 1000000 / dur).cast("long")
     rows = cues.where("end_ms > start_ms").select("title", "pos", "end_ms", dur.alias("dur"), milli.alias("speed"), X.widest(t).alias("wide"))
-    return rows.groupBy("title").agg(
-        F.count("*").alias("n"), F.max_by("end_ms", "pos").alias("runtime_ms"), nearest_rank(F.collect_list("speed"), 50).alias("cps_p50"),
-        nearest_rank(F.collect_list("speed"), 90).alias("cps_p90"), F.max("speed").alias("cps_max"), nearest_rank(F.collect_list("wide"), 50).alias("cpl_p50"),
-        nearest_rank(F.collect_list("wide"), 90).alias("cpl_p90"), F.min("dur").alias("shortest_ms"))
+    whole = rows.groupBy("title").agg(F.count("*").alias("n"), F.max_by("end_ms", "pos").alias("runtime_ms"), F.max("speed").alias("cps_max"), F.min("dur").alias("shortest_ms"))
+    speed, wide = (nearest_ranks(rows, c, (50, 90)).select("title", F.col("p50").alias(f"{name}_p50"), F.col("p90").alias(f"{name}_p90")) for c, name in (("speed", "cps"), ("wide", "cpl")))
+    return whole.join(speed, "title").join(wide, "title").select("title", "n", "runtime_ms", "cps_p50", "cps_p90", "cps_max", "cpl_p50", "cpl_p90", "shortest_ms")
 
 
 def totals(found: DataFrame) -> DataFrame:
@@ -131,8 +134,27 @@ def totals(found: DataFrame) -> DataFrame:
 
 
 def top_findings(found: DataFrame, severity: str, most: int) -> DataFrame:
-    """The first findings of a severity, by title and number; counts are never cut."""
-    return found.where(F.col("severity") == severity).orderBy("title", "num", "rule").limit(most)
+    """The first findings of a severity in each title, by number and rule; counts are never cut."""
+    w = Window.partitionBy("title").orderBy("num", "rule", "detail")
+    ranked = found.where(F.col("severity") == severity).withColumn("rank", F.row_number().over(w))
+    return ranked.where(F.col("rank") <= most).drop("rank")
+
+
+def cue_at(cues: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The cues of (title, num) pairs, with what was asked for but isn't there as nulls."""
+    return wanted.select("title", "num").distinct().join(cues, ["title", "num"], "left")
+
+
+def file_findings(files: DataFrame, problems: DataFrame, cues: DataFrame) -> DataFrame:
+    """(title, severity, rule, detail) of whole files (title, text, encoding): what a look at single cues can't say."""
+    t = F.col("text")
+    of = files.select("title", F.explode(F.filter(F.array(
+        finding("HARD", "not-utf8", F.col("encoding") != "utf-8", F.col("encoding")), finding("HARD", "bom", t.startswith("\ufeff")),
+        finding("HARD", "literal-escape", X.has_literal_escape(t)), finding("HARD", "mojibake", X.has_mojibake(t))), lambda x: x.isNotNull())).alias("f"))
+    of = of.select("title", "f.severity", "f.rule", "f.detail")
+    bad = problems.groupBy("title").agg(F.count("*").cast("string").alias("detail")).select("title", F.lit("HARD").alias("severity"), F.lit("malformed").alias("rule"), "detail")
+    none = files.select("title").distinct().join(cues.select("title").distinct(), "title", "left_anti")
+    return of.unionByName(bad).unionByName(none.select("title", F.lit("HARD").alias("severity"), F.lit("no-cues").alias("rule"), F.lit("").alias("detail")))
 
 
 def union_all(parts: list[DataFrame]) -> DataFrame:

@@ -30,7 +30,6 @@ def target_findings(cues: DataFrame, pack: Pack, opt: Options = Options(), allow
         finding("SOFT", "overlap", F.col("start_ms") < F.col("prev_end") - OVERLAP_MS), finding("SOFT", "short", dur < opt.min_duration_ms),
         finding("SOFT", "lines", F.size(X.lines(t)) > opt.max_lines), finding("SOFT", "long-line", X.widest(t) > opt.max_cpl + LINE_SLACK),
         finding("SOFT", "cps-hard", speed > opt.hard_cps), finding("SOFT", "cps-target", (speed > opt.max_cps) & (speed <= opt.hard_cps)),
-        finding("SOFT", "speaker-label", X.speaker(t).isNotNull()), finding("SOFT", "bracket-tag", t.rlike(r"\[[^\]]+\]")),
     ]
 
     def hit(severity: str, rule: str, c: Column) -> Column:
@@ -81,22 +80,48 @@ def manifest_findings(target: DataFrame, made: DataFrame, source: DataFrame, pac
     return union_all(out)
 
 
-def ordered_timestamps(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Without a manifest: target timestamps must be an ordered part of the source's; (title, num, ...) of the first that isn't.
+def _walked(target: DataFrame, source: DataFrame) -> DataFrame:
+    """(title, ts, num, matched, bad): each title's source in order, the places its target takes, and the first target cue
+    whose timestamp line doesn't come behind the one before it.  Each takes the nearest place that fits."""
+    s = source.groupBy("title").agg(F.array_sort(F.collect_list(F.struct("pos", "num", "ts"))).alias("s"))
+    t = target.groupBy("title").agg(F.array_sort(F.collect_list(F.struct("pos", "num", "ts"))).alias("t"))
+    both = s.join(t, "title", "full_outer").select("title", *(F.coalesce(c, F.array().cast("array<struct<pos:int,num:int,ts:string>>")).alias(c) for c in ("s", "t")))
+    both = both.withColumn("ts", F.transform("s", lambda x: x["ts"]))
 
-    Unique source timestamps make that a join and a comparison with the previous
-    place; where some repeat, the k-th of a title's equal ones is the k-th place.
-    """
-    nth = F.row_number().over(Window.partitionBy("title", "ts").orderBy("pos"))
-    s = source.select("title", "ts", nth.alias("k"), F.col("pos").alias("place"))
-    at = target.withColumn("k", nth).join(s, ["title", "ts", "k"], "left")
-    w = Window.partitionBy("title").orderBy("pos")
-    bad = at.withColumn("bad", F.col("place").isNull() | (F.col("place") <= F.max("place").over(w.rowsBetween(Window.unboundedPreceding, -1)))).where("bad")
-    return _rows(bad.groupBy("title").agg(F.min_by("num", "pos").alias("num")), "ts-not-in-order")
+    def step(acc: Column, x: Column) -> Column:
+        rest = F.slice("ts", acc["at"] + 1, F.size("ts"))
+        found = F.array_position(rest, x["ts"]).cast("int")
+        hit = F.struct((acc["at"] + found).alias("at"), F.array_append(acc["matched"], acc["at"] + found).alias("matched"), acc["bad"].alias("bad"))
+        return F.when(acc["bad"].isNotNull(), acc).when(found > 0, hit).otherwise(F.struct(acc["at"].alias("at"), acc["matched"].alias("matched"), x["num"].alias("bad")))
+
+    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("matched"), F.lit(None).cast("int").alias("bad"))
+    return both.withColumn("w", F.aggregate("t", none, step)).select("title", "s", F.col("w.matched").alias("matched"), F.col("w.bad").alias("bad"))
+
+
+def ordered_timestamps(target: DataFrame, source: DataFrame) -> DataFrame:
+    """Without a manifest: target timestamps must be an ordered part of the source's; the first of each title that isn't."""
+    return _rows(_walked(target, source).where("bad is not null").withColumn("num", F.col("bad")), "ts-not-in-order")
 
 
 def dropped_dialogue(target: DataFrame, source: DataFrame) -> DataFrame:
-    """Without a manifest: source cues whose timestamps the target lacks and that may not be dropped."""
-    return _rows(source.where("not droppable").join(target.select("title", "ts"), ["title", "ts"], "left_anti"), "dialogue-dropped")
+    """Without a manifest: source cues at places that the target doesn't take and that may not be dropped."""
+    walked = _walked(target, source).select("title", "matched", F.posexplode("s").alias("i", "x"))
+    left = walked.where(~F.array_contains("matched", F.col("i") + 1)).select("title", F.col("x.num").alias("num"))
+    return _rows(left.join(source.where("droppable").select("title", "num"), ["title", "num"], "left_anti"), "dialogue-dropped")
+
 
+def source_findings(files: DataFrame, problems: DataFrame, sources: DataFrame, standalone: bool = False) -> DataFrame:
+    """(title, num, severity, rule, detail) of target files (title, text) as wholes; ``sources`` has the titles with a source.
 
+    Speaker labels and bracket tags are said once a file, whatever lies between cues.
+    """
+    t = F.col("text")
+    whole = [
+        _rows(files.where(t.startswith("\ufeff")).withColumn("num", F.lit(None)), "bom"),
+        _rows(problems.groupBy("title").agg(F.count("*").cast("string").alias("n")).withColumn("num", F.lit(None)), "malformed", detail=F.col("n")),
+        _rows(files.where(t.rlike(X.LABEL)).withColumn("num", F.lit(None)), "speaker-label", "SOFT"),
+        _rows(files.where(F.regexp_replace(t, X.INAUDIBLE, "").rlike(r"\[[^\]\n]+\]")).withColumn("num", F.lit(None)), "bracket-tag", "SOFT"),
+    ]
+    alone = files.select("title").distinct().join(sources.select("title").distinct(), "title", "left_anti").withColumn("num", F.lit(None))
+    whole.append(_rows(alone, "standalone" if standalone else "missing-source", "SOFT" if standalone else "HARD"))
+    return union_all(whole)

@@ -102,7 +102,7 @@ def qa_allcaps(spark, d):
 SELECT title, {', '.join(f"CAST(list_sort(list(n))[CAST(round_even({p} * (count(*) - 1) / 100.0, 0) AS INTEGER) + 1] AS BIGINT) AS p{p}" for p in (25, 50, 75, 95))} FROM q GROUP BY title""")
 def qa_percentiles(spark, d):
     rows = views.cues(spark, d).where("end_ms > start_ms").select("title", X.n_spoken(F.col("text")).alias("n"))
-    return rows.groupBy("title").agg(*(cues.nearest_rank(F.collect_list("n"), p).alias(f"p{p}") for p in (25, 50, 75, 95)))
+    return cues.nearest_ranks(rows, "n", (25, 50, 75, 95))
 
 
 @query()
@@ -394,7 +394,11 @@ def loop_collapse(spark, d):
     return tracks.loops_collapsed(x).select("title", "pos", "end_ms", "merged")
 
 
-@query()
+@query(f"""WITH {V.CUES}, o AS (SELECT *, row_number() OVER w - 1 AS i, lead(start_ms) OVER w AS following FROM cues WINDOW w AS (PARTITION BY title ORDER BY start_ms, end_ms, pos)),
+p AS (SELECT *, 90 * i + max(CASE WHEN i = 0 THEN greatest(start_ms, 40) ELSE start_ms END - 90 * i) OVER (PARTITION BY title ORDER BY i ROWS UNBOUNDED PRECEDING) AS s FROM o),
+r AS (SELECT *, greatest(coalesce(following, end_ms + 10000) - 40, s + 50) AS room FROM p),
+e AS (SELECT *, greatest(least(end_ms, room), least(s + 700, room)) AS e FROM r)
+SELECT title, pos, text, CAST(s AS BIGINT) AS start_ms, CAST(round_even(greatest(CAST(e AS DOUBLE), least(s + {V.spoken('text')} * 1000.0 / 17.0, CAST(room AS DOUBLE))), 0) AS BIGINT) AS end_ms FROM e""")
 def polish_timing(spark, d):
     return tracks.retimed(views.cues(spark, d))
 
@@ -480,7 +484,13 @@ def gap_windows(spark, d):
     return tracks.gap_windows(missing, 21600000)
 
 
-@query()
+@query(f"""WITH RECURSIVE {V.SPANS}, o AS (SELECT title, start_ms, end_ms, CASE event_type WHEN 'click' THEN 'draft' ELSE 'added' END AS text FROM spans WHERE event_type IN ('click', 'purchase')),
+n AS (SELECT *, CAST(row_number() OVER (PARTITION BY title ORDER BY start_ms, end_ms, text) AS INTEGER) AS pos FROM o),
+f AS (SELECT title, pos, text, start_ms AS s, CASE WHEN end_ms <= start_ms THEN start_ms + 50 ELSE end_ms END AS e FROM n WHERE pos = 1
+  UNION ALL SELECT n.title, n.pos, n.text, CASE WHEN n.start_ms < f.e THEN f.e + 1 ELSE n.start_ms END,
+    CASE WHEN n.end_ms <= CASE WHEN n.start_ms < f.e THEN f.e + 1 ELSE n.start_ms END THEN CASE WHEN n.start_ms < f.e THEN f.e + 1 ELSE n.start_ms END + 50 ELSE n.end_ms END
+  FROM f JOIN n ON n.title = f.title AND n.pos = f.pos + 1)
+SELECT title, pos, text, CAST(s AS BIGINT) AS start_ms, CAST(e AS BIGINT) AS end_ms FROM f""")
 def merged_track(spark, d):
     a = views.spans(spark, d, "click").withColumn("text", F.lit("draft"))
     return tracks.merged_track(a, views.spans(spark, d, "purchase").withColumn("text", F.lit("added")))

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import os
+import shutil
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -19,27 +21,52 @@ def srt_text(cues: DataFrame) -> DataFrame:
     return cues.groupBy("title").agg(rows.alias("rows")).select("title", F.array_join(block, "\n").alias("text"))
 
 
-def deliver(files: DataFrame, folder: str, suffix: str = ".srt") -> list[str]:
+def deliver(files: DataFrame, folder: str, suffix: str = ".srt", backup: bool = True) -> list[str]:
     """Write (title, text) to a folder that all executors mount: a temporary file beside the target, then a rename.
 
     Executors write, each file at once; writing a title again replaces it, so a
-    task that runs twice does no harm.  Returns the titles.
+    task that runs twice does no harm.  Where ``path`` names the file a title was
+    read from and that very file is the target, it is copied to ``.bak`` first.
+    Returns the titles.
     """
+    source = [F.col("path")] if "path" in files.columns else [F.lit(None).cast("string").alias("path")]
 
-    def write(rows: Iterator) -> None:
-        for r in rows:
-            data = r.text.encode("utf-8")
-            if data.startswith(b"\xef\xbb\xbf"):
-                raise ValueError(f"{r.title}: text starts with a byte order mark")
-            tmp = os.path.join(folder, f".{r.title}.{uuid.uuid4().hex}.tmp")
-            with open(tmp, "wb") as f:
-                f.write(data)
-                f.flush()
-                os.fsync(f.fileno())
-            os.replace(tmp, os.path.join(folder, r.title + suffix))
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for r in batch.to_pylist():
+                _replace(os.path.join(folder, r["title"] + suffix), r["text"].encode("utf-8"), r["path"] if backup else None)
+            yield batch.select(["title"])
 
-    files.select("title", "text").foreachPartition(write)
-    return [r.title for r in files.select("title").orderBy("title").collect()]
+    rows = files.select(F.col("title").cast("string").alias("title"), "text", *source)
+    return sorted(r.title for r in rows.mapInArrow(write, "title string").collect())
+
+
+def same_file(a: str, b: str) -> bool:
+    """Whether two paths are one file, however they are spelled."""
+    try:
+        return os.path.samefile(a, b)
+    except OSError:
+        return os.path.abspath(a) == os.path.abspath(b)
+
+
+def _replace(target: str, data: bytes, source: str | None) -> None:
+    if data.startswith(b"\xef\xbb\xbf"):
+        raise ValueError(f"{target}: text starts with a byte order mark")
+    source = source.removeprefix("file:") if source else None
+    if source and os.path.exists(target) and same_file(target, source):
+        kept = f"{target}.bak"
+        if not os.path.exists(kept):  # a task that runs again must not copy what it has written itself
+            shutil.copy2(target, kept)
+    tmp = f"{target}.{uuid.uuid4().hex}.tmp"
+    try:
+        with open(tmp, "wb") as f:
+            f.write(data)
+            f.flush()
+            os.fsync(f.fileno())
+        os.replace(tmp, target)
+    finally:
+        if os.path.exists(tmp):
+            os.remove(tmp)
 
 
 def written_differences(cues: DataFrame) -> DataFrame:
@@ -53,3 +80,27 @@ def written_differences(cues: DataFrame) -> DataFrame:
 def write_tables(df: DataFrame, path: str, *by: str) -> None:
     """A new version as Parquet; inputs are never deleted."""
     df.write.mode("overwrite").partitionBy(*by).parquet(path)
+
+
+def source_documents(cues: DataFrame) -> DataFrame:
+    """(title, json): the parsed source of each title as one JSON array in order of position."""
+    columns = [c for c in ("pos", "num", "ts", "text", "speaker", "sound", "inaudible", "bleep") if c in cues.columns]
+    return cues.groupBy("title").agg(F.to_json(F.array_sort(F.collect_list(F.struct(*columns)))).alias("json"))
+
+
+def slice_documents(sliced: DataFrame) -> DataFrame:
+    """(title, part, json): each slice's cues (number, text) as one JSON array."""
+    return sliced.groupBy("title", "part").agg(F.to_json(F.transform(F.array_sort(F.collect_list(F.struct("pos", "num", "text"))), lambda x: x.dropFields("pos"))).alias("json"))
+
+
+def manifest_documents(made: DataFrame, head: DataFrame) -> DataFrame:
+    """(title, json): a build's manifest, its header with all its rows in source order."""
+    row = F.struct(F.array_min("src").alias("lo"), "out", "src", "ts", "src_hash", "tgt_hash", "drop", "reason")
+    rows = made.groupBy("title").agg(F.transform(F.array_sort(F.collect_list(row)), lambda x: x.dropFields("lo")).alias("cues"))
+    fields = [c for c in head.columns if c != "title"]
+    return head.join(rows, "title").select("title", F.to_json(F.struct(*fields, "cues")).alias("json"))
+
+
+def write_documents(df: DataFrame, path: str) -> None:
+    """(title, json) or (title, part, json) as text files, partitioned by the other columns."""
+    df.write.mode("overwrite").partitionBy(*(c for c in df.columns if c != "json")).text(path)

@@ -19,29 +19,35 @@ FLAGS = "title string, part int, flag string"
 def ready_slices(observed: DataFrame, stable_ms: int = 60_000) -> DataFrame:
     """Of a stream of observations: (title, part, flag) whenever a slice's flag may have changed.
 
-    LAST-CUE while the file ends early, UNSTABLE after a change, READY once
-    nothing has changed for ``stable_ms``.  A later change makes a slice UNSTABLE
+    LAST-CUE while the file ends early, UNSTABLE after a change, READY once, when
+    nothing has changed for ``stable_ms``, however often it was looked at.  A later change makes a slice UNSTABLE
     again: writers thought dead do come back.
     """
 
+    def say(title: str, part: int, flag: str) -> pd.DataFrame:
+        return pd.DataFrame([(title, part, flag)], columns=["title", "part", "flag"])
+
     def watch(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        title, part = key
-        if state.hasTimedOut:
-            size, mtime, complete = state.get
-            state.update((size, mtime, complete))
-            yield pd.DataFrame([(title, part, "READY" if complete else "LAST-CUE")], columns=["title", "part", "flag"])
-            return
-        before = state.get if state.exists else (None, None, False)
-        rows = pd.concat(list(batches)).sort_values(["mtime", "size"], kind="stable")
-        now = rows.iloc[-1]
-        complete = bool(now["last"] == now["hi"])
-        seen = (int(now["size"]), float(now["mtime"]), complete)
-        if seen != before:
-            state.update(seen)
-            state.setTimeoutDuration(stable_ms)
-            yield pd.DataFrame([(title, part, "UNSTABLE" if complete else "LAST-CUE")], columns=["title", "part", "flag"])
-
-    return observed.groupBy("title", "part").applyInPandasWithState(watch, FLAGS, "size long, mtime double, complete boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
+        size, mtime, complete, since, told = state.get if state.exists else (None, None, False, 0, False)
+        clock, flag = state.getCurrentProcessingTimeMs(), None
+        if not state.hasTimedOut:
+            rows = pd.concat(list(batches)).sort_values(["mtime", "size"], kind="stable")
+            now = rows.iloc[-1]
+            seen = (int(now["size"]), float(now["mtime"]), bool(now["last"] == now["hi"]))
+            if seen != (size, mtime, complete):
+                (size, mtime, complete), since, told = seen, clock, False
+                flag = "UNSTABLE" if complete else "LAST-CUE"
+        # a timer lasts for one call, so it is set in each; an unchanged look does not make the wait longer
+        left = since + stable_ms - clock
+        if not told and left <= 0:
+            told, flag = True, "READY" if complete else "LAST-CUE"
+        state.update((size, mtime, complete, since, told))
+        if not told:
+            state.setTimeoutDuration(max(1, left))
+        if flag:
+            yield say(*key, flag)
+
+    return observed.groupBy("title", "part").applyInPandasWithState(watch, FLAGS, "size long, mtime double, complete boolean, since long, told boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
 
 
 def without_late_copies(entries: DataFrame, at: str = "seen_at", late: str = "10 minutes") -> DataFrame:

@@ -1,14 +1,18 @@
+import json
 import random
+import time
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from cuewright.functions import text as X
 from cuewright.functions import timing
 from cuewright.functions.rules import Options, Pack, Rewrite, boilerplate_patterns, rewritten
-from cuewright.operators import batches, cues, tracks, validate
-from cuewright.plans import queries
-from cuewright.sources import sinks, subtitles
+from cuewright.operators import batches, cues, providers, tracks, validate
+from cuewright.plans import gates, queries
+from cuewright.sources import settings, sinks, subtitles
+from cuewright.streaming import readiness
 
 SRT = """1
 00:00:01,000 --> 00:00:02,500
@@ -59,9 +63,9 @@ def test_decode_as_asked_must_fit():
         subtitles.decode_bytes(b"\xe9", "utf-8")
 
 
-def test_mojibake_repair():
-    assert subtitles.repair_mojibake("hÃ©roe") == "héroe"
-    assert subtitles.repair_mojibake("MÃO") == "MÃO"
+@pytest.mark.parametrize(("text", "want"), [("hÃ©roe", "héroe"), ("MÃO", "MÃO"), ("aÃ±o\nplain\nâ‚¬ Ã‰l", "año\nplain\n€ Él"), ("Â¿QuÃ©?", "¿Qué?"), ("", ""), ("﻿a`nb\\nc", "a\nb\nc")])
+def test_sanitized(spark, text, want):
+    assert one(spark, text, subtitles.sanitized) == want
 
 
 def test_timestamps(spark):
@@ -196,17 +200,89 @@ def test_patterns_fail_loud():
         boilerplate_patterns("abc")
 
 
+def spoken(said, pause=0.05):
+    start = np.array([0.35 * i for i in range(len(said))]) + np.cumsum([0.0] + [max(0.0, pause - 0.05)] * (len(said) - 1))
+    return said, start, start + 0.3
+
+
+def left(said, pause=0.05):
+    return [said[i] for i in tracks.without_loops(*spoken(said, pause))]
+
+
+def test_loops_of_words():
+    assert left(["no"] * 8) == ["no"] * 2 and left(["no"] * 4) == ["no"] * 4 and left(["no"] * 8, 0.5) == ["no"] * 8
+    phrase = "we go on".split()
+    assert left(phrase * 6) == phrase * 2 and left(phrase * 3) == phrase * 3
+    assert left(["", ""] * 6) == [""] * 12 and left(["a", "", "a", ""] * 3) == ["a", "", "a", ""]
+
+
 def test_words_to_cues():
-    words = [("no", 0.35 * i, 0.35 * i + 0.3) for i in range(8)]
-    assert len(tracks.drop_stutter(words)) == 2
-    assert len(tracks.drop_stutter(words[:2])) == 2
-    phrase = [(w, 0.35 * i, 0.35 * i + 0.3) for i, w in enumerate("we go on".split() * 6)]
-    assert len(tracks.drop_stutter(phrase)) == 6
-    assert len(tracks.drop_stutter(phrase[:9])) == 9
-    many = [(f"word{i}", 0.35 * i, 0.35 * i + 0.3) for i in range(40)]
-    groups = tracks.group_words(many, 84)
-    assert [w for g in groups for w in g] == many
-    assert all(len(" ".join(w[0] for w in g)) <= 84 for g in groups)
+    rng = random.Random(6)
+    for most in (20, 84):
+        said = ["x" * rng.randint(1, 9) + rng.choice(("", "", "", ",", ".")) for _ in range(300)]
+        words, start, end = spoken(said)
+        cut = tracks.Cutter(words, start, end, most).cues()
+        assert [i for a, b in cut for i in range(a, b)] == list(range(300))
+        assert all(len(" ".join(said[a:b])) <= most and end[b - 1] - start[a] <= tracks.MAX_CUE + 0.4 for a, b in cut)
+        assert not any(said[i].endswith(".") and len(" ".join(said[a : i + 1])) >= 0.45 * most for a, b in cut for i in range(a, b - 1))
+    words, start, end = spoken(["one", "two", "three"], 0.7)
+    assert tracks.Cutter(words, start, end, 84).cues() == [(0, 1), (1, 2), (2, 3)]
+    assert tracks.Cutter([], np.zeros(0), np.zeros(0), 84).cues() == []
+
+
+def brute_retimed(rows, least=700, cps=17.0):
+    out, before = [], 0.0
+    starts = [a / 1000 for _, a, _ in rows]
+    for i, (text, a, b) in enumerate(rows):
+        s, e = max(a / 1000, before + 0.04), b / 1000
+        room = max((starts[i + 1] if i + 1 < len(rows) else e + 10) - 0.04, s + 0.05)
+        e = min(e, room)
+        for want in (s + least / 1000, s + len(text.replace(" ", "")) / cps):
+            e = max(e, min(want, room))
+        before = e
+        out.append((round(s * 1000), round(e * 1000)))
+    return out
+
+
+def test_retimed_equals_the_fold_it_stands_for(spark):
+    rng, at, rows = random.Random(8), 0, []
+    for _ in range(400):
+        rows.append(("x" * rng.randint(1, 60), at, at + rng.choice((10, 90, 800, 3000))))
+        at += rng.choice((0, 1, 5, 30, 60, 95, 700, 4000))
+    rows.sort(key=lambda r: (r[1], r[2]))
+    got = [(r.start_ms, r.end_ms) for r in tracks.retimed(track(spark, rows)).orderBy("pos").collect()]
+    want = brute_retimed(rows)
+    assert len(got) == len(want) and all(abs(x - y) <= 1 for g, w in zip(got, want, strict=True) for x, y in zip(g, w, strict=True))
+
+
+def brute_speech(rows, least=700, cps=17.0):
+    out, before = [], 0.0
+    for i, (text, a, b) in enumerate(rows):
+        s = max(before + 0.001, a - 0.08, 0.0)
+        room = max((rows[i + 1][1] if i + 1 < len(rows) else b + 5.0) - 0.04, s + 0.05)
+        e = min(max(b + 0.35, (round(s * 1000) + least) / 1000, s + len(text.replace(" ", "")) / cps), room)
+        before = e
+        out.append((text, round(s * 1000), round(e * 1000)))
+    return out
+
+
+def test_speech_and_merged_tracks_equal_brute_force(spark):
+    rng, at, rows = random.Random(9), 0.0, []
+    for i in range(200):
+        rows.append((f"cue {i} " + "x" * rng.randint(0, 40), at, at + rng.choice((0.05, 0.4, 2.0))))
+        at = round(at + rng.choice((0.01, 0.06, 0.5, 2.5)), 3)
+    df = spark.createDataFrame([("t", i, *r) for i, r in enumerate(rows)], "title string, pos int, text string, start double, end double")
+    assert [(r.text, r.start_ms, r.end_ms) for r in tracks.speech_retimed(df).orderBy("pos").collect()] == brute_speech(rows)
+    a = [("d", 0, 900), ("d", 2000, 2400), ("d", 2450, 9000)]
+    b = [("a", 880, 890), ("a", 2300, 2420)]
+    got = [(r.text, r.start_ms, r.end_ms) for r in tracks.merged_track(track(spark, a), track(spark, b)).orderBy("pos").collect()]
+    assert got == [("d", 0, 900), ("a", 901, 951), ("d", 2000, 2400), ("a", 2401, 2420), ("d", 2450, 9000)]
+
+
+def test_polish_counts(spark):
+    rows = [("...", 0, 100), ("Hello", 200, 1200), ("hello", 1300, 2000), ("x" * 30 + " " + "y" * 30, 1990, 2000), ("short", 9000, 9100)]
+    r = tracks.polish_counts(track(spark, rows)).first()
+    assert (r.dropped_empty, r.collapsed_loops, r.rewrapped, r.overlaps_fixed, r.extended_short, r.dropped_boilerplate) == (1, 1, 1, 0, 2, 0)
 
 
 def test_drift_is_found(spark):
@@ -241,6 +317,128 @@ def test_state_keeps_what_a_change_leaves_out(spark):
     assert (r.status, r.version, r.updated_at) == ("done", "v1", 2)
 
 
+def test_delivery_backs_up_what_it_overwrites(spark, tmp_path):
+    (tmp_path / "a.srt").write_text("before")
+    rows = [("a", "after", f"{tmp_path}/./a.srt"), ("b", "new", f"{tmp_path}/elsewhere.srt")]
+    df = spark.createDataFrame(rows, "title string, text string, path string")
+    assert sinks.deliver(df, str(tmp_path)) == ["a", "b"] == sinks.deliver(df, str(tmp_path))
+    assert {p.name: p.read_text() for p in tmp_path.iterdir() if not p.name.endswith(".crc")} == {"a.srt": "after", "a.srt.bak": "before", "b.srt": "new"}
+    with pytest.raises(Exception, match="byte order mark"):
+        sinks.deliver(spark.createDataFrame([("c", "﻿x")], "title string, text string"), str(tmp_path))
+    assert not list(tmp_path.glob("*.tmp")) and not (tmp_path / "c.srt").exists()
+
+
+def test_documents_are_written_and_read(spark, tmp_path):
+    c = track(spark, [("a", 0, 1), ("b", 2, 3)])
+    sinks.write_documents(sinks.source_documents(c), f"{tmp_path}/source")
+    got = subtitles.read_json(spark, f"{tmp_path}/source", "pos int, num int, text string").orderBy("pos").collect()
+    assert [(r.pos, r.text) for r in got] == [(1, "a"), (2, "b")]
+    sinks.write_documents(sinks.slice_documents(cues.sliced(c, 2)), f"{tmp_path}/slices")
+    assert spark.read.text(f"{tmp_path}/slices").orderBy("part").first().value == '[{"num":1,"text":"a"}]'
+    sinks.write_tables(c, f"{tmp_path}/tables", "title")
+    assert spark.read.parquet(f"{tmp_path}/tables").count() == 2
+
+
+def test_settings(spark, tmp_path):
+    assert settings.merged({"a": {"x": 1, "y": 2}, "b": 3}, {"a": {"y": 5, "z": None}, "b": None, "c": 4}) == {"a": {"x": 1, "y": 5}, "b": 3, "c": 4}
+    assert settings.merged({"a": 1}, None) == {"a": 1}
+    language = {"banned": {"terms": ["foo"], "context_exempt": [{"term": "tío", "before": ["mi"]}]}, "leftover_source_markers": ["the"], "kept_loanwords": ["right"], "readability": {"max_cpl": 40, "min_duration": 0.8}}
+    (tmp_path / "pack.json").write_text(json.dumps(language))
+    (tmp_path / "empty.json").write_text("")
+    read = settings.read(spark, f"{tmp_path}/pack.json")
+    assert read == language and settings.read(spark, f"{tmp_path}/empty.json") == {}
+    got = settings.settings({"readability": {"max_cpl": 44}, "named_entities_keep_verbatim": ["Ana", "House -> Casa"], "catchphrases": [{"find": "a", "replace": "b"}, {"find": "c"}], "asr": {"hallucination_min_repeats": 4}}, read)
+    assert (got.options.max_cpl, got.options.min_duration_ms, got.options.min_repeats) == (44, 800, 4)
+    assert got.pack.entities == (("Ana", "Ana"), ("House", "Casa")) and got.pack.exempt == {"tío": {"before": ("mi",), "after": (), "capital": ()}} and len(got.fixes) == 1
+    pytest.importorskip("yaml")
+    (tmp_path / "p.yaml").write_text("readability:\n  max_cpl: 30\n")
+    assert settings.read(spark, f"{tmp_path}/p.yaml") == {"readability": {"max_cpl": 30}}
+    with pytest.raises(ValueError, match="list of strings"):
+        settings.pack({"kept_loanwords": "right"})
+
+
+def test_adapters_and_ledger(spark):
+    src = spark.createDataFrame([("t", 1, "uno"), ("t", 2, "dos")], "title string, num int, text string")
+
+    def shout():
+        return lambda pdf: pdf.assign(text=pdf.text.str.upper())
+
+    assert [r.text for r in providers.adapted(src, "translate", shout).orderBy("num").collect()] == ["UNO", "DOS"]
+    with pytest.raises(Exception, match="gives no"):
+        providers.adapted(src, "words", shout).collect()
+    events = [("t", "a", "MAJOR", "open", "", 1), ("t", "a", "MAJOR", "open", "", 2), ("t", "b", "MAJOR", "rejected-with-evidence", " ", 1), ("u", "c", "MINOR", "open", "", 1), ("v", "d", "CRITICAL", "open", "", 1)]
+    e = spark.createDataFrame(events, "title string, issue string, severity string, state string, evidence string, round int")
+    assert {r.title: r.verdict for r in providers.verdicts(e).collect()} == {"t": "NEEDS-HUMAN", "u": "PROCEED", "v": "REVIEW"}
+    assert [(r.issue, r.rule) for r in providers.ledger_problems(e).collect()] == [("b", "no-evidence")]
+
+
+def test_batch_heads_take_spaces_and_wide_ranges_are_rows(spark):
+    files = spark.createDataFrame([("t", "a", "3 .. 4|||x\n5..2000000000|||y")], "title string, file string, text string")
+    e = subtitles.batch_entries(files)
+    assert [(r.lo, r.hi, r.text) for r in e.orderBy("lo").collect()] == [(3, 4, "x"), (5, 2000000000, "y")]
+    assert [(r.num, r.kind) for r in batches.overlaps(e).collect()] == [(5, "too-wide")]
+    assert batches.coverage(track(spark, [("s", 0, 1)] * 4), e).count() == 2
+
+
+def test_gates(spark):
+    said = ["Uno dos tres", "[music]", "Cuatro"]
+    src = track(spark, [(s, 4000 * i + 1000, 4000 * i + 3000) for i, s in enumerate(said)]).withColumn("ts", timing.format_span(F.col("start_ms"), F.col("end_ms")))
+    src = cues.classified(src.unionByName(src.withColumn("title", F.lit("u"))))
+    files = spark.createDataFrame([("t", "w", "1|||Eins zwei drei\n2|||<DROP>\n3|||Vier"), ("u", "w", "1|||Eins\n3|||Vier")], "title string, file string, text string")
+    allowed = spark.createDataFrame([], "title string, num int, reason string")
+    done = gates.finalize(src, files, allowed, Pack())
+    assert {r.title: r.ok for r in done.gates.groupBy("title").agg(F.bool_and("passed").alias("ok")).collect()} == {"t": True, "u": False}
+    assert [r.title for r in done.files().collect()] == ["t"] and done.files().first().text.startswith("1\n00:00:01,000 --> 00:00:03,000\nEins zwei drei\n")
+    states = {r.title: (r.status, r.stage) for r in done.states().collect()}
+    assert states == {"t": ("done", None), "u": ("built", "normalize")}
+
+
+def test_ready_slices_of_a_stream(spark, tmp_path):
+    """UNSTABLE at once, READY once after the wait however often it is looked at, UNSTABLE again after a change."""
+    inbox, schema = tmp_path / "in", "title string, part int, hi int, last int, size long, mtime double"
+    inbox.mkdir()
+
+    def put(name, *rows):
+        (inbox / f".{name}").write_text("\n".join(json.dumps(dict(zip(("title", "part", "hi", "last", "size", "mtime"), r, strict=True))) for r in rows))
+        (inbox / f".{name}").rename(inbox / f"{name}.json")
+
+    put("1", ("t", 1, 9, 9, 100, 1.0), ("t", 2, 9, 4, 50, 1.0))
+    stream = readiness.ready_slices(spark.readStream.schema(schema).json(str(inbox)), 1500)
+    run = stream.writeStream.format("memory").queryName("flags").outputMode("append").trigger(processingTime="200 milliseconds").option("checkpointLocation", f"{tmp_path}/at").start()
+
+    def said(part):
+        return [r.flag for r in spark.sql(f"select flag from flags where part = {part}").collect()]
+
+    def wait(part, want):
+        end = time.time() + 60
+        while said(part) != want and time.time() < end:
+            time.sleep(0.2)
+        assert said(part) == want
+
+    try:
+        wait(1, ["UNSTABLE"])
+        for k in range(4):
+            put(f"again{k}", ("t", 1, 9, 9, 100, 1.0))
+            time.sleep(0.5)
+        wait(1, ["UNSTABLE", "READY"])
+        put("same", ("t", 1, 9, 9, 100, 1.0))
+        time.sleep(2)
+        assert said(1) == ["UNSTABLE", "READY"] and said(2)[0] == "LAST-CUE" and "READY" not in said(2)
+        put("late", ("t", 1, 9, 9, 120, 2.0))
+        wait(1, ["UNSTABLE", "READY", "UNSTABLE", "READY"])
+    finally:
+        run.stop()
+
+
+def test_late_copies_count_once(spark, tmp_path):
+    path = str(tmp_path / "e")
+    spark.sql("select 't' title, 'a' file, 1 lo, timestamp'2024-01-01 00:00:00' seen_at union all select 't', 'a', 1, timestamp'2024-01-01 00:01:00' union all select 't', 'b', 1, timestamp'2024-01-01 00:01:00'").write.parquet(path)
+    stream = readiness.without_late_copies(spark.readStream.schema("title string, file string, lo int, seen_at timestamp").parquet(path))
+    run = stream.writeStream.format("memory").queryName("copies").trigger(availableNow=True).start()
+    run.awaitTermination(120)
+    assert sorted(r.file for r in spark.table("copies").collect()) == ["a", "b"]
+
+
 def test_delivery(spark, tmp_path):
     df = spark.createDataFrame([("a", SRT)], "title string, text string")
     assert sinks.deliver(df, str(tmp_path)) == ["a"]
