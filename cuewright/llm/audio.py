@@ -1,17 +1,20 @@
 """MPEG audio columns: multiplex bytes into a stream, and scan any stream.
 
 ``scan`` reads MPEG-1/2/2.5 audio of layers I to III: it skips and parses ID3v2
-tags, reads Xing/Info and VBRI tables and an ID3v1 trailer, resynchronises on
-frame headers after damage, verifies checksums (layers I and III; layer II
-checksums need allocation tables and count as unchecked), and gives the exact
-duration as samples over sample rate with the offset of every frame.
+tags, reads Xing/Info and VBRI tables (with their seek points, and an encoder's
+delay and padding) and an ID3v1 trailer, resynchronises on frame headers, verifies
+checksums (layers I and III; layer II checksums need allocation tables and count as
+unchecked), and gives the exact duration as samples, less delay and padding, over
+sample rate with the offset of every frame.  A header counts at the start and after
+damage only if another of its kind, or the end, follows its frame.
 
 ``multiplex`` stores arbitrary bytes losslessly in a decodable layer III stream:
 frames of silence (all part lengths 0) carry the bytes as ancillary data, behind
 a two-byte count.  Frame sizes vary, so a Xing table is written as well.
 
 Nulls: a null stream scans as an empty one (no frames, zero duration); a null
-text is an empty text.  Free-format frames (bitrate index 0) are not frames here.
+text is an empty text.  Equal rows get equal results, rows without doc_id too, and
+empty tables give no rows.  Free-format frames (bitrate index 0) are not frames here.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from collections.abc import Callable
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 
@@ -35,7 +39,6 @@ BITRATES = {
 }
 RATES = {3: (44100, 48000, 32000), 2: (22050, 24000, 16000), 0: (11025, 12000, 8000)}
 
-SEEK_EVERY = 16
 _RATE, _RATE_INDEX, _SIDE = 32000, 2, 17
 _SIZES = [144 * b * 1000 // _RATE for b in BITRATES[True, 3]]
 _ROOM = [s - 4 - 2 - _SIDE - 2 for s in _SIZES]
@@ -182,23 +185,43 @@ def _variable_table(data: bytes, at: int, h: tuple) -> dict | None:
                 p += 4
         if flags & 4:
             out["toc"] = list(data[p : p + 100])
+            p += 100
+        p += 4 if flags & 8 else 0
+        if data[p : p + 4] in (b"LAME", b"Lavf", b"Lavc") and len(data) >= p + 24:
+            both = int.from_bytes(data[p + 21 : p + 24], "big")
+            out["delay"], out["padding"] = both >> 12, both & 0xFFF
         return out
     v = at + 36
     if data[v : v + 4] == b"VBRI":
-        return {"kind": "VBRI", "bytes": int.from_bytes(data[v + 10 : v + 14], "big"), "frames": int.from_bytes(data[v + 14 : v + 18], "big")}
+        entries, scale, size, each = (int.from_bytes(data[v + k : v + k + 2], "big") for k in (18, 20, 22, 24))
+        steps = [int.from_bytes(data[v + 26 + k * size : v + 26 + (k + 1) * size], "big") * scale for k in range(entries if 0 < size <= 4 else 0) if v + 26 + (k + 1) * size <= len(data)]
+        return {"kind": "VBRI", "bytes": int.from_bytes(data[v + 10 : v + 14], "big"), "frames": int.from_bytes(data[v + 14 : v + 18], "big"), "seek": list(accumulate(steps)), "frames_each": each}
     return None
 
 
+def _seeks_agree(vbr: dict, first: int, frames: list) -> bool:
+    """Whether a table's seek points are where its frames are: at a hundredth each, or at every so many frames."""
+    starts, end = [a for a, _, _ in frames], frames[-1][0] + frames[-1][1] if frames else first
+    if "toc" in vbr and starts:
+        total = vbr.get("bytes") or end - first
+        slack = total / 256 + max(n for _, n, _ in frames)
+        return all(abs(first + t * total / 256 - starts[len(starts) * p // 100]) <= slack for p, t in enumerate(vbr["toc"]))
+    if vbr.get("seek") and vbr.get("frames_each"):
+        steps, each = vbr["seek"], vbr["frames_each"]
+        return all(abs(first + s - (starts[k * each] if k * each < len(starts) else end)) <= max(n for _, n, _ in frames) for k, s in enumerate(steps, 1))
+    return True
+
+
 def scan(data: bytes | None) -> dict:
     """Frames (offset, size, header), tags, variable-bitrate table, checksum counts, losses of sync, samples."""
     data = data or b""
     tags, at, end = _tags(data)
     frames, crc, vbr, lost, skipped = [], {"ok": 0, "bad": 0, "none": 0, "unchecked": 0}, None, 0, 0
     checked: dict[bytes, bool] = {}
-    synced = True
+    synced, table_at = False, 0
     while at + 4 <= end:
         h = header(data, at)
-        if h and not synced:  # after damage a header counts only if another or the end follows it
+        if h and not synced:
             follows = at + h[7]
             n = header(data, follows)
             if not (follows == end or n and n[:2] == h[:2] and n[4] == h[4]):
@@ -212,6 +235,7 @@ def scan(data: bytes | None) -> dict:
             continue
         synced = True
         if not frames and vbr is None and (vbr := _variable_table(data, at, h)):
+            table_at = at
             at += h[7]
             continue
         if not h[2]:
@@ -225,9 +249,11 @@ def scan(data: bytes | None) -> dict:
             crc["ok" if checked[part] else "bad"] += 1
         frames.append((at, h[7], h))
         at += h[7]
+    total = sum(h[8] for _, _, h in frames)
+    silent = sum((vbr or {}).get(k, 0) for k in ("delay", "padding"))
     return {
-        "tags": tags, "vbr": vbr, "frames": frames, "crc": crc, "lost": lost, "skipped": skipped + max(0, end - at),
-        "samples": sum(h[8] for _, _, h in frames), "rate": frames[0][2][4] if frames else 0,
+        "tags": tags, "vbr": vbr, "seeks_agree": vbr is None or _seeks_agree(vbr, table_at, frames), "frames": frames, "crc": crc, "lost": lost, "skipped": skipped + max(0, end - at),
+        "samples": max(0, total - silent), "rate": frames[0][2][4] if frames else 0,
     }
 
 
@@ -250,7 +276,7 @@ def feature(found: dict) -> str:
         f"mpeg={ {3: '1', 2: '2', 0: '2.5'}[h[0]] };layer={h[1]};hz={found['rate']};channels={h[5]};frames={len(f)};"
         f"duration={found['samples']}/{found['rate']};kbps={min((x[2][3] for x in f), default=0)}-{max((x[2][3] for x in f), default=0)};"
         f"bytes={total};crc_ok={c['ok']};crc_bad={c['bad']};lost={found['lost']};vbr={v.get('kind', 'none')};"
-        f"table_agrees={int(v.get('frames') == len(f))};tags={','.join(sorted(found['tags']))}"
+        f"table_agrees={int(v.get('frames') == len(f))};seeks_agree={int(found['seeks_agree'])};tags={','.join(sorted(found['tags']))}"
     )
 
 
@@ -272,7 +298,7 @@ def audio_features(media: DataFrame) -> DataFrame:
 
     One row for each input row: the payload's length, digest and tail checksum,
     the stream's length and digest, its feature line, exact duration in
-    samples, sample rate, and the offset of every sixteenth frame for seeking.
+    samples, sample rate, and the offset of every frame for seeking.
     """
 
     def make() -> Callable[[dict], dict]:
@@ -282,7 +308,7 @@ def audio_features(media: DataFrame) -> DataFrame:
             found = scan(m)
             p = carried(m, found)
             return (len(p), hashlib.sha256(p).hexdigest(), zlib.crc32(p[-64:]), len(m), hashlib.sha256(m).hexdigest(),
-                    feature(found), found["samples"], found["rate"], [at for at, _, _ in found["frames"][::SEEK_EVERY]])
+                    feature(found), found["samples"], found["rate"], [at for at, _, _ in found["frames"]])
 
         def run(x: dict) -> dict:
             rows = [one(m or b"") for m in x["media"]]

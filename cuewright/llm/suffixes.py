@@ -19,9 +19,11 @@ can matter, in blocks:
    grows with the input: the windows of such anchors are counted by their hash
    instead, over all tasks.
 
-Classes, anchors and segments are told apart by 64 to 128 bits of hash; windows
-in blocks are compared byte by byte.  Null texts are empty.  Equal rows get
-equal results.
+Classes, anchors and segments are told apart by 128 bits of hash (64 only pick
+candidates and deal out blocks); windows in blocks are compared byte by byte.
+Null texts are empty.  Equal rows get equal results, rows without doc_id too: they
+count as texts like others, but are no one's first row, so what only they hold
+stays.  Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -72,16 +74,16 @@ def _overviews(base: DataFrame) -> DataFrame:
 
 
 def _segments(held: DataFrame, length: int, core: int) -> DataFrame:
-    """(h, s1, s2, left, right, doc_id, k1, start, n): n windows from start on have the anchor h."""
+    """(h, h2, s1, s2, left, right, doc_id, k1, start, n): n windows from start on have the anchor (h, h2)."""
 
     def make() -> Callable[[dict], dict]:
         w = length - core + 1
 
         def run(x: dict) -> dict:
-            out: dict[str, list] = {n: [] for n in ("h", "s1", "s2", "left", "right", "doc_id", "k1", "start", "n")}
+            out: dict[str, list] = {n: [] for n in ("h", "h2", "s1", "s2", "left", "right", "doc_id", "k1", "start", "n")}
             for d, k, t, at in zip(x["doc_id"], x["k1"], x["text"], x["at"], strict=True):
                 raw = encoded(t)
-                g = windows(np.frombuffer(raw, np.uint8), core)
+                g, g2 = (windows(np.frombuffer(raw, np.uint8), core, seed) for seed in (0, 1))
                 low = _sliding(g, w, np.minimum, (1 << 64) - 1)
                 for p in at:
                     own = np.flatnonzero(low[max(0, p - w + 1) : p + 1] == g[p]) + max(0, p - w + 1)
@@ -89,18 +91,18 @@ def _segments(held: DataFrame, length: int, core: int) -> DataFrame:
                         continue
                     a, b = int(own[0]), int(own[-1])
                     left, right = raw[a:p], raw[p + core : b + length]
-                    h = int(g[p].view(np.int64))
-                    key = hashlib.blake2b(b"%d:%d:" % (h, len(left)) + left + right, digest_size=16).digest()
-                    row = (h, int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True), left, right, d, k, a, b - a + 1)
+                    h, h2 = int(g[p].view(np.int64)), int(g2[p].view(np.int64))
+                    key = hashlib.blake2b(b"%d:%d:%d:" % (h, h2, len(left)) + left + right, digest_size=16).digest()
+                    row = (h, h2, int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True), left, right, d, k, a, b - a + 1)
                     for n, v in zip(out, row, strict=True):
                         out[n].append(v)
             return out
         return run
 
-    return map_rows(held, make, "h long, s1 long, s2 long, left binary, right binary, doc_id long, k1 long, start long, n int", 64)
+    return map_rows(held, make, "h long, h2 long, s1 long, s2 long, left binary, right binary, doc_id long, k1 long, start long, n int", 64)
 
 
-def repeated_in_block(segments: list[tuple[int, bytes, bytes, int]], length: int, core: int) -> list[np.ndarray]:
+def repeated_in_block(segments: list[tuple[tuple[int, int], bytes, bytes, int]], length: int, core: int) -> list[np.ndarray]:
     """For segments (anchor, left, right, n): which of each one's n windows another place in the block repeats.
 
     Bytes are symbols 0 to 255, then come anchors, then each segment's own end.
@@ -135,7 +137,7 @@ def _by_suffix_arrays(distinct: DataFrame, length: int, core: int) -> DataFrame:
     schema = pa.schema([("s1", pa.int64()), ("s2", pa.int64()), ("ranges", pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())])))])
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        found = repeated_in_block([(r[0], r[3], r[4], r[5]) for r in rows], length, core)
+        found = repeated_in_block([((r[0], r[7]), r[3], r[4], r[5]) for r in rows], length, core)
         got = [(r[1], r[2], _runs(m)) for r, m in zip(rows, found, strict=True) if r[6] == 1 and m.any()]
         return pa.RecordBatch.from_arrays([pa.array([g[i] for g in got], type=schema.field(i).type) for i in range(3)], schema=schema)
 
@@ -159,7 +161,7 @@ def _by_suffix_arrays(distinct: DataFrame, length: int, core: int) -> DataFrame:
         if held:
             yield solve(held)
 
-    rows = distinct.select("h", "s1", "s2", "left", "right", "n", "places")
+    rows = distinct.select("h", "s1", "s2", "left", "right", "n", "places", "h2")
     return rows.repartition("h").sortWithinPartitions("h", "s1", "s2").mapInArrow(run, f"s1 long, s2 long, ranges {_RANGES}")
 
 
@@ -171,12 +173,13 @@ def _by_window_hashes(distinct: DataFrame, length: int, core: int) -> DataFrame:
 
         def run(x: dict) -> dict:
             out: dict[str, list] = {n: [] for n in ("w1", "w2", "s1", "s2", "off")}
-            for h, s1, s2, left, right, n in zip(*(x[c] for c in ("h", "s1", "s2", "left", "right", "n")), strict=True):
+            for h, h2, s1, s2, left, right, n in zip(*(x[c] for c in ("h", "h2", "s1", "s2", "left", "right", "n")), strict=True):
                 both = np.frombuffer(left + right, np.uint8)
                 start = np.arange(n)
-                salt = np.uint64(h & (1 << 64) - 1) + (len(left) - start).astype(np.uint64)
-                for seed, name in enumerate(("w1", "w2")):
-                    out[name].append(signed(join(windows(both, width, seed)[:n], mix(salt + np.uint64(seed)))))
+                # a window is its bytes without the anchor, the anchor, and how far behind its start that stands
+                for seed, (name, anchor) in enumerate((("w1", h), ("w2", h2))):
+                    salt = np.uint64(anchor & (1 << 64) - 1) + (len(left) - start).astype(np.uint64)
+                    out[name].append(signed(join(windows(both, width, seed)[:n], mix(salt))))
                 for name, v in (("s1", np.full(n, s1)), ("s2", np.full(n, s2)), ("off", start)):
                     out[name].append(v)
             return {n: column(v) for n, v in out.items()}
@@ -198,7 +201,7 @@ def removed_bytes(docs: DataFrame, length: int = LENGTH, core: int = CORE, most:
     held = anchors.anchored_texts(base, finder, anchors.repeated_anchors(base, finder, True), kinds)
     found = staged(spark, _segments(held, length, core), "segments")
 
-    distinct = staged(spark, found.groupBy("h", "s1", "s2", "left", "right", "n").agg(F.count("*").alias("places")), "distinct")
+    distinct = staged(spark, found.groupBy("h", "h2", "s1", "s2", "left", "right", "n").agg(F.count("*").alias("places")), "distinct")
     groups = distinct.groupBy("h").agg(F.count("*").alias("m"), F.min("places").alias("fewest"))
     open_groups = staged(spark, groups.where("m > 1 and fewest = 1").select("h", "m"), "groups")
     whole = distinct.where("places > 1").select("s1", "s2", F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"))).alias("ranges"))

@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -44,6 +45,39 @@ def test_audio_damage():
     assert audio.scan(m + b"TAG" + b"a title".ljust(125, b"\0"))["tags"]["ID3v1"] == "a title"
 
 
+def test_audio_starts_with_junk_that_looks_like_a_header():
+    m = audio.multiplex(bytes(range(256)) * 40)
+    bare = m[m.index(b"\xff\xfb") :]
+    for junk in (b"\xff\xfb\x90\x64", b"\xff\xfa\x18\xc0 words", b"\0" * 99, b"\xff" * 7):
+        got, want = audio.scan(junk + bare), audio.scan(bare)
+        assert [(a - len(junk), n) for a, n, _ in got["frames"]] == [(a, n) for a, n, _ in want["frames"]] and got["vbr"] == want["vbr"] and got["seeks_agree"]
+        assert audio.carried(junk + bare, got) == bytes(range(256)) * 40
+
+
+def test_audio_tables():
+    """Encoder delay and padding shorten the duration; VBRI seek points are read and compared."""
+    m = bytearray(audio.multiplex(bytes(1000) * 40))
+    x = m.index(b"Xing")
+    frames = audio.scan(bytes(m))["frames"]
+    size = frames[0][0] - m.index(b"\xff\xfb")
+    first = bytearray(audio._SIZES[5])
+    first[: x - m.index(b"\xff\xfb") + 120] = m[m.index(b"\xff\xfb") : x + 120]
+    first[2] = 5 << 4 | audio._RATE_INDEX << 2
+    lame = bytearray(b"LAME3.100" + bytes(27))
+    lame[21:24] = ((576 << 12) | 700).to_bytes(3, "big")
+    at = x - m.index(b"\xff\xfb") + 16 + 100
+    first[at : at + len(lame)] = lame
+    got = audio.scan(bytes(first) + bytes(m[frames[0][0] :]))
+    assert size == audio._SIZES[1] and got["vbr"]["delay"] == 576 and got["vbr"]["padding"] == 700
+    assert got["samples"] == 1152 * len(frames) - 1276
+    vbri = bytearray(bytes(first[:4]) + bytes(audio._SIZES[5] - 4))
+    total, steps = len(m) - frames[0][0], [audio._SIZES[5] + sum(n for _, n, _ in frames[:4])] + [sum(n for _, n, _ in frames[k : k + 4]) for k in range(4, len(frames), 4)]
+    head = b"VBRI\0\1\0\0\0\0" + (total + len(vbri)).to_bytes(4, "big") + len(frames).to_bytes(4, "big") + b"".join(v.to_bytes(2, "big") for v in (len(steps), 1, 4, 4))
+    vbri[36 : 36 + len(head) + 4 * len(steps)] = head + b"".join(v.to_bytes(4, "big") for v in steps)
+    got = audio.scan(bytes(vbri) + bytes(m[frames[0][0] :]))
+    assert got["vbr"]["kind"] == "VBRI" and len(got["vbr"]["seek"]) == len(steps) and got["seeks_agree"]
+
+
 def test_audio_null_stream(spark):
     r = audio.audio_features(spark.createDataFrame([(1, 0, None)], "doc_id long, n_bytes long, media binary")).first()
     assert (r.payload_bytes, r.samples, r.sample_rate) == (0, 0, 0)
@@ -253,6 +287,59 @@ def test_language_without_labels(docs, none):
     assert langid.digest(none, model).count() == 0
 
 
+def test_language_query_equals_brute_force(spark, docs, rows):
+    """The whole query against word-by-word potentials and a plain chain over each text, none of it cut or remembered."""
+    rng = random.Random(5)
+    vocab = {"en": "the and of with this from they have been which house".split(), "de": "der die und nicht mit eine auch werden sich ist haus".split(), "fr": "le la les des une dans pour qui avec sur maison".split()}
+    said = [(1000 + i, " ".join(rng.choices(vocab[lang], k=rng.choice((1, 3, 60, 200)))), lang) for i in range(150) for lang in [rng.choice(list(vocab))]]
+    said += [(r[0], r[1], None) for r in rows] + [(None, "the house", "en")]
+    df = spark.createDataFrame(said, "doc_id long, text string, lang string")
+    model = langid.learn(df)
+
+    def brute(text):
+        ws = langid.words(text)
+        if not ws:
+            return "und", 0.0
+        ids, owner = langid._features(ws, model.lexicon)
+        psi = np.stack([model.weights[ids[owner == i]].astype(float).sum(axis=0) for i in range(len(ws))]) if len(ws) < 3000 else np.stack(
+            [np.bincount(owner, weights=model.weights[ids, k], minlength=len(ws)) for k in range(len(model.labels))], axis=1)
+        a, k = np.exp(model.transitions - model.transitions.max()), len(model.labels)
+        psi = np.exp(psi - psi.max(axis=1, keepdims=True))
+        f, b = [], np.ones(k)
+        v = np.ones(k)
+        for p in psi:
+            v = (v @ a) * p
+            v /= v.sum()
+            f.append(v)
+        share = np.zeros(k)
+        for i in range(len(psi) - 1, -1, -1):
+            g = f[i] * b
+            share += g / g.sum()
+            b = a @ (b * psi[i])
+            b /= b.sum()
+        return model.labels[int(share.argmax())], float(share.max() / len(ws))
+
+    got = langid.digest(df, model).collect()
+    assert len(got) == len(said)
+    want = Counter((i, *(lambda p: (p[0], round(p[1], 5)))(brute(t)), i is not None and zlib.crc32(str(i).encode()) % 5 == 0) for i, t, _ in said)
+    assert Counter((r.doc_id, r.lang_pred, round(r.score, 5), r.held_out) for r in got) == want
+
+
+def test_language_does_not_see_labels(spark):
+    """Labels of held-out rows, and of all rows at prediction, change nothing."""
+    en, de = "the and of with this from they have".split(), "der die und nicht mit eine auch werden".split()
+    rng = random.Random(3)
+    rows = [(i, " ".join(rng.choices(en if i % 2 else de, k=30)), "en" if i % 2 else "de") for i in range(120)]
+    one = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    other = spark.createDataFrame([(i, t, "xx" if held(i) else lang) for i, t, lang in rows], one.schema)
+    a, b = ({r.doc_id: (r.lang_pred, r.score) for r in langid.digest(df, langid.learn(df)).collect()} for df in (one, other))
+    assert a == b
+    model = langid.learn(one)
+    blind = langid.digest(one.withColumn("lang", F.lit("zz")), model)
+    assert {r.doc_id: (r.lang_pred, r.score) for r in blind.collect()} == a
+
+
 # ---- packing ----------------------------------------------------------------------------------------------------
 
 
@@ -354,6 +441,33 @@ def test_pages(spark):
     assert got == {1: (want, len(want)), 2: ("", 0), 3: ("", 0)}
 
 
+def test_pages_labelled(spark):
+    """Pages whose main text is known, around it all kinds of what is none; elements that close themselves or never end."""
+    rng, rows, want = random.Random(12), [], {}
+    around = ["<nav><ul><li><a href=/>Home</a><li><a href=/b>About us</a></ul></nav>", f"<div class='sidebar'><p>{LONG}</p></div>", f"<div id='comments'><p>{LONG}</p></div>", "<footer>&copy; 2024 A site</footer>",
+              f"<aside>{LONG}</aside>", "<form><label>Name</label><input></form>", f"<div class=advert>{LONG}</div>", "<header><h2>The site</h2></header>", f"<noscript>{LONG}</noscript>", f"<div hidden>{LONG}</div>",
+              "<style>p{}</style>", "<!-- a comment -->", f"<div role=dialog>{LONG}</div>"]
+    odd = ["<svg class='i'/>", "<svg><text>no</text></svg>", "<br/>", "<img src=x>", "<template/>", "<canvas>", "<math><mi>x</mi></math>", "<object>kept</object>", "<wbr>", "<b></b>"]
+    for i in range(60):
+        parts = [f"{LONG} {i} {k}" for k in range(rng.randint(1, 5))]
+        inner = rng.sample(odd, 2)
+        page = "".join(rng.sample(around, 4)) + "<article>" + inner[0] + f"<h1>Title {i}</h1>" + "".join(f"<p>{p}</p>" for p in parts) + "</article>" + "".join(rng.sample(around, 4))
+        rows.append((i, "u", f"<html><head><title>x</title></head><body>{page}{inner[1] if inner[1] == '<canvas>' else ''}</body></html>"))
+        lead = {"<math><mi>x</mi></math>": ["x"], "<object>kept</object>": ["kept"]}.get(inner[0], [])
+        want[i] = "\n\n".join([*lead, f"Title {i}", *parts])
+    df = spark.createDataFrame([*rows, *rows, (None, "u", rows[0][2])], "page_id long, url string, html string")
+    got = [(r.page_id, r.text) for r in html_text.extracted(df).collect()]
+    assert Counter(got) == Counter([*want.items(), *want.items(), (None, want[0])])
+    assert html_text.extracted(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("page", ["<div>" * 90_000 + "</span>" * 90_000, "<svg>" * 200_000, "<![CDATA[" * 110_000, '<a "' * 250_000, "<p>a" * 250_000, "<table><tr><td>" * 65_000])
+def test_pages_in_linear_time(page):
+    began = time.process_time()
+    html_text.main_text(page)
+    assert time.process_time() - began < 6
+
+
 # ---- personal data ----------------------------------------------------------------------------------------------
 
 PATTERNS = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
@@ -406,6 +520,22 @@ def test_pii_gate_lets_all_through():
         assert pii.spans(text) == ([], [])
 
 
+@pytest.mark.parametrize("text", ["1" * 10**6, "a dot " * 170_000, "a at b dot c " * 75_000, "a@b.cc " * 140_000, "+1 ((" * 200_000, "1.2.3.4 " * 120_000, "іa@b.cc " * 120_000, "one two three four five six " * 36_000])
+def test_pii_in_linear_time(text):
+    began = time.process_time()
+    pii.spans(text)
+    assert time.process_time() - began < 8
+
+
+def test_pii_repeated_rows_ties_and_clashing_names(spark):
+    said = "call +1 (555) 010-9999 or a@b.cc, 4111 1111 1111 1111, a at b dot org"
+    rows = [(1, said, "e", 3)] * 2 + [(None, said, "e", 3), (2, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, every string, n_email long")
+    got = [tuple(r) for r in pii.digest(pii.personal_data(df)).collect()]
+    assert len(got) == 4 and got.count(got[0]) == 2 and {r[0] for r in got} == {1, 2, None}
+    assert [tuple(r) for r in pii.redacted(df).collect()][0][1:] == ("call <PHONE> or <EMAIL>, <CARD>, <EMAIL>", "e", 3)
+
+
 @pytest.mark.parametrize(("text", "plain"), [("іvan.petrov@example.com", "van.petrov@example.com"), ("jane@mail.example [dot] com", "jane@mail.example"), ("jane (dot) roe@mail.example", "roe@mail.example")])
 def test_pii_longer_spans_stay(text, plain):
     base, every = pii.spans(f"to {text} now")
