@@ -10,6 +10,8 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import once
+
 WORD = r"[\p{L}\p{N}_]"
 
 
@@ -23,6 +25,22 @@ def bounded(fragments: Iterable[str], literal: bool = False) -> str:
     return rf"(?iu)(?<!{WORD})(?:{'|'.join(parts)})(?!{WORD})"
 
 
+def holds_any(text: Column, parts: Iterable[str]) -> Column:
+    """Whether one of the lower-case ASCII literals can be in the text, as a case-blind pattern sees it: false proves that none is.
+
+    Four letters beyond ASCII stand for ASCII ones in such patterns; a text with one of them may hold anything.
+    """
+    low = F.lower(text)
+    found = [low.contains(p) for p in dict.fromkeys(parts)] + [text.contains(c) for c in "ſ\u212aİı"]
+    return reduce(lambda a, b: a | b, found)
+
+
+def may_hold(text: Column, terms: Iterable[str]) -> Column:
+    """The same for literals of any form: white space in them is a border, and one that isn't ASCII always may be there."""
+    parts = [max(t.split() or [""], key=len).lower() for t in terms]
+    return holds_any(text, parts) if all(p and p.isascii() for p in parts) else F.lit(True)
+
+
 @dataclass(frozen=True)
 class Options:
     """Typed settings; wrong types fail when they are read, not when they are used."""
@@ -73,7 +91,10 @@ class Rewrite:
         new = self.replace.replace("\\", r"\\").replace("$", r"\$")
         upper = rf"(?<!{WORD})(?=\p{{Lu}})(?iu:{first}{rest})(?!{WORD})"
         lower = rf"(?<!{WORD})(?!\p{{Lu}})(?iu:{first}{rest})(?!{WORD})"
-        return F.regexp_replace(F.regexp_replace(text, upper, new[:1].upper() + new[1:]), lower, new)
+        def both(t: Column) -> Column:
+            return F.when(may_hold(t, [self.find]), F.regexp_replace(F.regexp_replace(t, upper, new[:1].upper() + new[1:]), lower, new)).otherwise(t)
+
+        return once(text, both)
 
     def hits(self, text: Column) -> Column:
         pattern = self.find if self.kind == "regex" else bounded([self.find], literal=True)
@@ -120,23 +141,30 @@ class Pack:
         return _hit(text, bounded((*self.banned, *self.phrases)))
 
     def caution_hit(self, text: Column) -> Column:
-        return _hit(text, bounded(self.caution, literal=True))
+        return once(text, lambda t: _hit(t, bounded(self.caution, literal=True), self.caution))
 
     def leftover_hit(self, text: Column, allowed: Column | None = None) -> Column:
         """First source word left over, outside italics, loanwords and the cue's allowed phrases."""
-        at = F.regexp_replace(text, r"(?is)<i>.*?</i>", " ")
-        if self.loanwords:
-            at = F.regexp_replace(at, bounded(self.loanwords, literal=True), " ")
-        if allowed is not None:
-            quoted = lambda p: F.concat(F.lit("(?iu)"), F.regexp_replace(p, r"([\\.\[\]{}()*+?^$|])", r"\\$1"))
-            at = F.aggregate(F.coalesce(allowed, F.array().cast("array<string>")), at, lambda a, p: F.regexp_replace(a, quoted(p), F.lit(" ")))
-        return _hit(at, bounded(self.leftover, literal=True))
+        quoted = lambda p: F.concat(F.lit("(?iu)"), F.regexp_replace(p, r"([\\.\[\]{}()*+?^$|])", r"\\$1"))
+
+        def hit(t: Column) -> Column:
+            at = F.regexp_replace(t, r"(?is)<i>.*?</i>", " ")
+            if self.loanwords:
+                at = F.regexp_replace(at, bounded(self.loanwords, literal=True), " ")
+            if allowed is not None:
+                at = F.aggregate(F.coalesce(allowed, F.array().cast("array<string>")), at, lambda a, p: F.regexp_replace(a, quoted(p), F.lit(" ")))
+            return F.when(may_hold(t, self.leftover), once(at, lambda x: _hit(x, bounded(self.leftover, literal=True))))
+
+        return once(text, hit)
 
     def exempt_violation(self, text: Column) -> Column:
         """First term that stands outside the contexts that excuse it.
 
         Contexts: ``before`` and ``after`` are words beside it, ``capital`` excuses a capital next.
         """
+        return once(text, self._violation)
+
+    def _violation(self, text: Column) -> Column:
         found = F.lit(None).cast("string")
         for term, ctx in reversed(list(self.exempt.items())):
             q = _quoted(term)
@@ -147,18 +175,19 @@ class Pack:
             ahead = rf"(?!\s+(?:{after})(?!{WORD}))" if after else ""
             if ctx.get("capital"):
                 ahead += r"(?!\s*(?-i:\p{Lu}))"
-            found = F.when(text.rlike(rf"(?iu){excuses}(?<!{WORD}){q}(?!{WORD}){ahead}"), F.lit(term)).otherwise(found)
+            found = F.when(may_hold(text, [term]) & text.rlike(rf"(?iu){excuses}(?<!{WORD}){q}(?!{WORD}){ahead}"), F.lit(term)).otherwise(found)
         return found
 
 
-def _hit(text: Column, pattern: str) -> Column:
-    got = F.regexp_extract(text, pattern, 0)
-    return F.when(got != "", got)
+def _hit(text: Column, pattern: str, literals: Iterable[str] | None = None) -> Column:
+    got = F.nullif(F.regexp_extract(text, pattern, 0), F.lit(""))
+    return F.when(may_hold(text, literals), got) if literals is not None else got
 
 
 def contains_term(text: Column, term: str) -> Column:
     """Whether a literal stands in the text between word borders, white space alike."""
-    return F.regexp_replace(text, r"\s+", " ").rlike(bounded([" ".join(term.split())], literal=True))
+    pattern = bounded([" ".join(term.split())], literal=True)
+    return once(text, lambda t: may_hold(t, [term]) & F.regexp_replace(t, r"\s+", " ").rlike(pattern))
 
 
 # A credit names someone or a site.
@@ -180,6 +209,14 @@ BOILERPLATE = (
 )
 
 
+#: What a line must hold for the built-in pattern of the same place to match.
+STEMS = (("watching",), ("watching", "listening"), ("see",), ("subscribe",), ("sub", "caption", "transcription", "translation"), ("amara",), ("www.",), ("©", "(c)", "copyright"), ("rights",))
+
+
+def boilerplate_stems(pattern: str) -> tuple[str, ...] | None:
+    return STEMS[BOILERPLATE.index(pattern)] if pattern in BOILERPLATE else None
+
+
 def boilerplate_patterns(extra: object = None, replace: bool = False) -> list[str]:
     """Built-in patterns with a project's own, or only those; each must compile and be text."""
     if extra is None:
