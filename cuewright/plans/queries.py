@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import timing
-from ..functions.rules import Options, Pack, Rewrite, contains_term, rewritten
+from ..functions.rules import Options, Pack, Rewrite, rewritten
 from ..operators import batches, cues, tracks, validate
 from ..sources import views
 from . import views_sql as V
@@ -88,8 +89,9 @@ def qa_gaps(spark, d):
 @query(f"""WITH {V.LINES}, k AS (SELECT title, pos, {V.norm('text')} AS key FROM lines)
 SELECT title, pos, key FROM (SELECT *, lag(key) OVER (PARTITION BY title ORDER BY pos) AS before FROM k) WHERE key <> '' AND key = before""")
 def qa_dup_adjacent(spark, d):
-    k = views.lines(spark, d).select("title", "pos", X.norm_key(F.col("text")).alias("key"))
-    return k.withColumn("before", F.lag("key").over(cues.by_title())).where("key <> '' and key = before").select("title", "pos", "key")
+    x = views.lines(spark, d).withColumns({"start_ms": F.col("pos").cast("long") * 2000, "end_ms": F.col("pos").cast("long") * 2000 + 1000})
+    again = cues.qa_findings(x).where("rule = 'dup-adjacent'").select("title", F.col("num").alias("pos"))
+    return x.join(again, ["title", "pos"]).select("title", "pos", X.norm_key(F.col("text")).alias("key"))
 
 
 @query(rf"""WITH {V.LINES} SELECT title, pos FROM lines
@@ -105,7 +107,29 @@ def qa_percentiles(spark, d):
     return cues.nearest_ranks(rows, "n", (25, 50, 75, 95))
 
 
-@query()
+def _each(rows: str, *rules: tuple[str, str, str, str]) -> str:
+    """Findings (title, num, severity, rule, detail) of rules (severity, rule, condition, detail) on rows."""
+    return " UNION ALL ".join(f"SELECT title, CAST(num AS INTEGER) AS num, '{s}' AS severity, '{r}' AS rule, CAST({detail} AS VARCHAR) AS detail FROM {rows} WHERE {when}" for s, r, when, detail in rules)
+
+
+_BARE = "regexp_replace(text, '(?i)</?[ib]>', '', 'g')"
+_UNBALANCED = " OR ".join(f"len(regexp_extract_all(text, '(?i)<{t}>')) <> len(regexp_extract_all(text, '(?i)</{t}>'))" for t in "ib")
+_MOJIBAKE = r"regexp_matches(text, '[ÃÂ][\x{80}-\x{bf}\x{2018}-\x{2030}€]')"
+_ESCAPED = r"regexp_matches(text, '\\n|`n|`r')"
+_N_LINES = "len(string_split(text, chr(10)))"
+_SPEED = f"{V.spoken('text')} * 1000.0 / greatest(end_ms - start_ms, {{0}})"
+_PLACED = f"""SELECT title, CAST(min_by(num, place) AS INTEGER) AS num, 'HARD' AS severity, 'numbering' AS rule, CAST(min(place) AS VARCHAR) AS detail
+  FROM (SELECT title, num, row_number() OVER (PARTITION BY title ORDER BY pos) AS place FROM cues) WHERE num <> place GROUP BY title"""
+
+
+@query(f"WITH {V.CUES}{_PREV} " + _each(
+    "v", ("HARD", "non-monotonic", "start_ms < prev_start", "''"), ("HARD", "empty", f"trim({_BARE}) = ''", "''"), ("HARD", "unbalanced", _UNBALANCED, "''"), ("HARD", "mojibake", _MOJIBAKE, "''"),
+    ("HARD", "literal-escape", _ESCAPED, "''"), ("SOFT", "overlap", "start_ms >= prev_start AND start_ms < prev_end", "prev_end - start_ms"), ("SOFT", "short", "end_ms - start_ms < 700", "end_ms - start_ms"),
+    ("SOFT", "punct-only", rf"trim({_BARE}) <> '' AND regexp_matches({_BARE}, '^[^\p{{L}}\p{{N}}]+$')", "''"), ("SOFT", "lines", f"{_N_LINES} > 2", _N_LINES), ("SOFT", "long-line", f"{V.widest('text')} > 42", V.widest("text")),
+    ("SOFT", "cps-hard", f"{_SPEED.format(1)} > 26", "''"), ("SOFT", "cps-target", f"{_SPEED.format(1)} > 17 AND {_SPEED.format(1)} <= 26", "''"),
+    ("SOFT", "dup-adjacent", f"{V.norm('text')} <> '' AND {V.norm('text')} = {V.norm('prev_text')}", "''"),
+    ("SOFT", "all-caps", r"length(regexp_replace(text, '\P{L}', '', 'g')) >= 12 AND regexp_matches(regexp_replace(text, '\P{L}', '', 'g'), '^\p{Lu}+$')", "''"),
+    ("SOFT", "gap", "start_ms - prev_end > 120000", "start_ms - prev_end")) + " UNION ALL " + _each("cues", ("HARD", "inverted", "end_ms <= start_ms", "''")) + f" UNION ALL {_PLACED}")
 def qa_findings(spark, d):
     return cues.qa_findings(views.cues(spark, d))
 
@@ -229,10 +253,14 @@ def context_exempt(spark, d):
 
 
 @query(rf"""WITH {V.LINES}, f AS (SELECT title, pos, regexp_replace(text, '\s+', ' ', 'g') AS t FROM lines)
-SELECT a.title, a.pos FROM f a JOIN f b ON a.title = b.title AND b.pos = a.pos + 1 WHERE regexp_matches(a.t, '{V.bounded("the")}') AND NOT regexp_matches(b.t, '{V.bounded("of")}')""")
+SELECT a.title, a.pos AS num FROM f a JOIN f b ON a.title = b.title AND b.pos = a.pos + 1 WHERE regexp_matches(a.t, '{V.bounded("the")}') AND NOT regexp_matches(b.t, '{V.bounded("of")}')""")
 def entity_anchor(spark, d):
-    a, b = views.lines(spark, d), views.lines(spark, d).select("title", (F.col("pos") - 1).alias("pos"), F.col("text").alias("other"))
-    return a.join(b, ["title", "pos"]).where(contains_term(F.col("text"), "the") & ~contains_term(F.col("other"), "of")).select("title", "pos")
+    """Each line built from the line before it; a name said there has to come again under its other form."""
+    x = views.lines(spark, d)
+    target = x.where("pos > 1").select("title", (F.col("pos") - 1).alias("num"), F.lit("").alias("ts"), "text")
+    made = target.select("title", F.col("num").alias("out"), F.array("num").alias("src"), "ts", F.lit(False).alias("drop"))
+    source = x.select("title", "num", "text", F.lit(False).alias("droppable"), F.lit(False).alias("inaudible"))
+    return validate.manifest_findings(target, made, source, Pack(entities=(("the", "of"),))).where("rule = 'entity-missing'").select("title", "num")
 
 
 @query(r"""WITH """ + V.LINES + r""", w AS (SELECT title, pos, i, ws[i] AS x FROM (SELECT title, pos, ws, unnest(range(1, len(ws) + 1)) AS i FROM (SELECT title, pos, regexp_extract_all(text, '[\p{L}\p{N}_]+|[^\p{L}\p{N}_]+') AS ws FROM lines))),
@@ -346,9 +374,18 @@ def subsequence_unique(spark, d):
     return validate.ordered_timestamps(t, c).select("title", "num")
 
 
-@query()
+_LEFT = r"regexp_replace(text, '(?is)<i>.*?</i>', ' ', 'g')"
+
+
+@query(f"WITH {V.CUES}, f AS (SELECT *, lag(end_ms) OVER (PARTITION BY title ORDER BY pos) AS prev_end FROM cues) " + _each(
+    "f", ("HARD", "mojibake", _MOJIBAKE, "''"), ("HARD", "literal-escape", _ESCAPED, "''"), ("HARD", "unbalanced-tag", _UNBALANCED, "''"), ("SOFT", "overlap", "start_ms < prev_end - 50", "''"),
+    ("SOFT", "short", "end_ms - start_ms < 700", "''"), ("SOFT", "lines", f"{_N_LINES} > 2", "''"), ("SOFT", "long-line", f"{V.widest('text')} > 45", "''"), ("SOFT", "cps-hard", f"{_SPEED.format(100)} > 26", "''"),
+    ("SOFT", "cps-target", f"{_SPEED.format(100)} > 17 AND {_SPEED.format(100)} <= 26", "''"),
+    *(("HARD" if rule != "caution" else "SOFT", rule, f"regexp_matches({t}, '{V.bounded(p)}')", f"regexp_extract({t}, '{V.bounded(p)}', 1)")
+      for rule, t, p in (("banned", _flat(), r"thatand|[\p{L}]+heit|blehe|of\s+the"), ("leftover", _LEFT, "the|this|here"), ("caution", _flat(), "nicht|pour")))) + f" UNION ALL {_PLACED}")
 def target_findings(spark, d):
-    return validate.target_findings(views.cues(spark, d), PACK)
+    """All rules but those of context, which have a query of their own."""
+    return validate.target_findings(views.cues(spark, d), replace(PACK, exempt={}))
 
 
 @query()
@@ -408,14 +445,11 @@ def polish(spark, d):
     return tracks.polished(views.cues(spark, d))
 
 
-@query()
+@query(f"WITH {V.CUES} SELECT title, count(*) AS cues, CAST(0 AS BIGINT) AS overlaps FROM cues GROUP BY title")
 def validate_overlap_free(spark, d):
-    """The property the timing fold must have; no rows."""
+    """The property that timing must have: every cue stays, and none overlaps the one before it."""
     t = tracks.retimed(views.cues(spark, d)).withColumn("before", F.lag("end_ms").over(Window.partitionBy("title").orderBy("start_ms")))
-    return t.where("start_ms < before").select("title", "pos")
-
-
-SQL["validate_overlap_free"] = "SELECT CAST(0 AS BIGINT) AS title, CAST(0 AS INTEGER) AS pos WHERE false"
+    return t.groupBy("title").agg(F.count("*").alias("cues"), F.count_if(F.col("start_ms") < F.col("before")).alias("overlaps"))
 
 
 # ---- drift ------------------------------------------------------------------------------------------------------
