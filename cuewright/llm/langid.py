@@ -8,8 +8,8 @@ different texts, so that changes of language within a text are seen.
 Forward-backward gives each word's label probabilities; a text's language is
 the one with the largest sum of them, and its score that sum's share.
 
-Fitting takes a bounded sample, ``sample_rows`` labelled rows chosen by hash,
-with their whole texts; every text, whole, is then labelled.  Long texts are cut
+Fitting takes a bounded sample, ``sample_rows`` labelled rows chosen by hash of
+those of at most ``sample_chars`` characters, with their whole texts; every text, whole, is then labelled.  Long texts are cut
 into segments only for speed: products of segments' transfer matrices carry the
 chain exactly over the cuts.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import documents, map_rows
 
-SAMPLE_ROWS = 1200
+SAMPLE_ROWS, SAMPLE_CHARS = 1200, 65_536
 LEXICON = 3000
 BUCKETS = 1 << 16
 SEGMENT = 48
@@ -231,13 +231,13 @@ def _held_out() -> Column:
     return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
-def learn(docs: DataFrame, lang: str = "lang", sample_rows: int = SAMPLE_ROWS) -> Model:
+def learn(docs: DataFrame, lang: str = "lang", sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Fit on rows with a language whose crc32(doc_id as text) mod 5 is not 0: a hashed sample of at most sample_rows."""
-    able = documents(docs.where(F.col(lang).isNotNull())).where("doc_id is not null").where(~_held_out())
+    able = documents(docs.where(F.col(lang).isNotNull())).where("doc_id is not null").where(~_held_out()).where(F.length("text") <= sample_chars)
     ids = able.select("doc_id", F.xxhash64("doc_id", "text").alias("h")).orderBy("h", "doc_id").limit(sample_rows)
     chosen = [r.doc_id for r in ids.collect()]
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(lang).cast("string").alias("lang"))
-    got = rows.where(F.col("doc_id").isin(chosen) & F.col("lang").isNotNull()).orderBy("doc_id", "text", "lang").limit(2 * sample_rows).collect() if chosen else []
+    got = rows.where(F.col("doc_id").isin(chosen) & F.col("lang").isNotNull() & (F.length("text") <= sample_chars)).orderBy("doc_id", "text", "lang").limit(2 * sample_rows).collect() if chosen else []
     return fit([(r.text, r.lang) for r in got])
 
 

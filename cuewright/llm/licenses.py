@@ -2,7 +2,8 @@
 
 Fitting happens on the driver, on the known wordings and bounded samples: each
 wording in several damaged forms, and as ``unknown`` unrelated sentences and
-``sample_rows`` documents' paragraphs.  The model is a sparse multinomial logistic
+``sample_rows`` documents' paragraphs (of those of at most ``sample_chars``
+characters).  The model is a sparse multinomial logistic
 regression on word 1- to 3-grams (presence, scaled by the root of their number).
 Features are grams of the wordings, but for those of common words alone (words in
 ``common_share`` of the unknown paragraphs or more); the ``max_features`` strongest stay.  A
@@ -38,7 +39,7 @@ from .common import documents, staged
 from .license_texts import TEMPLATES, UNRELATED
 
 UNKNOWN = "unknown"
-SAMPLE_ROWS = 200
+SAMPLE_ROWS, SAMPLE_CHARS = 200, 65_536
 MAX_FEATURES = 4000
 LEAST_SHARE = 0.5
 COMMON_SHARE = 0.02
@@ -137,11 +138,12 @@ def fit(unknown: list[str], seed: int = 5, epochs: int = 12, max_features: int =
     return model
 
 
-def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
+def learn(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_chars: int = SAMPLE_CHARS) -> Model:
     """Fit with all paragraphs without a cue of a hashed sample of documents as further unknown ones."""
-    ids = documents(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("h")).where("doc_id is not null").orderBy("h", "doc_id").limit(sample_rows)
+    able = documents(docs).where(F.length("text") <= sample_chars)
+    ids = able.select("doc_id", F.xxhash64("doc_id", "text").alias("h")).where("doc_id is not null").orderBy("h", "doc_id").limit(sample_rows)
     chosen = [r.doc_id for r in ids.collect()]
-    texts = documents(docs).where(F.col("doc_id").isin(chosen)).orderBy("doc_id", "text").limit(2 * sample_rows).collect() if chosen else []
+    texts = able.where(F.col("doc_id").isin(chosen)).orderBy("doc_id", "text").limit(2 * sample_rows).collect() if chosen else []
     return fit([p for r in texts for p in paragraphs(r.text) if not has_cue(p)])
 
 
