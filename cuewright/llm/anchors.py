@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, staged
+from .common import drop, map_rows, staged
 from .hashing import signed
 
 
@@ -43,60 +43,48 @@ def column(parts: Iterable[np.ndarray]) -> pa.Array:
 Finder = Callable[[bytes], tuple[np.ndarray, np.ndarray]]
 
 
-def repeated_anchors(base: DataFrame, finder: Callable[[], Finder], within: bool) -> DataFrame:
-    """Hashes (h) of anchors that two different texts hold, or, if ``within``, one text at two places.
+def anchored_texts(base: DataFrame, finder: Callable[[], Finder], within: bool, kinds: DataFrame) -> DataFrame:
+    """(doc_id, k1, k2, text, at): the first text of each class that holds repeated anchors, and where.
 
-    Rows of equal texts count as one text, so groups of copies add nothing.
+    An anchor is repeated if two different texts hold it or, if ``within``, one
+    text at two places; rows of equal texts count as one text, so groups of copies
+    add nothing.  Anchors are written once and read twice, to count and to place them.
     """
+    spark = base.sparkSession
 
     def make() -> Callable[[dict], dict]:
         find = finder()
 
         def run(x: dict) -> dict:
-            hs, ks, many = [], [], []
-            for t in x["text"]:
-                raw = encoded(t)
-                h, n = np.unique(find(raw)[0], return_counts=True)
-                hs.append(signed(h))
-                ks.append(np.full(len(h), text_key(raw)[0]))
-                many.append(n > 1)
-            return {"h": column(hs), "k": column(ks), "many": pa.array(np.concatenate(many))}
-        return run
-
-    seen = map_rows(base, make, "h long, k long, many boolean")
-    again = F.col("a") != F.col("b")
-    if within:
-        again = again | F.col("many")
-        agg = [F.max("many").alias("many")]
-    else:
-        agg = []
-    found = seen.groupBy("h").agg(F.min("k").alias("a"), F.max("k").alias("b"), *agg).where(again).select("h")
-    return staged(base.sparkSession, found, "repeated")
-
-
-def anchored_texts(base: DataFrame, finder: Callable[[], Finder], repeated: DataFrame, kinds: DataFrame) -> DataFrame:
-    """(doc_id, k1, k2, text, at): the first text of each class that holds repeated anchors, and where."""
-
-    def make() -> Callable[[dict], dict]:
-        find = finder()
-
-        def run(x: dict) -> dict:
-            out: dict[str, list] = {n: [] for n in ("h", "doc_id", "k1", "k2", "pos")}
+            out: dict[str, list] = {n: [] for n in ("h", "k1", "k2", "pos", "doc_id", "many")}
             for d, t in zip(x["doc_id"], x["text"], strict=True):
                 raw = encoded(t)
                 h, pos = find(raw)
-                if d is None or not len(h):
+                if not len(h):
                     continue
                 a, b = text_key(raw)
-                for n, v in zip(out, (signed(h), np.full(len(h), d), np.full(len(h), a), np.full(len(h), b), pos), strict=True):
+                order = np.argsort(h, kind="stable")
+                same = np.zeros(len(h) + 1, bool)
+                same[1:-1] = h[order[1:]] == h[order[:-1]]
+                many = np.zeros(len(h), bool)
+                many[order] = same[1:] | same[:-1]
+                for n, v in zip(out, (signed(h), np.full(len(h), a), np.full(len(h), b), pos, [d] * len(h), many), strict=True):
                     out[n].append(v)
-            return {n: column(v) for n, v in out.items()}
+            flat = {n: column(out[n]) for n in ("h", "k1", "k2", "pos")}
+            flat["doc_id"] = pa.array([d for part in out["doc_id"] for d in part], pa.int64())
+            return flat | {"many": pa.array(np.concatenate(out["many"]) if out["many"] else np.zeros(0, bool))}
         return run
 
-    every = map_rows(base, make, "h long, doc_id long, k1 long, k2 long, pos long")
-    at = every.join(repeated, "h").groupBy("doc_id", "k1", "k2").agg(F.sort_array(F.collect_set("pos")).alias("at"))
+    every = staged(spark, map_rows(base, make, "h long, k1 long, k2 long, pos long, doc_id long, many boolean"), "anchors")
+    again = F.col("a") != F.col("b")
+    agg = [F.min("k1").alias("a"), F.max("k1").alias("b")]
+    if within:
+        again, agg = again | F.col("many"), [*agg, F.max("many").alias("many")]
+    repeated = staged(spark, every.groupBy("h").agg(*agg).where(again).select("h"), "repeated")
+    at = every.where("doc_id is not null").join(repeated, "h").groupBy("doc_id", "k1", "k2").agg(F.sort_array(F.collect_set("pos")).alias("at"))
     first = kinds.select("k1", "k2", F.col("rep").alias("doc_id"))
-    at = staged(base.sparkSession, at.join(first, ["k1", "k2", "doc_id"], "left_semi"), "places")
+    at = staged(spark, at.join(first, ["k1", "k2", "doc_id"], "left_semi"), "places")
+    drop(every, repeated)
     spoken = base.join(at, "doc_id")
 
     def keep() -> Callable[[dict], dict]:

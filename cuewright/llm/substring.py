@@ -114,7 +114,7 @@ def removed_words(docs: DataFrame, length: int = LENGTH, first: int = FIRST) ->
     kinds = anchors.classes(over)
     steps = levels(length, first)
     finder = _finder(steps[0], steps[1] if len(steps) > 1 else steps[0])
-    held = anchors.anchored_texts(base, finder, anchors.repeated_anchors(base, finder, False), kinds)
+    held = anchors.anchored_texts(base, finder, False, kinds)
     texts, extend = held.select("doc_id", "k1", "text"), 0
     for size in steps[1:] or steps:
         seen = _windows(held, size, extend)

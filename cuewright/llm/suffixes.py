@@ -73,30 +73,45 @@ def _overviews(base: DataFrame) -> DataFrame:
     return staged(base.sparkSession, map_rows(base, make, "doc_id long, k1 long, k2 long, n_bytes long, whole_sha256 string"), "overviews")
 
 
+def _by_anchor(raw: bytes, at: np.ndarray, length: int, core: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last window that have each anchor, of those anchors that are in ``at``.
+
+    A window's anchor is the leftmost of its smallest values, which its bytes alone
+    decide; from window to window it never moves back.
+    """
+    g, w = windows(np.frombuffer(raw, np.uint8), core), length - core + 1
+    low, pos = _sliding(g, w, np.minimum, (1 << 64) - 1), minimisers(g, w)
+    i = np.searchsorted(pos, np.arange(len(low)))
+    wrong = np.flatnonzero(g[pos[i]] != low)
+    while len(wrong):
+        i[wrong] += 1
+        wrong = wrong[g[pos[i[wrong]]] != low[wrong]]
+    first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+    last, p = np.r_[first[1:], len(low)] - 1, pos[i[first]]
+    wanted = np.zeros(len(g), bool)
+    wanted[at] = True
+    return first[wanted[p]], last[wanted[p]], p[wanted[p]]
+
+
 def _segments(held: DataFrame, length: int, core: int) -> DataFrame:
     """(h, h2, s1, s2, left, right, doc_id, k1, start, n): n windows from start on have the anchor (h, h2)."""
 
-    def make() -> Callable[[dict], dict]:
-        w = length - core + 1
+    names = ("h", "h2", "s1", "s2", "left", "right", "doc_id", "k1", "start", "n")
+
+    def halves(data: bytes) -> tuple[int, int]:
+        d = hashlib.blake2b(data, digest_size=16).digest()
+        return int.from_bytes(d[:8], "little", signed=True), int.from_bytes(d[8:], "little", signed=True)
 
+    def make() -> Callable[[dict], dict]:
         def run(x: dict) -> dict:
-            out: dict[str, list] = {n: [] for n in ("h", "h2", "s1", "s2", "left", "right", "doc_id", "k1", "start", "n")}
+            rows: list[tuple] = []
             for d, k, t, at in zip(x["doc_id"], x["k1"], x["text"], x["at"], strict=True):
                 raw = encoded(t)
-                g, g2 = (windows(np.frombuffer(raw, np.uint8), core, seed) for seed in (0, 1))
-                low = _sliding(g, w, np.minimum, (1 << 64) - 1)
-                for p in at:
-                    own = np.flatnonzero(low[max(0, p - w + 1) : p + 1] == g[p]) + max(0, p - w + 1)
-                    if not len(own):
-                        continue
-                    a, b = int(own[0]), int(own[-1])
-                    left, right = raw[a:p], raw[p + core : b + length]
-                    h, h2 = int(g[p].view(np.int64)), int(g2[p].view(np.int64))
-                    key = hashlib.blake2b(b"%d:%d:%d:" % (h, h2, len(left)) + left + right, digest_size=16).digest()
-                    row = (h, h2, int.from_bytes(key[:8], "little", signed=True), int.from_bytes(key[8:], "little", signed=True), left, right, d, k, a, b - a + 1)
-                    for n, v in zip(out, row, strict=True):
-                        out[n].append(v)
-            return out
+                for first, last, p in zip(*(v.tolist() for v in _by_anchor(raw, np.array(at, np.int64), length, core)), strict=True):
+                    left, right = raw[first:p], raw[p + core : last + length]
+                    one, two = halves(raw[p : p + core]), halves(b"%d:" % len(left) + raw[first : last + length])
+                    rows.append((*one, *two, left, right, d, k, first, last - first + 1))
+            return {n: [r[i] for r in rows] for i, n in enumerate(names)}
         return run
 
     return map_rows(held, make, "h long, h2 long, s1 long, s2 long, left binary, right binary, doc_id long, k1 long, start long, n int", 64)
@@ -198,7 +213,7 @@ def removed_bytes(docs: DataFrame, length: int = LENGTH, core: int = CORE, most:
     over = _overviews(base)
     kinds = anchors.classes(over)
     finder = _finder(length, core)
-    held = anchors.anchored_texts(base, finder, anchors.repeated_anchors(base, finder, True), kinds)
+    held = anchors.anchored_texts(base, finder, True, kinds)
     found = staged(spark, _segments(held, length, core), "segments")
 
     distinct = staged(spark, found.groupBy("h", "h2", "s1", "s2", "left", "right", "n").agg(F.count("*").alias("places")), "distinct")

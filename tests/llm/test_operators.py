@@ -235,7 +235,7 @@ def check_components(docs, rows, words, short):
             changed |= (root[a], root[b]) != (low, low)
             root[a] = root[b] = low
     want = [(r[0], len(sets[r[0], r[1]]), c := root.get((r[0], r[1]), r[0]), r[0] == c) for r in rows]
-    got = [tuple(r) for r in minhash.near_duplicates(docs, words, short=short).collect()]
+    got = [tuple(r) for r in minhash.digest(minhash.near_duplicates(docs, words, short=short)).collect()]
     same_rows([g for g in got if g[0] is not None], [w for w in want if w[0] is not None])
 
 
