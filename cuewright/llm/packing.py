@@ -37,7 +37,7 @@ TOKENIZER = "word_bpe_49k.json"
 #: Tokens that a pattern may leave free.
 SLACK = 8
 #: Bytes, about, of the chunks whose ids a Python worker remembers from task to task; others are encoded each time.
-REMEMBERED, ENTRY = 64 << 20, 170
+REMEMBERED, ENTRY = 160 << 20, 170
 #: Sub-groups of one length at least, and pieces that make one more.
 SUBGROUPS, GROUP_ROWS = 512, 1_000_000
 
