@@ -311,21 +311,21 @@ def dup_guard(spark, d):
     return cues.duplicate_numbers(views.lines(spark, d).select("title", F.col("lang").alias("num")))
 
 
-def _built(spark: SparkSession, d: str, whole: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Cues as source, with every fifth dropped and the third merged with the fourth.
-
-    Entries have the whole text, lines kept, or as the SQL its first 30 characters on one line.
-    """
+def _built(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Cues as source, with every fifth dropped and the third merged with the fourth; entries have the whole text with its lines."""
     src = views.cues(spark, d).withColumn("num", F.col("pos")).withColumn("droppable", F.col("pos") % 5 == 0).withColumn("drop_reason", F.when(F.col("droppable"), "allowed")).withColumn("inaudible", F.lit(False))
     n = F.count("*").over(Window.partitionBy("title"))
     e = src.withColumn("total", n).where("pos <> 4").select(
         "title", F.lit("w").alias("file"), F.col("pos").alias("first_line"), F.col("num").alias("lo"), F.when((F.col("pos") == 3) & (F.col("total") >= 4), 4).otherwise(F.col("num")).alias("hi"),
-        F.when(F.col("pos") % 5 == 0, batches.DROP).otherwise(F.concat(F.lit("T "), F.col("text") if whole else X.plain(F.substring("text", 1, 30)))).alias("text"))
+        F.when(F.col("pos") % 5 == 0, batches.DROP).otherwise(F.concat(F.lit("T "), F.col("text"))).alias("text"))
     return src, e
 
 
 _BUILT = V.CUES + r""", s AS (SELECT title, pos, pos AS num, text, ts, count(*) OVER (PARTITION BY title) AS total FROM cues),
-e AS (SELECT title, pos AS lo, CASE WHEN pos = 3 AND total >= 4 THEN 4 ELSE pos END AS hi, pos % 5 = 0 AS "drop", trim('T ' || trim(regexp_replace(substr(text, 1, 30), '\s+', ' ', 'g'))) AS body FROM s WHERE pos <> 4),
+e0 AS (SELECT title, pos AS lo, CASE WHEN pos = 3 AND total >= 4 THEN 4 ELSE pos END AS hi, pos % 5 = 0 AS "drop", string_split(trim(regexp_replace('T ' || text, '\s+', ' ', 'g')), ' ') AS ws FROM s WHERE pos <> 4),
+e1 AS (SELECT *, array_to_string(ws, ' ') AS flat, list_sort(list_transform(range(1, len(ws)), lambda i: {'over': CASE WHEN length(array_to_string(ws[1:i], ' ')) <= 42 AND length(array_to_string(ws[i + 1:], ' ')) <= 42 THEN 0 ELSE 1 END,
+  'apart': abs(length(array_to_string(ws[1:i], ' ')) - length(array_to_string(ws[i + 1:], ' '))), 'i': i}))[1].i AS i FROM e0),
+e AS (SELECT title, lo, hi, "drop", CASE WHEN length(flat) <= 42 OR len(ws) < 2 THEN flat ELSE array_to_string(ws[1:i], ' ') || chr(10) || array_to_string(ws[i + 1:], ' ') END AS body FROM e1),
 j AS (SELECT e.*, a.ts AS ts_lo, b.ts AS ts_hi, replace(a.text, chr(10), ' ') || CASE WHEN e.hi > e.lo THEN ' ' || replace(b.text, chr(10), ' ') ELSE '' END AS said
   FROM e JOIN s a ON a.title = e.title AND a.num = e.lo JOIN s b ON b.title = e.title AND b.num = e.hi),
 m AS (SELECT title, CASE WHEN NOT "drop" THEN CAST(sum(CASE WHEN "drop" THEN 0 ELSE 1 END) OVER (PARTITION BY title ORDER BY lo) AS INTEGER) END AS "out", lo, hi, "drop",
@@ -359,7 +359,7 @@ def manifest_cross(spark, d):
 @query()
 def manifest_findings(spark, d):
     """All rules, on whole texts: lost and changed target cues, missing and repeated manifest rows, inaudible source cues."""
-    src, e = _built(spark, d, whole=True)
+    src, e = _built(spark, d)
     m = batches.manifest(src, e, Options(allow_merge=True))
     target = batches.built(m).where("num % 9 <> 8").withColumn("ts", F.when(F.col("num") % 7 == 6, "x").otherwise(F.col("ts")))
     known = m.where("not (src[0] % 10 = 7 and title % 2 = 0)").unionByName(m.where("drop and src[0] % 10 = 5"))
@@ -390,7 +390,7 @@ def target_findings(spark, d):
 
 @query()
 def build_problems(spark, d):
-    src, e = _built(spark, d, whole=True)
+    src, e = _built(spark, d)
     return batches.build_problems(src, e)
 
 
