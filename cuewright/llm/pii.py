@@ -8,6 +8,9 @@ digits, and ``at``/``dot`` in brackets or between words become @ and a full
 stop, each for itself.  Identifiers of the rewritten text map back to source spans, and those
 that do not lie within a plain one of their kind are added.
 
+Secrets (values given to a token, key or password, and keys of well-known forms) are
+a list of their own beside the four kinds, and are redacted with them.
+
 Offsets are code points, end exclusive.  Null or empty texts have no spans.  Equal
 rows get equal results, rows without doc_id too; empty tables give no rows.
 Overlapping spans are all listed, by start and kind.  Time is linear in the text.
@@ -248,6 +251,26 @@ def spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     return base, sorted(out, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
+_NAMED = re.compile(
+    r"(?<![^\W_])(?:api[_-]?key|access[_-]?key|auth[_-]?token|token|secret|passw(?:or)?d|pwd)[\"']?[ \t]{0,3}[:=][ \t]{0,3}(?P<q>[\"']?)(?P<value>[A-Za-z0-9+/_.~-]{12,})(?=(?P=q))", re.I)
+_NAMES = ("key", "token", "secret", "pass", "pwd")
+# Forms of keys that say themselves what they are, with what each starts with.
+_KEYS = {"AKIA": r"AKIA[0-9A-Z]{16}", "gh": r"gh[pousr]_[A-Za-z0-9]{36}", "xox": r"xox[abpr]-[A-Za-z0-9-]{10,}", "sk-": r"sk-[A-Za-z0-9]{20,}", "AIza": r"AIza[A-Za-z0-9_-]{35}"}
+_KEY_FORMS = {start: re.compile(rf"(?<![A-Za-z0-9_-]){form}(?![A-Za-z0-9])") for start, form in _KEYS.items()} | {"-----BEGIN ": re.compile(r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----")}
+
+
+def secrets(text: str | None) -> list[tuple[str, int, int]]:
+    """("secret", start, end) of values that hold letters and digits and are named as secret, and of keys of known forms."""
+    text, found = text or "", []
+    low = text.lower()
+    if any(n in low for n in _NAMES):
+        found += [m.span("value") for m in _NAMED.finditer(text) if any(c.isdigit() for c in m["value"]) and any(c.isalpha() for c in m["value"])]
+    for start, form in _KEY_FORMS.items():
+        if start in text:
+            found += [m.span() for m in form.finditer(text)]
+    return [("secret", a, b) for a, b in sorted(set(found))]
+
+
 def redact(text: str | None, found: list[tuple[str, int, int]]) -> str | None:
     """Each span, or overlapping spans together, becomes the first one's kind in angle brackets."""
     if not found:
@@ -269,27 +292,28 @@ def listed(found: list[tuple[str, int, int]]) -> str:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """(doc_id, counts of plain spans by kind, base and all spans as structs)."""
+    """(doc_id, counts of plain spans by kind, base and all spans as structs, secrets likewise)."""
     span = "array<struct<kind:string,start:long,stop:long>>"
 
     def make() -> Callable[[dict], dict]:
         def run(x: dict) -> dict:
             got = [spans(t) for t in x["text"]]
             form = lambda f: [{"kind": k, "start": a, "stop": b} for k, a, b in f]
-            return {"doc_id": x["doc_id"], "base": [form(g[0]) for g in got], "every": [form(g[1]) for g in got]}
+            return {"doc_id": x["doc_id"], "base": [form(g[0]) for g in got], "every": [form(g[1]) for g in got], "secrets": [form(secrets(t)) for t in x["text"]]}
         return run
 
-    found = map_rows(documents(docs), make, f"doc_id long, base {span}, every {span}")
+    found = map_rows(documents(docs), make, f"doc_id long, base {span}, every {span}, secrets {span}")
     def count(kind: str) -> Column:
         return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     counts = [count(k) for k in KINDS]
-    return found.select("doc_id", *counts, "base", "every")
+    return found.select("doc_id", *counts, "base", "every", "secrets")
 
 
 def digest(found: DataFrame) -> DataFrame:
     text = lambda c: F.array_join(F.transform(c, lambda s: F.concat_ws(":", s["kind"], s["start"], s["stop"])), ",")
-    return found.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2(text("base"), 256).alias("base_sha256"), text("every").alias("spans"))
+    return found.select("doc_id", *(f"n_{k}" for k in KINDS), F.sha2(text("base"), 256).alias("base_sha256"), text("every").alias("spans"),
+                        F.size("secrets").cast("long").alias("n_secret"), (F.size("every") + F.size("secrets")).cast("long").alias("n_found"))
 
 
 def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -298,7 +322,7 @@ def redacted(docs: DataFrame, text: str = "text") -> DataFrame:
 
     def make() -> Callable[[dict], dict]:
         def run(x: dict) -> dict:
-            return {text: [None if t is None else redact(t, spans(t)[1]) for t in x[text]]}
+            return {text: [None if t is None else redact(t, sorted(spans(t)[1] + secrets(t), key=lambda s: s[1])) for t in x[text]]}
         return run
 
     return map_rows(docs, make, f"`{text}` string", keep=rest).select(*docs.columns)
