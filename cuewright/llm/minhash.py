@@ -18,7 +18,9 @@
    For members a and b, a and b differ in as much as D_a and D_b do, so to be
    linked they must share (F_a + F_b) / 2 differences at least, F being |D| less
    the set's part of what the threshold allows.  Of members of one component
-   nothing is asked; of the others only the rarest differences get inverted lists
+   nothing is asked: what one component alone differs in is left out, and so is a
+   member whose other differences are too few for any possible partner.  Of the rest
+   only the rarest differences get inverted lists
    of their own (as many as may be missed, and one), and a pair is made only where
    what both have left from the meeting place on is enough.  A group of thousands of
    texts that are near one another, but mostly below the threshold, so gives few
@@ -158,23 +160,41 @@ def _pairs_by_differences(diffs: DataFrame, comp: DataFrame, threshold: int) ->
     open_groups = named.groupBy(*group).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select(*group)
     open_groups = staged(spark, open_groups.join(lead_comp, "lead", "left").select(*group, F.coalesce("main", "lead").alias("main")), "open")
     named = staged(spark, named.join(open_groups, group).withColumn("f", F.size("d") * whole - F.col("n") * part), "named")
-    each = named.select(*group, "doc_id", F.explode("d").alias("e"))
-    shared = staged(spark, each.groupBy(*group, "e").agg(F.count("*").alias("df")).where("df > 1"), "repeated")
-    held = each.join(shared, [*group, "e"]).groupBy(*group, "doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("es"))
-    held = held.withColumn("c", F.size("es"))
-    held = staged(spark, held.join(named.drop("d", "n"), [*group, "doc_id"]).withColumn("g", 2 * whole * F.col("c") - F.col("f")), "held")
-    limits = staged(spark, held.groupBy(*group).agg(F.max("g").alias("most"), F.min("f").alias("fewest")), "limits")
-    able = held.join(limits, group).where("f <= most and fewest <= g")
-    least = F.greatest(F.lit(1), F.ceil((F.col("f") + F.col("fewest")) / F.lit(2.0 * whole))).cast("int")
-    able = able.withColumn("room", F.col("c") - least + 1).where("room > 0")
-    spots = able.select(*group, "doc_id", "comp", "main", "f", "g", "c", F.posexplode(F.slice("es", F.lit(1), F.col("room"))).alias("pos", "x"))
+
+    def fit(members: DataFrame) -> DataFrame:
+        """Members with c differences that others may share, where f and g of some possible partner go with theirs."""
+        members = members.withColumn("g", 2 * whole * F.col("c") - F.col("f"))
+        # of whole sets, F is as large as the set, and a partner's set has the threshold's part of this one's size at least
+        fewest = F.greatest(F.col("fewest"), F.when(F.col("far"), F.col("f") * threshold / 100))
+        least = F.greatest(F.lit(1), F.ceil((F.col("f") + fewest) / F.lit(2.0 * whole) - 1e-9)).cast("int")
+        return members.where("f <= most and fewest <= g").withColumn("room", F.col("c") - least + 1).where("room > 0")
+
+    # what a single member has is counted for that member; those whose other differences are too few need no list of them
+    each = named.select(*group, "doc_id", "comp", F.explode("d").alias("e"))
+    across = (F.min("comp") != F.max("comp")).alias("across")
+    counts = staged(spark, each.groupBy(*group, "e").agg(F.count("*").alias("df"), F.min("doc_id").alias("doc_id"), across), "counts")
+    alone = counts.where("df = 1").groupBy(*group, "doc_id").agg(F.count("*").alias("alone"))
+    members = named.select(*group, "doc_id", "f", (F.col("comp") == F.col("main")).alias("same"), F.size("d").alias("size")).join(alone, [*group, "doc_id"], "left")
+    members = members.select(*group, "doc_id", "f", "same", (F.col("size") - F.coalesce("alone", F.lit(0))).cast("int").alias("c")).where("c > 0")
+    members = staged(spark, members, "members")
+    # members of the leader's component have partners in others only
+    limits = members.select(*group, "f", "c", F.explode(F.when(F.col("same"), F.array(F.lit(False))).otherwise(F.array(F.lit(False), F.lit(True)))).alias("same"))
+    limits = staged(spark, limits.groupBy(*group, "same").agg(F.max(2 * whole * F.col("c") - F.col("f")).alias("most"), F.min("f").alias("fewest")), "limits")
+    able = fit(members.join(limits, [*group, "same"])).select(*group, "doc_id", "most", "fewest")
+    listed = staged(spark, named.join(able, [*group, "doc_id"]), "listed")
+    shared = counts.where("across").select(*group, "e", "df")
+    held = listed.select(*group, "doc_id", F.explode("d").alias("e")).join(shared, [*group, "e"])
+    held = held.groupBy(*group, "doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("es")).withColumn("c", F.size("es"))
+    held = staged(spark, fit(held.join(listed.drop("d", "n"), [*group, "doc_id"])), "held")
+    drop(named, counts, members, limits, listed)
+    spots = held.select(*group, "doc_id", "comp", "main", "f", "g", "c", F.posexplode(F.slice("es", F.lit(1), F.col("room"))).alias("pos", "x"))
     spots = staged(spark, spots.select(*group, "doc_id", "comp", "main", "f", "g", (F.col("c") - F.col("pos")).alias("left"), F.col("x.e").alias("e")), "spots")
     one = spots.where("comp <> main").select(*group, "e", *(F.col(c).alias(f"{c}1") for c in ("doc_id", "comp", "f", "g", "left")))
     other = spots.select(*group, "e", "main", *(F.col(c).alias(f"{c}2") for c in ("doc_id", "comp", "f", "g", "left")))
     able = F.expr(f"comp1 <> comp2 and (comp2 = main or doc_id1 < doc_id2) and f1 <= g2 and f2 <= g1 and {2 * whole} * least(left1, left2) >= f1 + f2")
     pairs = one.join(other, [*group, "e"]).where(able).select(F.least("doc_id1", "doc_id2").alias("a"), F.greatest("doc_id1", "doc_id2").alias("b")).distinct()
     pairs = staged(spark, pairs, "candidates")
-    drop(open_groups, named, shared, held, limits, spots)
+    drop(open_groups, held, spots)
     return pairs
 
 

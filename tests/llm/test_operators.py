@@ -219,6 +219,27 @@ def test_near_duplicates_below_the_threshold(spark, short):
     check_components(spark.createDataFrame(rows, "doc_id long, text string"), rows, 2, short)
 
 
+def test_near_duplicates_list_differences_of_possible_partners_alone(spark, monkeypatch):
+    """Copies in one component share many differences, but too few for a text outside: none gets a list."""
+    rng = random.Random(9)
+    base, rows = [f"w{j}" for j in range(60)], []
+    for i in range(122):
+        ws = list(base)
+        for j in rng.sample(range(60), 1 if i < 120 else 9):
+            ws[j] = f"edit{rng.randrange(4)}" if i < 120 else f"own{i}x{j}"
+        rows.append((i, " ".join(ws)))
+    held, staged = [], minhash.staged
+
+    def counted(session, df, name):
+        out = staged(session, df, name)
+        held.extend([out.count()] if name == "held" else [])
+        return out
+
+    monkeypatch.setattr(minhash, "staged", counted)
+    check_components(spark.createDataFrame(rows, "doc_id long, text string"), rows, 2, 16)
+    assert len(held) == 1 and held[0] <= 2
+
+
 def check_components(docs, rows, words, short):
     sets = {}
     for r in rows:
