@@ -12,8 +12,8 @@ the unknown class included, whose bias is the largest.
 
 Scanning is native.  Every paragraph is split into words.  Each feature has a key,
 its rarest word; a paragraph without any key has no feature, so its score is the
-bias alone and it is unknown.  The others are split into grams, joined with the
-broadcast weights (at most ``max_features`` rows) and summed up.  What is not
+bias alone and it is unknown.  The others are split into grams; those that are
+features are joined with the broadcast weights (at most ``max_features`` rows) and summed up.  What is not
 unknown is then compared with the wordings of the predicted family: it is
 confirmed if enough of the 1- and 2-grams of the shorter one are shared.
 
@@ -188,7 +188,9 @@ def findings(docs: DataFrame, model: Model, least_share: float = LEAST_SHARE) ->
 
     weights = F.broadcast(_weights(spark, model))
     kinds = range(len(model.classes))
-    seen = parts.select(*key, F.size("grams").alias("n"), F.explode("grams").alias("gram")).join(weights, "gram")
+    # only the model's features become rows: a key may be a frequent word, and most grams around it are none
+    featured = F.filter("grams", lambda g: g.isin(list(model.weights)))
+    seen = parts.select(*key, F.size("grams").alias("n"), F.explode(featured).alias("gram")).join(weights, "gram")
     sums = seen.groupBy(*key, "n").agg(*(F.sum(F.col("w")[k]).alias(f"s{k}") for k in kinds))
     z = [(F.lit(float(model.bias[k])) + F.col(f"s{k}") / F.sqrt(F.col("n"))) / F.lit(float(model.temperature)) for k in kinds]
     scored = sums.select(*key, F.array(*z).alias("z"))

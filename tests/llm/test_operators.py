@@ -448,6 +448,30 @@ def test_licence_keys_stand_for_all_features(spark, docs):
     assert (got[99].n_unknown, got[99].families) == (0, "")
 
 
+def test_licences_only_features_become_rows(spark, docs, monkeypatch):
+    """A long paragraph with a key makes a row for each of the model's features in it, not for each of its grams."""
+    model = licenses.learn(docs)
+    rng = random.Random(2)
+    texts = [" ".join(["".join(rng.choice("abcde") for _ in range(9)) for _ in range(2000)] + [k]) for k in model.keys[:5]] + ["Released under the MIT License."]
+    made, staged = [], licenses.staged
+
+    def rows(plan):
+        name, parts = plan.nodeName(), plan.children()
+        below = [plan.executedPlan()] if name.startswith("AdaptiveSparkPlan") else [plan.plan()] if "QueryStage" in name else [parts.apply(i) for i in range(parts.size())]
+        return (plan.metrics().apply("numOutputRows").value() if name == "Generate" else 0) + sum(map(rows, below))
+
+    def counted(session, df, name):
+        if name == "scored":
+            df.collect()
+            made.append(rows(df._jdf.queryExecution().executedPlan()))
+        return staged(session, df, name)
+
+    monkeypatch.setattr(licenses, "staged", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    licenses.findings(df, model).collect()
+    assert made == [sum(len(set(licenses.grams(t)) & set(model.weights)) for t in texts)]
+
+
 # ---- pages ------------------------------------------------------------------------------------------------------
 
 LONG = "This is the story of the man who was in the house, and it is what they had said about all of that to you and to me, more of it than we have here."
