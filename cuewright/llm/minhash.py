@@ -138,28 +138,32 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return both.where(100 * F.col("i") >= threshold * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b")
 
 
-def _differences(entries: DataFrame, sets: DataFrame) -> DataFrame:
-    """(lead, doc_id, s, n, nl, d): what either of a member's and its leader's sets has that the other lacks."""
-    own, first = sets.select("doc_id", "s"), sets.select(F.col("doc_id").alias("lead"), F.col("s").alias("sl"))
-    d = F.concat(F.array_except("s", "sl"), F.array_except("sl", "s"))
-    return entries.join(own, "doc_id").join(first, "lead").select("lead", "doc_id", "s", F.size("s").cast("long").alias("n"), F.size("sl").cast("long").alias("nl"), d.alias("d"))
+def _differences(entries: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """(lead, doc_id, n, nl, m, d, s): sizes of a member's and its leader's sets and of the m elements that either has
+    and the other lacks; of near members these, d, and of far ones the whole set, s, the other being null."""
+    leads = sets.join(entries.select(F.col("lead").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    own, first = sets.select("doc_id", "s"), leads.select(F.col("doc_id").alias("lead"), F.col("s").alias("sl"))
+    both = entries.join(own, "doc_id").join(first, "lead").withColumn("d", F.concat(F.array_except("s", "sl"), F.array_except("sl", "s")))
+    both = both.select("lead", "doc_id", "s", F.size("s").cast("long").alias("n"), F.size("sl").cast("long").alias("nl"), F.size("d").alias("m"), "d")
+    shared = (F.col("n") + F.col("nl") - F.col("m")) / 2
+    alike = 100 * shared / (F.col("n") + F.col("nl") - shared)
+    return both.select("lead", "doc_id", "n", "nl", "m", F.when(alike >= NEAR, F.col("d")).alias("d"), F.when(alike < NEAR + 100 - threshold, F.col("s")).alias("s"))
 
 
 def _pairs_by_differences(diffs: DataFrame, comp: DataFrame, threshold: int) -> DataFrame:
     """(a, b): members of one leader, of different components, that can share the differences a link needs."""
     spark = diffs.sparkSession
     whole, part = 100 + threshold, 100 - threshold
-    both = (F.col("n") + F.col("nl") - F.size("d")) / 2
-    alike = 100 * both / (F.col("n") + F.col("nl") - both)
     columns = ("lead", "doc_id", "n")
-    near = diffs.where(alike >= NEAR).select(*columns, F.lit(False).alias("far"), "d")
-    far = diffs.where(alike < NEAR + part).select(*columns, F.lit(True).alias("far"), F.col("s").alias("d"))
+    near = diffs.where("d is not null").select(*columns, F.lit(False).alias("far"), "d")
+    far = diffs.where("s is not null").select(*columns, F.lit(True).alias("far"), F.col("s").alias("d"))
     named = near.union(far).join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
     lead_comp = comp.select(F.col("doc_id").alias("lead"), F.col("comp").alias("main"))
     group = ["lead", "far"]
     open_groups = named.groupBy(*group).agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x <> y").select(*group)
     open_groups = staged(spark, open_groups.join(lead_comp, "lead", "left").select(*group, F.coalesce("main", "lead").alias("main")), "open")
     named = staged(spark, named.join(open_groups, group).withColumn("f", F.size("d") * whole - F.col("n") * part), "named")
+    drop(diffs)
 
     def fit(members: DataFrame) -> DataFrame:
         """Members with c differences that others may share, where f and g of some possible partner go with theirs."""
@@ -182,11 +186,12 @@ def _pairs_by_differences(diffs: DataFrame, comp: DataFrame, threshold: int) ->
     limits = staged(spark, limits.groupBy(*group, "same").agg(F.max(2 * whole * F.col("c") - F.col("f")).alias("most"), F.min("f").alias("fewest")), "limits")
     able = fit(members.join(limits, [*group, "same"])).select(*group, "doc_id", "most", "fewest")
     listed = staged(spark, named.join(able, [*group, "doc_id"]), "listed")
-    shared = counts.where("across").select(*group, "e", "df")
+    shared = staged(spark, counts.where("across").select(*group, "e", "df"), "repeated")
+    drop(named, counts, members, limits)
     held = listed.select(*group, "doc_id", F.explode("d").alias("e")).join(shared, [*group, "e"])
     held = held.groupBy(*group, "doc_id").agg(F.sort_array(F.collect_list(F.struct("df", "e"))).alias("es")).withColumn("c", F.size("es"))
     held = staged(spark, fit(held.join(listed.drop("d", "n"), [*group, "doc_id"])), "held")
-    drop(named, counts, members, limits, listed)
+    drop(shared, listed)
     spots = held.select(*group, "doc_id", "comp", "main", "f", "g", "c", F.posexplode(F.slice("es", F.lit(1), F.col("room"))).alias("pos", "x"))
     spots = staged(spark, spots.select(*group, "doc_id", "comp", "main", "f", "g", (F.col("c") - F.col("pos")).alias("left"), F.col("x.e").alias("e")), "spots")
     one = spots.where("comp <> main").select(*group, "e", *(F.col(c).alias(f"{c}1") for c in ("doc_id", "comp", "f", "g", "left")))
@@ -238,15 +243,15 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80, k: int
     sets = staged(spark, _sets(base, wanted, words), "sets")
     drop(reps, lists, wanted)
 
-    diffs = staged(spark, _differences(entries, sets), "differences")
-    close = F.size("d") * (100 + threshold) <= (F.col("n") + F.col("nl")) * (100 - threshold)
+    diffs = staged(spark, _differences(entries, sets, threshold), "differences")
+    close = F.col("m") * (100 + threshold) <= (F.col("n") + F.col("nl")) * (100 - threshold)
     led = diffs.where(close).select(F.col("lead").alias("a"), F.col("doc_id").alias("b"))
     links = staged(spark, _verified(near, sets, threshold).union(led), "links")
     found = components(links)
     comp = found.select(F.col("node").alias("doc_id"), F.col("least").alias("comp"))
     pairs = _pairs_by_differences(diffs, comp, threshold)
     more = staged(spark, _verified(pairs, sets, threshold), "more")
-    drop(near, entries, sets, diffs, links, pairs)
+    drop(near, entries, sets, links, pairs)
 
     # the links found last join components; nodes that no link had so far stand for themselves
     at, bt = comp.select(F.col("doc_id").alias("a"), F.col("comp").alias("ca")), comp.select(F.col("doc_id").alias("b"), F.col("comp").alias("cb"))

@@ -240,6 +240,22 @@ def test_near_duplicates_list_differences_of_possible_partners_alone(spark, monk
     assert len(held) == 1 and held[0] <= 2
 
 
+def test_near_duplicates_keep_differences_or_sets(spark, monkeypatch):
+    """Of a member near its leader the differences are written, and not its whole set beside them."""
+    rows = [(i, " ".join(f"own{i}" if j == i % 60 else f"w{j}" for j in range(60))) for i in range(60)]
+    written, staged = [], minhash.staged
+
+    def counted(session, df, name):
+        out = staged(session, df, name)
+        if name == "differences":
+            written.extend(len(r.s or []) + len(r.d or []) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(minhash, "staged", counted)
+    check_components(spark.createDataFrame(rows, "doc_id long, text string"), rows, 2, 16)
+    assert written and max(written) <= 8
+
+
 def check_components(docs, rows, words, short):
     sets = {}
     for r in rows:
