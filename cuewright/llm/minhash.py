@@ -15,6 +15,10 @@
    Members that have little in common with it are compared with the empty set
    instead (D is the whole set); since linked texts are about as near to the leader
    one as the other, a band of similarity that belongs to both groups loses no pair.
+   A leader that is linked with a smaller one, in whose list it is, gives its members
+   to that one, and the empty set has one group for all lists: a text in many lists has
+   its differences listed once for each leader that is left and near it, and its whole
+   set once.
    For members a and b, a and b differ in as much as D_a and D_b do, so to be
    linked they must share (F_a + F_b) / 2 differences at least, F being |D| less
    the set's part of what the threshold allows.  Of members of one component
@@ -138,6 +142,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     return both.where(100 * F.col("i") >= threshold * (F.size("x") + F.size("y") - F.col("i"))).select("a", "b")
 
 
+def _centred(entries: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """(lead, doc_id): instead of leaders linked with a smaller one, in whose list they are, that one, if it stands for itself.
+
+    Two members of a list keep one leader in common, and a leader is a member of the one that takes its place.
+    """
+    leads = entries.select(F.col("lead").alias("a")).distinct()
+    pairs = entries.select(F.col("doc_id").alias("a"), F.col("lead").alias("b")).join(leads, "a", "left_semi")
+    alike = _verified(pairs, sets, threshold).select(F.col("a").alias("doc_id"), F.col("b").alias("lead"))
+    alike = staged(entries.sparkSession, alike, "alike")
+    own = alike.join(alike.select(F.col("doc_id").alias("lead")), "lead", "left_anti")
+    centres = own.groupBy(F.col("doc_id").alias("lead")).agg(F.min("lead").alias("centre"))
+    moved = entries.join(centres, "lead", "left").select(F.coalesce("centre", "lead").alias("lead"), "doc_id")
+    moved = staged(entries.sparkSession, moved.where("lead <> doc_id").distinct(), "centred")
+    drop(entries, alike)
+    return moved
+
+
 def _differences(entries: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
     """(lead, doc_id, n, nl, m, d, s): sizes of a member's and its leader's sets and of the m elements that either has
     and the other lacks; of near members these, d, and of far ones the whole set, s, the other being null."""
@@ -151,12 +172,15 @@ def _differences(entries: DataFrame, sets: DataFrame, threshold: int) -> DataFra
 
 
 def _pairs_by_differences(diffs: DataFrame, comp: DataFrame, threshold: int) -> DataFrame:
-    """(a, b): members of one leader, of different components, that can share the differences a link needs."""
+    """(a, b): members of one group, of different components, that can share the differences a link needs.
+
+    A group is a leader's near members, or all members that are far from some leader.
+    """
     spark = diffs.sparkSession
     whole, part = 100 + threshold, 100 - threshold
-    columns = ("lead", "doc_id", "n")
-    near = diffs.where("d is not null").select(*columns, F.lit(False).alias("far"), "d")
-    far = diffs.where("s is not null").select(*columns, F.lit(True).alias("far"), F.col("s").alias("d"))
+    near = diffs.where("d is not null").select("lead", "doc_id", "n", F.lit(False).alias("far"), "d")
+    far = diffs.where("s is not null").dropDuplicates(["doc_id"])
+    far = far.select(F.lit(0).cast("long").alias("lead"), "doc_id", "n", F.lit(True).alias("far"), F.col("s").alias("d"))
     named = near.union(far).join(comp, "doc_id", "left").withColumn("comp", F.coalesce("comp", "doc_id"))
     lead_comp = comp.select(F.col("doc_id").alias("lead"), F.col("comp").alias("main"))
     group = ["lead", "far"]
@@ -242,6 +266,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80, k: int
     wanted = staged(spark, ids.distinct(), "wanted")
     sets = staged(spark, _sets(base, wanted, words), "sets")
     drop(reps, lists, wanted)
+    entries = _centred(entries, sets, threshold)
 
     diffs = staged(spark, _differences(entries, sets, threshold), "differences")
     close = F.col("m") * (100 + threshold) <= (F.col("n") + F.col("nl")) * (100 - threshold)

@@ -256,6 +256,26 @@ def test_near_duplicates_keep_differences_or_sets(spark, monkeypatch):
     assert written and max(written) <= 8
 
 
+def test_near_duplicates_list_a_set_once(spark, monkeypatch):
+    """Texts far from the leaders of several lists have their sets listed once; linked leaders have one group."""
+    shared = [[f"{p}{j}" for j in range(30)] for p in "pqr"]
+    rows = [(i, " ".join([*shared[i % 3], *shared[(i + 1) % 3], *(f"own{i}x{j}" for j in range(12))])) for i in range(60)]
+    rows += [(100 + i, " ".join(f"own{i}" if j == i else f"w{j}" for j in range(60))) for i in range(60)]
+    seen, staged = {}, minhash.staged
+
+    def kept(session, df, name):
+        out = staged(session, df, name)
+        if name == "differences" or "d" in out.columns and name == "named":
+            seen[name] = out.collect()
+        return out
+
+    monkeypatch.setattr(minhash, "staged", kept)
+    check_components(spark.createDataFrame(rows, "doc_id long, text string"), rows, 2, 16)
+    assert max(Counter(r.doc_id for r in seen["differences"] if r.s).values()) > 1
+    assert set(Counter(r.doc_id for r in seen["named"] if r.far).values()) == {1}
+    assert {r.lead for r in seen["differences"] if r.doc_id >= 100} == {100}
+
+
 def check_components(docs, rows, words, short):
     sets = {}
     for r in rows:
