@@ -30,13 +30,13 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import documents, map_rows, staged
+from .common import documents, map_rows, remembered, staged
 
 SIZE = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Tokens that a pattern may leave free.
 SLACK = 8
-#: Bytes, about, of the chunks whose ids a Python worker remembers from task to task; others are encoded each time.
+#: Bytes, about, of the chunks whose ids a Python worker remembers from task to task of this step; others are encoded each time.
 REMEMBERED, ENTRY = 160 << 20, 170
 #: Sub-groups of one length at least, and pieces that make one more.
 SUBGROUPS, GROUP_ROWS = 512, 1_000_000
@@ -119,14 +119,9 @@ class Encoder:
                 self.known[w] = raw[a:b]
 
 
-_ENCODERS: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """The worker's encoder, with what it remembers."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+    return remembered(path, lambda: Encoder(path))
 
 
 def pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0) -> DataFrame:
@@ -147,7 +142,7 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0) -> Dat
             return out
         return run
 
-    return map_rows(documents(docs), make, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return map_rows(documents(docs), make, "doc_id long, piece int, start long, length long, ids_crc32 long", remember=path)
 
 
 # ---- planning, on the histogram alone ------------------------------------------------------------------------

@@ -10,6 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cuewright.llm import audio, decontam, gsaca, html_text, langid, licenses, minhash, packing, pii, substring, suffixes
+from cuewright.llm.common import map_rows
 
 sha = lambda b: hashlib.sha256(b).hexdigest()
 
@@ -436,6 +437,18 @@ def test_encoder_equals_the_tokenizer():
     assert e(texts) == [np.array(x.ids, "<u4").tobytes() for x in t.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_workers_forget_the_encoder_in_other_steps(docs):
+    """The pipeline's next step must not run beside what packing remembers."""
+
+    def make():
+        import gc
+
+        return lambda x: {"n": [sum(type(o).__name__ == "Encoder" for o in gc.get_objects())] * len(x["doc_id"])}
+
+    assert packing.pieces(docs, packing.tokenizer_path()).agg(F.sum("length")).first()[0] > 0
+    assert map_rows(docs.select("doc_id"), make, "n int").agg(F.max("n")).first()[0] == 0
+
+
 # ---- licences ---------------------------------------------------------------------------------------------------
 
 
