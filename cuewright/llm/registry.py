@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontam, html_text, langid, licenses, minhash, packing, pii, substring, suffixes
+from . import audio, decontam, html_text, langid, licenses, minhash, packing, periodic, pii, substring, suffixes
 from .common import table
 
 
@@ -52,9 +52,14 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.periodic_runs(periodic.with_planted_tails(table(spark, sf_dir, "documents"))))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op4_near_duplicates, op5_language_id, op6_pack, op7_license_scan, op8_html_text, op9_suffix_dedup, op10_pii)}
+        op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op4_near_duplicates, op5_language_id, op6_pack, op7_license_scan, op8_html_text, op9_suffix_dedup, op10_pii,
+        op13_periodic_runs)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -147,5 +152,47 @@ FROM s LEFT JOIN c ON s.x = c.x LEFT JOIN k ON k.a = c.rep
 """
 
 
+#: CRC-32 of the decimal digits of doc_id, bit by bit.
+_CRC = """xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
+    lambda s, b: list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(s, b)), CAST(4294967295 AS BIGINT)))"""
+
+OP13_SQL = rf"""
+WITH t AS (
+  SELECT doc_id, {_CRC} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT *, CAST(len(w) AS BIGINT) AS n, h // 10 AS g FROM t),
+b AS (
+  SELECT *, CASE WHEN n > 0 THEN g % n END AS a,
+         CASE WHEN n > 0 THEN 1 + (n - g % n) // (3 + g % 8) END AS p FROM s),
+i AS (SELECT *, unnest(range(n)) AS i FROM b WHERE n > 0),
+x AS (SELECT doc_id, n, i, w[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % p ELSE i END] AS x FROM i),
+often AS (SELECT *, count(*) OVER (PARTITION BY doc_id, x) AS c FROM x),
+pairs AS (
+  SELECT l.doc_id, l.i, r.i - l.i AS q
+  FROM often l JOIN often r ON l.doc_id = r.doc_id AND l.x = r.x AND l.i < r.i AND 4 * (r.i - l.i) <= l.n
+  WHERE l.c >= 4),
+stretches AS (SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM pairs),
+spans AS (
+  SELECT doc_id, min(i) AS s, max(i) + 1 + q AS e, q FROM stretches
+  GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+runs AS (SELECT doc_id, s AS "start", e - s AS "length", min(q) AS period FROM spans GROUP BY doc_id, s, e),
+best AS (
+  SELECT * FROM runs
+  QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY CAST("length" AS DOUBLE) / period DESC, "start", period) = 1),
+lines AS (
+  SELECT doc_id, count(*) AS n_runs,
+         string_agg("start" || ',' || "length" || ',' || period || chr(10), '' ORDER BY "start", period) AS t
+  FROM runs GROUP BY doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range("start" + period, "start" + "length")) AS i FROM runs),
+kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY i) AS t FROM x ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST("start" AS BIGINT) AS "start",
+       CAST("length" AS BIGINT) AS "length", CAST(period AS BIGINT) AS period,
+       CAST(1000 * "length" // period AS BIGINT) AS exponent_milli,
+       sha256(coalesce(lines.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN lines USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_near_duplicates": OP4_SQL, "op9_suffix_dedup": OP9_SQL}
+    return {"op2_decontaminate": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_near_duplicates": OP4_SQL, "op9_suffix_dedup": OP9_SQL,
+            "op13_periodic_runs": OP13_SQL}
