@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontam, html_text, langid, licenses, minhash, packing, periodic, pii, substring, suffixes
+from . import audio, decontam, html_text, langid, licenses, merkle, minhash, packing, periodic, pii, substring, suffixes
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digest(table(spark, sf_dir, "documents"))
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.digest(periodic.periodic_runs(periodic.with_planted_tails(table(spark, sf_dir, "documents"))))
 
@@ -59,7 +63,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op4_near_duplicates, op5_language_id, op6_pack, op7_license_scan, op8_html_text, op9_suffix_dedup, op10_pii,
-        op13_periodic_runs)}
+        op12_merkle_manifest, op13_periodic_runs)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -157,6 +161,50 @@ _CRC = """xor(4294967295, list_reduce(
     list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
     lambda s, b: list_reduce(range(8), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(s, b)), CAST(4294967295 AS BIGINT)))"""
 
+_SIZED = "coalesce(strlen(CAST({0} AS VARCHAR)) || ':' || {0}, '-')"
+_LEAF = " || ".join(_SIZED.format(c) for c in ("doc_id", "source", "lang", "{0}", "text"))
+
+OP12_SQL = rf"""
+WITH RECURSIVE l AS (
+  SELECT doc_id, lang, sha256({_LEAF.format("n_chars")}) AS leaf,
+         CASE WHEN {_CRC} % 7 = 0 THEN sha256({_LEAF.format("(n_chars + 1)")}) END AS hurt
+  FROM documents),
+k AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY lang) AS n FROM l),
+nodes AS (
+  SELECT lang, 0 AS level, pos, n, leaf AS digest FROM k
+  UNION ALL
+  SELECT lang, level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM nodes WHERE n > 1 GROUP BY lang, level, pos // 2),
+subroots AS (
+  SELECT lang, digest, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM nodes WHERE n = 1),
+upper_nodes AS (
+  SELECT 0 AS level, pos, n, digest FROM subroots
+  UNION ALL
+  SELECT level + 1, pos // 2, (any_value(n) + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM upper_nodes WHERE n > 1 GROUP BY level, pos // 2),
+folds AS (
+  SELECT lang, pos AS leaf_pos, 0 AS level, pos, n, coalesce(hurt, leaf) AS acc, '' AS proof FROM k
+  UNION ALL
+  SELECT f.lang, leaf_pos, f.level + 1, f.pos // 2, (f.n + 1) // 2,
+         sha256(CASE WHEN f.pos % 2 = 1 THEN coalesce(s.digest, '') || acc ELSE acc || coalesce(s.digest, '') END),
+         proof || coalesce(s.digest, '')
+  FROM folds f LEFT JOIN nodes s ON s.lang IS NOT DISTINCT FROM f.lang AND s.level = f.level AND s.pos = xor(f.pos, 1)
+  WHERE f.n > 1),
+upper_folds AS (
+  SELECT f.lang, leaf_pos, 0 AS level, s.pos, s.n, acc, proof, s.digest AS subroot
+  FROM folds f JOIN subroots s ON s.lang IS NOT DISTINCT FROM f.lang WHERE f.n = 1
+  UNION ALL
+  SELECT f.lang, leaf_pos, f.level + 1, f.pos // 2, (f.n + 1) // 2,
+         sha256(CASE WHEN f.pos % 2 = 1 THEN coalesce(s.digest, '') || acc ELSE acc || coalesce(s.digest, '') END),
+         proof || coalesce(s.digest, ''), subroot
+  FROM upper_folds f LEFT JOIN upper_nodes s ON s.level = f.level AND s.pos = xor(f.pos, 1)
+  WHERE f.n > 1)
+SELECT k.doc_id, k.leaf, f.subroot, r.digest AS root, sha256(proof) AS proof_sha256, acc AS folded_root, acc = r.digest AS verified
+FROM k JOIN upper_folds f ON f.lang IS NOT DISTINCT FROM k.lang AND f.leaf_pos = k.pos AND f.n = 1
+CROSS JOIN (SELECT digest FROM upper_nodes WHERE n = 1) r
+"""
+
 OP13_SQL = rf"""
 WITH t AS (
   SELECT doc_id, {_CRC} AS h, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -195,4 +243,4 @@ FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN lines USING (doc_id) LE
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_decontaminate": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_near_duplicates": OP4_SQL, "op9_suffix_dedup": OP9_SQL,
-            "op13_periodic_runs": OP13_SQL}
+            "op12_merkle_manifest": OP12_SQL, "op13_periodic_runs": OP13_SQL}
