@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import audio, decontam, html_text, langid, licenses, merkle, minhash, packing, periodic, pii, substring, suffixes
+from . import audio, decontam, html_text, langid, licenses, lines, merkle, minhash, packing, periodic, pii, substring, suffixes
 from .common import table
 
 
@@ -52,6 +52,10 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.personal_data(table(spark, sf_dir, "documents")))
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.digest(lines.deduplicated_lines(table(spark, sf_dir, "documents")))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.digest(table(spark, sf_dir, "documents"))
 
@@ -63,7 +67,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mpeg_audio, op2_decontaminate, op3_substring_dedup, op4_near_duplicates, op5_language_id, op6_pack, op7_license_scan, op8_html_text, op9_suffix_dedup, op10_pii,
-        op12_merkle_manifest, op13_periodic_runs)}
+        op11_line_dedup, op12_merkle_manifest, op13_periodic_runs)}
 
 
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -156,6 +160,19 @@ FROM s LEFT JOIN c ON s.x = c.x LEFT JOIN k ON k.a = c.rep
 """
 
 
+OP11_SQL = r"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents),
+e AS (SELECT doc_id, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM d),
+k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM e),
+f AS (SELECT k, min(doc_id) AS lowest FROM k WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) > 1),
+m AS (SELECT k.*, coalesce(f.lowest < k.doc_id, false) AS gone FROM k LEFT JOIN f ON k.k = f.k)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY doc_id
+"""
+
 #: CRC-32 of the decimal digits of doc_id, bit by bit.
 _CRC = """xor(4294967295, list_reduce(
     list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)),
@@ -243,4 +260,4 @@ FROM documents d LEFT JOIN best USING (doc_id) LEFT JOIN lines USING (doc_id) LE
 
 def oracle_sql() -> dict[str, str]:
     return {"op2_decontaminate": OP2_SQL, "op3_substring_dedup": OP3_SQL, "op4_near_duplicates": OP4_SQL, "op9_suffix_dedup": OP9_SQL,
-            "op12_merkle_manifest": OP12_SQL, "op13_periodic_runs": OP13_SQL}
+            "op11_line_dedup": OP11_SQL, "op12_merkle_manifest": OP12_SQL, "op13_periodic_runs": OP13_SQL}
