@@ -1,16 +1,11 @@
-"""Timed text to files: one SRT for each title, delivered whole or not at all, and proved by reading it again."""
+"""Timed text to documents: one SRT for each title, and the proof by reading it again; ``delivery`` brings them to their place."""
 
 from __future__ import annotations
 
-import os
-import shutil
-import uuid
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .delivery import deliver, same_file  # noqa: F401  (documents and their delivery are used together)
 from .subtitles import parse_cues
 
 
@@ -21,54 +16,6 @@ def srt_text(cues: DataFrame) -> DataFrame:
     return cues.groupBy("title").agg(rows.alias("rows")).select("title", F.array_join(block, "\n").alias("text"))
 
 
-def deliver(files: DataFrame, folder: str, suffix: str = ".srt", backup: bool = True) -> list[str]:
-    """Write (title, text) to a folder that all executors mount: a temporary file beside the target, then a rename.
-
-    Executors write, each file at once; writing a title again replaces it, so a
-    task that runs twice does no harm.  Where ``path`` names the file a title was
-    read from and that very file is the target, it is copied to ``.bak`` first.
-    Returns the titles.
-    """
-    source = [F.col("path")] if "path" in files.columns else [F.lit(None).cast("string").alias("path")]
-
-    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for r in batch.to_pylist():
-                _replace(os.path.join(folder, r["title"] + suffix), r["text"].encode("utf-8"), r["path"] if backup else None)
-            yield batch.select(["title"])
-
-    rows = files.select(F.col("title").cast("string").alias("title"), "text", *source)
-    return sorted(r.title for r in rows.mapInArrow(write, "title string").collect())
-
-
-def same_file(a: str, b: str) -> bool:
-    """Whether two paths are one file, however they are spelled."""
-    try:
-        return os.path.samefile(a, b)
-    except OSError:
-        return os.path.abspath(a) == os.path.abspath(b)
-
-
-def _replace(target: str, data: bytes, source: str | None) -> None:
-    if data.startswith(b"\xef\xbb\xbf"):
-        raise ValueError(f"{target}: text starts with a byte order mark")
-    source = source.removeprefix("file:") if source else None
-    if source and os.path.exists(target) and same_file(target, source):
-        kept = f"{target}.bak"
-        if not os.path.exists(kept):  # a task that runs again must not copy what it has written itself
-            shutil.copy2(target, kept)
-    tmp = f"{target}.{uuid.uuid4().hex}.tmp"
-    try:
-        with open(tmp, "wb") as f:
-            f.write(data)
-            f.flush()
-            os.fsync(f.fileno())
-        os.replace(tmp, target)
-    finally:
-        if os.path.exists(tmp):
-            os.remove(tmp)
-
-
 def written_differences(cues: DataFrame) -> DataFrame:
     """Read-after-write proof: positions whose timestamp line or text a parse of the written text doesn't give back."""
     again = parse_cues(srt_text(cues)).select("title", "pos", F.col("ts").alias("ts2"), F.col("text").alias("text2"))

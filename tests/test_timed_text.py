@@ -322,7 +322,7 @@ def test_delivery_backs_up_what_it_overwrites(spark, tmp_path):
     rows = [("a", "after", f"{tmp_path}/./a.srt"), ("b", "new", f"{tmp_path}/elsewhere.srt")]
     df = spark.createDataFrame(rows, "title string, text string, path string")
     assert sinks.deliver(df, str(tmp_path)) == ["a", "b"] == sinks.deliver(df, str(tmp_path))
-    assert {p.name: p.read_text() for p in tmp_path.iterdir() if not p.name.endswith(".crc")} == {"a.srt": "after", "a.srt.bak": "before", "b.srt": "new"}
+    assert {p.name: p.read_text() for p in tmp_path.iterdir() if p.is_file() and not p.name.endswith(".crc")} == {"a.srt": "after", "a.srt.bak": "before", "b.srt": "new"}
     with pytest.raises(Exception, match="byte order mark"):
         sinks.deliver(spark.createDataFrame([("c", "﻿x")], "title string, text string"), str(tmp_path))
     assert not list(tmp_path.glob("*.tmp")) and not (tmp_path / "c.srt").exists()
