@@ -6,7 +6,7 @@ A title that fails a gate is a row with its reason; the others go on.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -15,6 +15,11 @@ from pyspark.sql import functions as F
 from ..functions.rules import Options, Pack, Rewrite, rewritten
 from ..operators import batches, tracks, validate
 from ..sources import sinks, subtitles
+from ..sources.delivery import deliver
+from ..sources.state import AT, StateTable
+
+#: Fields of a title's state besides its key; ``updated_at`` is the number of the run.
+STATE = "title string, status string, stage string, error string, version string"
 
 
 @dataclass
@@ -58,3 +63,27 @@ def finalize(source: DataFrame, files: DataFrame, allowed: DataFrame, pack: Pack
     every = source.select("title").distinct().select("title", F.explode(F.array(*map(F.lit, ("normalize", "build", "validate", "align")))).alias("stage"))
     gates = every.join(failures, ["title", "stage"], "left").withColumn("passed", F.col("reason").isNull())
     return Finalized(made, out, found, gates)
+
+
+def unfinished(versions: DataFrame, table: StateTable) -> DataFrame:
+    """Of (title, version): what the state doesn't know as done in that version."""
+    done = table.current().where("status = 'done'").select("title", "version")
+    return versions.select("title", "version").join(done, ["title", "version"], "left_anti")
+
+
+def resumed(versions: DataFrame, table: StateTable, run: int, work: Callable[[DataFrame], Finalized], folder: str, suffix: str = ".srt") -> list[str]:
+    """One run of the chain over the titles that are left, delivered and recorded; the titles delivered.
+
+    ``work`` makes the chain of (title, version) that are left.  The files of a run
+    are one delivery and its states one change, both under its number: a run that
+    died goes on where it stopped when it is made again, and a title that is done
+    is left alone until its version changes.
+    """
+    name = f"run-{run:09d}"
+    left = unfinished(versions, table)
+    made = work(left)
+    titles = deliver(made.files(), folder, suffix, delivery=name)
+    states = made.states().join(left, "title").select(F.col("title").cast("string").alias("title"), "status", "stage", "error", "version", F.lit(run).cast("long").alias(AT))
+    # an error that is gone must be said to be gone: null would say nothing
+    table.append(states.withColumns({c: F.coalesce(c, F.lit("")) for c in ("stage", "error")}), name)
+    return titles

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions.rules import Options, rule_hits
 from ..operators import batches, cues, providers, tracks, validate
-from ..sources import sinks, subtitles, views
+from ..sources import sinks, state, subtitles, views
 from . import views_sql as V
 from .queries import _BUILT, _PREV, FIXES, PACK, _built, _words, query
 
@@ -452,3 +452,23 @@ SELECT title, issue, round, CASE WHEN state = 'shut' THEN 'unknown-state' WHEN N
 FROM b WHERE state = 'shut' OR NOT (before = 'open' OR before = state AND before <> 'shut' OR state = 'open' AND before <> 'shut') OR state = 'rejected-with-evidence' AND trim(evidence) = ''""")
 def issue_problems(spark, d):
     return providers.ledger_problems(_issues(spark, d))
+
+
+# ---- persisted state --------------------------------------------------------------------------------------------
+
+
+@query("""WITH o AS (SELECT o_custkey AS k, o_orderkey AS t, CASE WHEN o_orderkey % 4 <> 1 THEN o_orderstatus END AS status, CASE WHEN o_orderkey % 5 <> 2 THEN o_orderpriority END AS priority FROM orders)
+SELECT k AS title, arg_max(status, t) FILTER (status IS NOT NULL) AS status, arg_max(priority, t) FILTER (priority IS NOT NULL) AS priority, max(t) AS updated_at FROM o GROUP BY k""")
+def state_versions(spark, d):
+    """Orders as changes of their customers in three appends, a snapshot between the first two and one behind the second;
+    each append holds times before and behind those of the others, and some fields say nothing."""
+    o = views.read(spark, d, "orders")
+    rows = o.select(F.col("o_custkey").alias("title"), F.when(F.col("o_orderkey") % 4 != 1, F.col("o_orderstatus")).alias("status"),
+                    F.when(F.col("o_orderkey") % 5 != 2, F.col("o_orderpriority")).alias("priority"), F.col("o_orderkey").alias("updated_at"))
+    table = state.StateTable(spark, state.scratch(spark), ["title"], "title long, status string, priority string", "long")
+    for part in range(3):
+        table.append(rows.where(F.col("updated_at") % 3 == part), f"part-{part}")
+        if part < 2:
+            table.compact()
+            table.vacuum()
+    return table.current()

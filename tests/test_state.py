@@ -162,3 +162,44 @@ def test_a_late_version_does_not_replace_a_newer_one(spark, tmp_path):
     assert stream_delivery.deliver_batch(spark.createDataFrame([("a", "a4", 4)], "title string, text string, version long"), 200, str(tmp_path / "out"), "s") == ["a"]
     table = stream_delivery.delivered_versions(spark, str(tmp_path / "out"))
     assert table._snapshot()[0] and {r.title: r.version for r in table.current().where(F.col("title") == "a").collect()} == {"a": 4}
+
+
+# ---- the gate chain, resumed -----------------------------------------------------------------------------------------
+
+
+def test_runs_resume_where_they_stopped(spark, tmp_path, monkeypatch):
+    """Done titles are left alone, failed ones tried again, a new version too; a run that dies before its state is written is finished."""
+    from cuewright.plans import gates
+
+    texts = {"t": "Eins", "u": "", "v": "Un"}
+    worked, folder = [], str(tmp_path / "out")
+
+    def work(left):
+        titles = sorted(r.title for r in left.collect())
+        worked.append(titles)
+        rows = [(t, 1, 1, "00:00:01,000 --> 00:00:02,000", texts[t]) for t in titles]
+        out = spark.createDataFrame(rows, "title string, pos int, num int, ts string, text string")
+        judged = out.select("title", F.lit("normalize").alias("stage"), F.when(F.col("text") == "", "missing").alias("reason"))
+        return gates.Finalized(out, out, out, judged.withColumn("passed", F.col("reason").isNull()))
+
+    table = state.StateTable(spark, f"{tmp_path}/state", ["title"], gates.STATE, "long")
+    versions = lambda **v: spark.createDataFrame([(t, v.get(t, "1")) for t in "tuv"], "title string, version string")
+
+    def dying(*_):
+        raise RuntimeError("gone")
+
+    monkeypatch.setattr(table, "append", dying)
+    with pytest.raises(RuntimeError, match="gone"):
+        gates.resumed(versions(), table, 1, work, folder)
+    monkeypatch.undo()
+    seen = {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("*.srt")}
+    assert gates.resumed(versions(), table, 1, work, folder) == ["t", "v"]
+    assert {p.name: p.stat().st_mtime_ns for p in (tmp_path / "out").glob("*.srt")} == seen and sorted(seen) == ["t.srt", "v.srt"]
+    now = {r.title: (r.status, r.stage) for r in table.current().collect()}
+    assert now == {"t": ("done", ""), "v": ("done", ""), "u": ("built", "normalize")}
+    texts |= {"u": "Ein", "v": "Une"}
+    assert gates.resumed(versions(v="2"), table, 2, work, folder) == ["u", "v"]
+    assert gates.resumed(versions(v="2"), table, 3, work, folder) == []
+    assert worked == [["t", "u", "v"], ["t", "u", "v"], ["u", "v"], []]
+    assert {r.title: (r.status, r.version, r.error) for r in table.current().collect()} == {"t": ("done", "1", ""), "u": ("done", "1", ""), "v": ("done", "2", "")}
+    assert "Une" in (tmp_path / "out" / "v.srt").read_text()
