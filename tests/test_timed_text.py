@@ -430,6 +430,38 @@ def test_ready_slices_of_a_stream(spark, tmp_path):
         run.stop()
 
 
+def test_slices_nobody_changes_are_forgotten(spark, tmp_path):
+    """State goes after its time: the same look is new then, and the slice is UNSTABLE and READY once more."""
+    inbox, schema = tmp_path / "in", "title string, part int, hi int, last int, size long, mtime double"
+    inbox.mkdir()
+    row = json.dumps({"title": "t", "part": 1, "hi": 9, "last": 9, "size": 100, "mtime": 1.0})
+
+    def put(name):
+        (inbox / f".{name}").write_text(row)
+        (inbox / f".{name}").rename(inbox / f"{name}.json")
+
+    put("1")
+    stream = readiness.ready_slices(spark.readStream.schema(schema).json(str(inbox)), 300, 4000)
+    run = stream.writeStream.format("memory").queryName("kept").outputMode("append").trigger(processingTime="200 milliseconds").option("checkpointLocation", f"{tmp_path}/at").start()
+
+    def said():
+        return [r.flag for r in spark.sql("select flag from kept").collect()]
+
+    try:
+        end = time.time() + 90
+        while said() != ["UNSTABLE", "READY"] and time.time() < end:
+            time.sleep(0.2)
+        time.sleep(5)
+        put("2")
+        while len(said()) < 4 and time.time() < end:
+            time.sleep(0.2)
+        assert said() == ["UNSTABLE", "READY"] * 2
+    finally:
+        run.stop()
+    with pytest.raises(ValueError, match="longer"):
+        readiness.ready_slices(spark.readStream.schema(schema).json(str(inbox)), 300, 300)
+
+
 def test_late_copies_count_once(spark, tmp_path):
     path = str(tmp_path / "e")
     spark.sql("select 't' title, 'a' file, 1 lo, timestamp'2024-01-01 00:00:00' seen_at union all select 't', 'a', 1, timestamp'2024-01-01 00:01:00' union all select 't', 'b', 1, timestamp'2024-01-01 00:01:00'").write.parquet(path)
