@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..functions import timing
 from ..functions.rules import Options, Pack, Rewrite, rewritten
-from ..operators import batches, cues, tracks, validate
+from ..operators import batches, cues, tracks, validate, words
 from ..sources import views
 from . import views_sql as V
 
@@ -543,17 +543,17 @@ def _words(spark: SparkSession, d: str) -> DataFrame:
 
 @query()
 def segment_words(spark, d):
-    return tracks.cues_of_words(_words(spark, d))
+    return words.cues_of_words(_words(spark, d))
 
 
 @query()
 def loop_ngrams(spark, d):
-    return tracks.cues_of_words(_words(spark, d)).groupBy("title").agg(F.sum(F.size(F.split("text", " "))).alias("words"))
+    return words.cues_of_words(_words(spark, d)).groupBy("title").agg(F.sum(F.size(F.split("text", " "))).alias("words"))
 
 
 @query()
 def transcribe(spark, d):
-    return tracks.transcribed(_words(spark, d))
+    return words.transcribed(_words(spark, d))
 
 
 # ---- streams and state ------------------------------------------------------------------------------------------

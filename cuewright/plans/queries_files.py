@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.rules import Options, rule_hits
-from ..operators import batches, cues, providers, tracks, validate
+from ..operators import batches, cues, providers, tracks, validate, words
 from ..sources import sinks, state, subtitles, views
 from . import views_sql as V
 from .queries import _BUILT, _PREV, FIXES, PACK, _built, _words, query
@@ -361,7 +361,7 @@ def stutter(spark, d):
     """Words without a decoder's repeats; a pause every seventeen words breaks a run."""
     w = _words(spark, d).withColumn("word", F.when(F.col("word") == "again", F.col("word")).otherwise(F.concat(F.lit("w"), "pos")))
     w = w.withColumn("word", F.when(F.col("pos") % 50 < 6, "again").otherwise(F.concat(F.lit("w"), "pos")))
-    return tracks.unlooped(w).select("title", "pos", "word")
+    return words.unlooped(w).select("title", "pos", "word")
 
 
 @query(rf"WITH {V.LINES} SELECT title, pos, regexp_replace(lower(string_split(text, ' ')[1]), '[^\p{{L}}\p{{N}}]+', '', 'g') AS key, regexp_matches(text, '^[^\p{{L}}\p{{N}}]+$') AS signs FROM lines")

@@ -2,7 +2,6 @@ import json
 import random
 import time
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -200,36 +199,6 @@ def test_patterns_fail_loud():
         boilerplate_patterns("abc")
 
 
-def spoken(said, pause=0.05):
-    start = np.array([0.35 * i for i in range(len(said))]) + np.cumsum([0.0] + [max(0.0, pause - 0.05)] * (len(said) - 1))
-    return said, start, start + 0.3
-
-
-def left(said, pause=0.05):
-    return [said[i] for i in tracks.without_loops(*spoken(said, pause))]
-
-
-def test_loops_of_words():
-    assert left(["no"] * 8) == ["no"] * 2 and left(["no"] * 4) == ["no"] * 4 and left(["no"] * 8, 0.5) == ["no"] * 8
-    phrase = "we go on".split()
-    assert left(phrase * 6) == phrase * 2 and left(phrase * 3) == phrase * 3
-    assert left(["", ""] * 6) == [""] * 12 and left(["a", "", "a", ""] * 3) == ["a", "", "a", ""]
-
-
-def test_words_to_cues():
-    rng = random.Random(6)
-    for most in (20, 84):
-        said = ["x" * rng.randint(1, 9) + rng.choice(("", "", "", ",", ".")) for _ in range(300)]
-        words, start, end = spoken(said)
-        cut = tracks.Cutter(words, start, end, most).cues()
-        assert [i for a, b in cut for i in range(a, b)] == list(range(300))
-        assert all(len(" ".join(said[a:b])) <= most and end[b - 1] - start[a] <= tracks.MAX_CUE + 0.4 for a, b in cut)
-        assert not any(said[i].endswith(".") and len(" ".join(said[a : i + 1])) >= 0.45 * most for a, b in cut for i in range(a, b - 1))
-    words, start, end = spoken(["one", "two", "three"], 0.7)
-    assert tracks.Cutter(words, start, end, 84).cues() == [(0, 1), (1, 2), (2, 3)]
-    assert tracks.Cutter([], np.zeros(0), np.zeros(0), 84).cues() == []
-
-
 def brute_retimed(rows, least=700, cps=17.0):
     out, before = [], 0.0
     starts = [a / 1000 for _, a, _ in rows]
