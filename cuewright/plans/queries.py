@@ -546,9 +546,62 @@ def segment_words(spark, d):
     return words.cues_of_words(_words(spark, d))
 
 
-@query()
+def _looping_words(spark: SparkSession, d: str) -> DataFrame:
+    """Words of the documents with phrases of four, three and two words between them, each said as often as its place says."""
+    w = _words(spark, d)
+    k, more = F.col("pos") % 90, (F.col("title") + F.floor(F.col("pos") / 90)) % 3
+    said = lambda name, first, n: F.when((k >= first) & (k < first + n * (3 + more)), F.concat(F.lit(name), ((k - first) % n).cast("string")))
+    return w.withColumn("word", F.coalesce(said("four", 10, 4), said("three", 40, 3), said("two", 65, 2), F.col("word")))
+
+
+def _loop_sql() -> str:
+    """Loops word by word: what is left after single words, then after phrases of four, three and two."""
+    said = lambda name, first, n: f"WHEN k >= {first} AND k < {first} + {n} * (3 + more) THEN '{name}' || ((k - {first}) % {n})"
+    ctes = [rf"""d0 AS (SELECT doc_id AS title, list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS ws FROM documents WHERE text IS NOT NULL),
+d1 AS (SELECT title, i - 1 AS pos, ws[i] AS word FROM (SELECT title, ws, unnest(range(1, len(ws) + 1)) AS i FROM d0)),
+d2 AS (SELECT title, pos, pos % 90 AS k, (title + pos // 90) % 3 AS more, CASE WHEN pos % 50 < 6 THEN 'again' ELSE word END AS word, pos // 17 AS breath FROM d1),
+d3 AS (SELECT title, pos, breath, CASE {said("four", 10, 4)} {said("three", 40, 3)} {said("two", 65, 2)} ELSE word END AS word FROM d2),
+w AS (SELECT *, regexp_replace(lower(word), '[^\p{{L}}\p{{N}}]+', '', 'g') AS tok FROM d3),
+p0 AS (SELECT *, pos - lag(pos) OVER z = 1 AND breath = lag(breath) OVER z AND tok <> '' AND tok = lag(tok) OVER z AS again FROM w WINDOW z AS (PARTITION BY title ORDER BY pos)),
+p1 AS (SELECT *, sum(CASE WHEN again THEN 0 ELSE 1 END) OVER (PARTITION BY title ORDER BY pos) AS run FROM p0),
+p2 AS (SELECT *, count(*) OVER (PARTITION BY title, run) AS n, row_number() OVER (PARTITION BY title, run ORDER BY pos) AS j FROM p1),
+l1 AS (SELECT title, pos, word, tok, breath FROM p2 WHERE n <= 4 OR j <= 2)"""]
+    left = "l1"
+    for n in (4, 3, 2):
+        # 0.05 s between words of one breath and 0.95 s between two; of words that lost their neighbours, what those took
+        ctes.append(f"""i{n} AS (SELECT *, row_number() OVER z - 1 AS i, coalesce(0.35 * (pos - lag(pos) OVER z) + 0.9 * (breath - lag(breath) OVER z) - 0.3 <= 0.45, false) AS near,
+  coalesce(tok = lag(tok, {n}) OVER z, false) AS same, coalesce(max(tok) OVER (PARTITION BY title ORDER BY pos ROWS BETWEEN {n} PRECEDING AND 1 PRECEDING), '') <> '' AS spoken
+  FROM {left} WINDOW z AS (PARTITION BY title ORDER BY pos)),
+e{n} AS (SELECT title, i, same AND spoken AS ok,
+  coalesce(min(CASE WHEN NOT same THEN i END) OVER (PARTITION BY title ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), count(*) OVER (PARTITION BY title)) - i AS alike,
+  coalesce(min(CASE WHEN NOT near THEN i END) OVER (PARTITION BY title, i % {n} ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING), 1000000000) - i AS calm FROM i{n}),
+c{n} AS (SELECT title, i - {n} AS a, i - {n} + {n} * (1 + least(alike // {n}, (calm + {n} - 1) // {n})) AS z FROM e{n} WHERE ok AND 1 + least(alike // {n}, (calm + {n} - 1) // {n}) >= 4),
+t{n} AS (
+  SELECT title, min(a) AS a, arg_min(z, a) AS z FROM c{n} GROUP BY title
+  UNION ALL SELECT t.title, min(c.a), arg_min(c.z, c.a) FROM t{n} t JOIN c{n} c ON c.title = t.title AND c.a >= t.z GROUP BY t.title),
+x{n} AS (SELECT title, unnest(range(a + 2 * {n}, z)) AS i FROM t{n}),
+l{n} AS (SELECT i{n}.title, pos, word, tok, breath FROM i{n} ANTI JOIN x{n} USING (title, i))""")
+        left = f"l{n}"
+    return "WITH RECURSIVE " + ",\n".join(ctes) + f"\nSELECT title, CAST(pos AS INTEGER) AS pos, word FROM {left}"
+
+
+@query(_loop_sql())
 def loop_ngrams(spark, d):
-    return words.cues_of_words(_words(spark, d)).groupBy("title").agg(F.sum(F.size(F.split("text", " "))).alias("words"))
+    return words.unlooped(_looping_words(spark, d)).select("title", "pos", "word")
+
+
+@query(f"""WITH RECURSIVE {V.CUES}, n AS (
+  SELECT title, text, start_ms / 1000.0 AS b, end_ms / 1000.0 AS z, row_number() OVER w AS pos, coalesce(lead(start_ms / 1000.0) OVER w, end_ms / 1000.0 + 5e0) - 4e-2 AS lim,
+    length(replace(text, ' ', '')) / 17e0 AS need FROM cues WINDOW w AS (PARTITION BY title ORDER BY start_ms, end_ms, cues.pos)),
+f AS (
+  SELECT title, CAST(0 AS BIGINT) AS pos, CAST(NULL AS VARCHAR) AS text, 0e0 AS s, 0e0 AS e FROM n GROUP BY title
+  UNION ALL
+  SELECT title, pos, text, s, least(greatest(z + 3.5e-1, (round_even(s * 1000e0, 0) + 700) / 1000e0, s + need), greatest(lim, s + 5e-2))
+  FROM (SELECT n.*, greatest(f.e + 1e-3, n.b - 8e-2, 0e0) AS s FROM f JOIN n ON n.title = f.title AND n.pos = f.pos + 1))
+SELECT title, CAST(pos AS INTEGER) AS pos, text, CAST(round_even(s * 1000e0, 0) AS BIGINT) AS start_ms, CAST(round_even(e * 1000e0, 0) AS BIGINT) AS end_ms FROM f WHERE pos > 0 AND e > s""")
+def speech_timing(spark, d):
+    c = views.cues(spark, d)
+    return tracks.speech_retimed(c.select("title", "pos", "text", (F.col("start_ms") / 1000).alias("start"), (F.col("end_ms") / 1000).alias("end")))
 
 
 @query()
