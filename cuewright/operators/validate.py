@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import bisect
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -80,34 +83,64 @@ def manifest_findings(target: DataFrame, made: DataFrame, source: DataFrame, pac
     return union_all(out)
 
 
-def _walked(target: DataFrame, source: DataFrame) -> DataFrame:
-    """(title, ts, num, matched, bad): each title's source in order, the places its target takes, and the first target cue
-    whose timestamp line doesn't come behind the one before it.  Each takes the nearest place that fits."""
-    s = source.groupBy("title").agg(F.array_sort(F.collect_list(F.struct("pos", "num", "ts"))).alias("s"))
-    t = target.groupBy("title").agg(F.array_sort(F.collect_list(F.struct("pos", "num", "ts"))).alias("t"))
-    both = s.join(t, "title", "full_outer").select("title", *(F.coalesce(c, F.array().cast("array<struct<pos:int,num:int,ts:string>>")).alias(c) for c in ("s", "t")))
-    both = both.withColumn("ts", F.transform("s", lambda x: x["ts"]))
-
-    def step(acc: Column, x: Column) -> Column:
-        rest = F.slice("ts", acc["at"] + 1, F.size("ts"))
-        found = F.array_position(rest, x["ts"]).cast("int")
-        hit = F.struct((acc["at"] + found).alias("at"), F.array_append(acc["matched"], acc["at"] + found).alias("matched"), acc["bad"].alias("bad"))
-        return F.when(acc["bad"].isNotNull(), acc).when(found > 0, hit).otherwise(F.struct(acc["at"].alias("at"), acc["matched"].alias("matched"), x["num"].alias("bad")))
+def _matched(target: DataFrame, source: DataFrame) -> DataFrame:
+    """(title, num, place, bad): each target cue up to the first bad one of its title, with the place in the source's
+    order that it takes: the nearest behind the one before that has its timestamp line.
 
-    none = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("matched"), F.lit(None).cast("int").alias("bad"))
-    return both.withColumn("w", F.aggregate("t", none, step)).select("title", "s", F.col("w.matched").alias("matched"), F.col("w.bad").alias("bad"))
+    Where a title's lines come once in its source, windows decide.  The others are
+    walked with an index of each line's places, searched for the next one: in a
+    task a title, whose memory holds the numbers of places and cues, not their texts.
+    """
+    by_pos = Window.partitionBy("title").orderBy("pos")
+    s = source.select("title", "ts", F.row_number().over(by_pos).alias("place"))
+    lines = s.groupBy("title", "ts").agg(F.count("*").alias("times"), F.min("place").alias("place"))
+    t = target.select("title", "num", "ts", F.row_number().over(by_pos).alias("k")).join(lines, ["title", "ts"], "left")
+    t = t.withColumn("often", F.max(F.coalesce("times", F.lit(0)) > 1).over(Window.partitionBy("title")))
+
+    before = F.max("place").over(Window.partitionBy("title").orderBy("k").rowsBetween(Window.unboundedPreceding, -1))
+    once = t.where("not often").withColumn("bad", F.col("place").isNull() | F.coalesce(F.col("place") <= before, F.lit(False)))
+    upto = F.sum(F.col("bad").cast("int")).over(Window.partitionBy("title").orderBy("k"))
+    once = once.withColumn("upto", upto).where((F.col("upto") == 0) | (F.col("bad") & (F.col("upto") == 1))).select("title", "num", "place", "bad")
+
+    again = t.where("often")
+    indexed = s.join(again.select("title", "ts").distinct(), ["title", "ts"], "left_semi")
+    number = dict(target.dtypes)["num"]
+    both = indexed.select("title", "ts", "place", F.lit(None).cast(number).alias("num")).unionByName(again.select("title", "ts", F.col("k").alias("place"), "num"))
+
+    def walk(rows: pa.Table) -> pa.Table:
+        index: dict[str, list[int]] = {}
+        cues, at, out = [], 0, []
+        for place, num, ts in sorted(zip(*(rows[c].to_pylist() for c in ("place", "num", "ts")), strict=True), key=lambda r: r[0]):
+            if num is None:
+                index.setdefault(ts, []).append(place)
+            else:
+                cues.append((num, ts))
+        for num, ts in cues:
+            own = index.get(ts, [])
+            i = bisect.bisect_right(own, at)
+            bad = i == len(own)
+            at = at if bad else own[i]
+            out.append((num, None if bad else at, bad))
+            if bad:
+                break
+        num, place, bad = zip(*out, strict=True)
+        title = rows["title"].combine_chunks()[: 1]
+        return pa.table({"title": pa.array(title.to_pylist() * len(out), title.type), "num": pa.array(num, rows.schema.field("num").type), "place": pa.array(place, pa.int32()), "bad": pa.array(bad)})
+
+    walked = both.groupBy("title").applyInArrow(walk, f"title {dict(t.dtypes)['title']}, num {number}, place int, bad boolean")
+    return once.unionByName(walked)
 
 
 def ordered_timestamps(target: DataFrame, source: DataFrame) -> DataFrame:
     """Without a manifest: target timestamps must be an ordered part of the source's; the first of each title that isn't."""
-    return _rows(_walked(target, source).where("bad is not null").withColumn("num", F.col("bad")), "ts-not-in-order")
+    return _rows(_matched(target, source).where("bad"), "ts-not-in-order")
 
 
 def dropped_dialogue(target: DataFrame, source: DataFrame) -> DataFrame:
     """Without a manifest: source cues at places that the target doesn't take and that may not be dropped."""
-    walked = _walked(target, source).select("title", "matched", F.posexplode("s").alias("i", "x"))
-    left = walked.where(~F.array_contains("matched", F.col("i") + 1)).select("title", F.col("x.num").alias("num"))
-    return _rows(left.join(source.where("droppable").select("title", "num"), ["title", "num"], "left_anti"), "dialogue-dropped")
+    taken = _matched(target, source).where("not bad").select("title", "place")
+    rows = source.withColumn("place", F.row_number().over(Window.partitionBy("title").orderBy("pos")))
+    return _rows(rows.where("not droppable").join(taken, ["title", "place"], "left_anti"), "dialogue-dropped")
 
 
 def source_findings(files: DataFrame, problems: DataFrame, sources: DataFrame, standalone: bool = False) -> DataFrame:
