@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column
@@ -54,6 +54,8 @@ class Options:
     strip_boilerplate: bool = True
     allow_merge: bool = False
     drop_pure_sound: bool = True
+    #: What stands in a target where the source couldn't be heard.
+    inaudible: str = "[inaudible]"
 
     @classmethod
     def read(cls, section: object) -> Options:
@@ -67,11 +69,13 @@ class Options:
             if name not in kinds:
                 raise ValueError(f"unknown option {name}")
             kind = kinds[name]
-            ok = isinstance(value, bool) if kind is bool else isinstance(value, (int, float) if kind is float else int) and not isinstance(value, bool)
+            ok = isinstance(value, kind) if kind in (bool, str) else isinstance(value, (int, float) if kind is float else int) and not isinstance(value, bool)
             if not ok:
                 raise ValueError(f"option {name} must be {kind.__name__}, not {value!r}")
             if kind is int and value < 1:
                 raise ValueError(f"option {name} must be at least 1")
+            if kind is float and not value > 0:
+                raise ValueError(f"option {name} must be more than 0")
             got[name] = kind(value)
         return cls(**got)
 
@@ -124,24 +128,75 @@ def rule_hits(text: Column, rules: Sequence[Rewrite]) -> list[Column]:
     return out
 
 
+@dataclass(frozen=True)
+class Sense:
+    """When a term is meant well: by the word before it, the word after it, or a capital next to it."""
+
+    before: tuple[str, ...] = ()
+    after: tuple[str, ...] = ()
+    capital: bool = False
+
+    def condemns(self, x: Column) -> Column:
+        """Whether nothing excuses an occurrence (hit, before, after, capital)."""
+        return ~(x["before"].isin(*self.before) | x["after"].isin(*self.after) | (x["capital"] & F.lit(self.capital)))
+
+
+# Senses that packs name.
+SENSES: dict[str, Sense] = {
+    "family": Sense(before=("mi", "tu", "su", "sus", "mis", "tus", "nuestro", "nuestra", "nuestros", "nuestras", "el", "la", "los", "las", "un", "una"), capital=True),
+    "valer": Sense(before=("más", "te", "le", "les", "se", "nos", "me"), after=("la", "mucho", "poco", "nada", "más", "menos", "otra", "cada", "cualquier", "que", "pena")),
+}
+
+
+def occurrences(text: Column, term: str) -> Column:
+    """Each place of a term (a regex, between word borders, any case): (hit, before, after, capital).
+
+    ``before`` and ``after`` are the words next to it, in lower case and bare of
+    signs at their ends; ``capital`` tells whether what follows starts with one.
+    """
+    pattern = bounded([term])
+
+    def at(parts: Column) -> Column:
+        def place(i: Column) -> Column:
+            sizes = lambda xs, n: F.aggregate(F.slice(xs, F.lit(1), n), F.lit(0), lambda a, x: a + F.length(x))
+            start, hit = sizes(parts["rest"], i + 1) + sizes(parts["hits"], i), F.get(parts["hits"], i)
+            before = F.substring_index(F.regexp_replace(F.substring(text, F.lit(1), start), r"\s+\z", ""), " ", -1)
+            after = F.regexp_replace(F.substring(text, start + F.length(hit) + 1, F.length(text)), r"\A\s+", "")
+            bare = lambda w: F.btrim(F.lower(w), F.lit(",.¡!¿?"))
+            return F.struct(hit.alias("hit"), bare(before).alias("before"), bare(F.substring_index(after, " ", 1)).alias("after"), after.rlike(r"\A\p{Lu}").alias("capital"))
+
+        return F.transform(F.sequence(F.lit(0), F.size(parts["hits"]) - 1), place)
+
+    parts = F.struct(F.split(text, pattern, -1).alias("rest"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("hits"))
+    return F.when(text.rlike(pattern), once(parts, at))
+
+
+def is_plain(fragment: str) -> bool:
+    """Whether a regex fragment stands for itself alone."""
+    return re.escape(fragment).replace("\\ ", " ") == fragment
+
+
 @dataclass(frozen=True)
 class Pack:
-    """A language's rules.  ``banned`` and ``phrases`` are regex fragments, the rest are literals."""
+    """A language's rules.  ``banned`` and ``caution`` are regex fragments between word borders, ``phrases`` are regexes,
+    ``exempt`` pairs of a regex between word borders and the sense in which it is fine; the rest are literals."""
 
     banned: tuple[str, ...] = ()
     phrases: tuple[str, ...] = ()
     caution: tuple[str, ...] = ()
     leftover: tuple[str, ...] = ()
     loanwords: tuple[str, ...] = ()
-    exempt: Mapping[str, Mapping[str, tuple[str, ...]]] = field(default_factory=dict)
+    exempt: tuple[tuple[str, Sense], ...] = ()
     entities: tuple[tuple[str, str], ...] = ()
 
     def banned_hit(self, text: Column) -> Column:
         """The first banned term or phrase; null without."""
-        return _hit(text, bounded((*self.banned, *self.phrases)))
+        parts = [bounded(self.banned).removeprefix("(?iu)")] if self.banned else []
+        parts += [f"(?:{p})".replace(r"\w", WORD) for p in self.phrases]
+        return F.nullif(F.btrim(F.regexp_extract(text, "(?iu)" + "|".join(parts), 0)), F.lit("")) if parts else F.lit(None).cast("string")
 
     def caution_hit(self, text: Column) -> Column:
-        return once(text, lambda t: _hit(t, bounded(self.caution, literal=True), self.caution))
+        return once(text, lambda t: _hit(t, bounded(self.caution), self.caution if all(map(is_plain, self.caution)) else None))
 
     def leftover_hit(self, text: Column, allowed: Column | None = None) -> Column:
         """First source word left over, outside italics, loanwords and the cue's allowed phrases."""
@@ -158,25 +213,19 @@ class Pack:
         return once(text, hit)
 
     def exempt_violation(self, text: Column) -> Column:
-        """First term that stands outside the contexts that excuse it.
-
-        Contexts: ``before`` and ``after`` are words beside it, ``capital`` excuses a capital next.
-        """
-        return once(text, self._violation)
-
-    def _violation(self, text: Column) -> Column:
-        found = F.lit(None).cast("string")
-        for term, ctx in reversed(list(self.exempt.items())):
-            q = _quoted(term)
-            excuses = ""
-            if ctx.get("before"):
-                excuses += "".join(rf"(?<!(?<!{WORD}){_quoted(w)}\s)" for w in ctx["before"])
-            after = "|".join(_quoted(w) for w in ctx.get("after", ()))
-            ahead = rf"(?!\s+(?:{after})(?!{WORD}))" if after else ""
-            if ctx.get("capital"):
-                ahead += r"(?!\s*(?-i:\p{Lu}))"
-            found = F.when(may_hold(text, [term]) & text.rlike(rf"(?iu){excuses}(?<!{WORD}){q}(?!{WORD}){ahead}"), F.lit(term)).otherwise(found)
-        return found
+        """The first occurrence of the first term that no context excuses; null without."""
+        def first(t: Column) -> Column:
+            each = []
+            for term, sense in self.exempt:
+                wrong = F.get(F.filter(occurrences(t, term), sense.condemns), F.lit(0))["hit"]
+                each.append(F.when(may_hold(t, [term]), wrong) if is_plain(term) else wrong)
+            return F.coalesce(*each, F.lit(None).cast("string"))
+
+        return once(text, first)
+
+    def exempt_violations(self, text: Column) -> Column:
+        """For each term, in order, its first occurrence that no context excuses."""
+        return F.filter(F.array(*(Pack(exempt=(e,)).exempt_violation(text) for e in self.exempt)), lambda x: x.isNotNull())
 
 
 def _hit(text: Column, pattern: str, literals: Iterable[str] | None = None) -> Column:

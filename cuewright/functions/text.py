@@ -8,7 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TAG = r"(?i)</?[ib]>"
-#: Characters a line may be dressed in, as a set to strip.
+# Fixed value: characters a line may be dressed in, as a set to strip.
 EDGE = "\"'“”‘’()[]{}<>-–—.,!?;:…¡¿* \t"
 # Words that alone make an annotation of sound.
 SOUND_WORDS = (
@@ -53,6 +53,11 @@ def lines(text: Column) -> Column:
     return F.split(untagged(text), "\n")
 
 
+def said_lines(text: Column) -> Column:
+    """Lines that are not blank, without tags."""
+    return F.transform(F.filter(F.split(text, "\n"), lambda x: x.rlike(r"\S")), untagged)
+
+
 def widest(text: Column) -> Column:
     return F.array_max(F.transform(lines(text), F.length)).cast("long")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions.rules import Options
+from .tracks import boilerplate
+
+#: A silence to be looked at, and how many of a title are said.
+SILENCE_MS, SILENCES = 120_000, 5
+
 
 def by_title() -> WindowSpec:
     return Window.partitionBy("title").orderBy("pos")
@@ -59,10 +64,12 @@ def exploded(cues: DataFrame, found: list[Column]) -> DataFrame:
 
 
 def with_previous(cues: DataFrame) -> DataFrame:
-    """Valid cues with the one before each; inverted cues take no part."""
+    """Valid cues with the one before each, and the text of the last one before it that says something; inverted cues take no part."""
     valid = cues.where("end_ms > start_ms")
+    said = F.when(X.plain(F.col("text")) != "", F.col("text"))
     return valid.withColumns({
-        "prev_end": F.lag("end_ms").over(by_title()), "prev_start": F.lag("start_ms").over(by_title()), "prev_text": F.lag("text").over(by_title())})
+        "prev_end": F.lag("end_ms").over(by_title()), "prev_start": F.lag("start_ms").over(by_title()),
+        "prev_text": F.last(said, ignorenulls=True).over(by_title().rowsBetween(Window.unboundedPreceding, -1))})
 
 
 def first_misnumbered(cues: DataFrame) -> DataFrame:
@@ -70,40 +77,57 @@ def first_misnumbered(cues: DataFrame) -> DataFrame:
     return off.groupBy("title").agg(F.min("place").alias("place"), F.min_by("num", "place").alias("num"))
 
 
-def qa_findings(cues: DataFrame, opt: Options = Options()) -> DataFrame:
-    """Findings of one track by itself.  One shuffle, by title: every rule is a column of the same windowed rows."""
+def qa_findings(cues: DataFrame, opt: Options = Options(), patterns: Iterable[str] | None = None) -> DataFrame:
+    """Findings of one track by itself.  One shuffle, by title: every rule but boilerplate's is a column of the same windowed rows.
+
+    What an empty cue says is not looked at; of long silences a title's first five are said.
+    """
     t = F.col("text")
     dur = F.col("end_ms") - F.col("start_ms")
     speed = X.cps(t, dur)
-    rows = with_previous(cues)
     gap = F.col("start_ms") - F.col("prev_end")
+    rows = with_previous(cues).withColumns({"empty": X.plain(t) == "", "n_lines": F.size(X.said_lines(t)), "wide": F.array_max(F.transform(X.said_lines(t), F.length))})
+    rows = rows.withColumn("silences", F.count_if(gap > SILENCE_MS).over(by_title()))
     key, prev_key = X.norm_key(t), X.norm_key(F.col("prev_text"))
-    empty = F.btrim(X.untagged(t)) == ""
     bi, ei = X.tag_counts(t, "i")
     bb, eb = X.tag_counts(t, "b")
+    said = ~F.col("empty")
     found = exploded(rows, [
         finding("HARD", "non-monotonic", F.col("start_ms") < F.col("prev_start")),
-        finding("HARD", "empty", empty),
-        finding("HARD", "unbalanced", (bi != ei) | (bb != eb)),
+        finding("HARD", "empty", F.col("empty")),
+        finding("HARD", "unbalanced", said & ((bi != ei) | (bb != eb))),
         finding("HARD", "mojibake", X.has_mojibake(t)),
         finding("HARD", "literal-escape", X.has_literal_escape(t)),
-        finding("SOFT", "overlap", (F.col("start_ms") >= F.col("prev_start")) & (gap < 0), (-gap).cast("string")),
+        finding("SOFT", "overlap", gap < 0, (-gap).cast("string")),
         finding("SOFT", "short", dur < opt.min_duration_ms, dur.cast("string")),
-        finding("SOFT", "punct-only", ~empty & X.is_punctuation(X.untagged(t))),
-        finding("SOFT", "lines", F.size(X.lines(t)) > opt.max_lines, F.size(X.lines(t)).cast("string")),
-        finding("SOFT", "long-line", X.widest(t) > opt.max_cpl, X.widest(t).cast("string")),
-        finding("SOFT", "cps-hard", speed > opt.hard_cps),
-        finding("SOFT", "cps-target", (speed > opt.max_cps) & (speed <= opt.hard_cps)),
-        finding("SOFT", "dup-adjacent", (key != "") & (key == prev_key)),
-        finding("SOFT", "all-caps", X.is_all_caps(t)),
-        finding("SOFT", "gap", gap > 120000, gap.cast("string")),
+        finding("SOFT", "punct-only", said & X.is_punctuation(X.untagged(t))),
+        finding("SOFT", "lines", said & (F.col("n_lines") > opt.max_lines), F.col("n_lines").cast("string")),
+        finding("SOFT", "long-line", said & (F.col("wide") > opt.max_cpl), F.col("wide").cast("string")),
+        finding("SOFT", "cps-hard", said & (speed > opt.hard_cps)),
+        finding("SOFT", "cps-target", said & (speed > opt.max_cps) & (speed <= opt.hard_cps)),
+        finding("SOFT", "dup-adjacent", said & (key != "") & (key == prev_key)),
+        finding("SOFT", "all-caps", said & X.is_all_caps(t)),
+        finding("SOFT", "gap", (gap > SILENCE_MS) & (F.col("silences") <= SILENCES), gap.cast("string")),
     ])
     inverted = cues.where("end_ms <= start_ms").select("title", "num", F.lit("HARD").alias("severity"), F.lit("inverted").alias("rule"), F.lit("").alias("detail"))
     numbering = first_misnumbered(cues).select("title", "num", F.lit("HARD").alias("severity"), F.lit("numbering").alias("rule"), F.col("place").cast("string").alias("detail"))
-    return found.unionByName(inverted).unionByName(numbering)
+    return union_all([found, inverted, numbering, boilerplate_findings(cues, opt, patterns)])
+
+
+def boilerplate_findings(cues: DataFrame, opt: Options = Options(), patterns: Iterable[str] | None = None) -> DataFrame:
+    """A soft finding for each cue that is boilerplate; the detail tells what clean-up does with it."""
+    note = F.when(~F.col("removable"), f"below {opt.min_repeats} repeats, stays").otherwise("recurs, will be removed" if opt.strip_boilerplate else "recurs, but removal is off")
+    hits = boilerplate(cues, opt.min_repeats, patterns).select("title", "pos", F.concat(X.plain(F.col("text")), F.lit(": "), note).alias("detail"))
+    return cues.select("title", "pos", "num").join(hits, ["title", "pos"]).select("title", "num", F.lit("SOFT").alias("severity"), F.lit("boilerplate").alias("rule"), "detail")
 
 
-def long_gaps(cues: DataFrame, least_ms: int = 120000, most: int = 5) -> DataFrame:
+def overlap_counts(cues: DataFrame) -> DataFrame:
+    """(title, overlaps): cues that start before the one before them ends, out of order or not; every title has a row."""
+    before = F.lag("end_ms").over(by_title())
+    return cues.withColumn("late", F.coalesce(F.col("start_ms") < before, F.lit(False))).groupBy("title").agg(F.count_if("late").alias("overlaps"))
+
+
+def long_gaps(cues: DataFrame, least_ms: int = SILENCE_MS, most: int = SILENCES) -> DataFrame:
     """The first few silences of each title."""
     g = with_previous(cues).withColumn("gap_ms", F.col("start_ms") - F.col("prev_end")).where(F.col("gap_ms") > least_ms)
     return g.withColumn("rank", F.row_number().over(by_title())).where(F.col("rank") <= most).select("title", "pos", "gap_ms", "rank")
@@ -118,15 +142,32 @@ def nearest_ranks(values: DataFrame, value: str, percents: Sequence[int]) -> Dat
     return at.groupBy("title").agg(*(F.min(F.when(F.col("upto") >= rank(p), F.col("v"))).alias(f"p{p}") for p in percents))
 
 
-def qa_summary(cues: DataFrame) -> DataFrame:
-    """Cues, runtime, speed and line-width percentiles of each title; speeds in thousandths of characters a second."""
+def qa_summary(cues: DataFrame, opt: Options = Options(), patterns: Iterable[str] | None = None) -> DataFrame:
+    """One row a title: cues in all, the last one's end, speeds (thousandths of characters a second), line widths, durations, and
+    how often each rule of readability is broken.
+
+    Durations are those of valid cues; speeds and widths, a line each, those of valid cues that say something.
+    """
     t = F.col("text")
-    dur = F.greatest(F.col("end_ms") - F.col("start_ms"), F.lit(1))
-    milli = F.floor(X.n_spoken(t) * 1000000 / dur).cast("long")
-    rows = cues.where("end_ms > start_ms").select("title", "pos", "end_ms", dur.alias("dur"), milli.alias("speed"), X.widest(t).alias("wide"))
-    whole = rows.groupBy("title").agg(F.count("*").alias("n"), F.max_by("end_ms", "pos").alias("runtime_ms"), F.max("speed").alias("cps_max"), F.min("dur").alias("shortest_ms"))
-    speed, wide = (nearest_ranks(rows, c, (50, 90)).select("title", F.col("p50").alias(f"{name}_p50"), F.col("p90").alias(f"{name}_p90")) for c, name in (("speed", "cps"), ("wide", "cpl")))
-    return whole.join(speed, "title").join(wide, "title").select("title", "n", "runtime_ms", "cps_p50", "cps_p90", "cps_max", "cpl_p50", "cpl_p90", "shortest_ms")
+    dur = F.col("end_ms") - F.col("start_ms")
+    speed = X.cps(t, dur)
+    said = X.plain(t) != ""
+    lines = X.said_lines(t)
+    rows = with_previous(cues).select(
+        "title", dur.alias("dur"), F.when(said, F.floor(X.n_spoken(t) * 1000000 / dur).cast("long")).alias("speed"),
+        F.when(said, F.transform(lines, F.length)).alias("wide"), (said & (speed > opt.hard_cps)).alias("over_hard"), (said & (speed > opt.max_cps) & (speed <= opt.hard_cps)).alias("over_target"),
+        (said & (F.size(lines) > opt.max_lines)).alias("many"), (dur < opt.min_duration_ms).alias("brief"), (F.col("start_ms") < F.col("prev_end")).alias("late"))
+    counts = rows.groupBy("title").agg(
+        F.max("speed").alias("cps_max"), F.max(F.array_max("wide")).cast("long").alias("cpl_max"), F.count_if("over_target").alias("over_target"), F.count_if("over_hard").alias("over_hard"),
+        F.coalesce(F.sum(F.size(F.filter("wide", lambda w: w > opt.max_cpl))), F.lit(0)).cast("long").alias("long_lines"), F.count_if("many").alias("many_lines"), F.count_if("brief").alias("short"),
+        F.count_if("late").alias("overlaps"), F.min("dur").alias("shortest_ms"))
+    out = cues.groupBy("title").agg(F.count("*").alias("n"), F.max_by("end_ms", "pos").alias("runtime_ms")).join(counts, "title", "left")
+    wide = rows.select("title", F.explode(F.col("wide").cast("array<bigint>")).alias("wide"))
+    for of, c, name, ps in ((rows.where("speed is not null"), "speed", "cps", (50, 90)), (wide, "wide", "cpl", (50, 90)), (rows, "dur", "dur", (50,))):
+        out = out.join(nearest_ranks(of, c, ps).select("title", *(F.col(f"p{p}").alias(f"{name}_p{p}") for p in ps)), "title", "left")
+    b = boilerplate(cues, opt.min_repeats, patterns).groupBy("title").agg(F.count("*").alias("boilerplate"), F.count_if("removable").alias("removable"))
+    zero = [c for c in ("over_target", "over_hard", "long_lines", "many_lines", "short", "overlaps", "boilerplate", "removable")]
+    return out.join(b, "title", "left").na.fill(0, zero).select("title", "n", "runtime_ms", "cps_p50", "cps_p90", "cps_max", "cpl_p50", "cpl_p90", "cpl_max", "dur_p50", "shortest_ms", *zero)
 
 
 def totals(found: DataFrame) -> DataFrame:

@@ -28,10 +28,11 @@ def target_findings(cues: DataFrame, pack: Pack, opt: Options = Options(), allow
     speed = X.cps(t, dur, CPS_FLOOR_MS)
     bi, ei = X.tag_counts(t, "i")
     bb, eb = X.tag_counts(t, "b")
+    said = X.said_lines(t)
     found = [
         finding("HARD", "mojibake", X.has_mojibake(t)), finding("HARD", "literal-escape", X.has_literal_escape(t)), finding("HARD", "unbalanced-tag", (bi != ei) | (bb != eb)),
         finding("SOFT", "overlap", F.col("start_ms") < F.col("prev_end") - OVERLAP_MS), finding("SOFT", "short", dur < opt.min_duration_ms),
-        finding("SOFT", "lines", F.size(X.lines(t)) > opt.max_lines), finding("SOFT", "long-line", X.widest(t) > opt.max_cpl + LINE_SLACK),
+        finding("SOFT", "lines", F.size(said) > opt.max_lines), finding("SOFT", "long-line", X.widest(t) > opt.max_cpl + LINE_SLACK),
         finding("SOFT", "cps-hard", speed > opt.hard_cps), finding("SOFT", "cps-target", (speed > opt.max_cps) & (speed <= opt.hard_cps)),
     ]
 
@@ -40,8 +41,8 @@ def target_findings(cues: DataFrame, pack: Pack, opt: Options = Options(), allow
 
     if pack.banned or pack.phrases:
         found.append(hit("HARD", "banned", pack.banned_hit(flat)))
-    if pack.exempt:
-        found.append(hit("HARD", "banned-context", pack.exempt_violation(flat)))
+    for e in pack.exempt:  # each term is said once a cue
+        found.append(hit("HARD", "banned-context", Pack(exempt=(e,)).exempt_violation(flat)))
     if pack.leftover:
         found.append(hit("HARD", "leftover", pack.leftover_hit(t, F.col("phrases"))))
     if pack.caution:
@@ -54,9 +55,11 @@ def _rows(df: DataFrame, rule: str, severity: str = "HARD", num: str = "num", de
     return df.select("title", F.col(num).cast("int").alias("num"), F.lit(severity).alias("severity"), F.lit(rule).alias("rule"), (detail if detail is not None else F.lit("")).cast("string").alias("detail"))
 
 
-def manifest_findings(target: DataFrame, made: DataFrame, source: DataFrame, pack: Pack | None = None) -> DataFrame:
+def manifest_findings(target: DataFrame, made: DataFrame, source: DataFrame, pack: Pack | None = None, marker: str = Options.inaudible) -> DataFrame:
     """Target against manifest and source: lost and extra cues, timestamps, coverage, tags, numbers, markers, names.
 
+    ``marker`` is what a target says where the source couldn't be heard.
+
     source needs droppable and inaudible.
     """
     kept = made.where("not drop").select("title", F.col("out").alias("num"), "src", F.col("ts").alias("want"))
@@ -75,7 +78,7 @@ def manifest_findings(target: DataFrame, made: DataFrame, source: DataFrame, pac
         _rows(cover.where("times is null"), "unaccounted", num="n"), _rows(cover.where("dropped and not droppable"), "dropped-not-droppable", num="n"),
         _rows(pairs.where(X.tag_multiset(F.col("said")) != X.tag_multiset(F.col("text"))), "tag-set-differs"),
         _rows(pairs.where((a > 0) & (F.abs(a - b) >= 2)), "digit-drift", "SOFT", detail=F.concat_ws("/", a, b)),
-        _rows(pairs.where(F.col("inaudible") & ~X.is_inaudible(F.col("text"))), "inaudible-marker", "SOFT"),
+        _rows(pairs.where(F.col("inaudible") & ~F.contains(F.col("text"), F.lit(marker))), "inaudible-marker", "SOFT", detail=F.lit(marker)),
     ]
     if pack:
         for have, want in pack.entities:
@@ -143,17 +146,18 @@ def dropped_dialogue(target: DataFrame, source: DataFrame) -> DataFrame:
     return _rows(rows.where("not droppable").join(taken, ["title", "place"], "left_anti"), "dialogue-dropped")
 
 
-def source_findings(files: DataFrame, problems: DataFrame, sources: DataFrame, standalone: bool = False) -> DataFrame:
+def source_findings(files: DataFrame, problems: DataFrame, sources: DataFrame, standalone: bool = False, marker: str = Options.inaudible) -> DataFrame:
     """(title, num, severity, rule, detail) of target files (title, text) as wholes; ``sources`` has the titles with a source.
 
-    Speaker labels and bracket tags are said once a file, whatever lies between cues.
+    Encoding slips, speaker labels and bracket tags are said once a file, wherever in
+    it they are; the inaudible marker of the language is no bracket tag.
     """
     t = F.col("text")
+    one = lambda when, rule, severity="HARD": _rows(files.where(when).withColumn("num", F.lit(None)), rule, severity)
     whole = [
-        _rows(files.where(t.startswith("\ufeff")).withColumn("num", F.lit(None)), "bom"),
+        one(t.startswith("\ufeff"), "bom"), one(X.has_mojibake(t), "mojibake"), one(X.has_literal_escape(t), "literal-escape"),
         _rows(problems.groupBy("title").agg(F.count("*").cast("string").alias("n")).withColumn("num", F.lit(None)), "malformed", detail=F.col("n")),
-        _rows(files.where(t.rlike(X.LABEL)).withColumn("num", F.lit(None)), "speaker-label", "SOFT"),
-        _rows(files.where(F.regexp_replace(t, X.INAUDIBLE, "").rlike(r"\[[^\]\n]+\]")).withColumn("num", F.lit(None)), "bracket-tag", "SOFT"),
+        one(t.rlike(X.LABEL), "speaker-label", "SOFT"), one((F.replace(t, F.lit(marker), F.lit("")) if marker else t).rlike(r"\[[^\]]+\]"), "bracket-tag", "SOFT"),
     ]
     alone = files.select("title").distinct().join(sources.select("title").distinct(), "title", "left_anti").withColumn("num", F.lit(None))
     whole.append(_rows(alone, "standalone" if standalone else "missing-source", "SOFT" if standalone else "HARD"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..functions import timing
-from ..functions.rules import Options, Pack, Rewrite, rewritten
+from ..functions.rules import Options, Pack, Rewrite, Sense, rewritten
 from ..operators import batches, cues, tracks, validate, words
 from ..sources import views
 from . import views_sql as V
@@ -21,7 +21,7 @@ SQL: dict[str, str] = {}
 
 #: Rules that the invented prose of the test tables can meet.
 PACK = Pack(banned=("thatand", r"\p{L}+heit", "blehe"), phrases=(r"of\s+the",), caution=("nicht", "pour"), leftover=("the", "this", "here", "right"), loanwords=("right",),
-            exempt={"with": {"before": ("and",), "after": ("the",)}}, entities=(("the", "der"),))
+            exempt=(("with(?:out)?", Sense(before=("and",), after=("the",), capital=True)), ("las?", Sense(before=("de", "a")))), entities=(("the", "der"),))
 FIXES = (Rewrite("the", "das"), Rewrite("and", "und"), Rewrite(r"([a-z])ing\b", r"\1ung", "regex"))
 
 
@@ -36,19 +36,34 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
 
 # ---- statistics and findings of one track -----------------------------------------------------------------------
 
-_PREV = """, v AS (
-  SELECT *, lag(end_ms) OVER w AS prev_end, lag(start_ms) OVER w AS prev_start, lag(text) OVER w AS prev_text
-  FROM cues WHERE end_ms > start_ms WINDOW w AS (PARTITION BY title ORDER BY pos))"""
-
-
-@query(f"""WITH {V.CUES}{_PREV},
-q AS (SELECT title, pos, end_ms, greatest(end_ms - start_ms, 1) AS dur, {V.spoken('text')} * 1000000 // greatest(end_ms - start_ms, 1) AS speed, {V.widest('text')} AS wide FROM v)
-SELECT title, count(*) AS n, max_by(end_ms, pos) AS runtime_ms,
-  CAST(list_sort(list(speed))[CAST(round_even(50 * (count(*) - 1) / 100.0, 0) AS INTEGER) + 1] AS BIGINT) AS cps_p50,
-  CAST(list_sort(list(speed))[CAST(round_even(90 * (count(*) - 1) / 100.0, 0) AS INTEGER) + 1] AS BIGINT) AS cps_p90, CAST(max(speed) AS BIGINT) AS cps_max,
-  CAST(list_sort(list(wide))[CAST(round_even(50 * (count(*) - 1) / 100.0, 0) AS INTEGER) + 1] AS BIGINT) AS cpl_p50,
-  CAST(list_sort(list(wide))[CAST(round_even(90 * (count(*) - 1) / 100.0, 0) AS INTEGER) + 1] AS BIGINT) AS cpl_p90, CAST(min(dur) AS BIGINT) AS shortest_ms
-FROM q GROUP BY title""")
+_PREV = r""", v0 AS (
+  SELECT *, trim(regexp_replace(regexp_replace(text, '(?i)</?[ib]>', '', 'g'), '\s+', ' ', 'g')) = '' AS empty,
+    list_transform(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\S')), lambda x: regexp_replace(x, '(?i)</?[ib]>', '', 'g')) AS ls
+  FROM cues WHERE end_ms > start_ms),
+v1 AS (
+  SELECT *, lag(end_ms) OVER w AS prev_end, lag(start_ms) OVER w AS prev_start,
+    last_value(CASE WHEN NOT empty THEN text END IGNORE NULLS) OVER (PARTITION BY title ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_text
+  FROM v0 WINDOW w AS (PARTITION BY title ORDER BY pos)),
+v AS (SELECT *, list_max(list_transform(ls, lambda x: length(x))) AS wide, count(*) FILTER (start_ms - prev_end > 120000) OVER (PARTITION BY title ORDER BY pos) AS silences FROM v1)"""
+
+
+def _ranked(rows: str, value: str, percent: int) -> str:
+    return f"CAST(list_sort(list({value}))[CAST(round_even({percent} * (count(*) - 1) / 100.0, 0) AS INTEGER) + 1] AS BIGINT)"
+
+
+@query(f"""WITH {V.CUES}{_PREV}, q AS (
+  SELECT title, pos, end_ms - start_ms AS dur, CASE WHEN NOT empty THEN {V.spoken('text')} * 1000000 // (end_ms - start_ms) END AS speed, {V.spoken('text')} * 1000.0 / (end_ms - start_ms) AS cps, empty, ls,
+    start_ms < prev_end AS late FROM v),
+k AS (SELECT title, CAST(max(speed) AS BIGINT) AS cps_max, count(*) FILTER (NOT empty AND cps > 17 AND cps <= 26) AS over_target, count(*) FILTER (NOT empty AND cps > 26) AS over_hard,
+  count(*) FILTER (NOT empty AND len(ls) > 2) AS many_lines, count(*) FILTER (dur < 700) AS short, count(*) FILTER (late) AS "overlaps", CAST(min(dur) AS BIGINT) AS shortest_ms, {_ranked('q', 'dur', 50)} AS dur_p50
+  FROM q GROUP BY title),
+p AS (SELECT title, {_ranked('q', 'speed', 50)} AS cps_p50, {_ranked('q', 'speed', 90)} AS cps_p90 FROM q WHERE NOT empty GROUP BY title),
+w AS (SELECT title, length(unnest(ls)) AS wide FROM q WHERE NOT empty),
+l AS (SELECT title, {_ranked('w', 'wide', 50)} AS cpl_p50, {_ranked('w', 'wide', 90)} AS cpl_p90, CAST(max(wide) AS BIGINT) AS cpl_max, count(*) FILTER (wide > 42) AS long_lines FROM w GROUP BY title),
+a AS (SELECT title, count(*) AS n, arg_max(end_ms, pos) AS runtime_ms FROM cues GROUP BY title)
+SELECT a.title, a.n, a.runtime_ms, cps_p50, cps_p90, cps_max, cpl_p50, cpl_p90, cpl_max, dur_p50, shortest_ms, coalesce(over_target, 0) AS over_target, coalesce(over_hard, 0) AS over_hard,
+  coalesce(long_lines, 0) AS long_lines, coalesce(many_lines, 0) AS many_lines, coalesce(short, 0) AS short, coalesce("overlaps", 0) AS "overlaps", CAST(0 AS BIGINT) AS boilerplate, CAST(0 AS BIGINT) AS removable
+FROM a LEFT JOIN k USING (title) LEFT JOIN p USING (title) LEFT JOIN l USING (title)""")
 def qa_summary(spark, d):
     return cues.qa_summary(views.cues(spark, d))
 
@@ -70,14 +85,14 @@ def _add_finding(name: str, rule: str, when: str, detail: str = "''") -> None:
     SQL[name] = f"WITH {V.CUES}{_PREV} SELECT title, num, CAST({detail} AS VARCHAR) AS detail FROM v WHERE {when}"
 
 
-_add_finding("qa_overlap", "overlap", "start_ms >= prev_start AND start_ms < prev_end", "prev_end - start_ms")
+_add_finding("qa_overlap", "overlap", "start_ms < prev_end", "prev_end - start_ms")
 _add_finding("qa_nonmono", "non-monotonic", "start_ms < prev_start")
 _add_finding("qa_short", "short", "end_ms - start_ms < 700", "end_ms - start_ms")
-_add_finding("qa_cps", "cps-hard", f"{V.spoken('text')} * 1000.0 / greatest(end_ms - start_ms, 1) > 26")
-_add_finding("qa_cps_target", "cps-target", f"{V.spoken('text')} * 1000.0 / greatest(end_ms - start_ms, 1) > 17 AND {V.spoken('text')} * 1000.0 / greatest(end_ms - start_ms, 1) <= 26")
-_add_finding("qa_cpl", "long-line", f"{V.widest('text')} > 42", V.widest("text"))
-_add_finding("qa_lines", "lines", "len(string_split(text, chr(10))) > 2", "len(string_split(text, chr(10)))")
-_add_finding("qa_silence", "gap", "start_ms - prev_end > 120000", "start_ms - prev_end")
+_add_finding("qa_cps", "cps-hard", f"NOT empty AND {V.spoken('text')} * 1000.0 / greatest(end_ms - start_ms, 1) > 26")
+_add_finding("qa_cps_target", "cps-target", f"NOT empty AND {V.spoken('text')} * 1000.0 / greatest(end_ms - start_ms, 1) > 17 AND {V.spoken('text')} * 1000.0 / greatest(end_ms - start_ms, 1) <= 26")
+_add_finding("qa_cpl", "long-line", "NOT empty AND wide > 42", "wide")
+_add_finding("qa_lines", "lines", "NOT empty AND len(ls) > 2", "len(ls)")
+_add_finding("qa_silence", "gap", "start_ms - prev_end > 120000 AND silences <= 5", "start_ms - prev_end")
 
 
 @query(f"""WITH {V.CUES}{_PREV}, g AS (SELECT title, pos, start_ms - prev_end AS gap_ms FROM v WHERE start_ms - prev_end > 120000)
@@ -116,20 +131,20 @@ _BARE = "regexp_replace(text, '(?i)</?[ib]>', '', 'g')"
 _UNBALANCED = " OR ".join(f"len(regexp_extract_all(text, '(?i)<{t}>')) <> len(regexp_extract_all(text, '(?i)</{t}>'))" for t in "ib")
 _MOJIBAKE = r"regexp_matches(text, '[ÃÂ][\x{80}-\x{bf}\x{2018}-\x{2030}€]')"
 _ESCAPED = r"regexp_matches(text, '\\n|`n|`r')"
-_N_LINES = "len(string_split(text, chr(10)))"
+_N_LINES = r"len(list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '\S')))"
 _SPEED = f"{V.spoken('text')} * 1000.0 / greatest(end_ms - start_ms, {{0}})"
 _PLACED = f"""SELECT title, CAST(min_by(num, place) AS INTEGER) AS num, 'HARD' AS severity, 'numbering' AS rule, CAST(min(place) AS VARCHAR) AS detail
   FROM (SELECT title, num, row_number() OVER (PARTITION BY title ORDER BY pos) AS place FROM cues) WHERE num <> place GROUP BY title"""
 
 
 @query(f"WITH {V.CUES}{_PREV} " + _each(
-    "v", ("HARD", "non-monotonic", "start_ms < prev_start", "''"), ("HARD", "empty", f"trim({_BARE}) = ''", "''"), ("HARD", "unbalanced", _UNBALANCED, "''"), ("HARD", "mojibake", _MOJIBAKE, "''"),
-    ("HARD", "literal-escape", _ESCAPED, "''"), ("SOFT", "overlap", "start_ms >= prev_start AND start_ms < prev_end", "prev_end - start_ms"), ("SOFT", "short", "end_ms - start_ms < 700", "end_ms - start_ms"),
-    ("SOFT", "punct-only", rf"trim({_BARE}) <> '' AND regexp_matches({_BARE}, '^[^\p{{L}}\p{{N}}]+$')", "''"), ("SOFT", "lines", f"{_N_LINES} > 2", _N_LINES), ("SOFT", "long-line", f"{V.widest('text')} > 42", V.widest("text")),
-    ("SOFT", "cps-hard", f"{_SPEED.format(1)} > 26", "''"), ("SOFT", "cps-target", f"{_SPEED.format(1)} > 17 AND {_SPEED.format(1)} <= 26", "''"),
+    "v", ("HARD", "non-monotonic", "start_ms < prev_start", "''"), ("HARD", "empty", "empty", "''"), ("HARD", "unbalanced", f"NOT empty AND ({_UNBALANCED})", "''"), ("HARD", "mojibake", _MOJIBAKE, "''"),
+    ("HARD", "literal-escape", _ESCAPED, "''"), ("SOFT", "overlap", "start_ms < prev_end", "prev_end - start_ms"), ("SOFT", "short", "end_ms - start_ms < 700", "end_ms - start_ms"),
+    ("SOFT", "punct-only", rf"NOT empty AND regexp_matches({_BARE}, '^[^\p{{L}}\p{{N}}]+$')", "''"), ("SOFT", "lines", "NOT empty AND len(ls) > 2", "len(ls)"), ("SOFT", "long-line", "NOT empty AND wide > 42", "wide"),
+    ("SOFT", "cps-hard", f"NOT empty AND {_SPEED.format(1)} > 26", "''"), ("SOFT", "cps-target", f"NOT empty AND {_SPEED.format(1)} > 17 AND {_SPEED.format(1)} <= 26", "''"),
     ("SOFT", "dup-adjacent", f"{V.norm('text')} <> '' AND {V.norm('text')} = {V.norm('prev_text')}", "''"),
     ("SOFT", "all-caps", r"length(regexp_replace(text, '\P{L}', '', 'g')) >= 12 AND regexp_matches(regexp_replace(text, '\P{L}', '', 'g'), '^\p{Lu}+$')", "''"),
-    ("SOFT", "gap", "start_ms - prev_end > 120000", "start_ms - prev_end")) + " UNION ALL " + _each("cues", ("HARD", "inverted", "end_ms <= start_ms", "''")) + f" UNION ALL {_PLACED}")
+    ("SOFT", "gap", "start_ms - prev_end > 120000 AND silences <= 5", "start_ms - prev_end")) + " UNION ALL " + _each("cues", ("HARD", "inverted", "end_ms <= start_ms", "''")) + f" UNION ALL {_PLACED}")
 def qa_findings(spark, d):
     return cues.qa_findings(views.cues(spark, d))
 
@@ -227,8 +242,15 @@ def _flat(text: str = "text") -> str:
     return rf"trim(regexp_replace(regexp_replace({text}, '(?i)</?[ib]>', '', 'g'), '\s+', ' ', 'g'))"
 
 
-@query(rf"""WITH {V.LINES} SELECT title, pos, regexp_extract({_flat()}, '{V.bounded(r"thatand|[\p{L}]+heit|blehe|of\s+the")}', 1) AS hit FROM lines
-WHERE regexp_matches({_flat()}, '{V.bounded(r"thatand|[\p{L}]+heit|blehe|of\s+the")}')""")
+#: Terms between borders, or phrases without: group 1 or group 2.
+_BANNED = V.bounded(r"thatand|[\p{L}]+heit|blehe") + r"|(of\s+the)"
+
+
+def _banned(text: str) -> str:
+    return f"coalesce(nullif(regexp_extract({text}, '{_BANNED}', 1), ''), nullif(regexp_extract({text}, '{_BANNED}', 2), ''))"
+
+
+@query(rf"""WITH {V.LINES}, h AS (SELECT title, pos, {_banned(_flat())} AS hit FROM lines) SELECT * FROM h WHERE hit IS NOT NULL""")
 def banned_terms(spark, d):
     return views.lines(spark, d).select("title", "pos", PACK.banned_hit(X.plain(F.col("text"))).alias("hit")).where("hit is not null")
 
@@ -244,12 +266,18 @@ def leftover(spark, d):
     return views.lines(spark, d).select("title", "pos", PACK.leftover_hit(F.col("text")).alias("hit")).where("hit is not null")
 
 
-@query(rf"""WITH {V.LINES}, w AS (SELECT title, pos, string_split_regex(lower({_flat()}), '[^\p{{L}}\p{{N}}_]+') AS ws FROM lines),
-o AS (SELECT title, pos, ws[i - 1] AS before, ws[i + 1] AS after FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS i FROM w) WHERE ws[i] = 'with')
-SELECT DISTINCT title, pos, 'with' AS term FROM o WHERE coalesce(before, '') <> 'and' AND coalesce(after, '') <> 'the'""")
+@query(rf"""WITH {V.LINES}, f AS (SELECT title, pos, {_flat()} AS t FROM lines),
+c AS (SELECT title, pos, t, unnest(range(1, length(t) + 1)) AS i FROM f WHERE regexp_matches(t, '(?i)with|la')),
+m AS (SELECT *, regexp_extract(substr(t, i), '(?i)^(without|with|las|la)(?:$|[^\p{{L}}\p{{N}}_])', 1) AS hit FROM c WHERE lower(substr(t, i, 1)) IN ('w', 'l') AND (i = 1 OR NOT regexp_matches(substr(t, i - 1, 1), '[\p{{L}}\p{{N}}_]'))),
+o AS (SELECT title, pos, i, hit, lower(hit[1]) AS k, trim(lower(string_split(rtrim(substr(t, 1, i - 1)), ' ')[-1]), ',.¡!¿?') AS before,
+  trim(lower(string_split(ltrim(substr(t, i + length(hit))), ' ')[1]), ',.¡!¿?') AS after, regexp_matches(ltrim(substr(t, i + length(hit))), '^\p{{Lu}}') AS capital FROM m WHERE hit <> ''),
+x AS (SELECT *, row_number() OVER (PARTITION BY title, pos, k ORDER BY i) AS nth FROM o
+  WHERE CASE k WHEN 'w' THEN coalesce(before, '') <> 'and' AND coalesce(after, '') <> 'the' AND NOT capital ELSE coalesce(before, '') NOT IN ('de', 'a') END)
+SELECT title, pos, hit FROM x WHERE nth = 1""")
 def context_exempt(spark, d):
-    flat = F.regexp_replace(X.plain(F.col("text")), r"[^\p{L}\p{N}_]+", " ")
-    return views.lines(spark, d).select("title", "pos", PACK.exempt_violation(flat).alias("term")).where("term is not null")
+    """The first wrong occurrence of each term in a line."""
+    hits = views.lines(spark, d).select("title", "pos", F.explode(PACK.exempt_violations(X.plain(F.col("text")))).alias("hit"))
+    return hits.select("title", "pos", "hit")
 
 
 @query(rf"""WITH {V.LINES}, f AS (SELECT title, pos, regexp_replace(text, '\s+', ' ', 'g') AS t FROM lines)
@@ -382,10 +410,10 @@ _LEFT = r"regexp_replace(text, '(?is)<i>.*?</i>', ' ', 'g')"
     ("SOFT", "short", "end_ms - start_ms < 700", "''"), ("SOFT", "lines", f"{_N_LINES} > 2", "''"), ("SOFT", "long-line", f"{V.widest('text')} > 45", "''"), ("SOFT", "cps-hard", f"{_SPEED.format(100)} > 26", "''"),
     ("SOFT", "cps-target", f"{_SPEED.format(100)} > 17 AND {_SPEED.format(100)} <= 26", "''"),
     *(("HARD" if rule != "caution" else "SOFT", rule, f"regexp_matches({t}, '{V.bounded(p)}')", f"regexp_extract({t}, '{V.bounded(p)}', 1)")
-      for rule, t, p in (("banned", _flat(), r"thatand|[\p{L}]+heit|blehe|of\s+the"), ("leftover", _LEFT, "the|this|here"), ("caution", _flat(), "nicht|pour")))) + f" UNION ALL {_PLACED}")
+      for rule, t, p in (("leftover", _LEFT, "the|this|here"), ("caution", _flat(), "nicht|pour"))), ("HARD", "banned", f"{_banned(_flat())} IS NOT NULL", _banned(_flat()))) + f" UNION ALL {_PLACED}")
 def target_findings(spark, d):
     """All rules but those of context, which have a query of their own."""
-    return validate.target_findings(views.cues(spark, d), replace(PACK, exempt={}))
+    return validate.target_findings(views.cues(spark, d), replace(PACK, exempt=()))
 
 
 @query()

@@ -158,12 +158,12 @@ def file_findings(spark, d):
 
 @query(f"""WITH {V.CUES}, k AS (SELECT title FROM cues GROUP BY title), r AS (
 SELECT title, 'HARD' AS severity, 'bom' AS rule FROM k WHERE title % 3 = 0 UNION ALL SELECT title, 'HARD', 'malformed' FROM k WHERE title % 4 = 0 UNION ALL SELECT title, 'SOFT', 'speaker-label' FROM k WHERE title % 5 = 0
-UNION ALL SELECT title, 'SOFT', 'bracket-tag' FROM k WHERE title % 6 = 0 UNION ALL SELECT title, 'HARD', 'missing-source' FROM k WHERE title % 7 = 0) SELECT * FROM r""")
+UNION ALL SELECT title, 'HARD', 'mojibake' FROM k WHERE title % 8 = 0 UNION ALL SELECT title, 'HARD', 'literal-escape' FROM k WHERE title % 9 = 0 UNION ALL SELECT title, 'SOFT', 'bracket-tag' FROM k WHERE title % 6 = 0 UNION ALL SELECT title, 'HARD', 'missing-source' FROM k WHERE title % 7 = 0) SELECT * FROM r""")
 def source_findings(spark, d):
     k = F.col("title")
-    said = F.concat(F.when(k % 3 == 0, "﻿").otherwise(""), F.lit("a [inaudible] line\n"), F.when(k % 5 == 0, "JOHN: yes\n").otherwise(""), F.when(k % 6 == 0, "[music]\n").otherwise(""))
+    said = F.concat(F.when(k % 3 == 0, "﻿").otherwise(""), F.lit("a [ininteligible] line\n"), F.when(k % 8 == 0, "aÃ±o\n").otherwise(""), F.when(k % 9 == 0, "a\\nb\n").otherwise(""), F.when(k % 5 == 0, "JOHN: yes\n").otherwise(""), F.when(k % 6 == 0, "[music]\n").otherwise(""))
     files = views.cues(spark, d).select("title").distinct().select("title", said.alias("text"))
-    return validate.source_findings(files, files.where(k % 4 == 0), files.where(k % 7 != 0)).select("title", "severity", "rule")
+    return validate.source_findings(files, files.where(k % 4 == 0), files.where(k % 7 != 0), marker="[ininteligible]").select("title", "severity", "rule")
 
 
 # ---- worker batches ---------------------------------------------------------------------------------------------
@@ -326,11 +326,10 @@ def class_totals(spark, d):
     return cues.class_counts(cues.classified(x))
 
 
-@query(rf"""WITH {V.LINES} SELECT title, CAST(sum(len(regexp_extract_all(text, '(?i)(^|[^\p{{L}}\p{{N}}_])the($|[^\p{{L}}\p{{N}}_])'))) AS BIGINT) AS n FROM lines WHERE NOT regexp_matches(text, '(?i)the[^\p{{L}}\p{{N}}_]the') GROUP BY title""")
+@query(rf"""WITH {V.LINES} SELECT title, CAST(sum(len(list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}_]+'), lambda w: w = 'the'))) AS BIGINT) AS n FROM lines GROUP BY title""")
 def rule_counts(spark, d):
     """How often the first rewriting rule finds its word."""
-    x = views.lines(spark, d).where(~F.col("text").rlike(r"(?i)the[^\p{L}\p{N}_]the"))
-    return x.select("title", rule_hits(F.col("text"), FIXES)[0].alias("n")).groupBy("title").agg(F.sum("n").alias("n"))
+    return views.lines(spark, d).select("title", rule_hits(F.col("text"), FIXES)[0].alias("n")).groupBy("title").agg(F.sum("n").alias("n"))
 
 
 # ---- clean-up and words -----------------------------------------------------------------------------------------
@@ -377,12 +376,12 @@ def _audio(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("c_custkey")
     return views.read(spark, d, "customer").select(
         F.floor(k / 4).alias("title"), (k % 4).cast("int").alias("index"), F.lit("audio").alias("codec_type"), F.lit("ac3").alias("codec_name"), F.when(F.floor(k / 4) % 2 == 0, 2).otherwise(k % 7).cast("int").alias("channels"),
-        F.struct(F.when(k % 5 == 0, 1).otherwise(0).alias("default"), F.lit(0).alias("forced"), F.lit(0).alias("hearing_impaired")).alias("disposition"),
+        F.struct(F.when(k % 5 == 0, 1).otherwise(0).alias("default"), F.lit(0).alias("forced"), F.lit(0).alias("hearing_impaired"), F.when(k % 13 == 0, 1).otherwise(0).alias("comment")).alias("disposition"),
         F.create_map(F.lit("language"), F.when(k % 3 == 0, "eng").when(k % 3 == 1, "").otherwise("fra"), F.lit("title"), F.when(k % 11 == 0, "Director's Commentary").otherwise("")).alias("tags"))
 
 
 _AUDIO = """WITH s AS (SELECT c_custkey AS k, c_custkey // 4 AS title, CAST(c_custkey % 4 AS INTEGER) AS "index" FROM customer),
-p AS (SELECT *, CASE WHEN k % 11 <> 0 THEN CASE k % 3 WHEN 0 THEN 100 WHEN 1 THEN 10 ELSE 0 END + CASE WHEN k % 5 = 0 THEN 5 ELSE 0 END + CASE WHEN title % 2 = 0 THEN 2 ELSE k % 7 END END AS score FROM s)"""
+p AS (SELECT *, CASE WHEN k % 11 <> 0 AND k % 13 <> 0 THEN CASE k % 3 WHEN 0 THEN 100 WHEN 1 THEN 10 ELSE 0 END + CASE WHEN k % 5 = 0 THEN 5 ELSE 0 END + CASE WHEN title % 2 = 0 THEN 2 ELSE k % 7 END END AS score FROM s)"""
 
 
 @query(f"""{_AUDIO} SELECT title, "index", CAST(score AS INTEGER) AS score FROM p""")
@@ -390,12 +389,14 @@ def audio_rank(spark, d):
     return tracks.audio_scores(_audio(spark, d)).select("title", "index", F.col("score").cast("int").alias("score"))
 
 
-@query(f"""{_AUDIO}, b AS (SELECT title, max(score) AS top FROM p GROUP BY title), t AS (SELECT p.title, max("index") AS "index", count(*) > 1 AS tied FROM p JOIN b ON p.title = b.title AND p.score = b.top GROUP BY p.title)
-SELECT t.title, CASE WHEN t.title % 9 = 0 THEN 3 ELSE t."index" END AS "index", t.tied AND t.title % 9 <> 0 AS tied FROM t""")
+@query(f"""{_AUDIO}, b AS (SELECT title, arg_min("index", (-score, "index")) AS "index", max(score) AS score FROM p WHERE score >= 10 GROUP BY title), t AS (SELECT DISTINCT title FROM p)
+SELECT t.title, CAST(CASE WHEN t.title % 9 = 0 THEN 3 ELSE b."index" END AS INTEGER) AS "index", CAST(CASE WHEN t.title % 9 <> 0 THEN score END AS INTEGER) AS score, t.title % 9 <> 0 AND b."index" IS NULL AS refused
+FROM t LEFT JOIN b USING (title)""")
 def stream_overrides(spark, d):
+    """The first of the best audio streams of each title; some have none in the language, and some are decided by hand."""
     s = tracks.audio_scores(_audio(spark, d))
-    forced = s.where("title % 9 = 0").join(s.where("score is not null").select("title").distinct(), "title", "left_semi").select("title", F.lit(3).alias("index")).distinct()
-    return tracks.chosen_streams(s, forced).select("title", "index", "tied")
+    forced = s.where("title % 9 = 0").select("title", F.lit(3).alias("index")).distinct()
+    return tracks.chosen_audio(s, forced).select("title", F.col("index").cast("int").alias("index"), F.col("score").cast("int").alias("score"), "refused")
 
 
 @query(f"""{_AUDIO}, b AS (SELECT title, max(score) AS top FROM p GROUP BY title), t AS (SELECT p.title, max("index") AS "index", count(*) AS n FROM p JOIN b ON p.title = b.title AND p.score = b.top GROUP BY p.title)
@@ -472,3 +473,26 @@ def state_versions(spark, d):
             table.compact()
             table.vacuum()
     return table.current()
+
+
+# ---- boilerplate and overlaps in a track ------------------------------------------------------------------------
+
+#: A line of each family of boilerplate, and what only looks like it.
+_SAID_OFTEN = ("Thanks for watching!", "Thank you for watching, see you in the next video.", "See you guys next episode", "Don't forget to like and subscribe!", "Subtitles by Maria Lopez", "Subtitles by the Amara.org community",
+               "Visit www.example.org", "© 2019 Example Studio", "All rights reserved.", "Thanks for watching the dog.", "I'll see you next week.", "Translation by hand is hard", "Copyright law is hard")
+
+
+@query(f"""WITH {V.LINES}, s AS (SELECT CAST(i AS INTEGER) AS i, t FROM (SELECT unnest(range({len(_SAID_OFTEN)})) AS i, unnest([{', '.join("'" + t.replace("'", "''") + "'" for t in _SAID_OFTEN)}]) AS t)),
+h AS (SELECT title, num, t, count(*) OVER (PARTITION BY title, lower(t)) AS times FROM lines JOIN s ON pos % 3 = 0 AND i = (title + pos // 9) % {len(_SAID_OFTEN)} WHERE i < 9)
+SELECT title, CAST(num AS INTEGER) AS num, 'SOFT' AS severity, t || ': ' || CASE WHEN times < 3 THEN 'below 3 repeats, stays' ELSE 'recurs, will be removed' END AS detail FROM h""")
+def qa_boilerplate(spark, d):
+    """Lines of which every third is boilerplate or looks like it, the same one three times or less."""
+    at = (F.col("title") + F.floor(F.col("pos") / 9)) % len(_SAID_OFTEN)
+    said = F.get(F.array(*map(F.lit, _SAID_OFTEN)), at.cast("int"))
+    x = views.lines(spark, d).withColumn("text", F.when(F.col("pos") % 3 == 0, said).otherwise(F.concat(F.lit("said: "), "text")))
+    return cues.boilerplate_findings(x).select("title", "num", "severity", "detail")
+
+
+@query(f"""WITH {V.CUES}, o AS (SELECT title, start_ms < lag(end_ms) OVER (PARTITION BY title ORDER BY pos) AS late FROM cues) SELECT title, count(*) FILTER (late) AS overlaps FROM o GROUP BY title""")
+def overlap_counts(spark, d):
+    return cues.overlap_counts(views.cues(spark, d))

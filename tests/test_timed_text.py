@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cuewright.functions import text as X
 from cuewright.functions import timing
-from cuewright.functions.rules import Options, Pack, Rewrite, boilerplate_patterns, rewritten
+from cuewright.functions.rules import Options, Pack, Rewrite, Sense, boilerplate_patterns, rewritten
 from cuewright.operators import batches, cues, providers, tracks, validate
 from cuewright.plans import gates, queries
 from cuewright.sources import settings, sinks, subtitles
@@ -147,6 +147,39 @@ def test_shift_moves_headers_only(spark):
     assert tracks.shift_differences(subtitles.parse_cues(df), subtitles.parse_cues(tracks.shifted(df, 1250)), 1250).count() == 0
 
 
+def brute_shift(text, ms):
+    """Cue by cue: a header is an index line at the start or behind a blank line, with a timestamp line under it."""
+    import re
+
+    stamp = r"(\d{1,2}):(\d{2}):(\d{2})[,.](\d{1,3})"
+    whole = re.compile(rf"[ \t]*{stamp}[ \t]*-->[ \t]*{stamp}")
+    lines, moved, stopped = text.split("\n"), {}, 0
+    for i, line in enumerate(lines[:-1]):
+        m = whole.match(lines[i + 1])
+        if m and line.lstrip("\ufeff").strip().isdigit() and (i == 0 or not lines[i - 1].strip("\ufeff").strip()):
+            g = m.groups()
+            a, z = (((int(h) * 60 + int(mi)) * 60 + int(s)) * 1000 + int(k.ljust(3, "0")) for h, mi, s, k in (g[:4], g[4:]))
+            stopped += a + ms < 0
+            b = max(0, a + ms)
+            said = (f"{t // 3600000:02d}:{t // 60000 % 60:02d}:{t // 1000 % 60:02d},{t % 1000:03d}" for t in (b, max(0, b + z - a)))
+            moved[i + 1] = " --> ".join(said) + lines[i + 1][m.end() :]
+    return "\n".join(moved.get(i, line) for i, line in enumerate(lines)), stopped
+
+
+@pytest.mark.parametrize("ms", [-1500, 0, 1250, -10**8])
+def test_shift_equals_brute_force(spark, ms):
+    rng = random.Random(ms)
+    parts = ("1", "", " ", "2", "007", "00:00:01,000 --> 00:00:02,500", " 0:00:03.5-->00:00:04,25 X1:10", "00:59:59,900 --> 01:00:00,000\r", "00:00:09,000 --> 00:00:08,000", "text", "5\r", "\ufeff", "\ufeff3", "a 00:00:01,000 --> 00:00:02,000")
+    texts = ["\n".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(400)] + [None, SRT]
+    df = spark.createDataFrame([(str(i), t) for i, t in enumerate(texts)], "title string, text string")
+    got = {r.title: r.text for r in tracks.shifted(df, ms).collect()}
+    stops = {r.title: r.clamped for r in tracks.clamped(df.where("text is not null"), ms).collect()}
+    for i, t in enumerate(texts):
+        if t is not None:
+            assert (got[str(i)], stops[str(i)]) == brute_shift(t, ms)
+    assert got["400"] is None
+
+
 def test_slices_are_contiguous_and_may_be_fewer(spark):
     got = cues.slice_contract(track(spark, [("x", i, i + 1) for i in range(5)]), 4).orderBy("part").collect()
     assert [(r.lo, r.hi, r.n) for r in got] == [(1, 2, 2), (3, 4, 2), (5, 5, 1)]
@@ -176,7 +209,7 @@ def test_batches_and_build(spark):
 
 
 def test_rules(spark):
-    p = Pack(banned=("ordenador", r"jod\w*"), exempt={"tío": {"before": ("mi",), "capital": ("yes",)}}, leftover=("the", "right"), loanwords=("right",))
+    p = Pack(banned=("ordenador", r"jod\w*"), exempt=(("tío", Sense(before=("mi",), capital=True)),), leftover=("the", "right"), loanwords=("right",))
     assert one(spark, "El ORDENADOR", p.banned_hit) == "ORDENADOR"
     assert one(spark, "computadora", p.banned_hit) is None
     assert one(spark, "mi tío dijo", p.exempt_violation) is None
@@ -186,7 +219,7 @@ def test_rules(spark):
     assert one(spark, "<DROP>", lambda c: rewritten(c, [Rewrite("drop", "x")])) == "<DROP>"
 
 
-@pytest.mark.parametrize("bad", [{"max_cpl": True}, {"max_cpl": 0}, {"strip_boilerplate": "yes"}, ["x"], {"unknown": 1}])
+@pytest.mark.parametrize("bad", [{"max_cpl": True}, {"max_cpl": 0}, {"strip_boilerplate": "yes"}, ["x"], {"unknown": 1}, {"max_cps": 0}, {"hard_cps": -1.5}, {"inaudible": 3}])
 def test_options_fail_loud(bad):
     with pytest.raises(ValueError, match="option"):
         Options.read(bad)
@@ -318,11 +351,11 @@ def test_settings(spark, tmp_path):
     assert read == language and settings.read(spark, f"{tmp_path}/empty.json") == {}
     got = settings.settings({"readability": {"max_cpl": 44}, "named_entities_keep_verbatim": ["Ana", "House -> Casa"], "catchphrases": [{"find": "a", "replace": "b"}, {"find": "c"}], "asr": {"hallucination_min_repeats": 4}}, read)
     assert (got.options.max_cpl, got.options.min_duration_ms, got.options.min_repeats) == (44, 800, 4)
-    assert got.pack.entities == (("Ana", "Ana"), ("House", "Casa")) and got.pack.exempt == {"tío": {"before": ("mi",), "after": (), "capital": ()}} and len(got.fixes) == 1
+    assert got.pack.entities == (("Ana", "Ana"), ("House", "Casa")) and got.pack.exempt == (("tío", Sense(before=("mi",))),) and len(got.fixes) == 1
     pytest.importorskip("yaml")
     (tmp_path / "p.yaml").write_text("readability:\n  max_cpl: 30\n")
     assert settings.read(spark, f"{tmp_path}/p.yaml") == {"readability": {"max_cpl": 30}}
-    with pytest.raises(ValueError, match="list of strings"):
+    with pytest.raises(ValueError, match="pack.kept_loanwords must be a list"):
         settings.pack({"kept_loanwords": "right"})
 
 
