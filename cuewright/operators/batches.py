@@ -16,32 +16,49 @@ from .cues import union_all
 DROP = "<DROP>"
 
 
-#: Numbers that one entry may span; a worker's slip of the pen must not become billions of rows.
-WIDEST = 10_000
+def _numbers(entries: DataFrame, cues: DataFrame) -> DataFrame:
+    """One row for each number of an entry between the first and the last of its title's source, however far a slip of the
+    pen reaches; reversed entries have none, and are problems by themselves."""
+    ends = cues.groupBy("title").agg(F.min("num").alias("_low"), F.max("num").alias("_high"))
+    rows = entries.join(ends, "title").withColumns({"_low": F.greatest("lo", "_low"), "_high": F.least("hi", "_high")}).where("_low <= _high")
+    return rows.withColumn("num", F.explode(F.sequence("_low", "_high"))).drop("_low", "_high")
 
 
-def _numbers(entries: DataFrame) -> DataFrame:
-    """One row for each number; entries that are reversed or too wide have none, and are problems by themselves."""
-    ok = entries.where(F.col("hi").cast("long") - F.col("lo") < WIDEST)
-    return ok.where("hi >= lo").withColumn("num", F.explode(F.sequence("lo", "hi")))
+def _ends(entries: DataFrame, level: str, *by: str) -> DataFrame:
+    """Where ranges begin (+1) and have ended (-1): (title, by, at, level)."""
+    ok = entries.where("hi >= lo")
+    return ok.select(*by, F.explode(F.array(F.struct(F.col("lo").cast("long").alias("at"), F.lit(1).alias(level)), F.struct((F.col("hi").cast("long") + 1).alias("at"), F.lit(-1).alias(level)))).alias("e")).select(*by, "e.*")
 
 
-def too_wide(entries: DataFrame) -> DataFrame:
-    return entries.where(F.col("hi").cast("long") - F.col("lo") >= WIDEST)
+def _swept(ends: DataFrame, *by: str) -> DataFrame:
+    """(by, a, z, levels): stretches from a to before z over which every level, the sum of what began and ended, stays."""
+    levels = [c for c in ends.columns if c not in (*by, "at")]
+    at = ends.groupBy(*by, "at").agg(*(F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in levels))
+    w = Window.partitionBy(*by).orderBy("at")
+    return at.select(*by, F.col("at").alias("a"), F.lead("at").over(w).alias("z"), *(F.sum(c).over(w).alias(c) for c in levels)).where("z is not null")
 
 
 def overlaps(entries: DataFrame) -> DataFrame:
-    """(title, num, kind, files): numbers that two entries hold, in one file or in several."""
-    g = _numbers(entries).groupBy("title", "num").agg(F.count("*").alias("n"), F.count_distinct("file").alias("files")).where("n > 1")
-    wide = too_wide(entries).select("title", F.col("lo").alias("num"), F.lit("too-wide").alias("kind"), F.lit(1).cast("long").alias("files"))
-    return g.select("title", "num", F.when(F.col("files") > 1, "two-files").otherwise("same-file").alias("kind"), "files").unionByName(wide)
+    """(title, num, upto, kind, files): numbers that two entries hold, in one file or in several; neighbours that the same
+    entries hold are one row.  Ranges are swept, not written out."""
+    per_file = _swept(_ends(entries, "n", "title", "file"), "title", "file").where("n > 0")
+    files = _ends(per_file.select("title", F.col("a").alias("lo"), (F.col("z") - 1).alias("hi")), "files", "title")
+    both = _swept(_ends(entries, "n", "title").unionByName(files, allowMissingColumns=True), "title").where("n > 1")
+    number = dict(entries.dtypes)["lo"]
+    return both.select("title", F.col("a").cast(number).alias("num"), (F.col("z") - 1).cast(number).alias("upto"), F.when(F.col("files") > 1, "two-files").otherwise("same-file").alias("kind"), "files")
 
 
 def coverage(cues: DataFrame, entries: DataFrame) -> DataFrame:
-    """(title, num, kind): source numbers without entry, and entry numbers without source."""
-    want, got = cues.select("title", "num").distinct(), _numbers(entries).select("title", "num").distinct()
-    missing = want.join(got, ["title", "num"], "left_anti").withColumn("kind", F.lit("missing"))
-    return missing.unionByName(got.join(want, ["title", "num"], "left_anti").withColumn("kind", F.lit("extra")))
+    """(title, num, upto, kind): source numbers without entry, each a row, and runs of entry numbers without source."""
+    nums = cues.select("title", "num").distinct()
+    source = _ends(nums.select("title", F.col("num").alias("lo"), F.col("num").alias("hi")), "source", "title")
+    parts = _swept(source.unionByName(_ends(entries, "n", "title"), allowMissingColumns=True), "title")
+    number = dict(cues.dtypes)["num"]
+    parts = parts.withColumn("kind", F.when((F.col("source") > 0) & (F.col("n") == 0), "missing").when((F.col("source") == 0) & (F.col("n") > 0), "extra"))
+    w = Window.partitionBy("title").orderBy("a")
+    fresh = (F.col("kind") == "missing") | ~F.lag("kind").over(w).eqNullSafe(F.col("kind"))
+    runs = parts.withColumn("run", F.sum(F.coalesce(fresh, F.lit(True)).cast("int")).over(w)).where("kind is not null")
+    return runs.groupBy("title", "run", "kind").agg(F.min("a").cast(number).alias("num"), (F.max("z") - 1).cast(number).alias("upto")).select("title", "num", "upto", "kind")
 
 
 def consolidated(entries: DataFrame) -> DataFrame:
@@ -77,7 +94,7 @@ def build_problems(cues: DataFrame, entries: DataFrame, opt: Options = Options()
         ((body != DROP) & (F.size(F.filter(F.split(X.wrap(F.col("text"), opt.max_cpl), "\n"), lambda x: F.btrim(x) != "")) > opt.max_lines), "too-many-lines"),
     ]
     rows = e.select("title", F.col("lo").alias("num"), F.explode(F.filter(F.array(*(F.when(c, r) for c, r in single)), lambda x: x.isNotNull())).alias("rule"))
-    inside = _numbers(entries).select("title", "lo", "hi", "num", "text").join(cues.select("title", "num", "speaker", "droppable"), ["title", "num"])
+    inside = _numbers(entries, cues).select("title", "lo", "hi", "num", "text").join(cues.select("title", "num", "speaker", "droppable"), ["title", "num"])
     speakers = inside.where("lo <> hi").groupBy("title", F.col("lo").alias("num")).agg(F.count_distinct(F.coalesce("speaker", F.lit(""))).alias("s")).where("s > 1")
     dropped = inside.where((F.btrim("text") == DROP) & ~F.col("droppable"))
     twice = overlaps(entries)
@@ -93,7 +110,7 @@ def manifest(cues: DataFrame, entries: DataFrame, opt: Options = Options()) -> D
     its first cue's start to its last cue's end.
     """
     e = _spans(cues, entries)
-    src = _numbers(entries).select("title", "lo", "num").join(cues.select("title", "num", "pos", F.col("text").alias("said"), "drop_reason"), ["title", "num"])
+    src = _numbers(entries, cues).select("title", "lo", "num").join(cues.select("title", "num", "pos", F.col("text").alias("said"), "drop_reason"), ["title", "num"])
     src = src.groupBy("title", "lo").agg(F.array_sort(F.collect_list(F.struct("pos", "num", "said", "drop_reason"))).alias("s"))
     e = e.join(src, ["title", "lo"]).withColumn("drop", F.btrim("text") == DROP)
     kept = F.when(~F.col("drop"), F.lit(1)).otherwise(0)

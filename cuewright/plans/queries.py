@@ -326,12 +326,12 @@ def slice_contract_large(spark, d):
 
 @query(f"WITH {V.BATCHES} SELECT title, lo AS num, CASE WHEN count(DISTINCT file) > 1 THEN 'two-files' ELSE 'same-file' END AS kind, count(DISTINCT file) AS files FROM entries GROUP BY title, lo HAVING count(*) > 1")
 def batch_overlap(spark, d):
-    return batches.overlaps(views.batches(spark, d))
+    return batches.overlaps(views.batches(spark, d)).select("title", "num", "kind", "files")
 
 
 @query(f"WITH {V.BATCHES} SELECT title, num, 'missing' AS kind FROM lines l WHERE NOT EXISTS (SELECT 1 FROM entries e WHERE e.title = l.title AND e.lo = l.num)")
 def batch_coverage(spark, d):
-    return batches.coverage(views.lines(spark, d), views.batches(spark, d))
+    return batches.coverage(views.lines(spark, d), views.batches(spark, d)).select("title", "num", "kind")
 
 
 @query(f"WITH {V.LINES} SELECT title, lang AS num, count(*) AS n FROM lines GROUP BY title, lang HAVING count(*) > 1")
@@ -416,10 +416,39 @@ def target_findings(spark, d):
     return validate.target_findings(views.cues(spark, d), replace(PACK, exempt=()))
 
 
-@query()
+_WRONG = V.CUES + r""", s AS (SELECT title, pos, pos % 10 = 5 AS droppable, speaker, text, count(*) OVER (PARTITION BY title) AS total FROM cues),
+e0 AS (SELECT title, 'w' AS file, pos AS lo, CASE WHEN pos = 3 AND total >= 4 THEN 4 ELSE pos END AS hi, CASE WHEN pos % 5 = 0 THEN '<DROP>' ELSE 'T ' || text END AS text FROM s WHERE pos <> 4),
+t AS (SELECT DISTINCT title, total FROM s),
+e AS (
+  SELECT * FROM e0 WHERE lo % 11 <> 6 UNION ALL SELECT title, 'v', lo, hi, text FROM e0 WHERE lo % 7 = 1 UNION ALL SELECT title, 'r', 2, 1, 'x' FROM t WHERE title % 3 = 0 AND total >= 2
+  UNION ALL SELECT title, 'u', total + 5, total + 5, ' ' FROM t WHERE title % 4 = 0 UNION ALL SELECT title, 'd', 1, total, '<DROP>' FROM t WHERE title % 5 = 0 UNION ALL SELECT title, 'z', 2, 2000000000, 'y' FROM t WHERE title % 6 = 1),
+x AS (SELECT *, lo <= total AND hi <= total AS known, trim(text) AS body FROM e JOIN t USING (title)),
+n AS (SELECT x.title, lo, hi, body, s.pos AS num, droppable, speaker FROM x JOIN s ON s.title = x.title AND s.pos BETWEEN lo AND hi),
+b AS (SELECT title, lo AS a FROM e WHERE hi >= lo UNION SELECT title, hi + 1 FROM e WHERE hi >= lo)"""
+
+
+@query(rf"""WITH {_WRONG}
+SELECT title, CAST(lo AS INTEGER) AS num, 'merge-not-allowed' AS rule FROM x WHERE lo <> hi
+UNION ALL SELECT title, CAST(lo AS INTEGER), 'unknown-cue' FROM x WHERE NOT known
+UNION ALL SELECT title, CAST(lo AS INTEGER), 'reversed' FROM x WHERE hi < lo
+UNION ALL SELECT title, CAST(lo AS INTEGER), 'drop-merged' FROM x WHERE lo <> hi AND body = '<DROP>'
+UNION ALL SELECT title, CAST(lo AS INTEGER), 'empty' FROM x WHERE body = ''
+UNION ALL SELECT title, CAST(lo AS INTEGER), 'blank-line' FROM x WHERE body <> '<DROP>' AND regexp_matches(trim(text, chr(10)), '\n[ \t]*\n')
+UNION ALL SELECT title, CAST(lo AS INTEGER), 'too-many-lines' FROM x WHERE body <> '<DROP>' AND regexp_matches(text, '(?m)^\s*- ') AND len(list_filter(string_split(text, chr(10)), lambda l: trim(l) <> '')) > 2
+UNION ALL SELECT title, CAST(lo AS INTEGER), 'two-speakers' FROM n WHERE lo <> hi GROUP BY title, lo HAVING count(DISTINCT coalesce(speaker, '')) > 1
+UNION ALL SELECT title, CAST(num AS INTEGER), 'drop-not-allowed' FROM n WHERE body = '<DROP>' AND NOT droppable
+UNION ALL SELECT b.title, CAST(a AS INTEGER), 'covered-twice' FROM b JOIN e ON e.title = b.title AND a BETWEEN lo AND hi GROUP BY b.title, a HAVING count(*) > 1
+UNION ALL SELECT title, CAST(pos AS INTEGER), 'unaccounted' FROM s WHERE NOT EXISTS (SELECT 1 FROM e WHERE e.title = s.title AND s.pos BETWEEN lo AND hi)""")
 def build_problems(spark, d):
+    """Every rule of a build: entries twice, left out, reversed, unknown, dropped as a whole, and far too wide."""
     src, e = _built(spark, d)
-    return batches.build_problems(src, e)
+    src = src.withColumn("droppable", F.col("pos") % 10 == 5)
+    t = src.groupBy("title").agg(F.count("*").cast("int").alias("total"))
+    e = e.select("title", "file", "lo", "hi", "text")
+    more = lambda when, file, lo, hi, text: t.where(when).select("title", F.lit(file).alias("file"), F.expr(lo).cast("int").alias("lo"), F.expr(hi).cast("int").alias("hi"), F.lit(text).alias("text"))
+    parts = [e.where("lo % 11 <> 6"), e.where("lo % 7 = 1").withColumn("file", F.lit("v")), more("title % 3 = 0 and total >= 2", "r", "2", "1", "x"), more("title % 4 = 0", "u", "total + 5", "total + 5", " "),
+             more("title % 5 = 0", "d", "1", "total", batches.DROP), more("title % 6 = 1", "z", "2", "2000000000", "y")]
+    return batches.build_problems(src, cues.union_all(parts))
 
 
 @query(f"WITH {_BUILT} SELECT title, CASE WHEN lo = hi THEN lo::VARCHAR ELSE lo || '..' || hi END AS head, CASE WHEN \"drop\" THEN '<DROP>' ELSE tgt_hash END AS mark FROM m")

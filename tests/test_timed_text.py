@@ -378,8 +378,29 @@ def test_batch_heads_take_spaces_and_wide_ranges_are_rows(spark):
     files = spark.createDataFrame([("t", "a", "3 .. 4|||x\n5..2000000000|||y")], "title string, file string, text string")
     e = subtitles.batch_entries(files)
     assert [(r.lo, r.hi, r.text) for r in e.orderBy("lo").collect()] == [(3, 4, "x"), (5, 2000000000, "y")]
-    assert [(r.num, r.kind) for r in batches.overlaps(e).collect()] == [(5, "too-wide")]
-    assert batches.coverage(track(spark, [("s", 0, 1)] * 4), e).count() == 2
+    assert batches.overlaps(e).count() == 0
+    four = track(spark, [("s", 0, 1)] * 4)
+    assert sorted((r.num, r.upto, r.kind) for r in batches.coverage(four, e).collect()) == [(1, 1, "missing"), (2, 2, "missing"), (5, 2000000000, "extra")]
+    whole = spark.createDataFrame([("t", "a", 1, 20_000, "x"), ("t", "b", 7, 9, "y"), ("t", "b", 8, 12, "z")], "title string, file string, lo int, hi int, text string")
+    many = spark.range(1, 20_001).selectExpr("'t' as title", "cast(id as int) as num")
+    assert batches.coverage(many, whole).count() == 0
+    assert sorted((r.num, r.upto, r.kind, r.files) for r in batches.overlaps(whole).collect()) == [(7, 7, "two-files", 2), (8, 9, "two-files", 2), (10, 12, "two-files", 2)]
+
+
+def test_sweeps_equal_numbers_one_by_one(spark):
+    rng = random.Random(11)
+    entries = [(rng.choice("tu"), rng.choice("ab"), lo := rng.randrange(40), lo + rng.choice((0, 0, 1, 5, -2)), "x") for _ in range(60)]
+    source = [(t, n) for t in "tu" for n in rng.sample(range(45), 25)]
+    e = spark.createDataFrame(entries, "title string, file string, lo int, hi int, text string")
+    c = spark.createDataFrame(source, "title string, num int")
+    held = {}
+    for t, f, lo, hi, _ in entries:
+        for n in range(lo, hi + 1):
+            held.setdefault((t, n), []).append(f)
+    twice = {(t, n): ("two-files" if len(set(f)) > 1 else "same-file", len(set(f))) for (t, n), f in held.items() if len(f) > 1}
+    assert {(r.title, n): (r.kind, r.files) for r in batches.overlaps(e).collect() for n in range(r.num, r.upto + 1)} == twice
+    wrong = {(t, n, "missing") for t, n in source if (t, n) not in held} | {(t, n, "extra") for t, n in held if (t, n) not in source}
+    assert {(r.title, n, r.kind) for r in batches.coverage(c, e).collect() for n in range(r.num, r.upto + 1)} == wrong
 
 
 def test_gates(spark):
