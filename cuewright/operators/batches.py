@@ -5,7 +5,7 @@ Guards give rows, not exceptions: a title with a row fails, the others go on.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as X
@@ -24,41 +24,43 @@ def _numbers(entries: DataFrame, cues: DataFrame) -> DataFrame:
     return rows.withColumn("num", F.explode(F.sequence("_low", "_high"))).drop("_low", "_high")
 
 
-def _ends(entries: DataFrame, level: str, *by: str) -> DataFrame:
-    """Where ranges begin (+1) and have ended (-1): (title, by, at, level)."""
-    ok = entries.where("hi >= lo")
-    return ok.select(*by, F.explode(F.array(F.struct(F.col("lo").cast("long").alias("at"), F.lit(1).alias(level)), F.struct((F.col("hi").cast("long") + 1).alias("at"), F.lit(-1).alias(level)))).alias("e")).select(*by, "e.*")
+def _ends(ranges: DataFrame, *by: str, **levels: Column) -> DataFrame:
+    """Where ranges lo to hi begin and have ended: (by, at, levels), each level up by so much and down again."""
+    edge = lambda at, sign: F.struct(at.cast("long").alias("at"), *((sign * c).cast("long").alias(n) for n, c in levels.items()))
+    ok = ranges.where("hi >= lo")
+    return ok.select(*by, F.explode(F.array(edge(F.col("lo"), 1), edge(F.col("hi").cast("long") + 1, -1))).alias("e")).select(*by, "e.*")
 
 
 def _swept(ends: DataFrame, *by: str) -> DataFrame:
-    """(by, a, z, levels): stretches from a to before z over which every level, the sum of what began and ended, stays."""
+    """(by, lo, hi, levels): stretches over which every level, the sum of its ups and downs, stays as it is.
+
+    ``ends`` are dealt by title, which serves all that is grouped by title and more.
+    """
     levels = [c for c in ends.columns if c not in (*by, "at")]
     at = ends.groupBy(*by, "at").agg(*(F.sum(F.coalesce(c, F.lit(0))).alias(c) for c in levels))
     w = Window.partitionBy(*by).orderBy("at")
-    return at.select(*by, F.col("at").alias("a"), F.lead("at").over(w).alias("z"), *(F.sum(c).over(w).alias(c) for c in levels)).where("z is not null")
+    return at.select(*by, F.col("at").alias("lo"), (F.lead("at").over(w) - 1).alias("hi"), *(F.sum(c).over(w).alias(c) for c in levels)).where("hi is not null")
 
 
 def overlaps(entries: DataFrame) -> DataFrame:
     """(title, num, upto, kind, files): numbers that two entries hold, in one file or in several; neighbours that the same
     entries hold are one row.  Ranges are swept, not written out."""
-    per_file = _swept(_ends(entries, "n", "title", "file"), "title", "file").where("n > 0")
-    files = _ends(per_file.select("title", F.col("a").alias("lo"), (F.col("z") - 1).alias("hi")), "files", "title")
-    both = _swept(_ends(entries, "n", "title").unionByName(files, allowMissingColumns=True), "title").where("n > 1")
     number = dict(entries.dtypes)["lo"]
-    return both.select("title", F.col("a").cast(number).alias("num"), (F.col("z") - 1).cast(number).alias("upto"), F.when(F.col("files") > 1, "two-files").otherwise("same-file").alias("kind"), "files")
+    own = _swept(_ends(entries.select("title", "file", "lo", "hi").repartition("title"), "title", "file", n=F.lit(1)), "title", "file").where("n > 0")
+    both = _swept(_ends(own, "title", n=F.col("n"), files=F.lit(1)), "title").where("n > 1")
+    return both.select("title", F.col("lo").cast(number).alias("num"), F.col("hi").cast(number).alias("upto"), F.when(F.col("files") > 1, "two-files").otherwise("same-file").alias("kind"), "files")
 
 
 def coverage(cues: DataFrame, entries: DataFrame) -> DataFrame:
     """(title, num, upto, kind): source numbers without entry, each a row, and runs of entry numbers without source."""
-    nums = cues.select("title", "num").distinct()
-    source = _ends(nums.select("title", F.col("num").alias("lo"), F.col("num").alias("hi")), "source", "title")
-    parts = _swept(source.unionByName(_ends(entries, "n", "title"), allowMissingColumns=True), "title")
     number = dict(cues.dtypes)["num"]
+    source = _ends(cues.select("title", F.col("num").alias("lo"), F.col("num").alias("hi")), "title", source=F.lit(1))
+    parts = _swept(source.unionByName(_ends(entries, "title", n=F.lit(1)), allowMissingColumns=True).repartition("title"), "title")
     parts = parts.withColumn("kind", F.when((F.col("source") > 0) & (F.col("n") == 0), "missing").when((F.col("source") == 0) & (F.col("n") > 0), "extra"))
-    w = Window.partitionBy("title").orderBy("a")
+    w = Window.partitionBy("title").orderBy("lo")
     fresh = (F.col("kind") == "missing") | ~F.lag("kind").over(w).eqNullSafe(F.col("kind"))
     runs = parts.withColumn("run", F.sum(F.coalesce(fresh, F.lit(True)).cast("int")).over(w)).where("kind is not null")
-    return runs.groupBy("title", "run", "kind").agg(F.min("a").cast(number).alias("num"), (F.max("z") - 1).cast(number).alias("upto")).select("title", "num", "upto", "kind")
+    return runs.groupBy("title", "run", "kind").agg(F.min("lo").cast(number).alias("num"), F.max("hi").cast(number).alias("upto")).select("title", "num", "upto", "kind")
 
 
 def consolidated(entries: DataFrame) -> DataFrame:
