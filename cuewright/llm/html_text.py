@@ -8,7 +8,13 @@ these differ, from the nearer one, and at equal distance the side of the text
 wins inside an article, the other side outside.
 
 Inside ``article`` or ``main`` nothing is bad for its words alone: the markup
-already says that it is content.  Character references are decoded, white space
+already says that it is content.  A name (class or id) makes its element bad only if
+all its words are such names or tell where something stands (``sidebar-left``, not
+``has-sidebar``), and no other name of the element speaks for content.  What the name
+of a wrapper, or a form around it, says of an article holds where the page has an
+article that nothing speaks against (of readers' comments, where it has any such
+text); where it has none, the wrapper's word is not taken, and a form around the whole
+page counts for nothing.  Character references are decoded, white space
 in a block becomes one space, blocks are joined by a blank line in page order.
 
 Null, empty or text-less pages give an empty text.  A tag cut off at the end of
@@ -48,12 +54,16 @@ TRACKED = frozenset(
     "article aside blockquote body center details dialog div dl fieldset figure footer form header main menu nav ol p search section span table td tr ul li "
     "h1 h2 h3 h4 h5 h6 label legend a".split())
 _BAD_ROLE = frozenset("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar toolbar".split())
+# What boilerplate is called, words that say where or how something stands, and what content is called.
 _BAD_NAME = re.compile(
-    r"(?:^|[-_\s])(?:ads?|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|pagination|pager|sidebar\w*|side|widget\w*|rail|footer|foot|"
-    r"masthead|topbar|toolbar|cookies?|consent|gdpr|notice\w*|notification\w*|alert\w*|popup|modal|overlay|newsletter|subscrib\w*|signup|login|share\w*|sharing|social\w*|"
-    r"related|recommend\w*|trending|popular|comment\w*|disqus\w*|respond|repl(?:y|ies)|discussion|reactions?|search\w*|form|skip|tags?|copyright|disclaimer|paywall|outbrain|taboola)"
-    r"(?:$|[-_\s])", re.I)
-_GOOD_NAME = re.compile(r"(?:^|[-_\s])(?:article|content|main|post|entry|story|body|text)(?:$|[-_\s])", re.I)
+    r"ads?|adv|advert\w*|adsense|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|pagination|pager|sidebar\w*|side|widget\w*|rail|footer|foot|"
+    r"masthead|topbar|toolbar|cookies?|consent|gdpr|notices?|notification\w*|alert\w*|popup|modal|overlay|newsletter|subscrib\w*|signup|login|share\w*|sharing|social\w*|"
+    r"related|recommend\w*|trending|popular|comment\w*|disqus\w*|respond|repl(?:y|ies)|discussion|reactions?|search\w*|form|skip|tags?|copyright|disclaimer|paywall|outbrain|taboola")
+_PLACE_NAME = re.compile(
+    r"\d\w*|js|site|page|global|main|top|bottom|left|right|header|head|primary|secondary|upper|lower|inner|outer|fixed|sticky|mobile|desktop|list|area|section|box|block|container|wrap\w*|holder|bar|"
+    r"items?|links?|buttons?|btn|icons?|group|panel|col|column|row|title|unit|slots?|zone|text|label|media|user|reader|article|articles|post|posts|stor(?:y|ies)|thread|body|content|to|module|component|region|in|up|us")
+_TALK_NAME = re.compile(r"comment\w*|disqus\w*|respond|repl(?:y|ies)|discussion|reactions?")
+_GOOD_NAME = re.compile(r"(?:article|content|main|post|entry|story|body|text)")
 
 # About fifty frequent function words of each language.
 STOP_WORDS = frozenset(" ".join((
@@ -75,7 +85,8 @@ _TOKEN = re.compile(
     r"<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|"
     r"<[a-zA-Z/!?][^>]*+(?:>|\Z)", re.S)
 _CLOSE = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in SILENT} | {"<!--": re.compile("-->"), "<![CDATA[": re.compile(r"\]\]>")}
-_ATTR = re.compile(r"(?P<name>class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"(?P<a>[^\"]*)\"|'(?P<b>[^']*)'|(?P<c>[^\s>]+)))?", re.I)
+#: One attribute after the other: what stands in a value is never taken for a name.
+_ATTR = re.compile(r"(?P<name>[^\s\"'<>/=]+)\s*(?:=\s*(?:\"(?P<a>[^\"]*)\"|'(?P<b>[^']*)'|(?P<c>[^\s\"'>]+)))?")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 _WORDS = re.compile(r"[^\W\d_]+")
 
@@ -85,54 +96,88 @@ class Block:
     text: str
     link: int
     article: bool
+    #: It stands in boilerplate by its elements, roles or what is hidden, or by a name within its article.
     boilerplate: bool
+    #: Only the name of a wrapper of its article, or of an element where there is no article, says so; or a form around it.
+    named: bool
+    talk: bool
+    formed: bool
     heading: bool
     label: str = ""
 
 
-def _says(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether a start tag opens boilerplate, and whether it opens an article."""
-    bad = tag in BAD_TAGS or tag == "header" and not in_article
-    good = tag in ("article", "main")
-    if attrs and not bad:
-        for m in _ATTR.finditer(attrs):
-            value, name = m["a"] or m["b"] or m["c"] or "", m["name"].lower()
-            if name in ("class", "id"):
-                bad = bad or bool(_BAD_NAME.search(value)) and not (_GOOD_NAME.search(value) and tag in ("article", "main", "body"))
-            elif name == "role":
-                bad = bad or value.lower() in _BAD_ROLE
-                good = good or value.lower() in ("main", "article")
-            elif name == "style":
-                bad = bad or bool(_HIDDEN.search(value))
-            elif name == "hidden" or value.lower() == "true":
-                bad = True
+def _bad_name(names: str) -> int:
+    """Whether a class or id calls its element boilerplate (1), readers' comments (2), or neither (0): one name does, and
+    none calls it content."""
+    bad = 0
+    for name in names.split():
+        words = [w for w in re.split(r"[-_]+|(?<=[a-z])(?=[A-Z])", name) if w]
+        wrong = [bool(_BAD_NAME.fullmatch(w.lower())) for w in words]
+        if any(wrong):
+            if all(x or _PLACE_NAME.fullmatch(w.lower()) for x, w in zip(wrong, words, strict=True)):
+                bad = max(bad, 1 + any(_TALK_NAME.fullmatch(w.lower()) for w in words))
+        elif any(_GOOD_NAME.fullmatch(w.lower()) for w in words):
+            return 0
+    return bad
+
+
+def _says(tag: str, attrs: str, in_article: bool) -> tuple[bool, int, bool]:
+    """Whether a start tag opens boilerplate, what its name says of that, and whether it opens an article."""
+    bad = tag in BAD_TAGS and tag != "form" or tag == "header" and not in_article
+    named, good = 0, tag in ("article", "main")
+    for m in _ATTR.finditer(attrs) if attrs else ():
+        value, name = m["a"] or m["b"] or m["c"] or "", m["name"].lower()
+        if name in ("class", "id"):
+            named = max(named, _bad_name(value))
+        elif name == "role":
+            bad = bad or value.strip().lower() in _BAD_ROLE
+            good = good or value.strip().lower() in ("main", "article")
+        elif name == "style":
+            bad = bad or bool(_HIDDEN.search(value))
+        elif name == "hidden" or name == "aria-hidden" and value.strip().lower() == "true":
+            bad = True
     if tag in ("body", "html"):
-        bad = False
-    return bad, good
+        bad, named = False, 0
+    return bad, named, good
 
 
 class _Open:
     """Open elements, with the places of each name, so that the nearest one is found at once."""
 
     def __init__(self) -> None:
-        self.stack: list[tuple[str, bool, bool]] = []
+        #: (tag, bad, what its name says, article), and how many names were bad, and of comments, around the articles that are open.
+        self.stack: list[tuple[str, bool, int, bool]] = []
         self.at: dict[str, list[int]] = defaultdict(list)
-        self.bad = self.articles = self.links = 0
+        self.bad = self.named = self.talks = self.articles = self.links = self.forms = 0
+        self.outside: list[tuple[int, int]] = []
 
     def nearest(self, *names: str) -> int:
         return max((self.at[n][-1] for n in names if self.at[n]), default=-1)
 
-    def push(self, name: str, bad: bool, article: bool) -> None:
-        self.at[name].append(len(self.stack))
-        self.stack.append((name, bad, article))
-        self.bad, self.articles, self.links = self.bad + bad, self.articles + article, self.links + (name == "a")
+    def push(self, tag: str, bad: bool, named: int, article: bool) -> None:
+        self.at[tag].append(len(self.stack))
+        self.stack.append((tag, bad, named, article))
+        if article:
+            self.outside.append((self.named, self.talks))
+        self._count(1, *self.stack[-1])
 
     def cut(self, k: int) -> None:
         """Close the element at place k and all that stand in it."""
         while len(self.stack) > k:
-            name, bad, article = self.stack.pop()
-            self.at[name].pop()
-            self.bad, self.articles, self.links = self.bad - bad, self.articles - article, self.links - (name == "a")
+            own = self.stack.pop()
+            self.at[own[0]].pop()
+            if own[3]:
+                self.outside.pop()
+            self._count(-1, *own)
+
+    def _count(self, n: int, tag: str, bad: bool, named: int, article: bool) -> None:
+        self.bad, self.named, self.talks = self.bad + n * bad, self.named + n * (named > 0), self.talks + n * (named > 1)
+        self.articles, self.links, self.forms = self.articles + n * article, self.links + n * (tag == "a"), self.forms + n * (tag == "form")
+
+    def by_name(self) -> tuple[bool, bool, bool]:
+        """Whether a name within the innermost article is bad (or any, without an article), one around it, and one of comments around it."""
+        named, talks = self.outside[-1] if self.outside else (0, 0)
+        return self.named > named, named > 0, talks > 0
 
 
 def blocks(page: str | None) -> list[Block]:
@@ -147,7 +192,8 @@ def blocks(page: str | None) -> list[Block]:
         if parts:
             text = " ".join(html.unescape("".join(parts)).split())
             if text:
-                out.append(Block(text, min(len(text), link_chars), inside.articles > 0, inside.bad > 0, heading))
+                within, around, talk = inside.by_name()
+                out.append(Block(text, min(len(text), link_chars), inside.articles > 0, inside.bad > 0 or within, around, talk, inside.forms > 0, heading))
             parts.clear()
         link_chars, heading = 0, False
 
@@ -219,9 +265,9 @@ def _first_pass(b: Block) -> str:
     density = b.link / n
     if b.boilerplate or "©" in b.text and n < LENGTH_HIGH and not b.article:
         return "bad"
-    if density > MAX_LINK_DENSITY and not b.article or density > 0.9 and not b.heading and n < LENGTH_HIGH:
+    if density > MAX_LINK_DENSITY and not b.article:
         return "bad"
-    if b.heading:
+    if b.heading or density > 0.9 and n < LENGTH_HIGH:  # an article's link alone: as what stands beside it
         return "ambiguous"
     if n < LENGTH_LOW:
         return "ambiguous" if b.article or not b.link else "bad"
@@ -236,7 +282,11 @@ def _first_pass(b: Block) -> str:
 
 def classify(found: list[Block]) -> list[Block]:
     """Label every block good or bad."""
+    clean = any(b.article and not (b.boilerplate or b.named or b.formed) for b in found)
+    free = any(not (b.boilerplate or b.named or b.formed) and _first_pass(b) in ("good", "near") for b in found)
     for b in found:
+        # an article's wrappers are believed where another article has none of their kind, a form where there is text outside
+        b.boilerplate = b.boilerplate or b.named and (clean or b.talk and free) or b.formed and (clean or free and not b.article)
         b.label = _first_pass(b)
     any_good = any(b.label == "good" for b in found)
     any_article = any(b.article for b in found)
