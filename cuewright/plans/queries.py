@@ -137,14 +137,28 @@ _PLACED = f"""SELECT title, CAST(min_by(num, place) AS INTEGER) AS num, 'HARD' A
   FROM (SELECT title, num, row_number() OVER (PARTITION BY title ORDER BY pos) AS place FROM cues) WHERE num <> place GROUP BY title"""
 
 
-@query(f"WITH {V.CUES}{_PREV} " + _each(
+_QA_SQL = _each(
     "v", ("HARD", "non-monotonic", "start_ms < prev_start", "''"), ("HARD", "empty", "empty", "''"), ("HARD", "unbalanced", f"NOT empty AND ({_UNBALANCED})", "''"), ("HARD", "mojibake", _MOJIBAKE, "''"),
     ("HARD", "literal-escape", _ESCAPED, "''"), ("SOFT", "overlap", "start_ms < prev_end", "prev_end - start_ms"), ("SOFT", "short", "end_ms - start_ms < 700", "end_ms - start_ms"),
     ("SOFT", "punct-only", rf"NOT empty AND regexp_matches({_BARE}, '^[^\p{{L}}\p{{N}}]+$')", "''"), ("SOFT", "lines", "NOT empty AND len(ls) > 2", "len(ls)"), ("SOFT", "long-line", "NOT empty AND wide > 42", "wide"),
     ("SOFT", "cps-hard", f"NOT empty AND {_SPEED.format(1)} > 26", "''"), ("SOFT", "cps-target", f"NOT empty AND {_SPEED.format(1)} > 17 AND {_SPEED.format(1)} <= 26", "''"),
     ("SOFT", "dup-adjacent", f"{V.norm('text')} <> '' AND {V.norm('text')} = {V.norm('prev_text')}", "''"),
     ("SOFT", "all-caps", r"length(regexp_replace(text, '\P{L}', '', 'g')) >= 12 AND regexp_matches(regexp_replace(text, '\P{L}', '', 'g'), '^\p{Lu}+$')", "''"),
-    ("SOFT", "gap", "start_ms - prev_end > 120000 AND silences <= 5", "start_ms - prev_end")) + " UNION ALL " + _each("cues", ("HARD", "inverted", "end_ms <= start_ms", "''")) + f" UNION ALL {_PLACED}")
+    ("SOFT", "gap", "start_ms - prev_end > 120000 AND silences <= 5", "start_ms - prev_end")) + " UNION ALL " + _each("cues", ("HARD", "inverted", "end_ms <= start_ms", "''")) + f" UNION ALL {_PLACED}"
+#: Cues of which every sixth ends before it starts.
+_TURNED = V.CUES.replace("\ncues AS (", "\nstraight AS (") + """,
+cues AS (SELECT title, pos, num, speaker, text, CASE WHEN pos % 6 = 2 THEN end_ms ELSE start_ms END AS start_ms, CASE WHEN pos % 6 = 2 THEN start_ms ELSE end_ms END AS end_ms, ts FROM straight)"""
+
+
+@query(f"WITH {_TURNED}{_PREV} {_QA_SQL}")
+def qa_inverted(spark, d):
+    """All findings of tracks with cues that end before they start: these are said, and take no part in anything else."""
+    turned = F.col("pos") % 6 == 2
+    c = views.cues(spark, d).withColumns({"start_ms": F.when(turned, F.col("end_ms")).otherwise(F.col("start_ms")), "end_ms": F.when(turned, F.col("start_ms")).otherwise(F.col("end_ms"))})
+    return cues.qa_findings(c)
+
+
+@query(f"WITH {V.CUES}{_PREV} {_QA_SQL}")
 def qa_findings(spark, d):
     return cues.qa_findings(views.cues(spark, d))
 
@@ -384,7 +398,26 @@ def manifest_cross(spark, d):
     return full.unionByName(part).select("title", "num", "rule")
 
 
-@query()
+_TAGS = "list_sort(list_transform(regexp_extract_all({0}, '</?([ibIB])>', 1), lambda x: lower(x)))"
+_FOUND = "SELECT title, CAST({0} AS INTEGER) AS num, '{1}' AS severity, '{2}' AS rule, {3} AS detail FROM {4}"
+
+
+@query(rf"""WITH {_BUILT}, b AS (SELECT m.*, e.body FROM m JOIN e USING (title, lo)),
+known AS (SELECT * FROM b WHERE NOT (lo % 10 = 7 AND title % 2 = 0) UNION ALL SELECT * FROM b WHERE "drop" AND lo % 10 = 5),
+target AS (SELECT title, "out" AS num, CASE WHEN "out" % 7 = 6 THEN 'x' ELSE ts END AS ts, body AS text FROM b WHERE NOT "drop" AND "out" % 9 <> 8),
+kept AS (SELECT * FROM known WHERE NOT "drop"),
+n AS (SELECT title, "out", "drop", unnest(range(lo, hi + 1)) AS n FROM known),
+seen AS (SELECT title, n, count(*) AS times, bool_or("drop") AS dropped FROM n GROUP BY title, n),
+cover AS (SELECT s.title, s.num AS n, s.pos, times, dropped FROM s LEFT JOIN seen ON seen.title = s.title AND seen.n = s.num),
+src AS (SELECT n.title, n."out" AS num, string_agg(s.text, chr(10) ORDER BY s.num) AS said, bool_or(s.pos % 6 = 0) AS inaudible FROM n JOIN s ON s.title = n.title AND s.num = n.n WHERE NOT n."drop" GROUP BY n.title, n."out"),
+pairs AS (SELECT *, len(regexp_extract_all(said, '\d+')) AS a, len(regexp_extract_all(text, '\d+')) AS z FROM src JOIN target USING (title, num))
+""" + " UNION ALL ".join((
+    _FOUND.format('"out"', "HARD", "lost-cue", "''", 'kept WHERE NOT EXISTS (SELECT 1 FROM target t WHERE t.title = kept.title AND t.num = kept."out")'),
+    _FOUND.format("num", "HARD", "manifest-count", "''", 'target WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.title = target.title AND k."out" = target.num)'),
+    _FOUND.format("num", "HARD", "ts-differs", "want", '(SELECT target.title, num, kept.ts AS want, target.ts FROM target JOIN kept ON kept.title = target.title AND kept."out" = num) WHERE ts <> want'),
+    _FOUND.format("n", "HARD", "covered-twice", "''", "cover WHERE times > 1"), _FOUND.format("n", "HARD", "unaccounted", "''", "cover WHERE times IS NULL"),
+    _FOUND.format("n", "HARD", "dropped-not-droppable", "''", "cover WHERE dropped AND pos % 10 <> 5"), _FOUND.format("num", "HARD", "tag-set-differs", "''", f"pairs WHERE {_TAGS.format('said')} <> {_TAGS.format('text')}"),
+    _FOUND.format("num", "SOFT", "digit-drift", "a || '/' || z", "pairs WHERE a > 0 AND abs(a - z) >= 2"), _FOUND.format("num", "SOFT", "inaudible-marker", "'[inaudible]'", "pairs WHERE inaudible AND NOT contains(text, '[inaudible]')"))))
 def manifest_findings(spark, d):
     """All rules, on whole texts: lost and changed target cues, missing and repeated manifest rows, inaudible source cues."""
     src, e = _built(spark, d)
@@ -497,7 +530,23 @@ def polish_timing(spark, d):
     return tracks.retimed(views.cues(spark, d))
 
 
-@query()
+@query(rf"""WITH {V.CUES}, k AS (
+  SELECT title, text, start_ms, end_ms, row_number() OVER (PARTITION BY title ORDER BY start_ms, end_ms, pos) AS pos, {V.norm('text')} AS key FROM cues
+  WHERE regexp_matches(regexp_replace(text, '(?i)</?[ib]>', '', 'g'), '[\p{{L}}\p{{N}}]')),
+c AS (SELECT *, CASE WHEN key = lag(key) OVER (PARTITION BY title ORDER BY pos) THEN 0 ELSE 1 END AS change FROM k),
+d AS (SELECT *, sum(change) OVER (PARTITION BY title ORDER BY pos) AS same FROM c),
+f AS (SELECT *, CASE WHEN start_ms - max(end_ms) OVER (PARTITION BY title, same ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) <= 1500 THEN 0 ELSE 1 END AS far FROM d),
+r AS (SELECT *, sum(far) OVER (PARTITION BY title ORDER BY pos) AS run FROM f),
+g AS (SELECT title, min(pos) AS pos, arg_min(text, pos) AS text, arg_min(start_ms, pos) AS start_ms, max(end_ms) AS end_ms FROM r GROUP BY title, run),
+w AS (SELECT *, trim(regexp_replace(text, '\s+', ' ', 'g')) AS flat FROM g),
+h AS (SELECT title, pos, i, array_to_string(ws[1:i], ' ') AS a, array_to_string(ws[i + 1:], ' ') AS b FROM (SELECT title, pos, string_split(flat, ' ') AS ws, unnest(range(1, greatest(2, len(string_split(flat, ' '))))) AS i FROM w) WHERE len(ws) > 1),
+two AS (SELECT title, pos, a || chr(10) || b AS halves, row_number() OVER (PARTITION BY title, pos ORDER BY CASE WHEN length(a) <= 42 AND length(b) <= 42 THEN 0 ELSE 1 END, abs(length(a) - length(b)), i) AS nth FROM h),
+x AS (SELECT w.title, w.pos, start_ms, end_ms, CASE WHEN regexp_matches(text, '(?m)^\s*- ') THEN text WHEN length(flat) <= 42 OR halves IS NULL THEN flat ELSE halves END AS text FROM w LEFT JOIN two ON two.title = w.title AND two.pos = w.pos AND nth = 1),
+o AS (SELECT *, row_number() OVER z - 1 AS i, lead(start_ms) OVER z AS following FROM x WINDOW z AS (PARTITION BY title ORDER BY start_ms, end_ms, pos)),
+p AS (SELECT *, 90 * i + max(CASE WHEN i = 0 THEN greatest(start_ms, 40) ELSE start_ms END - 90 * i) OVER (PARTITION BY title ORDER BY i ROWS UNBOUNDED PRECEDING) AS s FROM o),
+q AS (SELECT *, greatest(coalesce(following, end_ms + 10000) - 40, s + 50) AS room FROM p), e AS (SELECT *, greatest(least(end_ms, room), least(s + 700, room)) AS e1 FROM q),
+y AS (SELECT title, pos, text, CAST(s AS BIGINT) AS start_ms, CAST(round_even(greatest(CAST(e1 AS DOUBLE), least(s + {V.spoken('text')} * 1000.0 / 17.0, CAST(room AS DOUBLE))), 0) AS BIGINT) AS end_ms FROM e)
+SELECT title, CAST(row_number() OVER (PARTITION BY title ORDER BY pos) AS INTEGER) AS pos, CAST(row_number() OVER (PARTITION BY title ORDER BY pos) AS INTEGER) AS num, text, start_ms, end_ms FROM y WHERE end_ms > start_ms""")
 def polish(spark, d):
     return tracks.polished(views.cues(spark, d))
 
@@ -611,15 +660,15 @@ def _looping_words(spark: SparkSession, d: str) -> DataFrame:
     return w.withColumn("word", F.coalesce(said("four", 10, 4), said("three", 40, 3), said("two", 65, 2), F.col("word")))
 
 
-def _loop_sql() -> str:
-    """Loops word by word: what is left after single words, then after phrases of four, three and two."""
+def _loop_sql(where: str = "true") -> str:
+    """Loops word by word, of the words ``where`` keeps: what is left after single words, then after phrases of four, three and two."""
     said = lambda name, first, n: f"WHEN k >= {first} AND k < {first} + {n} * (3 + more) THEN '{name}' || ((k - {first}) % {n})"
     ctes = [rf"""d0 AS (SELECT doc_id AS title, list_filter(string_split_regex(text, '[ \t\n\x0B\f\r]+'), lambda w: w <> '') AS ws FROM documents WHERE text IS NOT NULL),
 d1 AS (SELECT title, i - 1 AS pos, ws[i] AS word FROM (SELECT title, ws, unnest(range(1, len(ws) + 1)) AS i FROM d0)),
 d2 AS (SELECT title, pos, pos % 90 AS k, (title + pos // 90) % 3 AS more, CASE WHEN pos % 50 < 6 THEN 'again' ELSE word END AS word, pos // 17 AS breath FROM d1),
 d3 AS (SELECT title, pos, breath, CASE {said("four", 10, 4)} {said("three", 40, 3)} {said("two", 65, 2)} ELSE word END AS word FROM d2),
-w AS (SELECT *, regexp_replace(lower(word), '[^\p{{L}}\p{{N}}]+', '', 'g') AS tok FROM d3),
-p0 AS (SELECT *, pos - lag(pos) OVER z = 1 AND breath = lag(breath) OVER z AND tok <> '' AND tok = lag(tok) OVER z AS again FROM w WINDOW z AS (PARTITION BY title ORDER BY pos)),
+w AS (SELECT *, regexp_replace(lower(word), '[^\p{{L}}\p{{N}}]+', '', 'g') AS tok FROM d3 WHERE {where}),
+p0 AS (SELECT *, 0.35 * (pos - lag(pos) OVER z) + 0.9 * (breath - lag(breath) OVER z) - 0.3 <= 0.45 AND tok <> '' AND tok = lag(tok) OVER z AS again FROM w WINDOW z AS (PARTITION BY title ORDER BY pos)),
 p1 AS (SELECT *, sum(CASE WHEN again THEN 0 ELSE 1 END) OVER (PARTITION BY title ORDER BY pos) AS run FROM p0),
 p2 AS (SELECT *, count(*) OVER (PARTITION BY title, run) AS n, row_number() OVER (PARTITION BY title, run ORDER BY pos) AS j FROM p1),
 l1 AS (SELECT title, pos, word, tok, breath FROM p2 WHERE n <= 4 OR j <= 2)"""]
@@ -647,6 +696,14 @@ def loop_ngrams(spark, d):
     return words.unlooped(_looping_words(spark, d)).select("title", "pos", "word")
 
 
+@query(_loop_sql("pos % 7 <> 3 AND pos % 11 <> 5 AND pos % 13 <> 8"))
+def skipped_words(spark, d):
+    """Words without text, start or end are as if they weren't there."""
+    w = _looping_words(spark, d)
+    w = w.withColumns({c: F.when(F.col("pos") % n != k, F.col(c)) for c, n, k in (("word", 7, 3), ("start", 11, 5), ("end", 13, 8))})
+    return words.unlooped(w).select("title", "pos", "word")
+
+
 @query(f"""WITH RECURSIVE {V.CUES}, n AS (
   SELECT title, text, start_ms / 1000.0 AS b, end_ms / 1000.0 AS z, row_number() OVER w AS pos, coalesce(lead(start_ms / 1000.0) OVER w, end_ms / 1000.0 + 5e0) - 4e-2 AS lim,
     length(replace(text, ' ', '')) / 17e0 AS need FROM cues WINDOW w AS (PARTITION BY title ORDER BY start_ms, end_ms, cues.pos)),

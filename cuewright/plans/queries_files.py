@@ -52,12 +52,20 @@ def decode_bytes(spark, d):
     return x.select("title", "pos", got.alias("g")).select("title", "pos", "g.text", "g.encoding")
 
 
-@query(f"WITH {V.LINES} SELECT title, pos, text || chr(10) || 'x' AS text FROM lines WHERE NOT regexp_matches(text, '[ÃÂ]')")
+#: UTF-8 read as Latin-1, character by character.
+_WRONG = """array_to_string(list_transform(string_split(t, ''), lambda c: CASE WHEN c = '' OR unicode(c) < 128 THEN c WHEN unicode(c) < 2048 THEN chr(192 + unicode(c) // 64) || chr(128 + unicode(c) % 64)
+  ELSE chr(224 + unicode(c) // 4096) || chr(128 + unicode(c) // 64 % 64) || chr(128 + unicode(c) % 64) END), '')"""
+
+
+@query(f"""WITH {V.LINES}, s AS (SELECT title, pos, CASE WHEN pos % 4 = 1 THEN 'SÃO ' || text WHEN pos % 4 = 2 THEN 'œuf ' || text ELSE text END AS t FROM lines), w AS (SELECT *, {_WRONG} AS wrong FROM s)
+SELECT title, pos, CASE WHEN regexp_matches(t, '[ÃÂ]') OR NOT regexp_matches(wrong, '[ÃÂ]') THEN wrong ELSE t END || chr(10) || 'x' AS text FROM w""")
 def sanitize(spark, d):
-    """Lines read with a wrong code page, behind a byte order mark and before a written-out line break."""
-    x = views.lines(spark, d).where(~F.col("text").rlike("[ÃÂ]"))
+    """Lines read with a wrong code page, behind a byte order mark and before a written-out line break; what would still
+    show a fault, or showed none, is left as it was read."""
+    k = F.col("pos") % 4
+    x = views.lines(spark, d).withColumn("text", F.when(k == 1, F.concat(F.lit("SÃO "), "text")).when(k == 2, F.concat(F.lit("œuf "), "text")).otherwise(F.col("text")))
     wrong = F.decode(F.encode("text", "UTF-8"), "ISO-8859-1")
-    return x.select("title", "pos", subtitles.sanitized(F.concat(F.lit("﻿"), wrong, F.lit("`nx"))).alias("text"))
+    return x.select("title", "pos", subtitles.sanitized(F.concat(F.lit("\ufeff"), wrong, F.lit("`nx"))).alias("text"))
 
 
 @query(rf"""WITH {V.LINES}, t AS (SELECT title, pos, CASE pos % 5 WHEN 0 THEN 'Ã©' || text WHEN 1 THEN text || '\n' WHEN 2 THEN chr(65279) || text WHEN 3 THEN 'Ã ' || text ELSE text || '`r' END AS text FROM lines)
@@ -123,9 +131,11 @@ def strict_duplicates(spark, d):
 
 @query(f"WITH {V.CUES} SELECT title, pos, num, ts, text FROM cues")
 def source_json(spark, d):
-    """Parsed sources written as JSON documents and read again."""
-    docs = sinks.source_documents(views.cues(spark, d))
-    return docs.select("title", F.explode(F.from_json("json", "array<struct<pos:int,num:int,ts:string,text:string>>")).alias("x")).select("title", "x.*")
+    """Parsed sources written as JSON documents, a file a title, and read again."""
+    path = f"{state.scratch(spark)}/source"
+    sinks.write_documents(sinks.source_documents(views.cues(spark, d)), path)
+    back = subtitles.read_json(spark, path, "pos int, num int, ts string, text string")
+    return back.select(F.regexp_extract(F.input_file_name(), r"title=(-?\d+)/", 1).cast("long").alias("title"), "pos", "num", "ts", "text")
 
 
 @query(f"""WITH {V.LINES}, n AS (SELECT *, CAST((row_number() OVER (PARTITION BY title ORDER BY pos) - 1) // CAST(ceil(count(*) OVER (PARTITION BY title) / 4.0) AS BIGINT) + 1 AS INTEGER) AS part FROM lines)
@@ -317,13 +327,13 @@ def top_two(spark, d):
     return cues.top_findings(found, "SOFT", 2).select("title", "num", "rule", "detail")
 
 
-@query(rf"""WITH {V.LINES}, t AS (SELECT title, pos, CASE pos % 3 WHEN 0 THEN '[music]' WHEN 1 THEN 'JOHN: ' || text ELSE text || ' [inaudible]' END AS text, pos % 3 AS k FROM lines)
-SELECT title, count(*) AS n, count(*) FILTER (k = 0) AS sound, count(*) FILTER (k = 2) AS inaudible, CAST(0 AS BIGINT) AS bleep, count(*) FILTER (k = 1) AS speaker FROM t WHERE regexp_matches(text, '[a-z] ?[a-z]') GROUP BY title""")
+@query(rf"""WITH {V.LINES}, t AS (SELECT title, pos % 3 AS k, regexp_replace(regexp_replace(text, '[\[(][^\])]*[\])]', '', 'g'), '[-\s.,!?]+', '', 'g') = '' AS signs,
+  regexp_matches(text, '^\s*[A-Z][A-Z''’.\-]{{1,20}}(?:\s[A-Z][A-Z''’.\-]{{1,20}})?:\s*') AS labelled FROM lines)
+SELECT title, count(*) AS n, count(*) FILTER (k = 0 OR signs) AS sound, count(*) FILTER (k = 2) AS inaudible, CAST(0 AS BIGINT) AS bleep, count(*) FILTER (k = 1 OR k = 2 AND labelled) AS speaker FROM t GROUP BY title""")
 def class_totals(spark, d):
     k = F.col("pos") % 3
     t = F.when(k == 0, "[music]").when(k == 1, F.concat(F.lit("JOHN: "), "text")).otherwise(F.concat("text", F.lit(" [inaudible]")))
-    x = views.lines(spark, d).withColumn("text", t).where(F.col("text").rlike("[a-z] ?[a-z]"))
-    return cues.class_counts(cues.classified(x))
+    return cues.class_counts(cues.classified(views.lines(spark, d).withColumn("text", t)))
 
 
 @query(rf"""WITH {V.LINES} SELECT title, CAST(sum(len(list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}_]+'), lambda w: w = 'the'))) AS BIGINT) AS n FROM lines GROUP BY title""")
