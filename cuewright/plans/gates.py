@@ -55,7 +55,7 @@ def finalize(source: DataFrame, files: DataFrame, allowed: DataFrame, pack: Pack
     wrong = batches.build_problems(src, fixed, opt).select("title", F.lit("build").alias("stage"), F.col("rule").alias("reason"))
     made = batches.manifest(src, fixed, opt)
     out = batches.built(made)
-    found = validate.target_findings(out, pack, opt, phrases).unionByName(validate.manifest_findings(out, made, src, pack))
+    found = validate.target_findings(out, pack, opt, phrases).unionByName(validate.manifest_findings(out, made, src, pack, opt.inaudible))
     hard = found.where("severity = 'HARD'").select("title", F.lit("validate").alias("stage"), F.col("rule").alias("reason"))
     drift = tracks.drift_windows(source.select("title", "num", "text"), fixed.where("lo = hi").select("title", F.col("lo").alias("num"), "text"))
     drift = drift.select("title", F.lit("align").alias("stage"), F.lit("drift").alias("reason"))

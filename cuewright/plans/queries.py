@@ -530,7 +530,7 @@ def polish_timing(spark, d):
     return tracks.retimed(views.cues(spark, d))
 
 
-@query(rf"""WITH {V.CUES}, k AS (
+_POLISHED = rf"""WITH {V.CUES}, k AS (
   SELECT title, text, start_ms, end_ms, row_number() OVER (PARTITION BY title ORDER BY start_ms, end_ms, pos) AS pos, {V.norm('text')} AS key FROM cues
   WHERE regexp_matches(regexp_replace(text, '(?i)</?[ib]>', '', 'g'), '[\p{{L}}\p{{N}}]')),
 c AS (SELECT *, CASE WHEN key = lag(key) OVER (PARTITION BY title ORDER BY pos) THEN 0 ELSE 1 END AS change FROM k),
@@ -544,13 +544,26 @@ two AS (SELECT title, pos, a || chr(10) || b AS halves, row_number() OVER (PARTI
 x AS (SELECT w.title, w.pos, start_ms, end_ms, CASE WHEN regexp_matches(text, '(?m)^\s*- ') THEN text WHEN length(flat) <= 42 OR halves IS NULL THEN flat ELSE halves END AS text FROM w LEFT JOIN two ON two.title = w.title AND two.pos = w.pos AND nth = 1),
 o AS (SELECT *, row_number() OVER z - 1 AS i, lead(start_ms) OVER z AS following FROM x WINDOW z AS (PARTITION BY title ORDER BY start_ms, end_ms, pos)),
 p AS (SELECT *, 90 * i + max(CASE WHEN i = 0 THEN greatest(start_ms, 40) ELSE start_ms END - 90 * i) OVER (PARTITION BY title ORDER BY i ROWS UNBOUNDED PRECEDING) AS s FROM o),
-q AS (SELECT *, greatest(coalesce(following, end_ms + 10000) - 40, s + 50) AS room FROM p), e AS (SELECT *, greatest(least(end_ms, room), least(s + 700, room)) AS e1 FROM q),
+q AS (SELECT *, greatest(coalesce(following, end_ms + 10000) - 40, s + 50) AS room FROM p), e AS (SELECT *, greatest(least(end_ms, room), least(s + 700, room)) AS e1 FROM q)"""
+
+
+@query(rf"""{_POLISHED},
 y AS (SELECT title, pos, text, CAST(s AS BIGINT) AS start_ms, CAST(round_even(greatest(CAST(e1 AS DOUBLE), least(s + {V.spoken('text')} * 1000.0 / 17.0, CAST(room AS DOUBLE))), 0) AS BIGINT) AS end_ms FROM e)
 SELECT title, CAST(row_number() OVER (PARTITION BY title ORDER BY pos) AS INTEGER) AS pos, CAST(row_number() OVER (PARTITION BY title ORDER BY pos) AS INTEGER) AS num, text, start_ms, end_ms FROM y WHERE end_ms > start_ms""")
 def polish(spark, d):
     return tracks.polished(views.cues(spark, d))
 
 
+@query(rf"""{_POLISHED}, n AS (SELECT title, count(*) AS n FROM cues GROUP BY title), m AS (SELECT title, count(*) AS n FROM k GROUP BY title),
+tally AS (SELECT e.title, count(*) AS n, count(*) FILTER (e.text <> w.text) AS rewrapped, count(*) FILTER (s > e.start_ms) AS overlaps_fixed, count(*) FILTER (e1 > least(e.end_ms, room)) AS extended_short,
+  count(*) FILTER (least(s + {V.spoken('e.text')} * 1000.0 / 17.0, room) > e1) AS cps_relieved FROM e JOIN w ON w.title = e.title AND w.pos = e.pos GROUP BY e.title)
+SELECT n.title, n.n - coalesce(m.n, 0) AS dropped_empty, coalesce(m.n, 0) - coalesce(tally.n, 0) AS collapsed_loops, coalesce(rewrapped, 0) AS rewrapped, coalesce(overlaps_fixed, 0) AS overlaps_fixed,
+  coalesce(extended_short, 0) AS extended_short, coalesce(cps_relieved, 0) AS cps_relieved, CAST(0 AS BIGINT) AS dropped_boilerplate FROM n LEFT JOIN m ON m.title = n.title LEFT JOIN tally ON tally.title = n.title""")
+def polish_counts(spark, d):
+    """All that clean-up counts, on whole texts."""
+    return tracks.polish_counts(views.cues(spark, d))
+
+
 @query(f"WITH {V.CUES} SELECT title, count(*) AS cues, CAST(0 AS BIGINT) AS overlaps FROM cues GROUP BY title")
 def validate_overlap_free(spark, d):
     """The property that timing must have: every cue stays, and none overlaps the one before it."""
