@@ -4,7 +4,7 @@ Plain identifiers are found on the text itself (``base``).  Then transducers
 rewrite disguises and keep, for each character written, the source characters
 it stands for: homoglyphs (full-width forms, look-alike Greek and Cyrillic
 letters, other scripts' digits) become ASCII, runs of spelled digits become
-digits, and ``at``/``dot`` in brackets or between words become @ and a full
+digits, encoded signs, and ``at``/``dot`` in brackets or between words become @ and a full
 stop, each for itself.  Identifiers of the rewritten text map back to source spans, and those
 that do not lie within a plain one of their kind are added.
 
@@ -115,13 +115,18 @@ _WORD = "|".join(sorted(_DIGIT_WORDS, key=len, reverse=True))
 _SPELLED = re.compile(rf"(?<![^\W_])(?:(?:plus|{_WORD}|[0-9])(?:[ \t,.-]+|(?![^\W_]))){{7,}}", re.I)
 _SPELLED_ONE = re.compile(rf"(?<![^\W_])(plus|{_WORD}|[0-9])(?![^\W_])", re.I)
 _BRACKETED = re.compile(r"[\[({<][ \t]*(?:(at|@|ät|arroba|arobase)|dot|\.|punkt|punto|point)[ \t]*[\])}>][ \t]*", re.I)
-_WORDED_DOT = re.compile(r"(?<=[ \t])dot[ \t]+(?=[A-Za-z0-9-])", re.I)
-_WORDED_AT = re.compile(r"(?<=[ \t])at[ \t]+(?=[A-Za-z0-9-])", re.I)
-_LABEL_DOT = r"(?:\.|[ \t]+dot[ \t]+|[ \t]*[\[({<][ \t]*(?:dot|\.|punkt|punto|point)[ \t]*[\])}>][ \t]*)"
+# Unbracketed words; French "point" is too frequent a word in English.
+_WORDED_DOT = re.compile(r"(?<=[ \t])(?:dot|punkt|punto)[ \t]+(?=[A-Za-z0-9-])", re.I)
+_WORDED_AT = re.compile(r"(?<=[ \t])(?:at|arroba|arobase)[ \t]+(?=[A-Za-z0-9-])", re.I)
+# What may follow a whole address and a dot in words: the country at its end, with nothing behind it.
+_COUNTRY = re.compile(r"[A-Za-z]{2}(?![ \t]*[\w-])")
+_LABEL_DOT = r"(?:\.|[ \t]+(?:dot|punkt|punto)[ \t]+|[ \t]*[\[({<][ \t]*(?:dot|\.|punkt|punto|point)[ \t]*[\])}>][ \t]*)"
 # A host name whose last label is letters (or an encoded one), as every top-level label is.
 _HOST = re.compile(rf"[A-Za-z0-9-]+(?:{_LABEL_DOT}[A-Za-z0-9-]+)*{_LABEL_DOT}(?:[A-Za-z]{{2,63}}|xn--[A-Za-z0-9-]+)(?![A-Za-z0-9])", re.I)
 # Words that are no host name, as in "look at the dot com boom".
-_NO_HOST = re.compile(r"(?:the|a|an|this|that|each|every|any|your|our|my|his|her|their|its|some)(?:[ \t]+dot[ \t]|\.)", re.I)
+_NO_HOST = re.compile(r"(?:the|a|an|this|that|each|every|any|your|our|my|his|her|their|its|some)(?:[ \t]+(?:dot|punkt|punto)[ \t]|\.)", re.I)
+# Character references and percent codes of @ and the full stop.
+_ENCODED = re.compile(r"(&(?:#0*64|#x0*40|commat);|%40)|&(?:#0*46|#x0*2e|period);|%2e", re.I)
 
 
 class Tape:
@@ -195,8 +200,14 @@ def _digits(tape: Tape) -> None:
     tape.rewrite(edits)
 
 
+def _encoded(tape: Tape) -> None:
+    if "&" in tape.text or "%" in tape.text:
+        tape.rewrite([(m.start(), m.end(), "@" if m[1] else ".") for m in _ENCODED.finditer(tape.text)])
+
+
 def _signs(tape: Tape) -> None:
-    """Every bracketed at and dot and every dot between words; an at between words only before a
+    """Every bracketed at and dot and every dot between words, but behind a whole address only
+    before a country ("a@b.com dot the i" goes on with words); an at between words only before a
     host name, if a dot of the address is disguised as well ("see us at example.com" is no address)."""
     t, found = tape.text, []
 
@@ -209,9 +220,13 @@ def _signs(tape: Tape) -> None:
     if any(x in t for x in "[({<"):
         for m in _BRACKETED.finditer(t):
             add(m, "@" if m[1] else ".")
-    if "dot" in t.lower():
+    low = t.lower()
+    if "dot" in low or "punkt" in low or "punto" in low:
+        whole = {b for _, b in emails(t)}
         for m in _WORDED_DOT.finditer(t):
             add(m, ".")
+            if found[-1][0] in whole and not _COUNTRY.match(t, m.end()):
+                found.pop()
     dots = {b: a for a, b, sign in found if sign == "."}
     starts = sorted(dots.values())
     for m in _WORDED_AT.finditer(t) if dots else ():
@@ -238,7 +253,7 @@ def spans(text: str | None) -> tuple[list[tuple[str, int, int]], list[tuple[str,
     text = text or ""
     base = identify(text)
     tape = Tape(text)
-    for step in (_homoglyphs, _digits, _signs):
+    for step in (_homoglyphs, _encoded, _digits, _signs):
         step(tape)
     if tape.start is None:
         return base, base
