@@ -239,7 +239,9 @@ def manifest(docs: DataFrame, carry: Mapping[str, Column] | None = None, block:
     row = F.struct(key.alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.struct(F.lit(0).alias("_"), *(c.alias(n) for n, c in carry.items())).alias("carried"))
     tree = F.when(F.col("lang").isNull(), "-").otherwise(F.concat(F.lit("="), F.col("lang").cast("string")))  # - before =, so nulls come first
     leaves = docs.select(tree.alias("tree"), key.alias("doc_id"), leaf_digest(*(F.col(c) for c in COLUMNS)).alias("digest"), row.alias("row"))
-    levels = climbed(ranked(staged(spark, leaves, "leaves"), "tree", ["doc_id", "digest"]), block)
+    leaves = staged(spark, leaves, "leaves")
+    levels = climbed(ranked(leaves, "tree", ["doc_id", "digest"]), block)
+    drop(leaves)
     subroots = levels[-1].select(F.lit("").alias("tree"), F.col("tree").alias("of"), "digest", F.col("tree").alias("row"))
     upper = climbed(ranked(subroots, "tree", ["of"]), block)
     root = upper[-1].select("tree", F.array().cast("array<string>").alias("path"), F.array("digest").alias("roots"))
