@@ -383,11 +383,14 @@ def token_keys(spark, d):
 
 
 def _audio(spark: SparkSession, d: str) -> DataFrame:
+    """Customers as audio streams of titles, four each, as a media probe's JSON says them."""
     k = F.col("c_custkey")
-    return views.read(spark, d, "customer").select(
-        F.floor(k / 4).alias("title"), (k % 4).cast("int").alias("index"), F.lit("audio").alias("codec_type"), F.lit("ac3").alias("codec_name"), F.when(F.floor(k / 4) % 2 == 0, 2).otherwise(k % 7).cast("int").alias("channels"),
-        F.struct(F.when(k % 5 == 0, 1).otherwise(0).alias("default"), F.lit(0).alias("forced"), F.lit(0).alias("hearing_impaired"), F.when(k % 13 == 0, 1).otherwise(0).alias("comment")).alias("disposition"),
-        F.create_map(F.lit("language"), F.when(k % 3 == 0, "eng").when(k % 3 == 1, "").otherwise("fra"), F.lit("title"), F.when(k % 11 == 0, "Director's Commentary").otherwise("")).alias("tags"))
+    stream = F.struct(
+        (k % 4).cast("int").alias("index"), F.lit("ac3").alias("codec_name"), F.lit("audio").alias("codec_type"), F.when(F.floor(k / 4) % 2 == 0, 2).otherwise(k % 7).cast("int").alias("channels"),
+        F.struct(F.when(k % 5 == 0, 1).otherwise(0).alias("default"), F.lit(0).alias("forced"), F.when(k % 13 == 0, 1).otherwise(0).alias("comment")).alias("disposition"),
+        F.create_map(F.lit("language"), F.when(k % 3 == 0, "eng").when(k % 3 == 1, "").otherwise("fra"), F.lit("title"), F.when(k % 11 == 0, "Director's Commentary").otherwise("")).alias("tags"), F.lit("48000").alias("sample_rate"))
+    titles = views.read(spark, d, "customer").groupBy(F.floor(k / 4).alias("title")).agg(F.to_json(F.struct(F.collect_list(stream).alias("streams"))).alias("json"))
+    return subtitles.probed_streams(titles)
 
 
 _AUDIO = """WITH s AS (SELECT c_custkey AS k, c_custkey // 4 AS title, CAST(c_custkey % 4 AS INTEGER) AS "index" FROM customer),
