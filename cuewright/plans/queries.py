@@ -765,11 +765,20 @@ def status_hist(spark, d):
     return tracks.status_counts(views.read(spark, d, "orders").select(F.col("o_orderstatus").alias("status")))
 
 
-@query(f"""WITH {V.LINES}{_SLICES.format('lines')}, c AS (SELECT title, part, min(num) AS lo, max(num) AS hi FROM n GROUP BY title, part)
-SELECT title, part, lo, hi, CASE WHEN (title + part) % 5 = 0 THEN 'MISSING' WHEN (title + part) % 5 = 1 THEN 'LAST-CUE' WHEN (title + part) % 5 = 2 THEN 'UNSTABLE' ELSE 'READY' END AS flag FROM c""")
+def _seen(entries: DataFrame, parts: DataFrame) -> DataFrame:
+    """What a look at workers' files tells of each slice: the last cue in it, its size, and the last line as its time."""
+    held = entries.join(parts.select("title", "part", F.col("num").alias("lo")), ["title", "lo"])
+    return held.groupBy("title", "part").agg(F.max("lo").alias("last"), F.sum(F.length("text")).alias("size"), F.max("first_line").cast("double").alias("mtime"))
+
+
+_SEEN = "SELECT n.title, n.part, max(e.lo) AS last, sum(length(e.text)) AS size, max(e.first_line) AS mtime FROM entries e JOIN n ON n.title = e.title AND n.num = e.lo WHERE {0} GROUP BY n.title, n.part"
+
+
+@query(f"""WITH {V.BATCHES}{_SLICES.format('lines')}, c AS (SELECT title, part, min(num) AS lo, max(num) AS hi FROM n GROUP BY title, part), o AS ({_SEEN.format("true")}), b AS ({_SEEN.format("e.file <> 'w0'")})
+SELECT c.title, c.part, lo, hi, CASE WHEN o.size IS NULL THEN 'MISSING' WHEN o.last <> hi THEN 'LAST-CUE' WHEN b.size IS NULL OR b.size <> o.size OR b.mtime <> o.mtime THEN 'UNSTABLE' ELSE 'READY' END AS flag
+FROM c LEFT JOIN o ON o.title = c.title AND o.part = c.part LEFT JOIN b ON b.title = c.title AND b.part = c.part""")
 def harvest_ready(spark, d):
-    c = cues.slice_contract(views.lines(spark, d), 4)
-    k = (F.col("title") + F.col("part")) % 5
-    seen = c.where(k != 0).select("title", "part", F.when(k == 1, F.col("hi") - 1).otherwise(F.col("hi")).alias("last"), F.col("n").alias("size"), F.lit(1.5).alias("mtime"))
-    before = c.select("title", "part", F.when(k == 2, F.col("n") + 1).otherwise(F.col("n")).alias("size"), F.lit(1.5).alias("mtime"))
-    return tracks.readiness(c, seen, before)
+    """Slices of the documents' lines against the workers' files, which were without one worker's entries when last looked at."""
+    x = cues.sliced(views.lines(spark, d), 4)
+    e = views.batches(spark, d)
+    return tracks.readiness(cues.slice_contract(views.lines(spark, d), 4), _seen(e, x), _seen(e.where("file <> 'w0'"), x))

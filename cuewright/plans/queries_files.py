@@ -10,7 +10,7 @@ from ..functions.rules import Options, rule_hits
 from ..operators import batches, cues, providers, tracks, validate, words
 from ..sources import sinks, state, subtitles, views
 from . import views_sql as V
-from .queries import _BUILT, _PREV, FIXES, PACK, _built, _words, query
+from .queries import _BUILT, _PREV, _SEEN, FIXES, PACK, _built, _seen, _words, query
 
 # ---- files ------------------------------------------------------------------------------------------------------
 
@@ -432,12 +432,13 @@ def render_choice(spark, d):
     return providers.rendering(a, loud)
 
 
-@query(f"""WITH {V.LINES}, c AS (SELECT title, CAST((pos - 1) // 3 AS INTEGER) AS part, max(num) AS hi FROM lines GROUP BY 1, 2)
-SELECT title, bool_and((title + part) % 5 <> 0) AS ready, count(*) AS parts FROM c GROUP BY title""")
+@query(f"""WITH {V.BATCHES}, n AS (SELECT title, num, CAST((pos - 1) // 3 AS INTEGER) AS part FROM lines), c AS (SELECT title, part, max(num) AS hi FROM n GROUP BY title, part), o AS ({_SEEN.format("true")})
+SELECT c.title, bool_and(o.last IS NOT NULL AND o.last = hi) AS ready, count(*) AS parts FROM c LEFT JOIN o ON o.title = c.title AND o.part = c.part GROUP BY c.title""")
 def titles_ready(spark, d):
-    c = views.lines(spark, d).groupBy("title", F.floor((F.col("pos") - 1) / 3).cast("int").alias("part")).agg(F.min("num").alias("lo"), F.max("num").alias("hi"))
-    seen = c.where((F.col("title") + F.col("part")) % 5 != 0).select("title", "part", F.col("hi").alias("last"), F.lit(9).cast("long").alias("size"), F.lit(1.0).alias("mtime"))
-    return tracks.ready_titles(tracks.readiness(c, seen, seen))
+    """Slices of three lines each: a title is ready when workers' files hold the last line of all of them."""
+    x = views.lines(spark, d).withColumn("part", F.floor((F.col("pos") - 1) / 3).cast("int"))
+    seen = _seen(views.batches(spark, d), x)
+    return tracks.ready_titles(tracks.readiness(x.groupBy("title", "part").agg(F.min("num").alias("lo"), F.max("num").alias("hi")), seen, seen))
 
 
 _EVENTS = """WITH e AS (SELECT o_custkey AS title, CAST(o_orderkey % 3 AS INTEGER) AS issue, CASE WHEN o_orderkey % 3 = 0 THEN 'CRITICAL' WHEN o_orderkey % 3 = 1 THEN 'MAJOR' ELSE 'MINOR' END AS severity,
