@@ -7,7 +7,8 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -26,72 +27,120 @@ _SENTENCE, _CLAUSE = r"[.!?…][\"'”’)]*$", r"[,;:—-][\"'”’)]*$"
 
 
 def _in_order(words: DataFrame) -> DataFrame:
-    """With the place of each word among those left, and whether it follows the one before without a pause."""
-    w = Window.partitionBy("title").orderBy("pos")
-    close = F.col("start") - F.lag("end").over(w) <= LOOP_GAP
-    return words.withColumns({"i": F.row_number().over(w) - 1, "close": F.coalesce(close, F.lit(False))})
+    """Words with text and times in order, with ``i``, a word's number in its title, and its ``token``.
 
+    The window asks for titles to be together and sorted, no more: words that come
+    from titles dealt by title are not shuffled again.
+    """
+    good = words.select("title", "pos", "word", "start", "end").dropna(subset=["word", "start", "end"])
+    rows = good.withColumn("i", F.row_number().over(Window.partitionBy("title").orderBy("pos"))).sortWithinPartitions("title", "pos")
+    return rows.withColumn("token", X.token_key(F.col("word")))
 
-def _words_once(words: DataFrame) -> DataFrame:
-    """Of a word said again and again without a pause, the first two."""
-    w = Window.partitionBy("title").orderBy("i")
-    rows = _in_order(words)
-    again = F.col("close") & (F.col("token") != "") & (F.col("token") == F.lag("token").over(w))
-    rows = rows.withColumn("run", F.sum((~F.coalesce(again, F.lit(False))).cast("int")).over(w))
-    of = Window.partitionBy("title", "run")
-    rows = rows.withColumns({"times": F.count("*").over(of), "nth": F.row_number().over(of.orderBy("i"))})
-    return rows.where((F.col("times") <= WORDS_ALIKE) | (F.col("nth") <= 2)).select(words.columns)
 
+class Unlooper:
+    """Takes sorted rows batch by batch and gives those that loops leave.
 
-def _phrase_loops(rows: DataFrame, n: int) -> DataFrame:
-    """(title, a, z): from each title's start on, the places of phrases of n words that come PHRASES_ALIKE times at least.
+    Stages follow one another: words said again and again, then phrases of each
+    length.  A stage holds back the rows that it can't decide yet, a few repetitions
+    at most: of a loop that goes on, those in the middle are left out at once, since
+    they change nothing.  All rows that are held are in the order of the stream.
+    """
+
+    def __init__(self) -> None:
+        self.held: pa.RecordBatch | None = None
+        self.titles, self.stage, self.close = 0, np.zeros(0, np.int64), [np.zeros(0, bool) for _ in (1, *PHRASES)]
+
+    def push(self, batch: pa.RecordBatch, last: bool = False) -> pa.RecordBatch:
+        """Rows that are decided, with ``t``, which tells titles apart; the last batch decides all."""
+        t = self.titles + np.cumsum(batch.column("i").to_numpy() == 1)
+        self.titles = int(t[-1]) if len(t) else self.titles
+        batch = batch.append_column("t", pa.array(t, pa.int64()))
+        live = pa.Table.from_batches([b for b in (self.held, batch) if b is not None]).combine_chunks()
+        code = live.column("token").combine_chunks().dictionary_encode().indices.to_numpy()
+        said = pc.not_equal(live.column("token"), "").to_numpy()
+        t, start, end = live.column("t").to_numpy(), *(live.column(c).cast(pa.float64()).to_numpy() for c in ("start", "end"))
+        come, rest = np.arange(len(self.stage), live.num_rows), []
+        for k in range(len(self.close)):
+            own = self.close[k]
+            at = np.r_[np.flatnonzero(self.stage == k), come]
+            close = np.zeros(len(at), bool)
+            close[1:] = (t[at[1:]] == t[at[:-1]]) & (start[at[1:]] - end[at[:-1]] <= LOOP_GAP)
+            close[: len(own)] = own  # of rows held, what was before them may be gone
+            give, hold = _phrases_once(code[at], t[at], said[at], close, PHRASES[k - 1], last) if k else _words_once(code[at], said[at], close, last)
+            come, self.close[k] = at[give], close[hold]
+            rest.append(at[hold])
+        order = np.concatenate(rest[::-1])
+        self.stage = np.concatenate([np.full(len(x), len(rest) - 1 - k) for k, x in enumerate(rest[::-1])])
+        self.held = _taken(live, order)
+        return _taken(live, come)
+
+
+def _taken(rows: pa.Table, places: np.ndarray) -> pa.RecordBatch:
+    taken = rows.take(pa.array(places, pa.int64())).combine_chunks()
+    return pa.RecordBatch.from_arrays([pa.concat_arrays(c.chunks) if c.num_chunks else pa.array([], c.type) for c in taken.columns], schema=rows.schema)
+
+
+def _words_once(code: np.ndarray, said: np.ndarray, close: np.ndarray, last: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(places given, places held): of a word said again and again without a pause, the first two; the last run may go on."""
+    n = len(code)
+    again = close & said
+    again[1:] &= code[1:] == code[:-1]
+    again[:1] = False
+    first = np.flatnonzero(~again)
+    times = np.diff(np.r_[first, n])
+    nth = np.arange(n) - np.repeat(first, times)
+    keep = (np.repeat(times, times) <= WORDS_ALIKE) | (nth < 2)
+    done = n if last or not n else int(first[-1])
+    hold = np.arange(done, n)
+    return np.flatnonzero(keep[:done]), hold if len(hold) <= WORDS_ALIKE + 1 else np.r_[hold[:2], hold[1 - WORDS_ALIKE :]]
+
+
+def _phrases_once(code: np.ndarray, t: np.ndarray, said: np.ndarray, close: np.ndarray, n: int, last: bool) -> tuple[np.ndarray, np.ndarray]:
+    """(places given, places held): from the start on, of a phrase of n words that comes PHRASES_ALIKE times at least, the first two.
 
     A word equals the one n before it in stretches; a phrase at a comes again as
-    often as the stretch behind it has n words, and as no pause stands before a
-    repetition.  Neighbouring places of one stretch are one range, of which at most
-    one is taken, the first that is free; ranges are taken in order within clusters
-    that no phrase reaches out of.
+    often as the stretch behind it has n words, and as no pause stands before a repetition.
     """
-    w, every = Window.partitionBy("title").orderBy("i"), Window.partitionBy("title", "step").orderBy("i")
-    same = F.coalesce(F.col("token") == F.lag("token", n).over(w), F.lit(False))
-    full = F.max(F.col("token") != "").over(w.rowsBetween(-n, -1))
-    at = rows.withColumns({"same": same, "full": full, "step": F.col("i") % n})
-    at = at.withColumns({"island": F.sum((~F.col("same")).cast("int")).over(w), "halt": F.sum((~F.col("close")).cast("int")).over(every)})
-    # the island ends before the next word that isn't same; the strides end before the next that isn't close
-    at = at.withColumns({"end": F.max("i").over(Window.partitionBy("title", "island")) + 1, "last": F.max("i").over(Window.partitionBy("title", "step", "halt"))})
-    fits, free = F.floor((F.col("end") - F.col("i")) / n), F.when(F.col("close"), (F.col("last") - F.col("i")) / n + 1).otherwise(0)
-    reps = (F.least(fits, free) + 1).cast("long")
-    # what a pause ends is a range of its own
-    ends = F.when(reps == fits + 1, F.col("end")).otherwise(F.col("i") + n * (reps - 1))
-    found = at.where("same and full").where(reps >= PHRASES_ALIKE).select("title", (F.col("i") - n).cast("long").alias("a"), ends.cast("long").alias("e"), (reps == fits + 1).alias("whole"))
-    by_a = Window.partitionBy("title").orderBy("a")
-    fresh = ~F.col("whole") | ~F.lag("whole").over(by_a) | (F.col("e") != F.lag("e").over(by_a)) | (F.col("a") != F.lag("a").over(by_a) + 1)
-    ranges = found.withColumn("range", F.sum(F.coalesce(fresh, F.lit(True)).cast("int")).over(by_a)).groupBy("title", "range").agg(F.min("a").alias("a"), F.max("a").alias("l"), F.max("e").alias("e"))
-    reach = F.max("e").over(Window.partitionBy("title").orderBy("a").rowsBetween(Window.unboundedPreceding, -1))
-    ranges = ranges.withColumn("apart", F.coalesce(F.col("a") >= reach, F.lit(True)))
-    ranges = ranges.withColumn("cluster", F.sum(F.col("apart").cast("int")).over(Window.partitionBy("title").orderBy("a")))
-    held = ranges.groupBy("title", "cluster").agg(F.array_sort(F.collect_list(F.struct("a", "l", "e"))).alias("r"))
-
-    def take(acc: Column, r: Column) -> Column:
-        def one(a: Column) -> Column:
-            z = a + n * F.floor((r["e"] - a) / n)
-            return F.when(a <= r["l"], F.struct(z.alias("at"), F.array_append(acc["out"], F.struct(a.alias("a"), z.alias("z"))).alias("out"))).otherwise(acc)
-
-        return X.once(F.greatest(r["a"], acc["at"]), one)
-
-    none = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<a:bigint,z:bigint>>").alias("out"))
-    return held.select("title", F.explode(F.aggregate("r", none, take, lambda acc: acc["out"])).alias("x")).select("title", "x.a", "x.z")
+    size, least = len(code), n * PHRASES_ALIKE
+    same = np.zeros(size + 1, np.int64)
+    if size > n:
+        same[n + 1 :] = np.cumsum((code[n:] == code[:-n]) & (t[n:] == t[:-n]))
+    spoken = np.r_[0, np.cumsum(said)]
+    a = np.arange(max(size - least + 1, 0))
+    fits = (same[a + least] - same[a + n] == least - n) & (spoken[a + n] > spoken[a])
+    for r in range(1, PHRASES_ALIKE):
+        fits &= close[a + n * r]
+    found, at, keep = np.flatnonzero(fits), 0, np.ones(size, bool)
+    while (p := int(np.searchsorted(found, at))) < len(found):
+        at, times = int(found[p]), PHRASES_ALIKE
+        while at + n * (times + 1) <= size and close[at + n * times] and same[at + n * (times + 1)] - same[at + n * times] == n:
+            times += 1
+        if at + n * (times + 1) > size and not last:
+            half = PHRASES_ALIKE // 2
+            return np.flatnonzero(keep[:at]), np.r_[at : at + n * half, at + n * (times - PHRASES_ALIKE + half) : size]
+        keep[at + 2 * n : at + n * times] = False
+        at += n * times
+    done = size if last else max(at, size - least + 1, 0)
+    return np.flatnonzero(keep[:done]), np.arange(done, size)
 
 
 def unlooped(words: DataFrame) -> DataFrame:
-    """(title, pos, word, start, end) without the repeats that decoders make; words without text or times are skipped."""
-    good = words.select("title", "pos", "word", "start", "end").dropna(subset=["word", "start", "end"])
-    left = _words_once(good.withColumn("token", X.token_key(F.col("word"))))
-    for n in PHRASES:
-        rows = _in_order(left)
-        gone = _phrase_loops(rows, n).where(F.col("z") > F.col("a") + 2 * n).select("title", F.explode(F.sequence(F.col("a") + 2 * n, F.col("z") - 1)).alias("i"))
-        left = rows.join(gone, ["title", "i"], "left_anti").select(left.columns)
-    return left.select(good.columns)
+    """(title, pos, word, start, end) without the repeats that decoders make; words without text or times are skipped.
+
+    Words stream through a task in order: a title's words never meet in memory, and none is shuffled more than once.
+    """
+    rows = _in_order(words)
+    schema = rows.drop("i", "token").schema
+    names = schema.names
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        loops, batch = Unlooper(), None
+        for batch in batches:
+            yield loops.push(batch).select(names)
+        if batch is not None:
+            yield loops.push(batch.slice(0, 0), last=True).select(names)
+
+    return rows.mapInArrow(run, schema)
 
 
 # ---- cuts -------------------------------------------------------------------------------------------------------
@@ -116,11 +165,16 @@ class Cutter:
         i = np.searchsorted(places, at)
         return int(places[i]) if i < len(places) else self.n
 
-    def cues(self) -> list[tuple[int, int]]:
-        """(first, last exclusive) of each cue."""
-        out, a, seen = [], 0, 0  # a cue starts at a; words before ``seen`` are part of it already
+    def cues(self, seen: int = 0, last: bool = True) -> list[tuple[int, int]]:
+        """(first, last exclusive) of each cue; if more words may follow, of those that end whatever comes.
+
+        ``rest`` is where the first cue that is left starts, with the number of its words that are part of it already.
+        """
+        out, a = [], 0  # a cue starts at a; words before ``seen`` are part of it already
         while a < self.n:
             full = max(int(np.searchsorted(self.ends, self.begins[a] + self.most + 1, side="right")), seen, a + 1)
+            if full >= self.n and not last:
+                break
             late = np.flatnonzero(self.end[max(seen, a + 1) : full] - self.start[a] > MAX_CUE)
             rest = min(self._next(self.pauses, max(seen, a + 1)), max(seen, a + 1) + int(late[0]) if len(late) else self.n)
             enough = int(np.searchsorted(self.ends, self.begins[a] + 1 + self.most * 0.45))
@@ -140,6 +194,7 @@ class Cutter:
                 cut = seen = min(stop, self.n)
             out.append((a, cut))
             a = cut
+        self.rest = a, max(seen - a, 0)
         return [piece for a, b in out for piece in self.within(a, b)]
 
     def within(self, a: int, b: int) -> list[tuple[int, int]]:
@@ -183,47 +238,68 @@ def with_parts(words: DataFrame, most: int, rounds: int = 3) -> DataFrame:
     return rows.select(*words.columns, part.alias("part"))
 
 
+class Cuts:
+    """Takes words that loops left batch by batch and gives cues (title, pos, text, start, end).
+
+    Of a title in the making, the words of the cue that can't be decided yet are held.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.t = most, None
+        self._begin()
+
+    def _begin(self) -> None:
+        self.words, self.start, self.end, self.seen, self.pos = [], np.zeros(0), np.zeros(0), 0, 0
+
+    def _cut(self, last: bool) -> Iterator[tuple]:
+        cutter = Cutter(self.words, self.start, self.end, self.most)
+        for a, b in cutter.cues(self.seen, last):
+            text = re.sub(r"\s+", " ", " ".join(self.words[a:b]))
+            if not re.fullmatch(r"[\W_]+", text):
+                self.pos += 1
+                yield self.title, self.pos, text, self.start[a], self.end[b - 1]
+        at, self.seen = cutter.rest
+        self.words, self.start, self.end = self.words[at:], self.start[at:], self.end[at:]
+
+    def push(self, batch: pa.RecordBatch, last: bool = False) -> Iterator[tuple]:
+        t, words = batch.column("t").to_numpy(), [w.strip(" \t\n\x0b\f\r") for w in batch.column("word").to_pylist()]
+        start, end = (batch.column(c).cast(pa.float64()).to_numpy() for c in ("start", "end"))
+        some = np.array([w != "" for w in words], bool)
+        ends = np.r_[np.flatnonzero(t[1:] != t[:-1]) + 1, len(t)] if len(t) else []
+        for a, b in zip([0, *ends[:-1]], ends, strict=False):
+            if t[a] != self.t:
+                yield from self._cut(True)
+                self._begin()
+                self.t, self.title = t[a], batch.column("title")[int(a)].as_py()
+            kept = a + np.flatnonzero(some[a:b])
+            self.words += [words[i] for i in kept]
+            self.start, self.end = np.r_[self.start, start[kept]], np.r_[self.end, end[kept]]
+        yield from self._cut(last)
+
+
 def cues_of_words(words: DataFrame, opt: Options = Options()) -> DataFrame:
     """(title, pos, text, start, end) of recognised words, loops left out.
 
-    A title is cut into parts that do not depend on each other, and parts are what
-    tasks work on, one at a time: a long title is many tasks' work.
+    Words stream through a task, from loops to cuts, and only cues leave it.
     """
     most = opt.max_cpl * opt.max_lines
-    said = unlooped(words).withColumn("word", F.btrim("word", F.lit(" \t\n\x0b\f\r"))).where("word <> ''")
-    kind = dict(words.dtypes)["title"]
-    schema = f"title {kind}, part long, k int, text string, start double, end double"
-    arrow = to_arrow_schema(T.StructType.fromDDL(schema))
-
-    def cut(rows: list[dict]) -> Iterator[tuple]:
-        ws = [r["word"] for r in rows]
-        start, end = (np.array([r[c] for r in rows], np.float64) for c in ("start", "end"))
-        for k, (a, b) in enumerate(Cutter(ws, start, end, most).cues()):
-            text = re.sub(r"\s+", " ", " ".join(ws[a:b]))
-            if not re.fullmatch(r"[\W_]+", text):
-                yield rows[0]["title"], rows[0]["part"], k, text, start[a], end[b - 1]
+    rows = _in_order(words)
+    schema = T.StructType([rows.schema["title"], *T.StructType.fromDDL("pos int, text string, start double, end double")])
+    arrow = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[dict] = []
+        loops, cuts, batch = Unlooper(), Cuts(most), None
 
-        def made(done: list[tuple]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([r[j] for r in done], type=f.type) for j, f in enumerate(arrow)], schema=arrow)
+        def made(batch: pa.RecordBatch, last: bool = False) -> pa.RecordBatch:
+            cues = list(zip(*cuts.push(loops.push(batch, last), last), strict=True)) or [()] * len(arrow)
+            return pa.RecordBatch.from_arrays([pa.array(v, type=f.type) for v, f in zip(cues, arrow, strict=True)], schema=arrow)
 
         for batch in batches:
-            done: list[tuple] = []
-            for r in batch.to_pylist():
-                if held and (r["title"], r["part"]) != (held[0]["title"], held[0]["part"]):
-                    done += cut(held)
-                    held = []
-                held.append(r)
-            yield made(done)
-        if held:
-            yield made(list(cut(held)))
-
-    parts = with_parts(said, most).withColumn("part", F.col("part").cast("long"))
-    cues = parts.repartition("title", "part").sortWithinPartitions("title", "part", "pos").mapInArrow(run, schema)
-    at = F.row_number().over(Window.partitionBy("title").orderBy("part", "k"))
-    return cues.select("title", at.alias("pos"), "text", "start", "end")
+            yield made(batch)
+        if batch is not None:
+            yield made(batch.slice(0, 0), last=True)
+
+    return rows.mapInArrow(run, schema)
 
 
 def transcribed(words: DataFrame, opt: Options = Options()) -> DataFrame:

@@ -653,8 +653,12 @@ def merged_track(spark, d):
 
 
 def _words(spark: SparkSession, d: str) -> DataFrame:
-    """Words of each line-broken document, 0.3 s each, with pauses and stutters where positions say so."""
-    x = views.read(spark, d, "documents").select(F.col("doc_id").alias("title"), F.posexplode(F.filter(F.split("text", r"\s+"), lambda w: w != "")).alias("pos", "word"))
+    """Words of each line-broken document, 0.3 s each, with pauses and stutters where positions say so.
+
+    Documents are dealt before they become words, which are many times their size; parts of a number that is given are not joined again.
+    """
+    dealt = views.read(spark, d, "documents").select("doc_id", "text").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "doc_id")
+    x = dealt.select(F.col("doc_id").alias("title"), F.posexplode(F.filter(F.split("text", r"\s+"), lambda w: w != "")).alias("pos", "word"))
     word = F.when((F.col("pos") % 50) < 6, "again").otherwise(F.col("word"))
     start = F.col("pos") * 0.35 + F.floor(F.col("pos") / 17) * 0.9
     return x.select("title", "pos", word.alias("word"), start.alias("start"), (start + 0.3).alias("end"))

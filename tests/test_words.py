@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cuewright.functions.rules import Options
@@ -155,3 +156,41 @@ def test_folds_carry_a_title_over_batches(spark):
         want.append((i + 1, s, before))
     assert [(r.pos, r.start_ms, r.end_ms) for r in last] == want
     assert [(r.start_ms, r.end_ms) for r in got.where("title = 'u'").orderBy("pos").collect()] == [(0, 3), (10, 13), (20, 23)]
+
+
+@pytest.mark.parametrize("rows", [1, 7, 64])
+def test_streams_do_not_depend_on_batches(spark, rows):
+    """Loops and cues that begin in one batch and end many batches later, long loops, and titles that end within a batch."""
+    rng = random.Random(rows)
+    titles = {f"t{k}": looping(rng)[:120] for k in range(3)} | {"long": timed(["a", "b", "c"] * 50 + ["no"] * 90 + ["x,", "y"] * 40), "one": timed(["x"]), "said": spoken(rng, 250, 30, 1)}
+    loops = {t: [(w,) for w, _, _ in brute_unlooped(ws)] for t, ws in titles.items()}
+    most = Options().max_cpl * Options().max_lines
+    cues = {t: [(x, a, z) for x, a, z in brute_cues(brute_unlooped(ws), most)] for t, ws in titles.items()}
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        df = frame(spark, titles)
+        assert by_title(words.unlooped(df), "word") == loops
+        assert by_title(words.cues_of_words(df), "text", "start", "end") == cues
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_a_stream_holds_few_words():
+    """A loop without end is not held, nor a title: some repetitions and one cue's words are."""
+    loops, cuts, n = words.Unlooper(), words.Cuts(84), 0
+    for k in range(60):
+        said = [f"{'abcd'[i % 4] if k < 30 else i}" for i in range(1000 * k, 1000 * k + 1000)]
+        start = np.arange(1000 * k, 1000 * k + 1000) * 0.35
+        batch = pa.record_batch({"title": ["t"] * 1000, "pos": range(1000), "word": said, "start": start, "end": start + 0.3, "i": range(1000 * k + 1, 1000 * k + 1001), "token": said})
+        n += len(list(cuts.push(loops.push(batch))))
+        assert loops.held.num_rows < 100 and len(cuts.words) < 100
+    assert n > 1000
+
+
+def test_words_dealt_by_title_are_shuffled_once(spark, tmp_path):
+    from cuewright.plans import queries, queries_files  # noqa: F401
+
+    spark.createDataFrame([(i, "a b c d") for i in range(20)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("stutter", "loop_ngrams", "skipped_words", "segment_words"):
+        plan = queries.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan, (name, plan)
