@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -17,7 +18,8 @@ def folded(rows: DataFrame, key: Sequence[str], order: Sequence[str], columns: S
     """``rows`` with the columns ``adds``; ``start`` makes a step for each key, which is called with ``columns`` in order.
 
     Rows stream through a task in sorted batches: a key's rows never meet in
-    memory, whatever their number, and other columns pass as they are.
+    memory, whatever their number, and other columns pass as they are.  The window
+    has a key's rows together and sorted; rows that are so already aren't shuffled.
     """
     added = T.StructType.fromDDL(adds)
     schema = T.StructType([*rows.schema, *added])
@@ -32,6 +34,7 @@ def folded(rows: DataFrame, key: Sequence[str], order: Sequence[str], columns: S
                     step, now = start(), k
                 out.append(step(*values))
             fresh = [pa.array(v, type=t) for v, t in zip(zip(*out, strict=True), types, strict=True)] if out else [pa.array([], type=t) for t in types]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *fresh], names=schema.names)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *fresh], names=schema.names)
 
-    return rows.repartition(*key).sortWithinPartitions(*key, *order).mapInArrow(run, schema)
+    together = rows.withColumn("_nth", F.row_number().over(Window.partitionBy(*key).orderBy(*order)))
+    return together.sortWithinPartitions(*key, *order).mapInArrow(run, schema)

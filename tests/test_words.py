@@ -194,3 +194,12 @@ def test_words_dealt_by_title_are_shuffled_once(spark, tmp_path):
     for name in ("stutter", "loop_ngrams", "skipped_words", "segment_words"):
         plan = queries.QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1 and "REPARTITION_BY_NUM" in plan, (name, plan)
+
+
+def test_drafts_are_shuffled_with_their_cues_alone(spark, tmp_path):
+    """Documents once, cues to be timed, and timed cues to be counted: no join, and no step planned twice."""
+    from cuewright.plans import queries, queries_files  # noqa: F401
+
+    spark.createDataFrame([(i, "a b c d") for i in range(20)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    plan = queries.QUERIES["transcribe"](spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 3 and plan.count("MapInArrow") == 2 and "Join" not in plan, plan
