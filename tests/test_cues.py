@@ -92,3 +92,19 @@ def test_audio_choice(spark):
 def test_few_rows(spark, rows):
     df = track(spark, rows)
     assert cues.qa_summary(df).count() == len(rows) and cues.qa_findings(df.where(F.lit(False))).count() == 0
+
+
+def test_slices_are_sorted_once_and_not_grouped(spark):
+    """Numbers need not follow places; few cues give fewer parts, and one plan has one exchange, one sort and no aggregate."""
+    rows = [(t, p, (7 * p) % 11 if p != 3 else None) for t, n in (("a", 10), ("b", 2), ("c", 1), ("d", 9)) for p in range(n)]
+    df = spark.createDataFrame(rows, "title string, pos int, num int").repartition(3)
+    got = cues.slice_contract(df, 4)
+    want = set()
+    for t in "abcd":
+        nums = [num for title, _, num in rows if title == t]
+        size = -(-len(nums) // 4)
+        want |= {(t, k // size + 1, nums[k], nums[k : k + size][-1], len(nums[k : k + size])) for k in range(0, len(nums), size)}
+    assert {tuple(r) for r in got.collect()} == want
+    plan = df.sparkSession.createDataFrame(rows, "title string, pos int, num int")
+    plan = cues.slice_contract(plan, 4)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and plan.count("Sort [") == 1 and "Aggregate" not in plan, plan
