@@ -10,8 +10,15 @@
 3. Short lists (``SHORT`` members at most) give all their pairs, which is linear
    in the lists' rows.  A pair's union sketch estimates its similarity; what could
    reach the threshold is verified on the whole sets.
-4. A longer list has a leader, its smallest doc_id, with which each member is
-   compared in full: what one of the two sets lacks are the member's differences D.
+   A longer list is replaced by lists of two values: a pair whose first value in
+   common, rarest first, is v shares o - 1 later ones too, so of the values behind v,
+   up to the k - o + 2nd, its second one is in both sketches, and both are listed under
+   the two.  So lists stay short as a corpus grows, but for groups of texts that have
+   much in common.  Union sketches are compared in rounds of so many pairs a document
+   (``ROUND``), so that what they take on disk is no more than a part of the input.
+4. Where a list of two values is long again, its members have a leader, the smallest
+   doc_id of the first value's list, with which each member is compared in full: what
+   one of the two sets lacks are the member's differences D.
    Members that have little in common with it are compared with the empty set
    instead (D is the whole set); since linked texts are about as near to the leader
    one as the other, a band of similarity that belongs to both groups loses no pair.
@@ -42,6 +49,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Callable
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -56,6 +64,8 @@ K = 48
 OVERLAP = 20
 #: Lists of at most so many members give all their pairs.
 SHORT = 16
+#: Pairs a document whose sketches are compared at a time.
+ROUND = 4
 #: Percent of similarity to a list's leader from which on a member counts as near it.
 NEAR = 40
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -86,8 +96,9 @@ def _sketches(base: DataFrame, n: int, k: int) -> DataFrame:
     return map_rows(keyed, make, "n_shingles long, k1 long, k2 long, sketch array<long>", keep=("doc_id", "text_key"))
 
 
-def _lists(reps: DataFrame, k: int, overlap: int, threshold: int) -> DataFrame:
-    """(v, doc_id, n, m, lead): inverted lists of the rarest retained values, with their sizes and smallest members."""
+def _lists(reps: DataFrame, k: int, overlap: int, threshold: int, short: int) -> DataFrame:
+    """(v, doc_id, n, lead, m): inverted lists of the rarest retained values, with their smallest members and sizes;
+    instead of lists of more than ``short`` members, those of their value and a second one, with the lead of the first."""
     spark = reps.sparkSession
     values = reps.select("doc_id", F.col("n_shingles").alias("n"), F.explode("sketch").alias("v"))
     shared = staged(spark, values.groupBy("v").agg(F.count("*").alias("df")).where("df > 1"), "shared")
@@ -99,11 +110,23 @@ def _lists(reps: DataFrame, k: int, overlap: int, threshold: int) -> DataFrame:
     alone = (kept - F.size("vs")).cast("int")
     room = (kept.cast("int") - least + 1 - alone).cast("int")
     held = held.where(F.size("vs") >= least).where(room > 0)
-    held = held.select("doc_id", "n", F.explode(F.slice("vs", 1, room)).alias("x")).select(F.col("x.v").alias("v"), "doc_id", "n")
-    held = staged(spark, held, "lists")
-    sizes = staged(spark, held.groupBy("v").agg(F.count("*").alias("m"), F.min("doc_id").alias("lead")).where("m > 1"), "sizes")
-    out = staged(spark, held.join(sizes, "v"), "members")
-    drop(shared, held, sizes)
+    # the last value is a second one only
+    held = held.select("doc_id", "n", room.alias("room"), (least < 2).alias("one"), F.transform(F.slice("vs", F.lit(1), room + 1), lambda x: x["v"]).alias("vs"))
+    held = staged(spark, held, "prefixes")
+    firsts = held.select("doc_id", "n", F.explode(F.slice("vs", F.lit(1), F.col("room"))).alias("v"))
+    sizes = staged(spark, firsts.groupBy("v").agg(F.count("*").alias("m"), F.min("doc_id").alias("lead")).where("m > 1"), "sizes")
+    members = staged(spark, firsts.join(sizes, "v").select("v", "doc_id", "n", "lead", "m"), "members")
+    drop(shared, sizes)
+
+    long = members.where(F.col("m") > short).select("doc_id", "lead", "v").join(held, "doc_id").withColumn("at", F.array_position("vs", F.col("v")).cast("int"))
+    seconds = F.slice("vs", F.col("at") + 1, F.col("room") - F.col("at") + 1)
+    # whoever may be linked by one value alone meets the others of its kind under that value
+    seconds = F.when(F.col("one"), F.concat(F.array("v"), seconds)).otherwise(seconds)
+    twos = long.select("doc_id", "n", "lead", "v", F.explode(seconds).alias("w")).select(F.xxhash64("v", "w").alias("v"), "doc_id", "n", "lead")
+    twos = staged(spark, twos, "twos")
+    sizes = staged(spark, twos.groupBy("v").agg(F.count("*").alias("m")).where("m > 1"), "twosizes")
+    out = staged(spark, members.where(F.col("m") <= short).union(twos.join(sizes, "v").select("v", "doc_id", "n", "lead", "m")), "inverted")
+    drop(held, members, twos, sizes)
     return out
 
 
@@ -130,9 +153,13 @@ def _short_pairs(short: DataFrame, reps: DataFrame, k: int, overlap: int, thresh
     ska, skb = reps.select(F.col("doc_id").alias("a"), few.alias("sa")), reps.select(F.col("doc_id").alias("b"), few.alias("sb"))
     union = F.slice(F.array_sort(F.array_union("sa", "sb")), 1, k)
     both = F.size(F.array_intersect(F.array_intersect("sa", "sb"), union))
-    near = staged(spark, pairs.join(ska, "a").join(skb, "b").where(both * k >= F.size(union) * overlap).select("a", "b"), "near")
-    drop(pairs)
-    return near
+    rounds, near = 1 + pairs.count() // max(1, ROUND * reps.count()), []
+    for i in range(rounds):
+        some = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(rounds)) == i)
+        near.append(staged(spark, some.join(ska, "a").join(skb, "b").where(both * k >= F.size(union) * overlap).select("a", "b"), "near"))
+    out = staged(spark, reduce(DataFrame.union, near), "alike")
+    drop(pairs, *near)
+    return out
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
@@ -259,7 +286,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, threshold: int = 80, k: int
     kinds = staged(spark, every.where("n_shingles > 0 and doc_id is not null").groupBy("k1", "k2").agg(F.min("doc_id").alias("rep")), "kinds")
     first = kinds.select("k1", "k2", F.col("rep").alias("doc_id"))
     reps = staged(spark, every.join(first, ["k1", "k2", "doc_id"], "left_semi").dropDuplicates(["doc_id", "k1", "k2"]).select("doc_id", "n_shingles", "sketch"), "reps")
-    lists = _lists(reps, k, overlap, threshold)
+    lists = _lists(reps, k, overlap, threshold, short)
     near = _short_pairs(lists.where(F.col("m") <= short), reps, k, overlap, threshold)
     entries = staged(spark, lists.where(F.col("m") > short).where("doc_id <> lead").select("lead", "doc_id").distinct(), "entries")
     ids = near.select(F.col("a").alias("doc_id")).union(near.select("b")).union(entries.select("lead")).union(entries.select("doc_id"))

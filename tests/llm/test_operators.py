@@ -277,6 +277,44 @@ def test_near_duplicates_list_a_set_once(spark, monkeypatch):
     assert {r.lead for r in seen["differences"] if r.doc_id >= 100} == {100}
 
 
+def test_near_duplicates_of_frequent_shingles_have_no_leader(spark, monkeypatch):
+    """Texts that share frequent shingles, but not two of them with many others, are not compared with leaders."""
+    rng = random.Random(12)
+    rows = [(i, " ".join(rng.choice(WORDS) for _ in range(60))) for i in range(240)]
+    rows += [(300 + i, f"{rows[i][1]} more") for i in range(0, 240, 8)]
+    held, staged = [], minhash.staged
+
+    def counted(session, df, name):
+        out = staged(session, df, name)
+        held.extend([out.count()] if name == "entries" else [])
+        return out
+
+    monkeypatch.setattr(minhash, "staged", counted)
+    check_components(spark.createDataFrame(rows, "doc_id long, text string"), rows, 2, 4)
+    assert len(held) == 1 and held[0] < len(rows) / 2
+
+
+def test_near_duplicates_linked_by_one_shingle(spark):
+    """With a low threshold, texts of one or two shingles meet in long lists by one of them alone."""
+    rows = [(i, f"a b w{i}") for i in range(30)] + [(100, "a b"), (101, "a b c d e f g"), (102, "a b c d e f h"), (103, "x y")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs, 2, 40, short=4).collect()}
+    assert got[100] == 0 and got[102] == 101 and got[103] == 103 and all(got[i] == 0 for i in range(30))
+
+
+def test_near_duplicates_compare_pairs_in_rounds(spark, monkeypatch):
+    rng = random.Random(13)
+    rows = [(i, " ".join(rng.choice(WORDS[:20]) for _ in range(60))) for i in range(60)]
+    rows += [(100 + i, f"{rows[i][1]} more") for i in range(0, 60, 4)]
+    names, staged = [], minhash.staged
+    monkeypatch.setattr(minhash, "staged", lambda session, df, name: (names.append(name), staged(session, df, name))[1])
+    check_components(spark.createDataFrame(rows, "doc_id long, text string"), rows, 2, 16)
+    assert names.count("near") > 1
+
+
+WORDS = [f"w{j}" for j in range(40)]
+
+
 def check_components(docs, rows, words, short):
     sets = {}
     for r in rows:
