@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import uuid
+from collections.abc import Iterator
+
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from .delivery import deliver, same_file  # noqa: F401  (documents and their delivery are used together)
+from .delivery import deliver, opened, same_file, write_bytes  # noqa: F401  (documents and their delivery are used together)
 from .subtitles import parse_cues
 
 
@@ -51,3 +54,24 @@ def manifest_documents(made: DataFrame, head: DataFrame) -> DataFrame:
 def write_documents(df: DataFrame, path: str) -> None:
     """(title, json) or (title, part, json) as text files, partitioned by the other columns."""
     df.write.mode("overwrite").partitionBy(*(c for c in df.columns if c != "json")).text(path)
+
+
+def write_titles(df: DataFrame, path: str) -> None:
+    """(title, json) as one file for each title, ``<title>.json``, all in one folder.
+
+    Tasks write through Arrow's file systems, as ``title_files`` does, each file under a
+    hidden name first; a task that runs again puts the same files in their place.  Spark's
+    own writer takes a folder, checksums and several processes of the system a title.
+    """
+    def run(rows: Iterator[Row]) -> None:
+        store, root = opened(path)
+        store.create_dir(root)
+        for r in rows:
+            if r["title"] is None or "/" in str(r["title"]):
+                raise ValueError(f"{r['title']!r} is no name for a file")
+            part = f"{root}/_{uuid.uuid4().hex}"
+            write_bytes(store, part, r["json"].encode("utf-8"))
+            store.move(part, f"{root}/{r['title']}.json")
+
+    opened(path)[0].create_dir(opened(path)[1])  # no titles: an empty folder
+    df.select("title", "json").foreachPartition(run)

@@ -9,7 +9,7 @@ from cuewright.functions import text as X
 from cuewright.functions import timing
 from cuewright.functions.rules import Options, Pack, Rewrite, Sense, boilerplate_patterns, rewritten
 from cuewright.operators import batches, cues, providers, tracks, validate
-from cuewright.plans import gates, queries
+from cuewright.plans import gates, queries, queries_files
 from cuewright.sources import settings, sinks, subtitles
 from cuewright.streaming import readiness
 
@@ -341,6 +341,20 @@ def test_documents_are_written_and_read(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/tables").count() == 2
 
 
+def test_source_json_writes_a_file_a_title_and_no_more(spark, tmp_path, monkeypatch):
+    """No folder and no checksum for each title, whose processes took most of the time; an empty table is no fault."""
+    rows = [(-5, 1, "a", "é\nb"), (-5, 0, "a", "x"), (7, 0, "b", None)]
+    spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3).write.parquet(f"{tmp_path}/in/conversations.parquet")
+    monkeypatch.setattr(queries_files.state, "scratch", lambda _: f"file://{tmp_path}/out")
+    got = [(r.title, r.pos, r.num, r.text) for r in queries_files.source_json(spark, f"{tmp_path}/in").orderBy("title", "pos").collect()]
+    assert got == [(-5, 1, 1, "x"), (-5, 2, 2, "é\nb"), (7, 1, 1, "")]
+    assert sorted(str(p.relative_to(tmp_path / "out")) for p in (tmp_path / "out").rglob("*")) == ["source", "source/-5.json", "source/7.json"]
+    sinks.write_titles(spark.createDataFrame([], "title long, json string"), f"file://{tmp_path}/none")
+    assert subtitles.read_json(spark, f"{tmp_path}/none", "pos int").count() == 0
+    with pytest.raises(Exception, match="no name for a file"):
+        sinks.write_titles(spark.createDataFrame([("a/b", "[]")], "title string, json string"), f"file://{tmp_path}/bad")
+
+
 def test_settings(spark, tmp_path):
     assert settings.merged({"a": {"x": 1, "y": 2}, "b": 3}, {"a": {"y": 5, "z": None}, "b": None, "c": 4}) == {"a": {"x": 1, "y": 5}, "b": 3, "c": 4}
     assert settings.merged({"a": 1}, None) == {"a": 1}
