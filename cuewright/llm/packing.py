@@ -36,7 +36,7 @@ SIZE = 2048
 TOKENIZER = "word_bpe_49k.json"
 #: Tokens that a pattern may leave free.
 SLACK = 8
-#: Bytes, about, of the chunks whose ids a Python worker remembers from task to task of this step; others are encoded each time.
+#: Bytes, about, of the chunks whose ids a Python worker remembers from task to task of this step by default; others are encoded each time.
 REMEMBERED, ENTRY = 160 << 20, 170
 #: Sub-groups of one length at least, and pieces that make one more.
 SUBGROUPS, GROUP_ROWS = 512, 1_000_000
@@ -60,13 +60,13 @@ class Encoder:
 
     _PARTS = re.compile(rb"([^\x00-`{-\x7f]*[a-z])([^\x00-\x20A-Za-z0-9\x7f-\xff]+)")
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = REMEMBERED):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.t, self.known, self.held = Tokenizer.from_file(path), {}, 0
+        self.t, self.known, self.held, self.most = Tokenizer.from_file(path), {}, 0, most
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         known, out, open_rows, new = self.known, [], [], {}
@@ -84,7 +84,7 @@ class Encoder:
         for ids, gaps, ws in open_rows:
             for i in gaps:
                 ids[i] = known[ws[i]]
-        if self.held >= REMEMBERED:
+        if self.held >= self.most:
             while len(known) > before:  # the last ones learned go again
                 known.popitem()
         else:
@@ -119,17 +119,17 @@ class Encoder:
                 self.known[w] = raw[a:b]
 
 
-def encoder(path: str) -> Encoder:
+def encoder(path: str, most: int = REMEMBERED) -> Encoder:
     """The worker's encoder, with what it remembers."""
-    return remembered(path, lambda: Encoder(path))
+    return remembered(path, lambda: Encoder(path, most))
 
 
-def pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0) -> DataFrame:
+def pieces(docs: DataFrame, path: str, size: int = SIZE, end_id: int = 0, most: int = REMEMBERED) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every document's ids, cut only where they exceed size."""
     end = int(end_id).to_bytes(4, "little")
 
     def make() -> Callable[[dict], dict]:
-        encode = encoder(path)
+        encode = encoder(path, most)
 
         def run(x: dict) -> dict:
             out: dict[str, list] = {n: [] for n in ("doc_id", "piece", "start", "length", "ids_crc32")}
@@ -298,5 +298,5 @@ def pack(cut: DataFrame, size: int = SIZE) -> DataFrame:
     return map_rows(ranked, make, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long", 4096)
 
 
-def packed_documents(docs: DataFrame, path: str | None = None, size: int = SIZE) -> DataFrame:
-    return pack(staged(docs.sparkSession, pieces(docs, path or tokenizer_path(), size), "pieces"), size)
+def packed_documents(docs: DataFrame, path: str | None = None, size: int = SIZE, most: int = REMEMBERED) -> DataFrame:
+    return pack(staged(docs.sparkSession, pieces(docs, path or tokenizer_path(), size, most=most), "pieces"), size)
